@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space of the word rule: space and \t \n \v \f \r. ``bytes.split()`` splits on exactly these.
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
@@ -48,6 +49,14 @@ def bounded_or_shuffled(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def schema_with(df: DataFrame, **fields: str) -> StructType:
+    """The schema of ``df`` and further fields, by name and type."""
+    out = StructType(list(df.schema.fields))
+    for name, kind in fields.items():
+        out.add(name, kind)
+    return out
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

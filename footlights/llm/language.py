@@ -10,6 +10,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import schema_with
+
 #: A fitted model: language -> raw dictionary content. Bounded by ``docs_per_language`` and ``dictionary_bytes``.
 Dictionaries = dict[str, bytes]
 
@@ -70,7 +72,7 @@ def predict_language(
     """
     langs = sorted(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = schema_with(docs.select(*kept), lang_pred="string", score="double", rejected="boolean")
 
     def coders() -> list[zstandard.ZstdCompressor]:
         out = []

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, text_or_empty
+from .common import schema_with, stash, text_or_empty
 from .tokens import encode_chunks
 
 #: Chunks kept by a worker before its table starts anew; bounds its memory.
@@ -125,7 +125,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, pieces_per_shard: int = 8192)
     """
     pieces = stash(pieces, "pieces")
     shards = max(1, -(-pieces.count() // pieces_per_shard))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = schema_with(pieces, sequence_id="long", offset="long")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").drop(columns="shard")

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .archive import new_archive_path, read_archive, write_archive
 from .common import table
 from .language import fit_dictionaries, held_out, predict_language
 from .packing import pack, token_pieces
+from .pii import find_pii, fit_booster, pii_digest
+from .quality import fit_line_model, labelled_documents, quality
 from .tokens import count_tokens
+from .urls import judge_urls, judge_urls_sql, pattern_rules, prefix_rules
 
 
 def _tokenizer(name: str) -> str:
@@ -27,19 +31,54 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every document; the line model is fitted on labelled documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_line_model(labelled_documents(docs, table(spark, sf_dir, "labels")))
+    return quality(docs, model).drop("text")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces in sequences of at most 4096 tokens."""
     return pack(token_pieces(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to a content-addressed archive and read back."""
+    path = new_archive_path(spark)
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's address."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, prefix_rules(spark), pattern_rules(spark)).drop("url")
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; the trees learn from the candidates of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_digest(find_pii(docs, fit_booster(docs)))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return count_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op5_warc_archive, op6_url_filters, op8_personal_data, op10_token_counts)}
+
+
+_WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+k as (select *, octet_length(encode(html)) as n, max(page_id) over (partition by html) as keeper from p)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+  case when n >= 1000 and page_id <> keeper then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id <> keeper then keeper end as refers_to, true as verified
+from k"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc_archive": _WARC_SQL, "op6_url_filters": judge_urls_sql()}
