@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .archive import new_archive_path, read_archive, write_archive
 from .common import table
+from .decontaminate import contamination
 from .language import fit_dictionaries, held_out, predict_language
 from .packing import pack, token_pieces
 from .pii import find_pii, fit_booster, pii_digest
@@ -43,6 +44,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 0.8 of a benchmark item's words in tiles of five words or more."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to a content-addressed archive and read back."""
     path = new_archive_path(spark)
@@ -68,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op5_warc_archive, op6_url_filters, op8_personal_data, op10_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op8_personal_data, op10_token_counts)}
 
 
 _WARC_SQL = """
