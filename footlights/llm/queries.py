@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .archive import new_archive_path, read_archive, write_archive
 from .common import table
 from .decontaminate import contamination
+from .jaccard import near_duplicates
 from .language import fit_dictionaries, held_out, predict_language
 from .packing import pack, token_pieces
 from .pii import find_pii, fit_booster, pii_digest
@@ -68,13 +69,18 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(find_pii(docs, fit_booster(docs)))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return count_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op8_personal_data, op10_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op8_personal_data, op9_jaccard_join, op10_token_counts)}
 
 
 _WARC_SQL = """
