@@ -15,6 +15,7 @@ from .language import fit_dictionaries, held_out, predict_language
 from .packing import pack, token_pieces
 from .pii import find_pii, fit_booster, pii_digest
 from .quality import fit_line_model, labelled_documents, quality
+from .substrings import remove_repeats
 from .tokens import count_tokens
 from .urls import judge_urls, judge_urls_sql, pattern_rules, prefix_rules
 
@@ -63,6 +64,12 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, prefix_rules(spark), pattern_rules(spark)).drop("url")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; the trees learn from the candidates of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,7 +87,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op8_personal_data, op9_jaccard_join, op10_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op7_suffix_dedup, op8_personal_data, op9_jaccard_join, op10_token_counts)}
 
 
 _WARC_SQL = """
