@@ -1,11 +1,74 @@
-"""Corpus pipeline over the documents table. The stages are added as their operators are built."""
+"""Corpus pipeline: quality, near duplicates, benchmark decontamination, personal data, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept. All but the last return the
+columns of ``documents``; each is written as Parquet in the shared folder and read again for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from footlights.llm.common import stash, table
+from footlights.llm.decontaminate import contamination
+from footlights.llm.jaccard import near_duplicates
+from footlights.llm.packing import pack, token_pieces
+from footlights.llm.pii import find_pii, fit_booster, redact
+from footlights.llm.quality import fit_line_model, labelled_documents, quality
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality operator keeps."""
+    model = fit_line_model(labelled_documents(docs, table(spark, sf_dir, "labels")))
+    return quality(docs, model).where("kept").select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the least id; rows that repeat an id are one.
+
+    A null id cannot be compared and stays.
+    """
+    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id")
+    chosen = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced in their texts; ``n_chars`` follows the new text."""
+    safe = redact(find_pii(docs, fit_booster(docs)))
+    if "n_chars" in docs.columns:
+        safe = safe.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return safe.select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", jaccard_join),
+    ("benchmark_decontamination", decontaminate),
+    ("pii", redact_pii),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: The learned line model, the boosted trees and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
