@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -171,6 +172,11 @@ def _month_address(url: Column, form: Column, year: Column, month: Column) -> Co
     return out
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _tokens(text: str) -> list[str]:
     import re
 
@@ -182,19 +188,24 @@ def month_series(url: Column, today: dt.date, months_ahead: int = 12) -> Column:
 
     An address that is no month of a calendar gives an empty array.
     """
-    own = _month_of(url)
-    first = own["year"] * 12 + own["month"]  # months since year 0, the next month's number
     last = today.year * 12 + today.month - 1 + months_ahead
-    numbers = F.when(first <= last, F.sequence(first, F.least(F.lit(last), first + 23)))
-    series = F.transform(numbers, lambda k: _month_address(url, own["form"], F.floor(k / 12).cast("int"), (k % 12 + 1).cast("int")))
-    return F.coalesce(series, F.array().cast("array<string>"))
+
+    def series(own: Column) -> Column:
+        first = own["year"] * 12 + own["month"]  # months since year 0, the next month's number
+        numbers = F.when(first <= last, F.sequence(first, F.least(F.lit(last), first + 23)))
+        return F.transform(numbers, lambda k: _month_address(url, own["form"], F.floor(k / 12).cast("int"), (k % 12 + 1).cast("int")))
+
+    return F.coalesce(_once(_month_of(url), series), F.array().cast("array<string>"))
 
 
 def month_now(url: Column, today: dt.date) -> Column:
     """A calendar page of a month that has passed becomes this month's; other addresses stay."""
-    own = _month_of(url)
-    past = own["year"] * 12 + own["month"] < today.year * 12 + today.month
-    return F.when(past, _month_address(url, own["form"], F.lit(today.year), F.lit(today.month))).otherwise(url)
+
+    def moved(own: Column) -> Column:
+        past = own["year"] * 12 + own["month"] < today.year * 12 + today.month
+        return F.when(past, _month_address(url, own["form"], F.lit(today.year), F.lit(today.month)))
+
+    return F.coalesce(_once(_month_of(url), moved), url)
 
 
 def widen_feed_url(url: Column, today: dt.date, days: int = 365) -> Column:

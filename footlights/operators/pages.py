@@ -110,7 +110,7 @@ def read_ics(files: DataFrame, text: str = "value") -> DataFrame:
 
     def value(name: str) -> Column:
         raw = F.regexp_extract("_b", rf"(?m)^{name}(?:;[^:\n]*)?:([^\n]*)$", 1)
-        return F.replace(F.replace(F.replace(raw, F.lit("\\,"), F.lit(",")), F.lit("\\n"), F.lit(" ")), F.lit("\;"), F.lit(";"))
+        return F.replace(F.replace(F.replace(raw, F.lit("\\,"), F.lit(",")), F.lit("\\n"), F.lit(" ")), F.lit("\\;"), F.lit(";"))
 
     v = F.trim(value("DTSTART"))
     zone = F.regexp_extract("_b", r"(?m)^DTSTART;[^:\n]*TZID=([^;:\n]+)", 1)

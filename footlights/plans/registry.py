@@ -1,6 +1,6 @@
 """All registered queries of the engine, by name."""
 
-from . import queries_core
+from . import queries_core, queries_more
 
-QUERIES = {**queries_core.QUERIES}
-ORACLE = {**queries_core.ORACLE}
+QUERIES = {**queries_core.QUERIES, **queries_more.QUERIES}
+ORACLE = {**queries_core.ORACLE, **queries_more.ORACLE}
