@@ -12,11 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import schema_with, stash, text_or_empty
-from .tokens import encode_chunks
-
-#: Chunks kept by a worker before its table starts anew; bounds its memory.
-_KEPT_CHUNKS = 200_000
-
+from .tokens import chunk_table
 
 def token_pieces(
     docs: DataFrame,
@@ -36,18 +32,15 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, bytes] = {}
+        known = chunk_table(tokenizer_path)
         for pdf in batches:
             out: list[tuple] = []
             for lo in range(0, len(pdf), 500):
                 part = pdf.iloc[lo : lo + 500]
                 texts = [t.encode().split() for t in part["text"]]
-                if len(known) > _KEPT_CHUNKS:
-                    known.clear()
-                new = list(set().union(*texts).difference(known))
-                known.update((c, np.array(ids, "<u4").tobytes()) for c, ids in zip(new, encode_chunks(tokenizer_path, new), strict=True))
+                known.learn(set().union(*texts))
                 for doc, chunks in zip(part["doc_id"], texts, strict=True):
-                    ids = b"".join(map(known.__getitem__, chunks)) + end
+                    ids = b"".join(map(known.chunks.__getitem__, chunks)) + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[at : at + 4 * capacity]
                         out.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))

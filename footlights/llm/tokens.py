@@ -7,11 +7,19 @@ normalisation, contraction rules and special strings apply inside the chunk as t
 
 from __future__ import annotations
 
+import os
+import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +29,7 @@ from .common import text_or_empty
 @lru_cache(maxsize=2)
 def load_tokenizer(path: str):
     """The tokenizer of a ``tokenizers`` file; one a process."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on every core already
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
@@ -34,6 +43,75 @@ def encode_chunks(path: str, chunks: list[bytes]) -> list[list[int]]:
     return [e.ids for e in load_tokenizer(path).encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
 
+@lru_cache(maxsize=2)
+def _ends_word(path: str) -> np.ndarray:
+    """For each id whether it ends a pre-token (this kind of vocabulary marks word ends)."""
+    vocabulary = load_tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    for token, number in vocabulary.items():
+        out[number] = token.endswith("</w>")
+    return out
+
+
+def encode_words(path: str, words: list[bytes], together: int = 1000) -> list[bytes]:
+    """Ids (little-endian, 32 bits) of words that are one pre-token each: many in one call, cut at the marked word ends."""
+    out: list[bytes] = []
+    ends = _ends_word(path)
+    for at in range(0, len(words), together):
+        part = words[at : at + together]
+        ids = np.array(load_tokenizer(path).encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+        cuts = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+        if len(cuts) != len(part):  # a vocabulary without such marks
+            out += [array("I", x).tobytes() for x in encode_chunks(path, part)]
+            continue
+        raw = ids.tobytes()
+        out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+    return out
+
+
+#: Chunks of Latin letters and closing points or commas: the tokenizer splits exactly there, whatever the case.
+_PLAIN_CHUNK = re.compile("([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([.,]*)")
+
+
+class ChunkTable:
+    """Ids of chunks as little-endian unsigned 32-bit numbers, for one worker process.
+
+    Letter words are looked up in lower case and without closing punctuation, so that the library sees each word once
+    and not each spelling of a chunk. Both tables start anew beyond their bound, which limits a worker's memory.
+    """
+
+    def __init__(self, path: str, most_chunks: int = 600_000, most_words: int = 1_200_000) -> None:
+        self.path, self.most_chunks, self.most_words = path, most_chunks, most_words
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+
+    def learn(self, wanted: set[bytes]) -> None:
+        """Make sure that all ``wanted`` chunks are in ``chunks``."""
+        if len(self.chunks) > self.most_chunks:
+            self.chunks.clear()
+        if len(self.words) > self.most_words:
+            self.words.clear()
+        parts: list[tuple[bytes, tuple[bytes, ...]]] = []
+        odd: list[bytes] = []
+        for chunk in wanted.difference(self.chunks):
+            plain = _PLAIN_CHUNK.fullmatch(chunk.decode())
+            if plain:
+                parts.append((chunk, (plain[1].lower().encode(), *([plain[2].encode()] if plain[2] else []))))
+            else:
+                odd.append(chunk)
+        new = list({w for _, ws in parts for w in ws}.difference(self.words))
+        words = self.words
+        words.update(zip(new, encode_words(self.path, new), strict=True))
+        self.chunks.update((chunk, array("I", ids).tobytes()) for chunk, ids in zip(odd, encode_chunks(self.path, odd), strict=True))
+        self.chunks.update((chunk, words[ws[0]] if len(ws) == 1 else words[ws[0]] + words[ws[1]]) for chunk, ws in parts)
+
+
+@lru_cache(maxsize=2)
+def chunk_table(path: str) -> ChunkTable:
+    """The process' table; Python workers are used for many tasks."""
+    return ChunkTable(path)
+
+
 def count_tokens(
     docs: DataFrame,
     tokenizer_path: str,
