@@ -151,6 +151,11 @@ def estimate_tokens(text: Column) -> Column:
     return F.when(F.length(F.coalesce(text, F.lit(""))) == 0, F.lit(0)).otherwise(n).cast("long")
 
 
+def clean_text(raw: Column) -> Column:
+    """Text from bytes that may hold broken characters: what is no UTF-8 becomes the replacement character."""
+    return F.make_valid_utf8(raw.cast("string"))
+
+
 def time_seen(time: Column, text: Column) -> Column:
     """Whether a time HH:MM is written in a text in one of the usual forms (19:30, 19.30, 19h30, 20h, 7:30 pm)."""
     h, m = F.split_part(time, F.lit(":"), F.lit(1)).cast("int"), F.split_part(time, F.lit(":"), F.lit(2))

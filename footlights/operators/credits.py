@@ -76,6 +76,17 @@ def rebuild_credits(lines: DataFrame, people: DataFrame, companies: DataFrame, d
     return parts, built
 
 
+def resolve_credit_parts(decisions: DataFrame, people: DataFrame, lines: DataFrame, companies: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Apply an editor's picks ``(line_id, part, member_id)``: ``(people with new aliases, parts, lines)`` of the touched lines.
+
+    A part that is a full name (two words or more) becomes an alias of the picked person; a null pick leaves the part out."""
+    new = decisions.where(F.col("member_id").isNotNull() & F.col("part").rlike(r"\S\s+\S")).groupBy(F.col("member_id").alias("_m")).agg(F.array_sort(F.collect_set("part")).alias("_new"))
+    named = people.join(new, F.col("id") == F.col("_m"), "left").withColumn("aliases", F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.coalesce("_new", F.array().cast("array<string>")))).drop("_m", "_new")
+    touched = lines.join(decisions.select(F.col("line_id").alias("id")).distinct(), "id", "left_semi")
+    parts, built = rebuild_credits(touched, named, companies, decisions.where("member_id is not null"))
+    return named, parts, built
+
+
 def company_fallback(performances: DataFrame, lines: DataFrame) -> DataFrame:
     """Empty companies filled from the first company of the performance's credit line."""
     l = lines.select(F.col("line_id").cast("string").alias("_l"), F.get("company_ids", F.lit(0)).alias("_c"))  # noqa: E741

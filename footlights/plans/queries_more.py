@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import countries, money, text, times, urls
-from ..operators import credits, duplicates, ledger, pages, readings, schedule, serve
+from ..operators import checks, credits, duplicates, ledger, pages, readings, schedule, serve
 from ..sources import tables
 from ..streaming.streams import stalls
 from . import domain as d
@@ -437,5 +437,16 @@ def q58_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q58 = f"with {SQL} select city, count(*) as n from theaters group by 1 order by n desc, city limit 7"
 
+def q59_data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = d.performances(spark, sf_dir)
+    rows = p.select("id", "title", "company_id", F.when(F.col("id") % 50 != 0, F.col("theater_id")).alias("theater_id"), F.when(F.col("id") % 2 == 0, "North").otherwise("South").alias("city"), F.hour("performance_date").alias("local_hour"), F.array_contains("tags", "Time TBC").alias("time_tbc"), F.date_trunc("day", "performance_date").alias("performance_date"))
+    return checks.data_checks(rows, d.companies(spark, sf_dir))
+
+
+Q59 = f"""with {SQL}, r as (select id, company_id, id % 2 = 0 as north, hour(performance_date) as h, tbc, date_trunc('day', performance_date) as day from performances),
+a as (select company_id, day from r where company_id is not null and not tbc group by all having count(distinct north) > 1)
+select 'odd hour' as "check", id from r where not tbc and h between 1 and 8 union all select 'no venue', id from r where id % 50 = 0
+union all select 'two cities', r.id from r join a on a.company_id = r.company_id and a.day = r.day where not r.tbc"""
+
 QUERIES = {n: f for n, f in sorted(globals().items()) if n[0] == "q" and n[1:3].isdigit()}
 ORACLE = {n: globals()["Q" + n[1:3]] for n in QUERIES if "Q" + n[1:3] in globals()}
