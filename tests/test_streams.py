@@ -4,9 +4,21 @@ import datetime as dt
 import tempfile
 
 
+import pyarrow.parquet as pq
+import pytest
+
 from footlights.streaming import streams
 
 
+@pytest.fixture(autouse=True)
+def one_partition(spark):
+    """State stores are per partition; one is enough here."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def drain(df, mode="append"):
     """Run a stream to its end into memory and return its rows."""
     name = f"t{abs(hash(df)) % 10**9}"
@@ -24,7 +36,7 @@ def files(spark, batches, schema):
     folder = tempfile.mkdtemp()
     for k, rows in enumerate(batches):
         path = f"{folder}/{k}.parquet"
-        spark.createDataFrame(rows, schema).toPandas().to_parquet(path, coerce_timestamps="us", allow_truncated_timestamps=True)
+        pq.write_table(spark.createDataFrame(rows, schema).toArrow(), path, coerce_timestamps="us")
         os.utime(path, (time.time() - 100 + k, time.time() - 100 + k))
     return streams.read_stream(spark, folder, schema)
 
