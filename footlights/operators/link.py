@@ -249,6 +249,29 @@ def publish(staging: DataFrame, performances: DataFrame, theaters: DataFrame, su
     return Published(actions, pick(["insert"]), pick(["insert", "update", "retime"]), staging.join(actions.where("action = 'hold'").select("id", "candidates"), "id"), staging.join(rejects, "id"))
 
 
+def resolve_held(held: DataFrame, verdicts: DataFrame, performances: DataFrame, theaters: DataFrame) -> tuple[DataFrame, Published]:
+    """Settle held rows by verdicts ``(id, call, keep)``: ``(listings on chosen rows, the rest published)``.
+
+    ``same`` with a keep among the row's candidates lists it there; ``different`` publishes it without the fuzzy step;
+    everything else stays held and is in neither result. held: staging columns and ``candidates`` (text ids).
+    """
+    rows = held.join(verdicts.select(F.col("id").alias("_v"), "call", "keep"), F.col("id") == F.col("_v")).drop("_v")
+    same = rows.where((F.col("call") == "same") & F.array_contains("candidates", F.col("keep"))).withColumn("performance_id", F.col("keep"))
+    different = rows.where("call = 'different'").drop("call", "keep", "candidates").withColumn("skip_fuzzy", F.lit(True))
+    return same.drop("call", "keep", "candidates"), publish(different, performances, theaters)
+
+
+def suppressions_from_snapshots(snapshots: DataFrame, performances: DataFrame, as_of: dt.date) -> DataFrame:
+    """Rules for rows that were dropped and are gone: ``(title_slug, local_date, theater_id, source_id, local_time)``.
+
+    snapshots: id, snapshot struct<title, local_date (text), theater_id>; only upcoming ones whose row no longer exists.
+    """
+    gone = snapshots.join(performances.select("id"), "id", "left_anti")
+    day = F.try_to_date("snapshot.local_date")
+    rules = gone.select(slugify(F.col("snapshot.title")).alias("title_slug"), day.alias("local_date"), F.col("snapshot.theater_id").alias("theater_id"), F.lit(None).cast("string").alias("source_id"), F.lit(None).cast("string").alias("local_time"))
+    return rules.where((F.col("local_date") >= F.lit(as_of)) & (F.col("title_slug") != "")).distinct()
+
+
 def action_counts(actions: DataFrame) -> DataFrame:
     return actions.groupBy("action").agg(F.count("*").alias("n"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_digits
+from ..functions.times import announcement_days, recheck_days
 
 
 def due_queue(sources: DataFrame, as_of: dt.datetime, statuses: tuple[str, ...] = ("ok", "todo", "partial"), priority: int | None = None, name: str | None = None, limit: int | None = None) -> DataFrame:
@@ -226,6 +227,23 @@ def save_notes(notes: Column, summary: Column, marker: str = "last run:") -> Col
     return F.concat(F.when(head == "", "").otherwise(F.concat(head, F.lit(" "))), F.lit(f"|| {marker} "), summary)
 
 
+def save_source(sources: DataFrame, results: DataFrame, as_of: dt.date, most_pages: int = 6) -> DataFrame:
+    """Sources after a run: next check, status, notes and learned start pages.
+
+    sources: id, priority, kind, notes, extra_schedule_urls; results: source_id, found, status, opens_soon, announced (date),
+    summary, start_pages. Sources without a result stay.
+    """
+    r = results.select(F.col("source_id").alias("_s"), "found", F.col("status").alias("_status"), "opens_soon", "announced", "summary", "start_pages")
+    rows = sources.join(r, F.col("id") == F.col("_s"), "left")
+    days = recheck_days(F.col("priority"), F.col("kind"), F.col("found"), F.col("opens_soon"))
+    days = announcement_days(days, F.col("found"), F.col("announced"), as_of, F.col("kind") == "Festival")
+    pages = F.slice(F.array_distinct(F.concat(F.coalesce("extra_schedule_urls", F.array().cast("array<string>")), F.coalesce("start_pages", F.array().cast("array<string>")))), 1, most_pages)
+    hit = F.col("_s").isNotNull()
+    new = {"notes": F.when(hit, save_notes(F.col("notes"), F.col("summary"))).otherwise(F.col("notes")), "extra_schedule_urls": F.when(hit, pages).otherwise(F.col("extra_schedule_urls"))}
+    kept = [new[c].alias(c) if c in new else F.col(c) for c in sources.columns]
+    return rows.select(*kept, F.when(hit, F.date_add(F.lit(as_of), days.cast("int"))).alias("next_check"), F.col("_status").alias("run_status"))
+
+
 def announcements(rows: DataFrame) -> DataFrame:
     """Distinct announcements of each source, the earliest marked: ``(source_id, date, what, is_next)``."""
     distinct = rows.where("date is not null").dropDuplicates(["source_id", "date", "what"]).select("source_id", "date", "what")

@@ -157,3 +157,12 @@ def test_tables_and_groups_edges(spark):
     text = "BEGIN:VEVENT\r\nSUMMARY:One\\, two\r\nDTSTART:20261001T173000Z\r\nLOCATION:Long\r\n  Hall\r\nEND:VEVENT\r\nBEGIN:VEVENT\r\nSUMMARY:No date\r\nEND:VEVENT\r\n"
     ics = pages.read_ics(spark.createDataFrame([(text,)], "value string"))
     assert out(ics, "name", "start", "location") == [("One, two", "2026-10-01T17:30:00+00:00", "Long Hall")]
+
+
+def test_save_source_and_snapshots(spark):
+    src = spark.createDataFrame([(1, 0, "Opera", "n || last run: old", ["a"]), (2, 1, "Festival", None, None)], "id int, priority int, kind string, notes string, extra_schedule_urls array<string>")
+    res = spark.createDataFrame([(1, 5, "ok", True, None, "5 shows", ["b", "a"])], "source_id int, found int, status string, opens_soon boolean, announced date, summary string, start_pages array<string>")
+    got = schedule.save_source(src, res, DAY).orderBy("id").collect()
+    assert (got[0].notes, got[0].extra_schedule_urls, got[0].next_check) == ("n || last run: 5 shows", ["a", "b"], dt.date(2026, 10, 1)) and got[1].next_check is None
+    snap = spark.createDataFrame([(1, ("Swan Lake", "2026-10-01", "t")), (2, ("Old", "2020-01-01", "t")), (3, ("Here", "2026-10-01", "t"))], "id int, snapshot struct<title string, local_date string, theater_id string>")
+    assert out(link.suppressions_from_snapshots(snap, spark.createDataFrame([(3,)], "id int"), DAY), "title_slug", "theater_id") == [("swan-lake", "t")]
