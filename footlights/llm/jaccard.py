@@ -163,7 +163,10 @@ def near_duplicates(
     key = lambda b: F.xxhash64(F.lit(b), F.substring("signature", b * 4 * ROWS + 1, 4 * ROWS))
     bands = banded.select(F.col("doc_id").alias("node"), F.explode(F.array(*[key(b) for b in range(BANDS)])).alias("band"))
     buckets = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("band", "least")
-    groups = components(bands.join(buckets, "band").where("node <> least").select("node", "least").distinct(), "node", "least", "group")
+    # a node's buckets are tied through the least of their least nodes: an edge a node and a few between those
+    ties = bands.join(buckets, "band").groupBy("node").agg(F.min("least").alias("low"), F.collect_set("least").alias("leasts"))
+    edges = ties.select("node", "low").unionByName(ties.select(F.explode("leasts").alias("node"), "low")).distinct()
+    groups = components(edges, "node", "low", "group")
     groups = stash(groups, "groups")
     sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
     placed = groups.join(sizes, "group").select("node", "group", F.ceil(F.col("n") / block).cast("int").alias("k"))
