@@ -112,6 +112,146 @@ def chunk_table(path: str) -> ChunkTable:
     return ChunkTable(path)
 
 
+def pre_tokens(chunk: bytes) -> tuple[str, ...]:
+    """A chunk as the pieces that are counted: a plain word in lower case and its points, or the chunk itself."""
+    text = chunk.decode()
+    plain = _PLAIN_CHUNK.fullmatch(text)
+    if not plain:
+        return (text,)
+    return (plain[1].lower(), plain[2]) if plain[2] else (plain[1].lower(),)
+
+
+#: A block ends with so many documents (places have 16 bits) or pairs of word and document.
+_BLOCK_DOCS, _BLOCK_PAIRS = 32_000, 5_000_000
+
+
+def _text_groups(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[tuple[pa.Array, list[list[bytes]], np.ndarray]]:
+    """Documents in groups of about ``most_bytes``: ids, chunks of each text, bytes of each text."""
+    for batch in batches:
+        size = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at = np.cumsum(size), 0
+        while at < batch.num_rows:
+            n = min(10_000, max(1, int(np.searchsorted(ends[at:], (ends[at - 1] if at else 0) + most_bytes, "right"))))
+            part = batch.slice(at, n)
+            yield part["doc_id"], [t.encode().split() for t in part["text"].to_pylist()], size[at : at + n]
+            at += n
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: set[str] = set()
+    for _, texts, _ in _text_groups(batches):
+        found.update(t for c in set().union(*texts) for t in pre_tokens(c))
+        if len(found) > 500_000:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["token"])
+            found.clear()
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["token"])
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of ``values`` between consecutive ``ends`` (counts of values, from 0)."""
+    offsets = (ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a binary column, and how many each row has."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block of documents, a row for each pre-token: the places of its documents, and how often they have it.
+
+    Places are 16-bit numbers and counts 32-bit numbers, as binary; no counts where all are 1. The block's documents
+    follow on a row of their own (no pre-token begins with a space).
+    """
+    names = ["block", "token", "places", "times", "docs"]
+    number = TaskContext.get().partitionId() << 32
+    words: dict[str, int] = {}
+    pairs: list[np.ndarray] = []
+    times: list[np.ndarray] = []
+    docs: list[tuple] = []
+    doc_type = None
+
+    def block() -> Iterator[pa.RecordBatch]:
+        key, n = np.concatenate(pairs), np.concatenate(times)
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        ends = np.searchsorted(key >> 16, np.arange(len(words) + 1))
+        many = np.add.reduceat(np.r_[n > 1, False], ends[:-1]) > 0 if len(words) else np.zeros(0, bool)
+        shown = np.repeat(many, np.diff(ends))
+        columns = [pa.array(np.full(len(words), number), pa.int64()), pa.array(list(words), pa.string()), _binary((key & 0xFFFF).astype("<u2"), ends), _binary(n[shown].astype("<u4"), np.r_[0, np.cumsum(np.diff(ends) * many)]), pa.nulls(len(words), doc_type)]
+        yield pa.RecordBatch.from_arrays(columns, names)
+        last = pa.array([[{"id": i, "size": s} for i, s in docs]], doc_type)
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([f" {number}"], pa.string()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), last], names)
+
+    for ids, texts, sizes in _text_groups(batches):
+        doc_type = pa.list_(pa.struct([("id", ids.type), ("size", pa.int64())]))
+        chunks = list(set().union(*texts))
+        code = dict(zip(chunks, range(len(chunks)), strict=True))
+        used = np.fromiter(map(code.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        owner = np.repeat(np.arange(len(docs), len(docs) + len(texts)), [len(t) for t in texts])
+        first, second = np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64)
+        for k, chunk in enumerate(chunks):
+            tokens = pre_tokens(chunk)
+            first[k] = words.setdefault(tokens[0], len(words))
+            if len(tokens) > 1:
+                second[k] = words.setdefault(tokens[1], len(words))
+        more = second[used]
+        found, n = np.unique(np.concatenate([(first[used] << 16) + owner, ((more << 16) + owner)[more >= 0]]), return_counts=True)
+        pairs.append(found)
+        times.append(n)
+        docs += zip(ids.to_pylist(), sizes.tolist(), strict=True)
+        if len(docs) > _BLOCK_DOCS or sum(map(len, pairs)) > _BLOCK_PAIRS:
+            yield from block()
+            number += 1
+            words, pairs, times, docs = {}, [], [], []
+    if docs:
+        yield from block()
+
+
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block, the pieces that this partition's pre-tokens add to each place; rows with documents pass through."""
+    held: dict[int, np.ndarray] = {}
+    doc_type = None
+
+    def row(block: int, places: np.ndarray, sums: np.ndarray, docs: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([places.astype("<u2").tobytes()], pa.binary()), pa.array([sums.astype("<i8").tobytes()], pa.binary()), docs], ["block", "places", "sums", "docs"])
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        for block, sums in held.items():
+            places = np.flatnonzero(sums)
+            yield row(block, places, sums[places], pa.nulls(1, doc_type))
+        held.clear()
+
+    for batch in batches:
+        doc_type = batch["docs"].type
+        for k in np.flatnonzero(batch["docs"].is_valid().to_numpy(zero_copy_only=False)).tolist():
+            yield row(batch["block"][k].as_py(), np.zeros(0), np.zeros(0), batch["docs"].slice(k, 1))
+        places, counts = _numbers(batch["places"], "<u2")
+        listed, n_listed = _numbers(batch["times"], "<u4")
+        times = np.ones(len(places), np.int64)
+        times[np.repeat(n_listed > 0, counts)] = listed
+        block = np.repeat(batch["block"].to_numpy(), counts)
+        pieces = times * np.repeat(batch["n_pieces"].to_numpy().astype(np.int64), counts)
+        order = np.argsort(block, kind="stable")
+        block, places, pieces = block[order], places[order], pieces[order]
+        cuts = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)] if len(block) else np.zeros(1, int)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            sums = np.bincount(places[a:b], pieces[a:b]).astype(np.int64)
+            if (old := held.get(block[a])) is not None:
+                long, short = sorted((old, sums), key=len, reverse=True)
+                long[: len(short)] += short
+                sums = long
+            held[int(block[a])] = sums
+        if len(held) > 256:  # bounds the memory; the rest is summed after the shuffle
+            yield from flushed()
+    if doc_type is not None:
+        yield from flushed()
+
+
 def count_tokens(
     docs: DataFrame,
     tokenizer_path: str,
@@ -121,45 +261,34 @@ def count_tokens(
 ) -> DataFrame:
     """Tokens of every text: ``(doc_id, n_bytes, n_tokens, over_limit)``.
 
-    1. Distinct pre-tokens of the corpus (a set for each batch, then ``distinct``), pieces counted once for each.
-    2. Frequencies: a row for each pre-token and batch of documents with the documents' ids and counts, so that a
-       frequent pre-token is a row a batch and not a row a document.
-    3. Join on the pre-token, explode, sum by document. Ids are never kept.
+    1. Distinct pre-tokens of the corpus (a set for each block of documents, then ``distinct``); the library is asked
+       once for the pieces of each.
+    2. Frequencies: a row for each pre-token and block with the places of its documents and their counts, so that a
+       frequent pre-token is a row a block and not a row a document.
+    3. Join on the pre-token; pieces times counts are summed by block and place. Ids are never kept.
 
-    A frequent pre-token's rows are a part for each batch; adaptive execution splits them in the join. Null and empty
-    texts: 0 tokens. Rows that share a ``doc_id`` (or a null one) are one document and add up. Extra columns are ignored.
+    A frequent pre-token's rows are one for each block; adaptive execution splits them in the join. ``docs`` should be
+    a table (or a stashed frame): a recomputed partition must hold the same rows in the same order.
+    Null and empty texts: 0 tokens. Every row gives a row, ids may repeat or be null. Extra columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
-    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found: set[bytes] = set()
-            for text in pdf["text"]:
-                found.update(text.encode().split())
-            yield pd.DataFrame({"token": [c.decode() for c in found]})
-
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(n_pieces=[len(ids) for ids in encode_chunks(tokenizer_path, [t.encode() for t in pdf["token"]])])
-
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            where: dict[bytes, list] = defaultdict(list)
-            times: dict[bytes, list[int]] = defaultdict(list)
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                counts: dict[bytes, int] = defaultdict(int)
-                for chunk in text.encode().split():
-                    counts[chunk] += 1
-                for chunk, n in counts.items():
-                    where[chunk].append(doc)
-                    times[chunk].append(n)
-            yield pd.DataFrame({"token": [c.decode() for c in where], "docs": list(where.values()), "times": list(times.values())})
-
-    counted = rows.select("text").mapInPandas(distinct, "token string").distinct().mapInPandas(pieces, "token string, n_pieces int")
-    frequent = rows.where("doc_id is not null").mapInPandas(frequencies, f"token string, docs array<{id_type}>, times array<int>")
-    parts = frequent.join(counted, "token").select("n_pieces", F.explode(F.arrays_zip("docs", "times")).alias("x"))
-    sums = parts.select(F.col("x.docs").alias("doc_id"), (F.col("x.times") * F.col("n_pieces")).cast("long").alias("n"), F.lit(0).cast("long").alias("b"))
-    own = rows.select("doc_id", F.lit(0).cast("long").alias("n"), F.octet_length("text").cast("long").alias("b"))
-    total = sums.unionByName(own).groupBy("doc_id").agg(F.sum("b").alias("n_bytes"), F.sum("n").alias("n_tokens"))
-    return total.withColumn("over_limit", F.col("n_tokens") > limit)
+    @F.pandas_udf("int")  # a column function keeps the pre-tokens where ``distinct`` has dealt them: no shuffle before the join
+    def pieces(token: pd.Series) -> pd.Series:
+        return pd.Series([len(ids) for ids in encode_chunks(tokenizer_path, [t.encode() for t in token])], dtype="int32")
+
+    counted = rows.mapInArrow(_distinct, "token string").distinct().select("token", pieces("token").alias("n_pieces"))
+    doc_type = f"array<struct<id:{id_type},size:bigint>>"
+    blocks = rows.mapInArrow(_frequencies, f"block long, token string, places binary, times binary, docs {doc_type}")
+    joined = blocks.join(counted, "token", "left").select("block", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), "places", "times", "docs")
+    added = joined.mapInArrow(_partial_sums, f"block long, places binary, sums binary, docs {doc_type}")
+
+    def total(table: pa.Table) -> pa.Table:
+        docs = table["docs"].combine_chunks().flatten()
+        places, _ = _numbers(table["places"].combine_chunks(), "<u2")
+        sums, _ = _numbers(table["sums"].combine_chunks(), "<i8")
+        n = np.bincount(places, sums, len(docs)).astype(np.int64)
+        return pa.table({"doc_id": docs.field("id"), "n_bytes": docs.field("size"), "n_tokens": n, "over_limit": n > limit})
+
+    return added.groupBy("block").applyInArrow(total, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
