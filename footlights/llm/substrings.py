@@ -2,8 +2,8 @@
 
 Every string of ``length`` bytes has an anchor: of its 16-byte grams, the first with the least hash. Equal strings have
 equal anchors at equal places, so the strings that share an anchor can be sorted apart from all others. Neighbouring
-strings with one anchor form a span; only spans whose anchor occurs more than once go to the suffix arrays, equal spans
-once with a count, dealt by anchor into shards of bounded size.
+strings with one anchor form a span. Equal spans are collapsed to one with a count; where different spans share an
+anchor, they go to the suffix arrays, dealt by anchor into shards of bounded size.
 """
 
 from __future__ import annotations
@@ -154,7 +154,8 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = F.min(F.struct("doc_id", "version", "start", "n_starts")).alias("source")
     distinct = stash(near.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), source), "distinct")
     crowd = distinct.groupBy("anchor").agg(F.count("*").cast("int").alias("spans"))
-    chosen = distinct.join(crowd, "anchor").select("source.doc_id", "source.version", F.struct("anchor", "digest", "source.start", "source.n_starts", "spans").alias("s"))
+    # an anchor with one distinct span is settled by that span's count; the others are ordered by suffix arrays
+    chosen = distinct.join(crowd.where("spans > 1"), "anchor").select("source.doc_id", "source.version", F.struct("anchor", "digest", "source.start", "source.n_starts", "spans").alias("s"))
     by_doc = stash(chosen.groupBy("doc_id", "version").agg(F.collect_list("s").alias("wanted")), "wanted")
     n_docs, n_bytes = by_doc.agg(F.count("*"), F.sum(F.aggregate("wanted", F.lit(0).cast("long"), lambda a, s: a + s["n_starts"] + length))).first()
     keys = bounded_or_shuffled(by_doc.select("doc_id", "version"), n_docs, BROADCAST_DOCS)

@@ -114,7 +114,7 @@ def _doubled(text: np.ndarray) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[:-width] = rank[width:] + 1
         key = rank * (n + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.r_[0, (key[order[1:]] != key[order[:-1]]).cumsum()]
         rank = np.empty(n, np.int64)
         rank[order] = fresh
