@@ -3,7 +3,8 @@
 Every string of ``length`` bytes has an anchor: of its 16-byte grams, the first with the least hash. Equal strings have
 equal anchors at equal places, so the strings that share an anchor can be sorted apart from all others. Neighbouring
 strings with one anchor form a span. Equal spans are collapsed to one with a count; where different spans share an
-anchor, they go to the suffix arrays, dealt by anchor into shards of bounded size.
+anchor, they go to the suffix arrays, dealt by anchor into shards of bounded size. Spans with a hot anchor are
+cut into slices, equal slices collapsed with a count; slices with a hot route are counted string by string.
 """
 
 from __future__ import annotations
@@ -111,10 +112,11 @@ def _spans(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _cut(wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of the wanted spans: ``(route, anchor, digest, at, span)``; spans with a hot anchor in slices of starts.
+    """Bytes of the wanted spans: ``(route, anchor, digest, at, slice, span)``; spans with a hot anchor in slices of starts.
 
     All strings of a slice share the bytes between its last start and its first string's end, which is its route: slices
-    that hold an equal string have an equal route, as whole spans have by their anchor.
+    that hold an equal string have an equal route, as whole spans have by their anchor. ``slice`` is a digest of a
+    slice's bytes; a whole span has none.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +128,7 @@ def _cut(wanted: DataFrame, length: int) -> DataFrame:
                     for s in row.wanted:
                         span = raw[s["start"] : s["start"] + s["n_starts"] + length - 1]
                         if s["spans"] <= HOT_SPANS:
-                            out.append((s["anchor"], s["anchor"], s["digest"], 0, span))
+                            out.append((s["anchor"], s["anchor"], s["digest"], 0, None, span))
                             continue
                         hashes = _gram_hashes(np.frombuffer(span, np.uint8)).view(np.int64)
                         place = int(np.flatnonzero(hashes == s["anchor"])[0])  # the anchor within the span
@@ -135,10 +137,55 @@ def _cut(wanted: DataFrame, length: int) -> DataFrame:
                             if first <= last:
                                 shared = span[place - SLICE * block : place - SLICE * block - SLICE + 1 + length]
                                 route = int.from_bytes(hashlib.blake2b(shared + bytes([block & 255]), digest_size=8).digest(), "little", signed=True)
-                                out.append((route, s["anchor"], s["digest"], first, span[first : last + length]))
-                yield pd.DataFrame(out, columns=["route", "anchor", "digest", "at", "span"])
+                                part = span[first : last + length]
+                                out.append((route, s["anchor"], s["digest"], first, hashlib.blake2b(part, digest_size=16).digest(), part))
+                yield pd.DataFrame(out, columns=["route", "anchor", "digest", "at", "slice", "span"])
 
-    return wanted.mapInPandas(run, "route long, anchor long, digest binary, at int, span binary")
+    return wanted.mapInPandas(run, "route long, anchor long, digest binary, at int, slice binary, span binary")
+
+
+def _sorted_marks(dealt: DataFrame, n_bytes: int, length: int) -> DataFrame:
+    """Repeated ranges ``(anchor, digest, from, to)`` of ``(route, anchor, digest, at, span)``, by suffix arrays of about ``SHARD_BYTES``."""
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["anchor", "digest", "at"], kind="stable")
+        out: list[tuple] = []
+        for anchor, digest, at, hits in zip(pdf["anchor"], pdf["digest"], pdf["at"], repeated_starts(list(pdf["span"]), length), strict=True):
+            edges = np.flatnonzero(np.diff(np.r_[0, hits.astype(np.int8), 0])).tolist()
+            out += [(anchor, digest, at + a, at + b - 1 + length) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        return pd.DataFrame(out, columns=["anchor", "digest", "from", "to"])
+
+    shards = max(1, -(-n_bytes // SHARD_BYTES))
+    shard = F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")
+    return dealt.select(shard, "anchor", "digest", "at", "span").groupBy("shard").applyInPandas(mark, "anchor long, digest binary, from int, to int")
+
+
+def _hot_marks(sliced: DataFrame, length: int) -> DataFrame:
+    """Repeated ranges ``(anchor, digest, from, to)`` of the slices of spans with a hot anchor.
+
+    Equal slices are one with a count. A slice that occurs twice is repeated with all its starts. Routes with several
+    slices go to the suffix arrays; where they are more than ``HOT_SPANS``, each string of the slices is counted by its
+    digest, so that no task takes a whole route.
+    """
+    slices = stash(sliced, "slices")
+    key = ["route", "slice"]
+    distinct = stash(slices.groupBy(*key).agg(F.count("*").alias("copies"), F.first("span").alias("span")), "distinct-slices")
+    routes = stash(distinct.groupBy("route").agg(F.count("*").alias("n")).where("n > 1"), "routes")
+    several = distinct.join(routes, "route")
+    few = several.where(F.col("n") <= HOT_SPANS)
+    n_bytes = few.agg(F.sum(F.octet_length("span"))).first()[0]
+    by_order = _sorted_marks(few.select("route", F.col("route").alias("anchor"), F.col("slice").alias("digest"), F.lit(0).alias("at"), "span"), int(n_bytes or 0), length)
+    starts = F.sequence(F.lit(0), F.octet_length("span") - length)
+    single = several.where(F.col("n") > HOT_SPANS).select(*key, "span", F.explode(starts).alias("from"))
+    strings = stash(single.select(*key, "from", F.unhex(F.sha2(F.expr(f"substring(span, `from` + 1, {length})"), 256)).alias("string")), "strings")
+    twice = stash(strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"), "twice")
+    by_count = strings.join(twice, "string").select(*key, "from", (F.col("from") + length).alias("to"))
+    whole = distinct.where("copies > 1").select(*key, F.lit(0).alias("from"), F.octet_length("span").alias("to"))
+    marks = by_order.withColumnsRenamed({"anchor": "route", "digest": "slice"}).unionByName(by_count).unionByName(whole)
+    # one row a slice: a slice has at most SLICE starts
+    marks = stash(marks.groupBy(*key).agg(F.collect_set(F.struct("from", "to")).alias("marks")), "slice-marks")
+    hit = slices.select("anchor", "digest", "at", *key).join(marks, key).select("anchor", "digest", "at", F.explode("marks").alias("m"))
+    return hit.select("anchor", "digest", (F.col("at") + F.col("m.from")).alias("from"), (F.col("at") + F.col("m.to")).alias("to"))
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
@@ -149,30 +196,24 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = _versions(docs, id_col, text_col)
     spans = stash(_spans(rows.where(F.octet_length("text") >= length), length), "spans")
-    often = spans.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written first: a join of two plain reads can be split where one anchor is hot, a join with an aggregation cannot
+    often = stash(spans.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
     near = stash(spans.join(often, "anchor"), "near")
     source = F.min(F.struct("doc_id", "version", "start", "n_starts")).alias("source")
     distinct = stash(near.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), source), "distinct")
-    crowd = distinct.groupBy("anchor").agg(F.count("*").cast("int").alias("spans"))
+    crowd = stash(distinct.groupBy("anchor").agg(F.count("*").cast("int").alias("spans")).where("spans > 1"), "crowd")
     # an anchor with one distinct span is settled by that span's count; the others are ordered by suffix arrays
-    chosen = distinct.join(crowd.where("spans > 1"), "anchor").select("source.doc_id", "source.version", F.struct("anchor", "digest", "source.start", "source.n_starts", "spans").alias("s"))
+    chosen = distinct.join(crowd, "anchor").select("source.doc_id", "source.version", F.struct("anchor", "digest", "source.start", "source.n_starts", "spans").alias("s"))
     by_doc = stash(chosen.groupBy("doc_id", "version").agg(F.collect_list("s").alias("wanted")), "wanted")
-    n_docs, n_bytes = by_doc.agg(F.count("*"), F.sum(F.aggregate("wanted", F.lit(0).cast("long"), lambda a, s: a + s["n_starts"] + length))).first()
+    hot = F.exists("wanted", lambda s: s["spans"] > HOT_SPANS)
+    few_bytes = F.aggregate("wanted", F.lit(0).cast("long"), lambda a, s: a + F.when(s["spans"] <= HOT_SPANS, s["n_starts"] + length).otherwise(0))
+    n_docs, n_bytes, n_hot = by_doc.agg(F.count("*"), F.sum(few_bytes), F.count(F.when(hot, 1))).first()
     keys = bounded_or_shuffled(by_doc.select("doc_id", "version"), n_docs, BROADCAST_DOCS)
     texts = _join_docs(rows, keys, "left_semi").dropDuplicates(["doc_id", "version"])
-    cut = _cut(_join_docs(texts, by_doc, "inner"), length)
-    shards = max(1, -(-int(n_bytes or 0) // SHARD_BYTES))
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["anchor", "digest", "at"], kind="stable")
-        out: list[tuple] = []
-        for anchor, digest, at, hits in zip(pdf["anchor"], pdf["digest"], pdf["at"], repeated_starts(list(pdf["span"]), length), strict=True):
-            edges = np.flatnonzero(np.diff(np.r_[0, hits.astype(np.int8), 0])).tolist()
-            out += [(anchor, digest, at + a, at + b - 1 + length) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-        return pd.DataFrame(out, columns=["anchor", "digest", "from", "to"])
-
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-    found = dealt.groupBy("shard").applyInPandas(mark, "anchor long, digest binary, from int, to int")
+    found = _sorted_marks(_cut(_join_docs(texts, by_doc.withColumn("wanted", F.filter("wanted", lambda s: s["spans"] <= HOT_SPANS)), "inner"), length), int(n_bytes or 0), length)
+    if n_hot:
+        held = by_doc.where(hot).withColumn("wanted", F.filter("wanted", lambda s: s["spans"] > HOT_SPANS))
+        found = found.unionByName(_hot_marks(_cut(_join_docs(texts, held, "inner"), length), length))
     # a span that occurs twice is repeated with all its starts
     whole = distinct.where("copies > 1").select("anchor", "digest", F.lit(0).alias("from"), (F.col("source.n_starts") + length - 1).alias("to"))
     marked = stash(found.unionByName(whole), "marked")

@@ -177,6 +177,22 @@ def test_repeats_against_brute_force(spark, monkeypatch, hot):
     assert substrings.remove_repeats(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [8, 30])
+def test_hot_passage_is_not_sorted_by_one_task(spark, monkeypatch, hot):
+    shared = prose(21, 80)
+    texts = [prose(100 + i, 30) + shared + prose(200 + i, 30) for i in range(40)] + [prose(300, 30) + shared[30:400] + prose(301, 30)]
+    most = 4 * hot
+
+    def bounded(spans, length, of=suffixes.repeated_starts):
+        assert len(spans) <= most, f"{len(spans)} spans in one task"
+        return of(spans, length)
+
+    monkeypatch.setattr(substrings, "HOT_SPANS", hot)
+    monkeypatch.setattr(substrings, "repeated_starts", bounded)
+    got = {r.doc_id: bytes(r.kept) for r in substrings.remove_repeats(docs(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_repeats([t.encode() for t in texts], 200)))
+
+
 def test_pii(spark):
     card = "4532015112830366"
     texts = [f"mail a.b@c.de or x@y at 10.0.0.1 and 300.1.1.1 call +1 (269) 555-3296 {card}", f"pay {card} {card} now", "é +44 20 7946 0958 é", None, "", "1 " * 4000, "x" * 20000 + "@", "a@b.c%d@e.f"]
