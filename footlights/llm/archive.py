@@ -39,16 +39,15 @@ def write_archive(
     with equal payloads of at least ``min_revisit_bytes``, that with the largest id is a response and the others are
     revisits that refer to it; all others are responses. Equality is by SHA-256 together with SHA-1 and length.
 
-    A null payload is empty bytes, a null url an empty target. Ids identify pages: rows that share an id and a payload
-    are one record; with an id and different payloads they are a record each. A null id sorts first and is never a
-    target unless all are null. Extra columns are ignored.
+    A null payload is empty bytes, a null url an empty target. Rows that share an id are a record each, with an equal
+    payload too. A null id sorts first and is never a target unless all are null. Extra columns are ignored.
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"))
     keyed = rows.select("page_id", "url", F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
     key = ["sha256", "sha1", "n_bytes"]
     keepers = keyed.groupBy(*key).agg(F.max("page_id").alias("keeper"))
-    records = keyed.dropDuplicates(["page_id", *key]).join(keepers, key)
+    records = keyed.join(keepers, key)
     revisit = (F.col("n_bytes") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     stored = F.when(revisit, F.lit(0)).otherwise(F.col("n_bytes"))
     fields = [

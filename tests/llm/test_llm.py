@@ -133,6 +133,16 @@ def test_archive_round_trip(spark):
     assert bytes(got[3].record).startswith(b"WARC/1.1\r\nWARC-Type: response") and bytes(got[3].record).endswith(b"\r\n\r\nx\r\n\r\n")
 
 
+def test_archive_keeps_every_row(spark):
+    rows = [(1, "http://a/", "x"), (1, "http://b/", "x"), (1, "http://b/", "x"), (None, "http://c/", None), (None, "http://d/", None), (2, "http://e/", "x")]
+    path = archive.new_archive_path(spark)
+    archive.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    got = archive.read_archive(spark, path).collect()
+    targets = sorted(bytes(r.header).decode().split("WARC-Target-URI: ")[1].split("\r\n")[0] for r in got)
+    assert targets == sorted(r[1] for r in rows) and all(r.verified for r in got)
+    assert spark.read.parquet(f"{path}/payloads").count() == 2
+
+
 def test_urls(spark):
     given = [None, "no scheme", "http://A.Example.COM/en/71", "https://example.net/de/8", "https://x.org/es/?q", "http://spam-farm.example.org/x", "http://ok.io/casino/1", "http://ok.io/casinos/1", "http://h?x#y", "http://ok.io/help/unsubscribe/"]
     df = spark.createDataFrame([(i, u, "z") for i, u in enumerate(given)] + [(99, given[5], "z")], "page_id long, url string, verdict string")
