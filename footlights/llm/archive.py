@@ -73,19 +73,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Read an archive: ``(page_id, header, record_type, refers_to, payload_digest, payload_bytes, payload, verified, record)``.
 
     ``record`` is the rebuilt record (header, stored block, two line ends): a revisit has an empty block, while its
-    ``payload`` is that of the record it refers to. ``payload_digest`` and ``payload_bytes`` are computed from the
-    stored bytes and ``verified`` tells whether they and the SHA-256 agree with what header and store state; a record
-    whose payload is missing is returned unverified.
-    Columns that are not selected are not read: digests alone need no payload in the join.
+    ``payload`` is that of the record it refers to. ``payload_digest`` and ``payload_bytes`` are computed from the block
+    of the rebuilt record, of a revisit from the joined payload; ``verified`` tells whether they, the SHA-256 and the
+    block's length agree with what header and store state. A record whose payload is missing is returned unverified.
     """
     stored = spark.read.parquet(f"{path}/payloads")
-    payloads = stored.select(
-        "sha256",
-        F.sha1("payload").alias("payload_digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        (F.sha2("payload", 256) == F.col("sha256")).alias("sound"),
-        "payload",
-    )
+    payloads = stored.select("sha256", "payload")
     text = F.col("header").cast("string")
     field = lambda name: F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)", 1)
     headers = spark.read.parquet(f"{path}/headers").select(
@@ -96,19 +89,26 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.expr("nullif(regexp_extract(cast(header as string), '\\r\\nX-Refers-To-Page: ([^\\r\\n]*)', 1), '')").alias("refers_to"),
         field("WARC-Payload-Digest").alias("stated"),
         field("X-Payload-Length").cast("long").alias("stated_bytes"),
+        field("Content-Length").cast("long").alias("stated_block"),
     )
     page_type = headers.schema["page_id"].dataType
-    block = F.when(F.col("record_type") == "revisit", F.lit(b"").cast("binary")).otherwise(F.col("payload"))
-    return headers.join(payloads, "sha256", "left").select(
+    revisit = F.col("record_type") == "revisit"
+    block = F.when(revisit, F.lit(b"").cast("binary")).otherwise(F.col("payload"))
+    rebuilt = headers.join(payloads, "sha256", "left").withColumn("record", F.concat(F.col("header"), block, F.lit(b"\r\n\r\n").cast("binary")))
+    held = F.expr("substring(record, octet_length(header) + 1, octet_length(record) - octet_length(header) - 4)")
+    found = rebuilt.withColumn("block", held).withColumn("content", F.when(revisit, F.col("payload")).otherwise(F.col("block")))
+    digest, n_bytes = F.sha1("content"), F.octet_length("content").cast("long")
+    sound = (F.sha2("content", 256) == F.col("sha256")) & (F.octet_length("block") == F.col("stated_block"))
+    return found.select(
         "page_id",
         "header",
         "record_type",
         F.col("refers_to").cast(page_type).alias("refers_to"),
-        "payload_digest",
-        "payload_bytes",
+        digest.alias("payload_digest"),
+        n_bytes.alias("payload_bytes"),
         "payload",
-        F.coalesce(F.col("sound") & (F.concat(F.lit("sha1:"), F.col("payload_digest")) == F.col("stated")) & (F.col("payload_bytes") == F.col("stated_bytes")), F.lit(False)).alias("verified"),
-        F.concat(F.col("header"), block, F.lit(b"\r\n\r\n").cast("binary")).alias("record"),
+        F.coalesce(sound & (F.concat(F.lit("sha1:"), digest) == F.col("stated")) & (n_bytes == F.col("stated_bytes")), F.lit(False)).alias("verified"),
+        "record",
     )
 
 

@@ -143,6 +143,18 @@ def test_archive_keeps_every_row(spark):
     assert spark.read.parquet(f"{path}/payloads").count() == 2
 
 
+def test_archive_verifies_the_rebuilt_record(spark):
+    rows = [(1, "http://a/", "é" * 600), (2, "http://b/", "é" * 600), (3, "http://c/", "x")]
+    path = archive.new_archive_path(spark)
+    archive.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    wrong = F.regexp_replace(F.col("header").cast("string"), "\r\nContent-Length: (\\d+)", "\r\nContent-Length: 7$1").cast("binary")
+    spark.read.parquet(f"{path}/headers").withColumn("header", F.when(F.col("page_id") == 2, F.col("header")).otherwise(wrong)).write.parquet(f"{path}-wrong/headers")
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{path}-wrong/payloads")
+    digests = ("page_id", "payload_bytes", "payload_digest", "verified")
+    assert all(r.verified for r in archive.read_archive(spark, path).select(*digests).collect())
+    assert {r.page_id: r.verified for r in archive.read_archive(spark, f"{path}-wrong").select(*digests).collect()} == {1: False, 2: True, 3: False}
+
+
 def test_urls(spark):
     given = [None, "no scheme", "http://A.Example.COM/en/71", "https://example.net/de/8", "https://x.org/es/?q", "http://spam-farm.example.org/x", "http://ok.io/casino/1", "http://ok.io/casinos/1", "http://h?x#y", "http://ok.io/help/unsubscribe/"]
     df = spark.createDataFrame([(i, u, "z") for i, u in enumerate(given)] + [(99, given[5], "z")], "page_id long, url string, verdict string")
