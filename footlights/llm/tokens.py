@@ -9,19 +9,19 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import text_or_empty
 
@@ -112,144 +112,169 @@ def chunk_table(path: str) -> ChunkTable:
     return ChunkTable(path)
 
 
-def pre_tokens(chunk: bytes) -> tuple[str, ...]:
+def pre_tokens(chunk: str) -> tuple[str, ...]:
     """A chunk as the pieces that are counted: a plain word in lower case and its points, or the chunk itself."""
-    text = chunk.decode()
-    plain = _PLAIN_CHUNK.fullmatch(text)
+    plain = _PLAIN_CHUNK.fullmatch(chunk)
     if not plain:
-        return (text,)
+        return (chunk,)
     return (plain[1].lower(), plain[2]) if plain[2] else (plain[1].lower(),)
 
 
 #: A block ends with so many documents (places have 16 bits) or pairs of word and document.
 _BLOCK_DOCS, _BLOCK_PAIRS = 32_000, 5_000_000
+#: Pre-tokens whose number of pieces a worker keeps before it starts anew.
+_KEPT_COUNTS = 1_500_000
 
 
-def _text_groups(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[tuple[pa.Array, list[list[bytes]], np.ndarray]]:
-    """Documents in groups of about ``most_bytes``: ids, chunks of each text, bytes of each text."""
+def _text_groups(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """Documents in groups of about ``most_bytes``: ids, texts, bytes of each text."""
     for batch in batches:
         size = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(size), 0
         while at < batch.num_rows:
             n = min(10_000, max(1, int(np.searchsorted(ends[at:], (ends[at - 1] if at else 0) + most_bytes, "right"))))
             part = batch.slice(at, n)
-            yield part["doc_id"], [t.encode().split() for t in part["text"].to_pylist()], size[at : at + n]
+            yield part["doc_id"], part["text"], size[at : at + n]
             at += n
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: set[str] = set()
-    for _, texts, _ in _text_groups(batches):
-        found.update(t for c in set().union(*texts) for t in pre_tokens(c))
-        if len(found) > 500_000:
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["token"])
-            found.clear()
-    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["token"])
-
-
-def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Binary values: the bytes of ``values`` between consecutive ``ends`` (counts of values, from 0)."""
-    offsets = (ends * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def _numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a binary column, and how many each row has."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
-    return np.frombuffer(raw.tobytes(), kind), np.diff(ends) // np.dtype(kind).itemsize
+def _numbers(value: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(value, kind)
+
+
+class _Block:
+    """Frequencies of the pre-tokens of some documents."""
+
+    def __init__(self) -> None:
+        self.chunks: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        #: for each chunk the number of its word and that of its points, if any
+        self.first, self.second = array("q"), array("q")
+        self.pairs: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+        self.ids: list = []
+        self.sizes: list[int] = []
+        self.digest = xxhash.xxh3_64()
+
+    def add(self, ids: pa.Array, texts: pa.Array, sizes: np.ndarray) -> None:
+        parts = pc.ascii_split_whitespace(texts)
+        owner = np.repeat(np.arange(len(self.ids), len(self.ids) + len(texts)), np.diff(parts.offsets.to_numpy()))
+        coded = parts.flatten().dictionary_encode()
+        known = self.chunks
+        code = np.zeros(len(coded.dictionary), np.int64)
+        for k, chunk in enumerate(coded.dictionary.to_pylist()):
+            at = known.get(chunk)
+            if at is None:
+                at = known[chunk] = len(known)
+                tokens = pre_tokens(chunk) if chunk else ()
+                self.first.append(self.words.setdefault(tokens[0], len(self.words)) if tokens else -1)
+                self.second.append(self.words.setdefault(tokens[1], len(self.words)) if len(tokens) > 1 else -1)
+            code[k] = at
+        used = code[coded.indices.to_numpy()]
+        keys = []
+        for numbers in (self.first, self.second):
+            own = np.frombuffer(numbers, np.int64)[used] if len(used) else np.zeros(0, np.int64)
+            keys.append(((own << 16) + owner)[own >= 0])
+            del own  # the array cannot grow while a view of it lives
+        found, n = np.unique(np.concatenate(keys), return_counts=True)
+        self.pairs.append(found)
+        self.times.append(n)
+        self.ids += ids.to_pylist()
+        self.sizes += sizes.tolist()
+        for buffer in texts.buffers()[1:]:
+            if buffer is not None:
+                self.digest.update(buffer)
+
+    def full(self) -> bool:
+        return len(self.ids) > _BLOCK_DOCS or sum(map(len, self.pairs)) > _BLOCK_PAIRS
+
+    def rows(self, schema: pa.Schema, buckets: int, number: int) -> pa.RecordBatch:
+        """One row for each bucket of pre-tokens, and one with the documents.
+
+        A row of a bucket has its pre-tokens (line by line), how many documents each is in, their places (16 bits), and
+        how often they have it: a bit tells whether all of a pre-token's counts are 1, else they are listed.
+        """
+        name = xxhash.xxh3_64_intdigest(f"{TaskContext.get().partitionId()} {number} {self.digest.hexdigest()}") >> 1
+        key, n = np.concatenate(self.pairs), np.concatenate(self.times)
+        tokens = [w.encode() for w in self.words]
+        bucket = np.fromiter((zlib.crc32(t) % buckets for t in tokens), np.int64, len(tokens))
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(tokens), np.int64)
+        rank[order] = np.arange(len(tokens))
+        key = (rank[key >> 16] << 16) + (key & 0xFFFF)
+        by = np.argsort(key, kind="stable")
+        key, n = key[by], n[by]
+        ends = np.searchsorted(key >> 16, np.arange(len(tokens) + 1))
+        many = np.add.reduceat(np.r_[n > 1, False], ends[:-1]) > 0 if len(tokens) else np.zeros(0, bool)
+        shown = np.repeat(many, np.diff(ends))
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        out: list[tuple] = []
+        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            if lo < hi:
+                part = slice(ends[lo], ends[hi])
+                out.append((name, b, b"\n".join([tokens[k] for k in order[lo:hi]]), np.diff(ends[lo : hi + 1]).astype("<u2").tobytes(), np.packbits(many[lo:hi]).tobytes(), (key[part] & 0xFFFF).astype("<u2").tobytes(), n[part][shown[part]].astype("<u4").tobytes(), None, None))
+        out.append((name, name % buckets, None, None, None, None, None, [{"id": i, "size": s} for i, s in zip(self.ids, self.sizes, strict=True)], len(out)))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema, strict=True)], schema=schema)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents as packed rows."""
+    block, number = _Block(), 0
+    for ids, texts, sizes in _text_groups(batches):
+        block.add(ids, texts, sizes)
+        if block.full():
+            yield block.rows(schema, buckets, number)
+            block, number = _Block(), number + 1
+    if block.ids:
+        yield block.rows(schema, buckets, number)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each block of documents, a row for each pre-token: the places of its documents, and how often they have it.
+def _partial_sums(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Count the pieces of each pre-token that comes, once, and add them up by block and place.
 
-    Places are 16-bit numbers and counts 32-bit numbers, as binary; no counts where all are 1. The block's documents
-    follow on a row of their own (no pre-token begins with a space).
+    Rows with documents pass through. Sums of a block are held until many blocks are; ``n_rows`` tells how many rows
+    they stand for.
     """
-    names = ["block", "token", "places", "times", "docs"]
-    number = TaskContext.get().partitionId() << 32
-    words: dict[str, int] = {}
-    pairs: list[np.ndarray] = []
-    times: list[np.ndarray] = []
-    docs: list[tuple] = []
-    doc_type = None
-
-    def block() -> Iterator[pa.RecordBatch]:
-        key, n = np.concatenate(pairs), np.concatenate(times)
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order]
-        ends = np.searchsorted(key >> 16, np.arange(len(words) + 1))
-        many = np.add.reduceat(np.r_[n > 1, False], ends[:-1]) > 0 if len(words) else np.zeros(0, bool)
-        shown = np.repeat(many, np.diff(ends))
-        columns = [pa.array(np.full(len(words), number), pa.int64()), pa.array(list(words), pa.string()), _binary((key & 0xFFFF).astype("<u2"), ends), _binary(n[shown].astype("<u4"), np.r_[0, np.cumsum(np.diff(ends) * many)]), pa.nulls(len(words), doc_type)]
-        yield pa.RecordBatch.from_arrays(columns, names)
-        last = pa.array([[{"id": i, "size": s} for i, s in docs]], doc_type)
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([f" {number}"], pa.string()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), last], names)
+    pieces: dict[bytes, int] = {}
+    held: dict[int, tuple[np.ndarray, int]] = {}
 
-    for ids, texts, sizes in _text_groups(batches):
-        doc_type = pa.list_(pa.struct([("id", ids.type), ("size", pa.int64())]))
-        chunks = list(set().union(*texts))
-        code = dict(zip(chunks, range(len(chunks)), strict=True))
-        used = np.fromiter(map(code.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
-        owner = np.repeat(np.arange(len(docs), len(docs) + len(texts)), [len(t) for t in texts])
-        first, second = np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64)
-        for k, chunk in enumerate(chunks):
-            tokens = pre_tokens(chunk)
-            first[k] = words.setdefault(tokens[0], len(words))
-            if len(tokens) > 1:
-                second[k] = words.setdefault(tokens[1], len(words))
-        more = second[used]
-        found, n = np.unique(np.concatenate([(first[used] << 16) + owner, ((more << 16) + owner)[more >= 0]]), return_counts=True)
-        pairs.append(found)
-        times.append(n)
-        docs += zip(ids.to_pylist(), sizes.tolist(), strict=True)
-        if len(docs) > _BLOCK_DOCS or sum(map(len, pairs)) > _BLOCK_PAIRS:
-            yield from block()
-            number += 1
-            words, pairs, times, docs = {}, [], [], []
-    if docs:
-        yield from block()
-
-
-def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block, the pieces that this partition's pre-tokens add to each place; rows with documents pass through."""
-    held: dict[int, np.ndarray] = {}
-    doc_type = None
-
-    def row(block: int, places: np.ndarray, sums: np.ndarray, docs: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([places.astype("<u2").tobytes()], pa.binary()), pa.array([sums.astype("<i8").tobytes()], pa.binary()), docs], ["block", "places", "sums", "docs"])
-
-    def flushed() -> Iterator[pa.RecordBatch]:
-        for block, sums in held.items():
-            places = np.flatnonzero(sums)
-            yield row(block, places, sums[places], pa.nulls(1, doc_type))
+    def flushed() -> pa.RecordBatch:
+        rows = [(block, sums.astype("<u8").tobytes(), None, n) for block, (sums, n) in held.items()]
         held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
 
     for batch in batches:
-        doc_type = batch["docs"].type
-        for k in np.flatnonzero(batch["docs"].is_valid().to_numpy(zero_copy_only=False)).tolist():
-            yield row(batch["block"][k].as_py(), np.zeros(0), np.zeros(0), batch["docs"].slice(k, 1))
-        places, counts = _numbers(batch["places"], "<u2")
-        listed, n_listed = _numbers(batch["times"], "<u4")
-        times = np.ones(len(places), np.int64)
-        times[np.repeat(n_listed > 0, counts)] = listed
-        block = np.repeat(batch["block"].to_numpy(), counts)
-        pieces = times * np.repeat(batch["n_pieces"].to_numpy().astype(np.int64), counts)
-        order = np.argsort(block, kind="stable")
-        block, places, pieces = block[order], places[order], pieces[order]
-        cuts = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)] if len(block) else np.zeros(1, int)
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            sums = np.bincount(places[a:b], pieces[a:b]).astype(np.int64)
-            if (old := held.get(block[a])) is not None:
-                long, short = sorted((old, sums), key=len, reverse=True)
-                long[: len(short)] += short
-                sums = long
-            held[int(block[a])] = sums
-        if len(held) > 256:  # bounds the memory; the rest is summed after the shuffle
-            yield from flushed()
-    if doc_type is not None:
-        yield from flushed()
+        with_docs = batch.filter(batch["docs"].is_valid())
+        if with_docs.num_rows:
+            yield pa.RecordBatch.from_arrays([with_docs["block"], pa.nulls(with_docs.num_rows, pa.binary()), with_docs["docs"], with_docs["n_rows"]], schema=schema)
+        for row in batch.filter(batch["docs"].is_null()).drop_columns(["docs"]).to_pylist():
+            tokens = row["tokens"].split(b"\n")
+            if len(pieces) > _KEPT_COUNTS:
+                pieces.clear()
+            new = [t for t in tokens if t not in pieces]
+            pieces.update(zip(new, count_pieces(path, new), strict=True))
+            docs_of = _numbers(row["n_docs"], "<u2").astype(np.int64)
+            places = _numbers(row["places"], "<u2").astype(np.int64)
+            times = np.ones(len(places), np.int64)
+            times[np.repeat(np.unpackbits(_numbers(row["many"], np.uint8), count=len(tokens)).astype(bool), docs_of)] = _numbers(row["times"], "<u4")
+            each = np.fromiter(map(pieces.__getitem__, tokens), np.int64, len(tokens))
+            sums = np.bincount(places, times * np.repeat(each, docs_of)).astype(np.int64)  # exact below 2**53
+            old, n = held.get(row["block"], (np.zeros(0, np.int64), 0))
+            long, short = sorted((old, sums), key=len, reverse=True)
+            long[: len(short)] += short
+            held[row["block"]] = long, n + 1
+            if len(held) > 128:
+                yield flushed()
+    if held:
+        yield flushed()
+
+
+def count_pieces(path: str, tokens: list[bytes]) -> list[int]:
+    """The library's number of pieces of each pre-token: plain words many in one call, others one by one."""
+    plain = [bool(_PLAIN_CHUNK.fullmatch(t.decode())) and t[-1:] not in b".," for t in tokens]
+    words = iter(encode_words(path, [t for t, p in zip(tokens, plain, strict=True) if p]))
+    others = iter(encode_chunks(path, [t for t, p in zip(tokens, plain, strict=True) if not p]))
+    return [len(next(words)) // 4 if p else len(next(others)) for p in plain]
 
 
 def count_tokens(
@@ -261,34 +286,45 @@ def count_tokens(
 ) -> DataFrame:
     """Tokens of every text: ``(doc_id, n_bytes, n_tokens, over_limit)``.
 
-    1. Distinct pre-tokens of the corpus (a set for each block of documents, then ``distinct``); the library is asked
-       once for the pieces of each.
-    2. Frequencies: a row for each pre-token and block with the places of its documents and their counts, so that a
-       frequent pre-token is a row a block and not a row a document.
-    3. Join on the pre-token; pieces times counts are summed by block and place. Ids are never kept.
+    1. One scan gives the frequencies: for each block of documents (about one an input split) a packed row for each
+       bucket of pre-tokens, with the places of the documents that have them and how often.
+    2. Rows are brought together by bucket, so all frequencies of a pre-token meet; the library is asked once for the
+       pieces of each distinct pre-token there, and pieces are joined to its frequencies and summed by block and place.
+    3. Sums are added up by block and joined to the block's documents. Ids are never kept.
 
-    A frequent pre-token's rows are one for each block; adaptive execution splits them in the join. ``docs`` should be
-    a table (or a stashed frame): a recomputed partition must hold the same rows in the same order.
+    There are as many buckets as shuffle partitions. A frequent pre-token adds two bytes for each document that has it
+    to its bucket; adaptive execution splits a bucket that has grown large (its pre-tokens are then counted once a split).
+    A block's name is a digest of its texts, and sums are only accepted if they stand for all rows of the block: a
+    recomputed block of other rows fails loudly instead of giving wrong counts.
     Null and empty texts: 0 tokens. Every row gives a row, ids may repeat or be null. Extra columns are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-
-    @F.pandas_udf("int")  # a column function keeps the pre-tokens where ``distinct`` has dealt them: no shuffle before the join
-    def pieces(token: pd.Series) -> pd.Series:
-        return pd.Series([len(ids) for ids in encode_chunks(tokenizer_path, [t.encode() for t in token])], dtype="int32")
-
-    counted = rows.mapInArrow(_distinct, "token string").distinct().select("token", pieces("token").alias("n_pieces"))
-    doc_type = f"array<struct<id:{id_type},size:bigint>>"
-    blocks = rows.mapInArrow(_frequencies, f"block long, token string, places binary, times binary, docs {doc_type}")
-    joined = blocks.join(counted, "token", "left").select("block", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), "places", "times", "docs")
-    added = joined.mapInArrow(_partial_sums, f"block long, places binary, sums binary, docs {doc_type}")
+    id_type = rows.schema["doc_id"].dataType
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = f"array<struct<id:{id_type.simpleString()},size:bigint>>"
+    packed = "block long, bucket int, tokens binary, n_docs binary, many binary, places binary, times binary"
+    arrow = to_arrow_schema(rows.select("doc_id").schema).field(0).type
+    docs_type = pa.list_(pa.struct([("id", arrow), ("size", pa.int64())]))
+    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 5, docs_type, pa.int32())
+    shape = pa.schema(list(zip(("block", "bucket", "tokens", "n_docs", "many", "places", "times", "docs", "n_rows"), kinds)))
+    sums_shape = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("docs", docs_type), ("n_rows", pa.int32())])
+    blocks = rows.mapInArrow(lambda batches: _frequencies(batches, buckets, shape), f"{packed}, docs {listed}, n_rows int")
+    met = blocks.hint("rebalance", F.col("bucket"))
+    added = met.mapInArrow(lambda batches: _partial_sums(batches, tokenizer_path, sums_shape), f"block long, sums binary, docs {listed}, n_rows int")
 
     def total(table: pa.Table) -> pa.Table:
-        docs = table["docs"].combine_chunks().flatten()
-        places, _ = _numbers(table["places"].combine_chunks(), "<u2")
-        sums, _ = _numbers(table["sums"].combine_chunks(), "<i8")
-        n = np.bincount(places, sums, len(docs)).astype(np.int64)
+        has = table["docs"].is_valid()
+        told = table.filter(has)
+        docs = told["docs"].combine_chunks().flatten()
+        n, rows = np.zeros(len(docs), np.int64), 0
+        for sums, k in zip(table["sums"], table["n_rows"], strict=True):
+            if sums.is_valid:
+                own = np.frombuffer(sums.as_py(), "<u8").astype(np.int64)
+                n[: len(own)] += own
+                rows += k.as_py()
+        if told.num_rows != 1 or rows != told["n_rows"][0].as_py():
+            raise RuntimeError("the rows of a block do not belong together: the input gave other rows when read again")
         return pa.table({"doc_id": docs.field("id"), "n_bytes": docs.field("size"), "n_tokens": n, "over_limit": n > limit})
 
-    return added.groupBy("block").applyInArrow(total, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return added.groupBy("block").applyInArrow(total, f"doc_id {id_type.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
