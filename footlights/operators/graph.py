@@ -9,19 +9,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+#: A label's root is given to so many groups of its nodes: the nodes of one component do not meet in one task.
+_SALTS = 16
 
 
-def _shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; a fresh local one only where none is set (tests)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where the session names none, a local master gets a fresh local folder, one per application; a cluster is refused,
+    since its executors do not share local folders.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="footlights-"))
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="footlights-")
+    return _own[app]
+
+
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def gone_at_end(spark: SparkSession, path: str) -> None:
+    """Have a written path deleted when the application ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write a frame to the shared folder and read it again."""
-    path = f"{_shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write a frame to the shared folder and read it again: a lost executor never recomputes what came before."""
+    spark = df.sparkSession
+    path = own_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gone_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cluster(pairs: DataFrame, a: str = "a_id", b: str = "b_id") -> DataFrame:
@@ -36,8 +63,10 @@ def cluster(pairs: DataFrame, a: str = "a_id", b: str = "b_id") -> DataFrame:
     while True:
         seen = edges.join(labels.withColumnsRenamed({"id": "y"}), "y").groupBy(F.col("x").alias("id")).agg(F.min("label").alias("near"))
         step = labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        roots = step.select(F.col("id").alias("label"), F.col("label").alias("root"))
-        step = step.join(roots, "label", "left").select("id", "old", F.least("label", F.coalesce("root", "label")).alias("label"))
+        step = cut_lineage(step.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")), "steps")
+        used = step.select(F.col("label").alias("id")).distinct()
+        roots = step.select("id", F.col("label").alias("root")).join(used, "id").select(F.col("id").alias("label"), "root", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+        step = step.join(roots, ["label", "salt"], "left").select("id", "old", F.least("label", F.coalesce("root", "label")).alias("label"))
         step = cut_lineage(step, "labels")
         labels = step.select("id", "label")
         if step.where("old <> label").isEmpty():
