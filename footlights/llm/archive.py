@@ -6,21 +6,23 @@ rebuilt by joining the two. All of it is column work: no Python runs on the exec
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import own_path
 
 _END = "\r\n"
 #: The date of every record: archives of equal pages are equal bytes.
 _DATE = "2024-01-01T00:00:00Z"
 
 
-def _record_id(page: Column) -> Column:
-    """A stable URN made from the page's id."""
-    h = F.md5(F.concat(F.lit("page:"), page.cast("string")).cast("binary"))
+#: What a revisit of an equal payload declares (fixed value of the WARC 1.1 format).
+_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def _record_id(page: Column, url: Column, digest: Column) -> Column:
+    """A stable URN made from the page's id (null apart from an empty text), its address and its payload."""
+    h = F.md5(F.concat_ws("|", F.when(page.isNull(), F.lit("null")).otherwise(F.concat(F.lit("page:"), page.cast("string"))), digest, url).cast("binary"))
     return F.concat(F.lit("<urn:uuid:"), *[x for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in (F.lit("-") if a > 1 else F.lit(""), F.substring(h, a, n))], F.lit(">"))
 
 
@@ -39,26 +41,29 @@ def write_archive(
     with equal payloads of at least ``min_revisit_bytes``, that with the largest id is a response and the others are
     revisits that refer to it; all others are responses. Equality is by SHA-256 together with SHA-1 and length.
 
-    A null payload is empty bytes, a null url an empty target. Rows that share an id are a record each, with an equal
-    payload too. A null id sorts first and is never a target unless all are null. Extra columns are ignored.
+    A null payload is empty bytes, a null url an empty target. Every row is a record; record ids are made from id, url and
+    payload, so only rows that agree in all three share one. A null id sorts first and is never a target unless all are null. Extra columns are ignored.
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"))
     keyed = rows.select("page_id", "url", F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
     key = ["sha256", "sha1", "n_bytes"]
-    keepers = keyed.groupBy(*key).agg(F.max("page_id").alias("keeper"))
-    records = keyed.join(keepers, key)
+    keepers = keyed.groupBy(*key).agg(F.max(F.struct("page_id", "url")).alias("kept"))
+    records = keyed.join(keepers, key).withColumns({"keeper": F.col("kept.page_id"), "keeper_url": F.col("kept.url")})
     revisit = (F.col("n_bytes") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     stored = F.when(revisit, F.lit(0)).otherwise(F.col("n_bytes"))
     fields = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.coalesce(F.col("page_id").cast("string"), F.lit("")))),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"), F.col("url"), F.col("sha256"))),
         F.lit(f"WARC-Date: {_DATE}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", "")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
         F.concat(F.lit("X-Payload-Length: "), F.col("n_bytes").cast("string")),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("keeper").cast("string")))),
+        F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}")),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("keeper"), F.col("keeper_url"), F.col("sha256")))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To-Target-URI: "), F.regexp_replace("keeper_url", r"[\r\n]", ""))),
+        F.lit("Content-Type: text/html; charset=utf-8"),
         F.when(revisit, F.concat(F.lit("X-Refers-To-Page: "), F.col("keeper").cast("string"))),
         F.concat(F.lit("Content-Length: "), stored.cast("string")),
     ]
@@ -114,4 +119,4 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def new_archive_path(spark: SparkSession) -> str:
     """A new folder for an archive below the shared folder."""
-    return f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    return own_path(spark, "warc")

@@ -2,42 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: White space of the word rule: space and \t \n \v \f \r. ``bytes.split()`` splits on exactly these.
-ASCII_SPACE = b" \t\n\x0b\x0c\r"
-
-_own_dirs: dict[str, str] = {}
+from ..operators.graph import cluster, cut_lineage, gone_at_end, own_path
 
+__all__ = ["ASCII_SPACE", "bounded_or_shuffled", "cluster", "own_path", "schema_with", "stash", "stash_bucketed", "table", "text_or_empty"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
+#: Write a frame as a table in the shared folder and read it again.
+stash = cut_lineage
 
-    Only where the session names none (local tests) a fresh local folder is taken, one per application.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = tempfile.mkdtemp(prefix="footlights-")
-    return _own_dirs[app]
+#: White space of the word rule: space and \t \n \v \f \r. ``bytes.split()`` splits on exactly these.
+ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again.
+def stash_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stash``, bucketed by ``key`` into as many buckets as there are shuffle partitions: joins on it do not move ``df``.
 
-    Later stages start from the written files, so a lost executor never recomputes what came before.
+    Bucketing needs a table name; it is dropped at once, the files stay.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, table_name = own_path(spark, name), f"footlights_{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table_name)
+    gone_at_end(spark, path)
+    found = spark.table(table_name)
+    found.schema  # resolved before the name goes
+    spark.sql(f"drop table {table_name}")
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,26 +53,3 @@ def schema_with(df: DataFrame, **fields: str) -> StructType:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
-
-
-def components(edges: DataFrame, a: str, b: str, name: str = "component") -> DataFrame:
-    """Connected components of an edge list: one row ``(node, <name>)`` per node, ``<name>`` = least node id.
-
-    Min-label propagation with pointer jumping: a round gives each node the least label of its neighbours, then the
-    label of that label. Labels are written to the shared folder after each round, so lineage stays short; the rounds
-    grow with the logarithm of a component's diameter. Edges with a null end are ignored; self loops give a node its
-    own component. The driver only sees one count a round.
-    """
-    pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    both = stash(pairs.union(pairs.select("y", "x")).distinct(), "edges")
-    labels = stash(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("label")), "labels")
-    while True:
-        near = both.join(labels, both.y == labels.node).groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        roots = step.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = step.join(roots, "label", "left").select("node", "old", F.least("label", F.coalesce("root", "label")).alias("label"))
-        new = stash(new, "labels")
-        changed = new.where("label <> old").limit(1).count()
-        labels = new.select("node", "label")
-        if not changed:
-            return labels.select("node", F.col("label").alias(name))
