@@ -1,191 +1,577 @@
-"""Suffix order of one shard by induced sorting, in whole-array steps.
+"""Suffix order and common prefixes of one shard by external induced sorting.
 
-Suffixes of a bucket are induced together: the queue of a bucket receives, in order, the positions that earlier buckets
-induce into it. A queue that outgrows its memory goes to an unlinked scratch file of the task, as a spilling sort does.
+Suffixes are induced from others: a queue of suffix tuples ``(place, symbol, common prefix with the tuple before)`` is
+kept for each range of symbols, taken in order, put in order and made to induce the suffixes one place further left.
+Queues and finished lists go to unlinked scratch files of the task beyond a small bound, and texts are mapped files, so a
+shard's tuples need not fit in memory. The left-most small suffixes are sorted by recursion on their names, at any number
+of names; common prefixes, in bytes and up to a cap, come out of the recursion and are induced with the tuples.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 
-#: Larger alphabets (names of a reduced text) are ordered by doubling instead of bucket by bucket.
-_MOST_BUCKETS = 4096
+#: Tuples that the queues of a pass hold in memory; beyond it their full pages are on disk.
+HELD_TUPLES = 1 << 20
+#: Tuples of a page.
+_PAGE = 2048
+#: Sources that induce together; their table of minima stays in the cache.
+_CHUNK = 1 << 15
+#: Ranges of symbols; a byte is a range of its own.
+_RANGES = 256
 
+#: Frontiers of a range that have become so small are followed one suffix at a time.
+_FEW = 24
 
-class BucketQueue:
-    """A queue for each bucket; beyond ``most`` held positions all of them move to disk."""
 
-    def __init__(self, buckets: int, most: int = 1 << 25) -> None:
-        self.parts: list[list] = [[] for _ in range(buckets)]
-        self.most, self.held, self.file = most, 0, None
+def _scratch(values: np.ndarray) -> np.ndarray:
+    """The same values as a mapped scratch file."""
+    if not len(values):
+        return values
+    with tempfile.TemporaryFile() as file:
+        file.write(np.ascontiguousarray(values).data)
+        file.flush()
+        return np.asarray(np.memmap(file, values.dtype, "r", shape=values.shape))
 
-    def push(self, positions: np.ndarray, buckets: np.ndarray) -> None:
-        """Append positions to their buckets, keeping their order."""
-        if not len(positions):
-            return
-        order = np.argsort(buckets, kind="stable")
-        positions, buckets = positions[order], buckets[order]
-        cuts = np.flatnonzero(buckets[1:] != buckets[:-1]) + 1
-        for at, part in zip(np.r_[0, cuts].tolist(), np.split(positions, cuts), strict=True):
-            self.parts[buckets[at]].append(part)
-        self.held += len(positions)
-        if self.held > self.most:
+
+class TupleQueues:
+    """A first-in-first-out queue of suffix tuples for each range of symbols.
+
+    Beyond ``HELD_TUPLES`` full pages (5 bytes a tuple) go to an unlinked scratch file, whose pages are used again.
+    """
+
+    def __init__(self, ranges: int) -> None:
+        self.parts: list[list[np.ndarray]] = [[] for _ in range(ranges)]
+        self.pages: list[list[int]] = [[] for _ in range(ranges)]
+        self.held, self.n_pages, self.free, self.file = 0, 0, [], None
+
+    def push(self, queue: int, tuples: np.ndarray) -> None:
+        self.parts[queue].append(tuples)
+        self.held += len(tuples)
+        if self.held > HELD_TUPLES:
             self._spill()
 
     def _spill(self) -> None:
         self.file = self.file or tempfile.TemporaryFile()
-        self.file.seek(0, 2)
-        for parts in self.parts:
-            for k, part in enumerate(parts):
-                if isinstance(part, np.ndarray):
-                    parts[k] = (self.file.tell(), len(part), part.dtype)
-                    self.file.write(part.tobytes())
-        self.held = 0
-
-    def take(self, bucket: int) -> np.ndarray:
-        """All positions of a bucket in the order they came; the bucket is empty after that."""
+        for parts, pages in zip(self.parts, self.pages, strict=True):
+            n = sum(map(len, parts)) // _PAGE
+            if not n:
+                continue
+            tuples = np.concatenate(parts)
+            for k in range(n):
+                own = tuples[k * _PAGE : (k + 1) * _PAGE]
+                if self.free:
+                    slot = self.free.pop()
+                else:
+                    slot, self.n_pages = self.n_pages, self.n_pages + 1
+                self.file.seek(slot * 5 * _PAGE)
+                self.file.write(_places(own).tobytes() + _commons(own).tobytes())
+                pages.append(slot)
+            parts[:] = [tuples[n * _PAGE :].copy()]
+            self.held -= n * _PAGE
+
+    def take(self, queue: int, keep: bool = False) -> np.ndarray:
+        """All tuples of a queue in the order they came; unless ``keep``, the queue is empty after that."""
         out = []
-        for part in self.parts[bucket]:
-            if isinstance(part, np.ndarray):
-                self.held -= len(part)
-            else:
-                self.file.seek(part[0])
-                part = np.frombuffer(self.file.read(part[1] * part[2].itemsize), part[2])
-            out.append(part)
-        self.parts[bucket] = []
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
-
-
-def _types(text: np.ndarray) -> np.ndarray:
-    """True where a suffix is smaller than the next one; the end counts as smaller than anything."""
-    n = len(text)
-    step = np.zeros(n, np.int8)
-    step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1]).astype(np.int8)
-    step[-1] = -1
-    ahead = np.where(step != 0, np.arange(n, dtype=np.int32), n)
-    ahead = np.minimum.accumulate(ahead[::-1])[::-1]
-    return step[ahead] > 0
-
-
-def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, buckets: int) -> np.ndarray:
-    """The order of all suffixes from the order of the left-most small ones (``seeds``)."""
-    n = len(text)
-    seed_cuts = np.searchsorted(text[seeds], np.arange(buckets + 1))
-    queue, large = BucketQueue(buckets), []
-    queue.push(np.array([n - 1], np.int32), text[n - 1 :])
-    for c in range(buckets):
-        parts, now = [], queue.take(c)
-        while len(now):
-            parts.append(now)
-            before = now[now > 0] - 1
-            before = before[~small[before]]
-            chars = text[before]
-            own = chars == c
-            queue.push(before[~own], chars[~own])
-            now = before[own]
-        large.append(np.concatenate(parts) if parts else now)
-        before = seeds[seed_cuts[c] : seed_cuts[c + 1]] - 1
-        queue.push(before, text[before])
-    queue, out = BucketQueue(buckets), []
-    for c in range(buckets - 1, -1, -1):
-        parts, now = [], queue.take(c)
-        while len(now):
-            parts.append(now)
-            before = now[now > 0] - 1
-            before = before[small[before]]
-            chars = text[before]
-            own = chars == c
-            queue.push(before[~own], chars[~own])
-            now = before[own]
-        out += [*parts, large[c][::-1]]
-        before = large[c][::-1]
-        before = before[before > 0] - 1
-        before = before[small[before]]
-        queue.push(before, text[before])
-    return np.concatenate(out)[::-1]
-
-
-def _doubled(text: np.ndarray) -> np.ndarray:
-    """The order of suffixes by doubling the compared length until no two are equal."""
-    n, rank, width = len(text), text.astype(np.int64), 1
-    while True:
-        ahead = np.zeros(n, np.int64)
-        ahead[:-width] = rank[width:] + 1
-        key = rank * (n + 2) + ahead
-        order = np.argsort(key)
-        fresh = np.r_[0, (key[order[1:]] != key[order[:-1]]).cumsum()]
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        width *= 2
-        if fresh[-1] == n - 1 or width >= n:
-            return order.astype(np.int32)
-
-
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Start positions of the suffixes of an array of small whole numbers, in order. A shorter one comes first."""
-    n = len(text)
-    if n < 2:
-        return np.arange(n, dtype=np.int32)
-    buckets = int(text.max()) + 1
-    if buckets > _MOST_BUCKETS:
-        return _doubled(np.unique(text, return_inverse=True)[1])
-    small = _types(text)
-    first = np.flatnonzero(small[1:] & ~small[:-1]).astype(np.int32) + np.int32(1)  # left-most small ones, by place
+        for slot in self.pages[queue]:
+            self.file.seek(slot * 5 * _PAGE)
+            raw = self.file.read(5 * _PAGE)
+            out.append(_tuples(np.frombuffer(raw, np.int32, _PAGE), np.frombuffer(raw, np.uint8, _PAGE, 4 * _PAGE)))
+        out += self.parts[queue]
+        if not keep:
+            self.held -= sum(map(len, self.parts[queue]))
+            self.free += self.pages[queue]
+            self.parts[queue], self.pages[queue] = [], []
+        return out[0] if len(out) == 1 else np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _tuples(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Suffix tuples as numbers: the place, and in the lowest 8 bits the common prefix with the tuple before."""
+    return (place.astype(np.int64) << 8) | common
+
+
+def _places(tuples: np.ndarray) -> np.ndarray:
+    return (tuples >> 8).astype(np.int32)
+
+
+def _commons(tuples: np.ndarray) -> np.ndarray:
+    return (tuples & 255).astype(np.uint8)
+
+
+def _stable(keys: np.ndarray) -> np.ndarray:
+    """Order of non-negative 32-bit keys, equal ones by place."""
+    if keys.dtype.itemsize == 1:
+        return np.argsort(keys, kind="stable")
+    width = max(1, int(len(keys)).bit_length())
+    return np.sort((keys.astype(np.int64) << width) | np.arange(len(keys))) & ((1 << width) - 1)
+
+
+_LOG = np.zeros(_CHUNK + 1, np.int64)
+for _k in range(1, 16):
+    _LOG[1 << _k :] = _k
+
+
+class Minima:
+    """Minima of ranges of at most ``_CHUNK`` small numbers."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        rows, width = [values], 1
+        while 2 * width <= len(values):
+            nxt = rows[-1].copy()
+            np.minimum(nxt[: len(values) - width], rows[-1][width:], out=nxt[: len(values) - width])
+            rows.append(nxt)
+            width *= 2
+        self.table, self.n = np.concatenate(rows), len(values)
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Minima of ``values[first : last + 1]``, none of them empty."""
+        k = _LOG[last - first + 1]
+        row = k * self.n
+        return np.minimum(self.table[row + first], self.table[row + last - (1 << k) + 1])
+
+
+def _segment_minima(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Minima of ``values[first : last + 1]`` for a few ranges."""
     if not len(first):
-        return _induce(text, small, first, buckets)
-    rough = _induce(text, small, first[np.argsort(text[first], kind="stable")], buckets)
-    is_first = np.zeros(n, bool)
-    is_first[first] = True
-    by_piece = rough[is_first[rough]]
-    # equal pieces (from one left-most small one to the next) get one name
-    after = np.r_[first[1:], n - 1]
-    length = np.zeros(n, np.int32)
-    length[first] = after - first + 1
-    a, b = by_piece[:-1], by_piece[1:]
-    equal = (length[a] == length[b]) & (text[a] == text[b])
-    equal[(a == first[-1]) | (b == first[-1])] = False  # the last piece runs to the end
-    at = np.flatnonzero(equal)
-    sizes = length[a[at]]
-    inside = np.arange(sizes.sum(), dtype=np.int64) - np.repeat(np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
-    differs = text[np.repeat(a[at], sizes) + inside] != text[np.repeat(b[at], sizes) + inside]
-    if len(at):
-        equal[at] = ~np.logical_or.reduceat(differs, np.r_[0, np.cumsum(sizes, dtype=np.int64)[:-1]])
-    name = np.zeros(n, np.int32)
-    name[by_piece] = np.r_[0, np.cumsum(~equal)]
-    reduced = name[first]
-    if len(np.unique(reduced)) == len(reduced):
-        order = np.argsort(reduced)
-    else:
-        order = suffix_order(reduced)
-    return _induce(text, small, first[order], buckets)
-
-
-def repeated_starts(spans: list[bytes], length: int) -> list[np.ndarray]:
-    """For each span, which of its places start a string of ``length`` bytes that starts at another place as well.
-
-    Strings lie within one span. Places with fewer bytes left are false.
+        return np.zeros(0, np.uint8)
+    padded = np.append(values, np.uint8(255))
+    return np.minimum.reduceat(padded, np.stack([first, last + 1], 1).ravel())[::2]
+
+
+class _Level:
+    """A text of one level of the recursion: symbols, their lengths in bytes, and the common prefixes of neighbours."""
+
+    def __init__(self, text: np.ndarray, size: int, cap: int, weight: np.ndarray | None, common: np.ndarray | None) -> None:
+        self.text, self.size, self.cap = text, size, cap
+        self.weight = np.ones(size, np.int16) if weight is None else weight.astype(np.int16)
+        self.common = None if common is None else common  # common[s]: of symbols s - 1 and s; None: 0
+        n = len(text)
+        if weight is None:
+            self.ranges = np.arange(size, dtype=np.int32)
+        else:
+            counts = np.bincount(text, minlength=size)
+            before = np.cumsum(counts) - counts
+            pieces = max(1, min(_RANGES, n // 2048))
+            raw = before * pieces // max(1, n)
+            self.ranges = np.unique(raw, return_inverse=True)[1].astype(np.int32)
+        self.n_ranges = int(self.ranges[-1]) + 1
+        self.small = self._types()
+
+    def _types(self) -> np.ndarray:
+        """True where a suffix is smaller than the next one; the end counts as smaller than anything."""
+        text, n = self.text, len(self.text)
+        step = np.zeros(n, np.int8)
+        step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1]).astype(np.int8)
+        step[-1] = -1
+        flat = np.flatnonzero(step == 0)
+        if len(flat):
+            # a run of equal symbols has the type of its end
+            last = np.flatnonzero(np.r_[flat[1:] != flat[:-1] + 1, True])
+            step[flat] = np.repeat(step[flat[last] + 1], np.diff(np.r_[-1, last]))
+        return step > 0
+
+    def capped(self, values: np.ndarray) -> np.ndarray:
+        return np.minimum(values, self.cap).astype(np.uint8)
+
+
+class _Pass:
+    """One pass over a level: up, large suffixes from the left-most small ones; down, small ones from the large ones.
+
+    Down, symbols are mirrored, so that both passes run from the least symbol. ``seeds`` gives the tuples of a range that
+    induce but are not induced: in order, after the induced ones of their symbol, ``common`` towards the seed before.
+    """
+
+    def __init__(self, level: _Level, seeds: Callable[[int], np.ndarray], down: bool, exact: bool) -> None:
+        self.level, self.seeds, self.down, self.exact = level, seeds, down, exact and level.common is None
+        k = level.size
+        self.weight = level.weight[::-1] if down else level.weight
+        # of mirrored symbols s - 1 and s
+        common = level.common
+        if common is not None and not exact:  # different symbols must not look like equal ones
+            common = np.r_[np.uint8(0), np.minimum(common[1:], np.minimum(level.weight[1:], level.weight[:-1]) - 1).astype(np.uint8)]
+        self.between = None if common is None else np.r_[np.uint8(0), common[1:][::-1]] if down else common
+        self.range_of = (level.n_ranges - 1 - level.ranges[::-1]).astype(np.int32) if down else level.ranges
+        self.starts = np.searchsorted(self.range_of, np.arange(level.n_ranges + 1))
+        self.queues = TupleQueues(level.n_ranges)
+        self.since = np.full(k, 255, np.uint8)  # least common prefix among the sources since a symbol's last tuple
+        self.last_symbol = -1  # of the sources
+        # the symbol that a suffix induces, or -1 (255 for bytes)
+        text, small = level.text[:-1], level.small[:-1]
+        self.none = 255 if text.dtype == np.uint8 else -1
+        self.before = np.full(len(level.text), self.none, text.dtype)
+        self.before[1:] = np.where(small if down else ~small, text.dtype.type(k - 1) - text if down else text, text.dtype.type(self.none))
+
+    def symbols(self, places: np.ndarray) -> np.ndarray:
+        found = self.level.text[places].astype(np.int32)
+        return self.level.size - 1 - found if self.down else found
+
+    def induced(self, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the sources that induce a suffix of the wanted type, its places and symbols (mirrored if down)."""
+        symbols = self.before[sources]
+        wanted = np.flatnonzero(symbols != self.none)
+        return wanted, sources[wanted] - 1, symbols[wanted]
+
+    def symbol_common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Common prefixes of suffixes that begin with the symbols ``a < b``."""
+        return np.zeros(len(a), np.uint8) if self.between is None else _segment_minima(self.between, a + 1, b)
+
+    def send(self, places: np.ndarray, common: np.ndarray, until: int) -> None:
+        """Let sources, in order, induce tuples of the symbols from ``until`` on."""
+        for at in range(0, len(places), _CHUNK):
+            own = common[at : at + _CHUNK]
+            numbers, before, symbols = self.induced(places[at : at + _CHUNK])
+            later = symbols >= until
+            if not later.all():
+                numbers, before, symbols = numbers[later], before[later], symbols[later]
+            tail = np.minimum.accumulate(own[::-1])[::-1]
+            if len(numbers):
+                order = _stable(symbols)
+                numbers, before, symbols = numbers[order], before[order], symbols[order]
+                new = np.r_[True, symbols[1:] != symbols[:-1]]
+                first = np.r_[0, numbers[:-1] + 1]
+                first[new] = 0
+                least = Minima(own).between(first, numbers)
+                heads = symbols[new]
+                least[new] = np.minimum(least[new], self.since[heads])
+                np.minimum(self.since, tail[0], out=self.since)
+                ends = numbers[np.r_[np.flatnonzero(new)[1:] - 1, len(numbers) - 1]] + 1
+                self.since[heads] = np.append(tail, np.uint8(255))[ends]
+                tuples = _tuples(before, least)
+                ranges = self.range_of[symbols]
+                cuts = np.flatnonzero(ranges[1:] != ranges[:-1]) + 1
+                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ranges)]):
+                    self.queues.push(int(ranges[lo]), tuples[lo:hi])
+            else:
+                np.minimum(self.since, tail[0], out=self.since)
+
+    def run(self, out: TupleQueues) -> None:
+        """Induce everything; ``out`` gets the induced tuples of each range in order."""
+        level = self.level
+        if not self.down:
+            end = np.array([len(level.text) - 1])
+            self.queues.push(int(self.range_of[level.text[end[0]]]), _tuples(end, np.zeros(1, np.uint8)))
+        for number in range(level.n_ranges):
+            held, seeds = self.queues.take(number), self.seeds(number)
+            if not len(held) and not len(seeds):
+                continue
+            lo, hi = int(self.starts[number]), int(self.starts[number + 1])
+            place, symbol, common, induced = self.one_symbol(held, seeds, lo) if hi == lo + 1 else self.many_symbols(held, seeds, hi)
+            # the first of a symbol: by the symbols alone
+            first = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1]])
+            if self.between is None:
+                common[first] = 0
+            else:
+                previous = np.r_[self.last_symbol, symbol[first[1:] - 1]]
+                common[first] = 0 if previous[0] < 0 else common[first]
+                known = previous >= 0
+                common[first[known]] = self.symbol_common(previous[known], symbol[first[known]])
+            self.last_symbol = int(symbol[-1])
+            self.send(place, common, hi)
+            if induced.all():
+                out.push(number, _tuples(place, common))
+            elif induced.any():
+                out.push(number, _tuples(place[induced], common[induced]))
+
+    def one_symbol(self, held: np.ndarray, seeds: np.ndarray, symbol: int) -> tuple[np.ndarray, ...]:
+        """Order of a range of one symbol: what earlier symbols induced, what this symbol induces layer by layer, seeds."""
+        weight, cap = int(self.weight[symbol]), self.level.cap
+        places, commons = [], []
+        place, common, depth = _places(held), self.level.capped(_commons(held).astype(np.int16) + weight), weight
+        while len(place):
+            places.append(place)
+            commons.append(common)
+            numbers, before, symbols = self.induced(place)
+            own = symbols == symbol
+            numbers, place = numbers[own], before[own]
+            if not len(place):
+                break
+            least = np.full(len(place), min(cap, depth), np.int16)
+            depth += weight
+            if len(place) > 1:
+                least[1:] = _segment_minima(common, numbers[:-1] + 1, numbers[1:]).astype(np.int16) + weight
+            common = self.level.capped(least)
+        n = sum(map(len, places))
+        places.append(_places(seeds))
+        commons.append(_commons(seeds))
+        place, common = np.concatenate(places), np.concatenate(commons)
+        if n and len(seeds):
+            # both begin with runs of the symbol: at least one
+            common[n : n + 1] = _extend(self.level.text, place[n - 1 : n], place[n : n + 1], np.zeros(1, np.uint8), cap) if self.exact else np.uint8(min(cap, weight))
+        induced = np.ones(len(place), bool)
+        induced[n:] = False
+        return place, np.full(len(place), symbol, np.int32), common, induced
+
+    def many_symbols(self, held: np.ndarray, seeds: np.ndarray, until: int) -> tuple[np.ndarray, ...]:
+        """Order of a range of several symbols: tuples of equal symbols go by the order of their sources."""
+        place, symbol, parent, kind, own = self.closed(held, seeds, until)
+        total = len(place)
+        key = symbol.astype(np.int64) * 4 + kind
+        order = _stable(key)
+        rank = np.empty(total, np.int64)
+        rank[order] = np.arange(total)
+        inner = np.flatnonzero(kind == 1)
+        if len(inner):
+            # those of one symbol share the rank of their first, until the ranks of their sources tell them apart
+            inner = inner[np.argsort(rank[inner])]
+            ties = key[inner]
+            at = np.arange(len(inner))
+            heads = np.maximum.accumulate(np.where(np.r_[True, ties[1:] != ties[:-1]], at, 0))
+            rank[inner] = rank[inner[heads]]
+            ancestor = parent
+            while True:
+                ties = rank[inner] * total + rank[ancestor[inner]]
+                inner = inner[by := np.argsort(ties)]
+                ties, old = ties[by], rank[inner]
+                first = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
+                new = np.r_[True, ties[1:] != ties[:-1]]
+                rank[inner] = old + np.maximum.accumulate(np.where(new, at, 0)) - first
+                if new.all():
+                    break
+                ancestor = ancestor[ancestor]
+            order[rank] = np.arange(total)
+        common = own[order]
+        kinds, symbols = kind[order], symbol[order]
+        same = np.r_[False, symbols[1:] == symbols[:-1]]
+        both = np.flatnonzero(same & (kinds == 1) & np.r_[False, kinds[:-1] == 1])
+        heads = np.flatnonzero(~same)
+        common[heads[1:]] = self.symbol_common(symbols[heads[1:] - 1], symbols[heads[1:]])
+        mixed = np.flatnonzero(same & np.r_[False, kinds[1:] != kinds[:-1]])
+        common[mixed] = self.level.capped(self.weight[symbols[mixed]])
+        if len(both):
+            # two suffixes that the range itself induced: by the order of their sources, which are further up
+            first, last = rank[parent[order[both - 1]]] + 1, rank[parent[order[both]]] + 1
+            cap, told = self.level.cap, bytearray(common.tobytes())
+            for k, lo, hi, length in zip(both.tolist(), first.tolist(), last.tolist(), self.weight[symbols[both]].tolist(), strict=True):
+                told[k] = min(cap, length + (told[lo] if hi == lo + 1 else min(told[lo:hi])))
+            common = np.frombuffer(bytes(told), np.uint8).copy()
+        return place[order], symbols, common, kinds != 2
+
+    def closed(self, held: np.ndarray, seeds: np.ndarray, until: int) -> tuple[np.ndarray, ...]:
+        """All suffixes of a range: places, symbols, sources in the range, kinds (0 induced from before it, 1 from
+        inside, 2 seeds) and common prefixes of neighbours of kinds 0 and 2."""
+        place = _places(held)
+        symbol = self.symbols(place)
+        order = _stable(symbol)
+        held, symbol = held[order], symbol[order]
+        place = np.concatenate([place[order], _places(seeds)])
+        symbol = np.concatenate([symbol, self.symbols(place[len(held) :])])
+        own = np.concatenate([self.level.capped(_commons(held).astype(np.int16) + self.weight[symbol[: len(held)]]), _commons(seeds)])
+        n = total = len(place)
+        parent = frontier = np.arange(n)
+        places, symbols, parents = [place], [symbol], [parent]
+        while len(place):  # by depth
+            if len(place) <= _FEW:
+                few = self.followed(place.tolist(), frontier.tolist(), total, until)
+                for out, values in zip((places, symbols, parents), few, strict=True):
+                    out.append(np.array(values, out[0].dtype))
+                total += len(few[0])
+                break
+            numbers, before, found = self.induced(place)
+            inside = found < until
+            place = before[inside]
+            places.append(place)
+            symbols.append(found[inside])
+            parents.append(frontier[numbers[inside]])
+            frontier = np.arange(total, total + len(place))
+            total += len(place)
+        kind = np.ones(total, np.int8)
+        kind[: len(held)], kind[len(held) : n] = 0, 2
+        return np.concatenate(places), np.concatenate(symbols), np.concatenate(parents), kind, np.concatenate([own, np.zeros(total - n, np.uint8)])
+
+    def followed(self, places: list[int], numbers: list[int], total: int, until: int) -> tuple[list[int], list[int], list[int]]:
+        """What a few suffixes induce inside their range, each followed to its end."""
+        induced = self.before
+        out: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for place, number in zip(places, numbers, strict=True):
+            while (symbol := int(induced[place])) != self.none and symbol < until:
+                place -= 1
+                for values, value in zip(out, (place, symbol, number), strict=True):
+                    values.append(value)
+                number, total = total, total + 1
+        return out
+
+
+def _both_passes(level: _Level, places: np.ndarray, common: np.ndarray, exact: bool = True) -> tuple[TupleQueues, TupleQueues]:
+    """Large suffixes by range, upwards, and small suffixes by mirrored range, downwards, from the left-most small ones.
+
+    Unless ``exact``, equal symbols of those are all that is known; the large suffixes are not kept then.
+    """
+    cuts = np.searchsorted(level.ranges[level.text[places]], np.arange(level.n_ranges + 1))
+    first = lambda k: _tuples(places[cuts[k] : cuts[k + 1]], common[cuts[k] : cuts[k + 1]])
+    large, small = TupleQueues(level.n_ranges), TupleQueues(level.n_ranges)
+    _Pass(level, first, False, exact).run(large)
+
+    def downwards(number: int) -> np.ndarray:
+        # a tuple's common prefix is that of its successor then; the first of a symbol is set by the pass
+        own = large.take(level.n_ranges - 1 - number, keep=exact)[::-1]
+        return _tuples(_places(own), np.r_[np.uint8(0), _commons(own)][:-1])
+
+    _Pass(level, downwards, True, exact).run(small)
+    return large, small
+
+
+def _first_small(small: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(small[1:] & ~small[:-1]).astype(np.int32) + np.int32(1)
+
+
+def _sorted_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
+    """Left-most small suffixes in order, with common prefixes: names by a first induction, then recursion."""
+    first = _first_small(level.small)
+    if len(first) < 2:
+        return first, np.zeros(len(first), np.uint8)
+    symbols = level.text[first]
+    rough = first[_stable(symbols)]
+    _, small = _both_passes(level, rough, level.capped(level.weight[level.text[rough]]), False)
+    starts = np.zeros(len(level.text), bool)
+    starts[first] = True
+    places, commons = [], []
+    carried = np.uint8(255)
+    for number in range(level.n_ranges):  # downwards
+        own = small.take(number)
+        if not len(own):
+            continue
+        place, common = _places(own), _commons(own)
+        hit = np.flatnonzero(starts[place])
+        if len(hit):
+            least = _segment_minima(common, np.r_[0, hit[:-1] + 1], hit)
+            least[0] = min(least[0], carried)
+            places.append(place[hit])
+            commons.append(least)
+            rest = common[hit[-1] + 1 :]
+            carried = rest.min() if len(rest) else np.uint8(255)
+        else:
+            carried = min(carried, common.min())
+    by_piece, down = np.concatenate(places)[::-1], np.concatenate(commons)[::-1]
+    common = np.r_[np.uint8(0), down[:-1]]  # towards the smaller neighbour
+    # a piece runs from one left-most small suffix to the next, which it includes; the last one to the end
+    weights = level.weight[level.text].astype(np.int64)
+    sums = np.cumsum(weights) - weights
+    after = np.r_[first[1:], len(level.text) - 1]
+    span = sums[after] - sums[first]
+    number = (np.cumsum(starts, dtype=np.int32) - 1)[by_piece]
+    length = (span + weights[after])[number]
+    last = number == len(first) - 1
+    equal = np.zeros(len(first), bool)
+    a, b = slice(0, -1), slice(1, None)
+    equal[b] = (common[b] >= level.cap) | ((length[a] == length[b]) & (common[b] >= length[b]) & ~last[a] & ~last[b])
+    name = np.cumsum(~equal) - 1
+    n_names = int(name[-1]) + 1
+    if n_names == len(first):
+        return by_piece, common
+    reduced = np.empty(len(first), np.int32)
+    reduced[number] = name
+    weight = np.zeros(n_names, np.int64)
+    weight[name] = np.where(length >= level.cap, level.cap, span[number])  # long pieces of one name agree up to the cap
+    inner = _Level(_scratch(reduced), n_names, level.cap, np.maximum(weight, 1), common[~equal])
+    del weights, sums
+    order, found = _ordered(inner)
+    return first[order], found
+
+
+def _ordered(level: _Level) -> tuple[np.ndarray, np.ndarray]:
+    """All suffixes of a level in order, with common prefixes (at least: exact but for runs that end a piece)."""
+    places, common = _sorted_seeds(level)
+    large, small = _both_passes(level, places, common)
+    up = np.concatenate([large.take(k) for k in range(level.n_ranges)])
+    down = np.concatenate([small.take(k) for k in range(level.n_ranges)])[::-1]
+    own_up, own_down = level.text[_places(up)], level.text[_places(down)]
+    n_up, n_down = np.bincount(own_up, minlength=level.size), np.bincount(own_down, minlength=level.size)
+    at_up = np.arange(len(up)) + (np.cumsum(n_down) - n_down)[own_up]
+    at_down = np.arange(len(down)) + np.cumsum(n_up)[own_down]
+    order, out = np.empty(len(level.text), np.int32), np.zeros(len(level.text), np.uint8)
+    order[at_up], order[at_down] = _places(up), _places(down)
+    out[at_up], out[at_down] = _commons(up), np.r_[np.uint8(0), _commons(down)][:-1]
+    symbols = level.text[order]
+    head = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
+    out[head] = 0 if level.common is None else np.r_[np.uint8(0), level.common[1:]][symbols[head]]
+    meets = np.zeros(len(order), bool)  # the first small suffix after the large ones of its symbol
+    firsts = at_down[np.flatnonzero(np.r_[True, own_down[1:] != own_down[:-1]])] if len(down) else np.zeros(0, int)
+    meets[firsts] = True
+    meets[head] = False
+    out[meets] = level.capped(level.weight[symbols[meets]])
+    return order, out
+
+
+def _extend(text: np.ndarray, a: np.ndarray, b: np.ndarray, common: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefixes of pairs of places, which are at least ``common``, by comparing on from there."""
+    out, alive = common.astype(np.int64), np.flatnonzero(common < cap)
+    a, b, n = a.astype(np.int64), b.astype(np.int64), len(text)
+    while len(alive):
+        x, y = a[alive] + out[alive], b[alive] + out[alive]
+        alive = alive[(np.maximum(x, y) < n) & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])]
+        out[alive] += 1
+        alive = alive[out[alive] < cap]
+    return out.astype(np.uint8)
+
+
+def suffix_order(text: np.ndarray, cap: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of a text of bytes below 255 in the order of their first ``cap`` bytes, with common prefixes up to ``cap``.
+
+    ``common[k]`` is the length of the common prefix of suffix ``k`` and the one before. Suffixes that agree in ``cap``
+    bytes come in any order; a shorter suffix comes first.
+    """
+    level = _Level(_scratch(text), int(text.max(initial=0)) + 1, cap, None, None)
+    if len(text) < 2:
+        return np.arange(len(text), dtype=np.int32), np.zeros(len(text), np.uint8)
+    order, common = _ordered_bytes(level)
+    return order, common
+
+
+def _exact_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
+    places, common = _sorted_seeds(level)
+    if len(places) > 1:
+        common = np.r_[np.uint8(0), _extend(level.text, places[:-1], places[1:], common[1:], level.cap)]
+    return places, common
+
+
+def _ordered_bytes(level: _Level) -> tuple[np.ndarray, np.ndarray]:
+    large, small = _both_passes(level, *_exact_seeds(level))
+    order, common, last = [], [], None
+    for number in range(level.n_ranges):
+        up, down = large.take(number), small.take(level.n_ranges - 1 - number)[::-1]
+        place, own = np.r_[_places(up), _places(down)], np.r_[_commons(up), np.r_[np.uint8(0), _commons(down)][:-1]]
+        if not len(place):
+            continue
+        own[0] = 0
+        if len(up) and len(down):
+            own[len(up)] = _extend(level.text, _places(up[-1:]), _places(down[:1]), np.zeros(1, np.uint8), level.cap)[0]
+        order.append(place)
+        common.append(own)
+    return np.concatenate(order), np.concatenate(common)
+
+
+def repeated_starts(pieces: list[bytes], copies: np.ndarray, length: int) -> list[np.ndarray]:
+    """For each piece, which of its places start a string of ``length`` bytes that starts at another place as well.
+
+    ``copies`` tells how many equal pieces one stands for. Strings lie within one piece; places with fewer bytes left
+    are false. Pieces are valid UTF-8 or parts of it, so no byte is above 0xF4. ``length`` is at most 254.
     """
-    if not spans:
+    if not pieces:
         return []
-    raw = np.frombuffer(b"\0".join(spans) + b"\0" * 9, np.uint8)
-    sizes = np.array([len(s) for s in spans])
+    text = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8) + np.uint8(1)  # the end of a piece is 0
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ends = np.cumsum(sizes + 1) - 1
-    text = raw[: ends[-1] + 1].astype(np.uint16) + np.uint16(1)
-    text[ends] = 0
-    room = np.zeros(len(text), bool)  # a whole string begins here
-    for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
-        room[s : max(s, e - length + 1)] = True
-    order = suffix_order(text)
-    a, b = order[:-1], order[1:]
-    both = room[a] & room[b]
-    a, b = a[both].astype(np.int64), b[both].astype(np.int64)
-    words = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
-    # common prefixes of neighbours, far ends first: most differ there
-    for k in sorted({*range(0, length - 7, 8), length - 8}, reverse=True):
-        same = words[a + k] == words[b + k]
-        a, b = a[same], b[same]
+    begins = ends - sizes
     found = np.zeros(len(text), bool)
-    found[a] = found[b] = True
-    return [found[s:e] for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+    level = _Level(_scratch(text), int(text.max()) + 1, length, None, None)
+    large, small = _both_passes(level, *_exact_seeds(level))
+    for number in range(level.n_ranges):
+        up, down = large.take(number), small.take(level.n_ranges - 1 - number)
+        for own in (up, down):
+            place, hit = _places(own), np.flatnonzero(_commons(own) >= length)
+            found[place[hit]] = found[place[hit - 1]] = True
+        if len(up) and len(down):  # both begin with a run of one byte
+            a, b = _places(up[-1:]), _places(down[-1:])
+            if _extend(level.text, a, b, np.zeros(1, np.uint8), length)[0] >= length:
+                found[a] = found[b] = True
+    for k in np.flatnonzero(copies > 1).tolist():
+        found[begins[k] : ends[k]] = True
+    out = []
+    for lo, hi, size in zip(begins.tolist(), ends.tolist(), sizes.tolist(), strict=True):
+        own = found[lo:hi].copy()
+        own[max(0, size - length + 1) :] = False
+        out.append(own)
+    return out
