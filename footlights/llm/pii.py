@@ -2,11 +2,12 @@
 
 High-recall generators propose overlapping spans; a small gradient-boosted model over format and context features scores
 them; thresholds calibrated on other documents than the trees were fitted on select what is redacted. All row work is
-column expressions; the driver only sees one count for each combination of feature values.
+column expressions, linear in a text's matches; the driver only sees one count for each combination of feature values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,24 +20,26 @@ from .common import text_or_empty
 KINDS = ("email", "ip", "card", "phone")
 
 #: Base patterns (fixed values), written so that long runs are scanned once: a match begins where its first run begins
-#: or where the last match ended, and runs are possessive. Each equals the plain pattern in the comment.
+#: or where the last match ended, and runs are possessive. Each finds what the plain pattern in the comment does, the
+#: one for cards only those matches that have 13 to 19 digits.
 BASE = {
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     # [0-9]([\x20-]?[0-9])+
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: Generators of candidates beside the base matches (fixed values).
+#: Generators of candidates, of high recall (fixed values): addresses in words or without a domain, dotted numbers, long
+#: numbers with any dividers, groups of digits.
 GENERATORS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?|@)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9.])[0-9]{1,3}+(?:\.[0-9]{1,3}+){3}+(?!\.?[0-9])",
-    "card": r"(?<![0-9])(?:[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{1,7}+|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}|[0-9]{13,19}+)(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?|@)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]{1,63}+){0,8}+",
+    "ip": r"(?<![0-9.])[0-9]{1,3}+(?:\.[0-9]{1,3}+){2,5}+(?![0-9])",
+    "card": r"(?<![0-9])(?<![0-9][\x20.-])[0-9](?:[\x20.-]?[0-9]){11,19}+(?![\x20.-]?[0-9])",
+    "phone": r"(?<![0-9+])(?<![0-9][\x20./-])\+?\(?[0-9]{2,5}\)?(?:[\x20./-]\(?[0-9]{2,7}\)?){1,5}+(?![0-9])",
 }
 
 #: Words before a span that speak for a kind (fixed values).
@@ -47,9 +50,16 @@ CUES = {
     "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|fax|cell)\b",
 }
 
-FEATURES = ("valid", "plain", "free_before", "free_after", "cue", "rich", "in_run")
+#: Features (0 or 1). None of them is part of what makes a base match: neither the Luhn check and the number of digits of
+#: a card, nor the size and number of an address' parts, nor the plus and the digits of a phone number, nor the sign and
+#: the domain of an e-mail.
+FEATURES = ("cue", "free_before", "free_after", "line_start", "line_end", "near_another", "form_a", "form_b", "form_c")
+_N_FEATURES = len(FEATURES)
 
-_SPAN = "struct<kind:string,start:int,end:int,match:string>"
+_SPAN = "struct<kind:string,start:int,end:int>"
+_CANDIDATE = "struct<kind:string,start:int,end:int,base:boolean,features:int>"
+#: Elements that are appended to one array in a fold; longer lists are folded in parts of so many.
+_PART = 128
 
 
 def _digits(c: Column) -> Column:
@@ -78,81 +88,169 @@ def _valid(kind: str, match: Column) -> Column:
     return _octets(match) if kind == "ip" else F.lit(True)
 
 
-def _matches(text: Column, kind: str, pattern: str) -> Column:
-    """All leftmost matches of a pattern with their places in code points, end exclusive: ``array<_SPAN>``."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    # the end of match i is the sum of the gaps and matches up to it
-    start = F.aggregate(
-        F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("match"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["match"])).alias("at"),
-            F.concat(
-                acc["spans"],
-                F.array(F.struct(F.lit(kind).alias("kind"), (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + F.length(x["match"])).alias("end"), x["match"].alias("match"))),
-            ).cast(f"array<{_SPAN}>").alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.when(F.size(found) > 0, start).otherwise(F.array().cast(f"array<{_SPAN}>"))
-
-
-_NEEDS = {"email": "@", "phone": "+"}
-
-
-def base_spans(text: Column, kind: str) -> Column:
-    """Base matches of a kind that pass the kind's check; failing matches are dropped without another try."""
-    spans = F.filter(_matches(text, kind, BASE[kind]), lambda s: _valid(kind, s["match"]))
-    needed = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike("[0-9]")
-    return F.when(needed, spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+def _parts(items: Column) -> Column:
+    """An array cut into arrays of ``_PART`` elements."""
+    return F.when(
+        F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _PART).cast("int")), lambda k: F.slice(items, k * _PART + 1, F.lit(_PART)))
+    ).otherwise(F.array(F.slice(items, 1, 0)))
 
 
-def candidates(text: Column) -> Column:
-    """Proposed spans of all kinds with their features: ``array<struct<kind, start, end, f0 ...>>`` (features 0 or 1)."""
+def _placed(found: Column, gaps: Column, keep: Callable[[Column], Column]) -> Column:
+    """``array<struct<start, end, match, before, after, near>>`` of the matches that ``keep``, from matches and gaps.
 
-    def described(kind: str, s: Column) -> Column:
-        before, after = F.substr(text, F.greatest(s["start"] - 23, F.lit(1)), F.least(s["start"], F.lit(24))), F.substr(text, s["end"] + 1, F.lit(8))
-        digits = _digits(s["match"])
-        plain = {
-            "email": F.contains(s["match"], F.lit("@")),
-            "ip": ~s["match"].rlike(r"^0|\.0[0-9]|^(?:[0-9]\.){3}[0-9]$"),
-            "card": digits.rlike("^[3-6]"),
-            "phone": s["match"].rlike(r"^\+|\("),
-        }[kind]
-        facts = {
-            "valid": _valid(kind, s["match"]) if kind != "phone" else F.length(digits).between(10, 13),
-            "plain": plain,
-            "free_before": ~before.rlike(r"[A-Za-z0-9_=/.:#-]$"),
-            "free_after": ~after.rlike(r"^(?:[A-Za-z0-9_=/:#-]|\.[0-9A-Za-z])"),
-            "cue": before.rlike(CUES[kind]),
-            "rich": F.size(F.array_distinct(F.split(digits, ""))) >= (1 if kind == "email" else 4),
-            "in_run": before.rlike(r"[0-9][\x20().-]*$") | after.rlike(r"^[\x20().-]*[0-9]"),
-        }
-        return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), *[F.coalesce(facts[f], F.lit(False)).cast("int").alias(f) for f in FEATURES])
-
-    def proposed(kind: str) -> Column:
-        return F.transform(_matches(text, kind, GENERATORS[kind]), lambda s: described(kind, s))
-
-    lists = [proposed(k) for k in KINDS]
-    empty = F.slice(lists[0], 1, 0)
-    return F.when(text.rlike(r"[0-9]|[\[(@] ?[aA]?[tT]?"), F.concat(*lists)).otherwise(empty)
+    ``gaps`` are ``struct<n, tail, head>`` of the text between the matches. Places are sums of lengths: first over
+    parts of the list, then within each part, so that no long array is copied for each match.
+    """
+    near = lambda i: ((i > 0) & (F.get(gaps, i)["n"] <= 2)) | ((i < F.size(found) - 1) & (F.get(gaps, i + 1)["n"] <= 2))
+    items = F.transform(
+        found,
+        lambda m, i: F.struct(F.get(gaps, i)["n"].alias("gap"), F.length(m).alias("n"), m.alias("match"), F.get(gaps, i)["tail"].alias("before"), F.get(gaps, i + 1)["head"].alias("after"), near(i).alias("near")),
+    )
+    parts = _parts(items)
+    sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x["gap"] + x["n"]))
+    begins = F.aggregate(sums, F.array(F.lit(0)).cast("array<int>"), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)).cast("array<int>"))
+    kind = "array<struct<start:int,end:int,match:string,before:string,after:string,near:boolean>>"
+
+    def within(part: Column, begin: Column) -> Column:
+        place = lambda a, x: F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end"), x["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after"), x["near"].alias("near"))
+        return F.aggregate(
+            part,
+            F.struct(begin.alias("at"), F.array().cast(kind).alias("out")),
+            lambda a, x: F.struct((a["at"] + x["gap"] + x["n"]).alias("at"), F.when(keep(x["match"]), F.concat(a["out"], F.array(place(a, x)))).otherwise(a["out"]).cast(kind).alias("out")),
+            lambda a: a["out"],
+        )
+
+    return F.flatten(F.transform(parts, lambda p, k: within(p, F.get(begins, k))))
+
+
+def _forms(kind: str, match: Column) -> list[Column]:
+    """Three features of a match's form."""
+    digits = _digits(match)
+    return {
+        "email": [match.rlike(r"^[^@\[(]*[0-9]"), match.rlike(r"^[^@\[(]*[._-]"), match.rlike(r"(?i)(?:com|org|net|edu|info|[a-z]{2})$")],
+        "ip": [match.rlike(r"(?:^|\.)0[0-9]"), match.rlike(r"^(?:[0-9]\.)+[0-9]$"), match.rlike(r"^(?:10|127|172|192)\.")],
+        "card": [digits.rlike("^[3-6]"), match.rlike(r"^[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|^[0-9]{4}[\x20-][0-9]{6}[\x20-]"), F.size(F.array_distinct(F.split(digits, ""))) >= 5],
+        "phone": [match.contains("("), match.rlike(r"[0-9]{4}-[01][0-9]-[0-3][0-9]|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}"), match.rlike(r"[0-9]{3,4}[\x20.-]?[0-9]{4}$")],
+    }[kind]
+
+
+def _described(kind: str) -> Callable[[Column], Column]:
+    """A placed match as a candidate with its features."""
+
+    def described(s: Column) -> Column:
+        facts = [
+            s["before"].rlike(CUES[kind]),
+            ~s["before"].rlike(r"[A-Za-z0-9_=/.:#-]$"),
+            ~s["after"].rlike(r"^(?:[A-Za-z0-9_=/:#-]|\.[0-9A-Za-z])"),
+            s["before"].rlike(r"(?:^|\n)\s*$"),
+            s["after"].rlike(r"^\s*(?:\n|$)"),
+            s["near"],
+            *_forms(kind, s["match"]),
+        ]
+        bits = reduce(lambda a, b: a + b, [F.when(f, 1 << k).otherwise(0) for k, f in enumerate(facts)])
+        return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(False).alias("base"), bits.alias("features"))
+
+    return described
+
+
+_WANTED = {"email": r"@|[\[(] ?(?:at|AT) ?[\])]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9 .-]{10}", "phone": r"[0-9][0-9 ./()-]{5}"}
+_NEEDS = {"email": "@", "phone": "+", "ip": ".", "card": ""}
+
+
+def base_spans(docs: DataFrame, text: Column, out: str) -> DataFrame:
+    """Add the base matches of all kinds that pass their kind's check, ``array<_SPAN>``; failing ones get no other try."""
+    names = []
+    for kind in KINDS:
+        gaps = F.transform(F.split(text, BASE[kind], -1), lambda g: F.struct(F.length(g).alias("n"), F.lit("").alias("tail"), F.lit("").alias("head")))
+        found, name = F.regexp_extract_all(text, F.lit(BASE[kind]), F.lit(0)), f"_b_{kind}"
+        names.append(name)
+        docs = docs.withColumn(name, F.when(text.contains(_NEEDS[kind]) & text.rlike("[0-9]" if kind != "email" else "@"), F.struct(found.alias("found"), gaps.alias("gaps"))))
+    as_span = lambda kind: lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    for kind, name in zip(KINDS, names, strict=True):
+        spans = F.transform(_placed(F.col(name)["found"], F.col(name)["gaps"], lambda m, k=kind: _valid(k, m)), as_span(kind))
+        docs = docs.withColumn(name, F.when(F.size(F.col(name)["found"]) > 0, spans).otherwise(F.array()).cast(f"array<{_SPAN}>"))
+    return docs.withColumn(out, F.concat(*names)).drop(*names)
+
+
+def propose(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``_base`` (base spans) and ``_candidates`` (proposed spans with their features as bits) to every row.
+
+    A candidate is ``base`` if it overlaps a base match of its kind. Null texts count as empty. Columns that bear one of
+    the two names are replaced. Made once and written, both the fit and the search use it.
+    """
+    docs = docs.drop("_base", "_candidates").withColumn("_text", text_or_empty(text_col))
+    text = F.col("_text")
+    docs = base_spans(docs, text, "_base")
+    names = []
+    for kind in KINDS:
+        gaps = F.transform(F.split(text, GENERATORS[kind], -1), lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(24)).alias("tail"), F.left(g, F.lit(8)).alias("head")))
+        found, name = F.regexp_extract_all(text, F.lit(GENERATORS[kind]), F.lit(0)), f"_g_{kind}"
+        names.append(name)
+        docs = docs.withColumn(name, F.when(text.rlike(_WANTED[kind]), F.struct(found.alias("found"), gaps.alias("gaps"))))
+    n_digits = lambda m: F.length(_digits(m))
+    keeps = {"email": lambda m: F.lit(True), "ip": lambda m: F.lit(True), "card": lambda m: F.lit(True), "phone": lambda m: n_digits(m).between(7, 15)}
+    for kind, name in zip(KINDS, names, strict=True):
+        placed = _placed(F.col(name)["found"], F.col(name)["gaps"], keeps[kind])
+        docs = docs.withColumn(name, F.when(F.size(F.col(name)["found"]) > 0, placed))
+        docs = docs.withColumn(name, F.coalesce(F.transform(name, _described(kind)), F.array()).cast(f"array<{_CANDIDATE}>"))
+    return docs.withColumn("_candidates", _marked(F.concat(*names), F.col("_base"))).drop(*names, "_text")
+
+
+def _marked(candidates: Column, base: Column) -> Column:
+    """Candidates with ``base`` set where a base span of the kind overlaps: one sweep over both by kind and place.
+
+    A candidate overlaps a base span if one begins within it, or one that began before reaches into it.
+    """
+    items = F.array_sort(
+        F.concat(
+            F.transform(candidates, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), F.lit(1).alias("what"), c["end"].alias("end"), c["features"].alias("features"))),
+            F.transform(base, lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), F.lit(0).alias("what"), b["end"].alias("end"), F.lit(0).alias("features"))),
+        )
+    )
+    kind = f"struct<kind:string,reach:int,open:array<{_CANDIDATE}>,out:array<{_CANDIDATE}>>"
+    state = lambda k, reach, held, out: F.struct(k.alias("kind"), reach.alias("reach"), held.alias("open"), out.alias("out")).cast(kind)
+    none = F.array().cast(f"array<{_CANDIDATE}>")
+
+    def step(a: Column, x: Column) -> Column:
+        other = a["kind"] != x["kind"]
+        reach = F.when(other, F.lit(-1)).otherwise(a["reach"])
+        # a base span may begin within the candidate that is still open
+        hit = ~other & (x["what"] == 0)
+        closed = F.transform(a["open"], lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), (c["base"] | (hit & (x["start"] < c["end"]))).alias("base"), c["features"].alias("features")))
+        fresh = F.array(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), (x["start"] < reach).alias("base"), x["features"].alias("features")))
+        return F.when(x["what"] == 0, state(x["kind"], F.greatest(reach, x["end"]), closed, a["out"])).otherwise(state(x["kind"], reach, fresh, F.concat(a["out"], a["open"])))
+
+    def part(a: Column, p: Column) -> Column:
+        return F.aggregate(p, state(a["kind"], a["reach"], a["open"], none), step)
+
+    whole = f"struct<kind:string,reach:int,open:array<{_CANDIDATE}>,outs:array<array<{_CANDIDATE}>>>"
+    swept = F.aggregate(
+        _parts(items),
+        F.struct(F.lit("").alias("kind"), F.lit(-1).alias("reach"), none.alias("open"), F.array().cast(f"array<array<{_CANDIDATE}>>").alias("outs")).cast(whole),
+        lambda a, p: F.aggregate(F.array(part(a, p)), a, lambda b, r: F.struct(r["kind"].alias("kind"), r["reach"].alias("reach"), r["open"].alias("open"), F.concat(b["outs"], F.array(r["out"])).alias("outs")).cast(whole)),
+        lambda a: F.concat(F.flatten(a["outs"]), a["open"]),
+    )
+    return F.when(F.size(candidates) > 0, swept).otherwise(none)
 
 
 @dataclass(frozen=True)
 class Booster:
-    """Per kind: a start score, depth-two trees ``(feature, feature, four leaf values)``, and a probability threshold."""
+    """Per kind that could be fitted: a start score, depth-two trees ``(feature, feature, four leaf values)``, a scale for
+    calibration, the share of positives that are labelled, and a probability threshold."""
 
     start: dict[str, float]
     trees: dict[str, list[tuple[int, int, tuple[float, float, float, float]]]]
     scale: dict[str, tuple[float, float]]
+    labelled: dict[str, float]
     threshold: dict[str, float]
 
-    def probability(self, kind: str, span: Column) -> Column:
-        """Calibrated probability of a candidate of one kind."""
-        leaf = lambda a, b, v: F.when(span[FEATURES[a]] == 1, F.when(span[FEATURES[b]] == 1, v[3]).otherwise(v[2])).otherwise(F.when(span[FEATURES[b]] == 1, v[1]).otherwise(v[0]))
+    def probability(self, kind: str, features: Column) -> Column:
+        """Calibrated probability that a candidate of one kind is personal data."""
+        bit = lambda k: F.getbit(features, F.lit(k)) == 1
+        leaf = lambda a, b, v: F.when(bit(a), F.when(bit(b), v[3]).otherwise(v[2])).otherwise(F.when(bit(b), v[1]).otherwise(v[0]))
         score = reduce(lambda x, t: x + leaf(*t), self.trees[kind], F.lit(self.start[kind]))
         a, b = self.scale[kind]
-        return 1 / (1 + F.exp(-(F.lit(a) * score + F.lit(b))))
+        return F.least(F.lit(1.0), 1 / (1 + F.exp(-(F.lit(a) * score + F.lit(b)))) / F.lit(self.labelled[kind]))
 
 
 def _boost(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, rounds: int, rate: float) -> tuple[float, list]:
@@ -180,42 +278,33 @@ def _boost(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, rounds: int, rate: f
     return start, trees
 
 
-def fit_booster(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rounds: int = 24, rate: float = 0.4, precision: float = 0.98) -> Booster:
-    """Fit trees and thresholds on the candidates of all documents.
+def fit_booster(proposed: DataFrame, id_col: str = "doc_id", rounds: int = 24, rate: float = 0.4, precision: float = 0.95) -> Booster:
+    """Fit trees and thresholds on the candidates of all rows of ``propose``.
 
-    Labels are weak: a candidate that is itself a base match is an example, one whose check fails, whose digits hardly
-    vary or that is glued to a longer word or number is a counter-example, and one that overlaps a base match that
-    failed is left unlabelled. Counts for each combination of kind, features, label and fold (at most 4 x 2**7 x 2 x 2)
-    are summed by Spark over all documents, and only they reach the driver. Trees are fitted on one half of the
-    documents; on the other half scores are calibrated (Platt) and each kind's threshold is set to the least
-    probability from which on at least ``precision`` of the candidates are examples.
+    Candidates at base matches are labelled positives; the others are unlabelled, since a number in another form, or with
+    a mistyped digit, is personal data as well. The features say nothing of what makes a base match, so the trees learn
+    in which form and surroundings base matches stand. Counts for each combination of kind, features, label and fold (at
+    most 4 x 2**9 x 2 x 2) are summed by Spark over all documents, and only they reach the driver. Trees are fitted on
+    one half of the documents. On the other half scores are calibrated (Platt); the mean of the calibrated scores of its
+    labelled candidates estimates which share of the positives is labelled, and a candidate's probability is its score
+    over that share. A kind's threshold is the least probability, 0.5 at least, from which on the mean of the other
+    half's unlabelled candidates is ``precision``.
 
-    Kinds without both labels accept candidates that pass every format feature and nothing else. Null texts count as empty.
+    A kind without labelled or without unlabelled candidates in both halves has no trees: nothing is added to its base.
     """
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), text_or_empty(text_col).alias("t")).where(F.col("t").rlike(r"[0-9@]|[\[(]"))
-    base = reduce(F.concat, [F.transform(base_spans(F.col("t"), k), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])) for k in KINDS])
-    found = rows.select(F.pmod("h", F.lit(2)).alias("fold"), base.alias("base"), F.explode(candidates(F.col("t"))).alias("c"))
-    is_base = F.array_contains("base", F.concat_ws(":", F.col("c.kind"), F.col("c.start"), F.col("c.end")))
-    against = (F.col("c.valid") == 0) | (F.col("c.rich") == 0) | (F.col("c.free_before") == 0) | (F.col("c.free_after") == 0)
-    label = F.when(is_base & ~against, 1).when(against, 0)
-    flat = found.select("fold", label.alias("label"), "c.kind", *[f"c.{f}" for f in FEATURES]).where("label is not null")
-    counts = flat.groupBy("kind", "fold", "label", *FEATURES).count().collect()
-    start, trees, scale, threshold = {}, {}, {}, {}
+    found = proposed.select(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(2)).alias("fold"), F.explode("_candidates").alias("c"))
+    counts = found.groupBy("c.kind", "fold", F.col("c.base").cast("int").alias("label"), "c.features").count().collect()
+    model = Booster({}, {}, {}, {}, {})
     for kind in KINDS:
-        own = [r for r in counts if r.kind == kind]
-        table: dict[tuple, np.ndarray] = {}
-        for r in sorted(own):
-            table.setdefault(tuple(r[f] for f in FEATURES), np.zeros((2, 2)))[r.fold, r.label] += r["count"]
-        x, n = np.array(list(table) or np.zeros((0, len(FEATURES))), int), np.array(list(table.values()) or np.zeros((0, 2, 2)))
-        totals = n.sum(0) if len(n) else np.zeros((2, 2))
-        if (totals < 5).any():
-            # every format feature must hold: a tree that says so, and a threshold between its leaves
-            need = [FEATURES.index(f) for f in ("valid", "plain", "free_before", "free_after", "rich")]
-            start[kind], trees[kind] = -9.0, [(a, b, (0.0, 2.0, 2.0, 4.0)) for a, b in zip(need, need[1:] + need[:1], strict=True)]
-            scale[kind], threshold[kind] = (1.0, 0.0), float(1 / (1 + np.exp(-10.0)))
+        table: dict[int, np.ndarray] = {}
+        for r in sorted(r for r in counts if r.kind == kind):
+            table.setdefault(r.features, np.zeros((2, 2)))[r.fold, r.label] += r["count"]
+        n = np.array(list(table.values()) or np.zeros((0, 2, 2)))
+        if not len(n) or not n.sum(0).all():
             continue
-        start[kind], trees[kind] = _boost(x, n[:, 0, 1], n[:, 0, 0], rounds, rate)
-        score = start[kind] + sum(np.array(v)[2 * x[:, a] + x[:, b]] for a, b, v in trees[kind])
+        x = (np.array(list(table))[:, None] >> np.arange(_N_FEATURES)) & 1
+        start, trees = _boost(x, n[:, 0, 1], n[:, 0, 0], rounds, rate)
+        score = start + sum((np.array(v)[2 * x[:, a] + x[:, b]] for a, b, v in trees), np.zeros(len(x)))
         pos, neg = n[:, 1, 1], n[:, 1, 0]
         a, b = 1.0, 0.0
         for _ in range(50):  # Platt: Newton steps of a two-parameter logistic fit
@@ -225,61 +314,92 @@ def fit_booster(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             h = np.array([[(w * score * score).sum() + 1e-2, (w * score).sum()], [(w * score).sum(), w.sum() + 1e-2]])
             a, b = np.array([a, b]) - np.clip(np.linalg.solve(h, g), -1, 1)
         p = 1 / (1 + np.exp(-(a * score + b)))
+        labelled = float((pos * p).sum() / pos.sum())
+        p = np.minimum(1.0, p / labelled)
         order = np.argsort(-p, kind="stable")
-        good = np.cumsum(pos[order]) >= precision * np.cumsum((pos + neg)[order])
-        at = max((i for i, ok in enumerate(good) if ok), default=-1)
-        scale[kind], threshold[kind] = (float(a), float(b)), max(0.5, float(p[order[at]]) - 1e-9) if at >= 0 else 1.0
-    return Booster(start, trees, scale, threshold)
+        weight, sure = np.cumsum(neg[order]), np.cumsum((neg * p)[order])
+        at = max((i for i in range(len(p)) if p[order[i]] >= 0.5 and sure[i] >= precision * weight[i]), default=-1)
+        model.start[kind], model.trees[kind], model.scale[kind], model.labelled[kind] = start, trees, (float(a), float(b)), labelled
+        model.threshold[kind] = float(p[order[at]]) - 1e-9 if at >= 0 else 2.0
+    return model
 
 
-def find_pii(docs: DataFrame, model: Booster, text_col: str = "text") -> DataFrame:
-    """Add ``pii`` to every row: the spans ``array<struct<kind, start, end, base>>`` in order of kind and start.
+def find_pii(proposed: DataFrame, model: Booster) -> DataFrame:
+    """Replace the columns of ``propose`` by ``pii``: the spans ``array<struct<kind, start, end, base>>`` by kind and start.
 
-    Base spans always stay. A candidate is added if its probability reaches its kind's threshold and it overlaps neither
-    a base span of any kind nor a likelier added one (ties: kind order, then start). Places are code points, the end is
-    exclusive. Null and empty texts have no spans; other columns stay.
+    Base spans always stay. Of the other candidates those whose probability reaches their kind's threshold are added,
+    from left to right: none that overlaps a base span of any kind, and of two that overlap the likelier one (ties: the
+    one that begins first, then kind order). Places are code points, the end is exclusive. Null and empty texts have no
+    spans; other columns stay.
     """
-    text = text_or_empty(text_col)
-    rank = lambda s: reduce(lambda x, k: F.when(s["kind"] == k[1], k[0]).otherwise(x), list(enumerate(KINDS)), F.lit(9))
-    kept_type = "array<struct<rank:int,start:int,end:int,kind:string,base:boolean>>"
-    as_kept = lambda s, base: F.struct(rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(base).alias("base"))
-    staged = docs.select(*[c for c in docs.columns if c != "pii"])
-    staged = staged.withColumn("_base", F.concat(*[base_spans(text, k) for k in KINDS])).withColumn("_cand", candidates(text))
-    scored = F.transform(
-        "_cand",
-        lambda s: F.struct(
-            (-reduce(lambda x, k: F.when(s["kind"] == k, model.probability(k, s)).otherwise(x), KINDS, F.lit(0.0))).alias("minus_p"),
-            (reduce(lambda x, k: F.when(s["kind"] == k, F.lit(model.threshold[k])).otherwise(x), KINDS, F.lit(2.0))).alias("least"),
-            as_kept(s, False).alias("span"),
-        ),
+    rank = lambda c: reduce(lambda x, k: F.when(c == k[1], k[0]).otherwise(x), list(enumerate(KINDS)), F.lit(9))
+    item = "struct<start:int,rank:int,p:double,end:int,kind:string,base:boolean>"
+    chance = lambda c: reduce(lambda x, k: F.when(c["kind"] == k, model.probability(k, c["features"])).otherwise(x), list(model.trees), F.lit(0.0))
+    least = lambda c: reduce(lambda x, k: F.when(c["kind"] == k, F.lit(model.threshold[k])).otherwise(x), list(model.trees), F.lit(2.0))
+    as_item = lambda c, p, base: F.struct(c["start"].alias("start"), rank(c["kind"]).alias("rank"), p.alias("p"), c["end"].alias("end"), c["kind"].alias("kind"), F.lit(base).alias("base"))
+    out = proposed.drop("pii").withColumn("_likely", F.transform(F.filter("_candidates", lambda c: ~c["base"] & (chance(c) >= least(c))), lambda c: as_item(c, chance(c), False)).cast(f"array<{item}>"))
+    base = F.transform("_base", lambda b: as_item(b, F.lit(1.0), True)).cast(f"array<{item}>")
+    spans = F.when(F.size("_likely") > 0, F.concat(base, _chosen(F.array_sort(F.concat(base, F.col("_likely"))), item))).otherwise(base)
+    sorted_spans = F.array_sort(F.transform(spans, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["base"].alias("base"))))
+    return out.withColumn("pii", F.transform(sorted_spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base")))).drop("_base", "_candidates", "_likely")
+
+
+def _chosen(items: Column, item: str) -> Column:
+    """Those of the items by place, no base spans, that overlap neither a base span nor a likelier one next to them."""
+    none = F.array().cast(f"array<{item}>")
+    kind = f"struct<reach:int,held:array<{item}>,out:array<{item}>>"
+
+    def step(a: Column, x: Column) -> Column:
+        held = a["held"]
+        free = (F.size(held) > 0) & (F.get(held, F.lit(0))["end"] <= x["start"])
+        blocked = x["start"] < a["reach"]
+        mine = F.when(x["base"], none).when(blocked, held).when((F.size(held) == 0) | free | (x["p"] > F.get(held, F.lit(0))["p"]), F.array(x)).otherwise(held)
+        kept = F.when(free & (x["base"] | ~blocked), F.concat(a["out"], held)).otherwise(a["out"])
+        return F.struct(F.when(x["base"], F.greatest(a["reach"], x["end"])).otherwise(a["reach"]).alias("reach"), mine.alias("held"), kept.alias("out")).cast(kind)
+
+    whole = f"struct<reach:int,held:array<{item}>,outs:array<array<{item}>>>"
+    part = lambda a, p: F.aggregate(p, F.struct(a["reach"].alias("reach"), a["held"].alias("held"), none.alias("out")).cast(kind), step)
+    return F.aggregate(
+        _parts(items),
+        F.struct(F.lit(-1).alias("reach"), none.alias("held"), F.array().cast(f"array<array<{item}>>").alias("outs")).cast(whole),
+        lambda a, p: F.aggregate(F.array(part(a, p)), a, lambda b, r: F.struct(r["reach"].alias("reach"), r["held"].alias("held"), F.concat(b["outs"], F.array(r["out"])).alias("outs")).cast(whole)),
+        lambda a: F.concat(F.flatten(a["outs"]), a["held"]),
     )
-    likely = F.array_sort(F.filter(scored, lambda s: -s["minus_p"] >= s["least"]))
-    base = F.transform("_base", lambda s: as_kept(s, True)).cast(kept_type)
-    spans = F.aggregate(
-        likely,
-        base,
-        lambda kept, s: F.when(F.exists(kept, lambda k: (k["start"] < s["span"]["end"]) & (s["span"]["start"] < k["end"])), kept).otherwise(F.concat(kept, F.array(s["span"]))).cast(kept_type),
-    )
-    return staged.withColumn("pii", F.transform(F.array_sort(spans), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base")))).drop("_base", "_cand")
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace the spans in ``pii`` by ``<EMAIL>``, ``<IP>``, ``<CARD>`` or ``<PHONE>``; overlapping spans become one mark.
 
-    Null texts stay null. The column ``pii`` stays.
+    Null texts stay null. The column ``pii`` stays. The text is cut before every ``_PART`` spans, and the parts are marked.
     """
     text = F.col(text_col)
     ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    parts = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))))).alias("out"),
-        ),
-        lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substr(text, acc["at"] + 1, F.length(text)))), ""),
-    )
-    return docs.withColumn(text_col, F.when(F.size("pii") > 0, parts).otherwise(text))
+    # overlapping spans: the first one's mark, up to the last end
+    joined = "array<struct<start:int,end:int,kind:string>>"
+    merge = lambda a, s: F.when(
+        (F.size(a) > 0) & (s["start"] < F.element_at(a, -1)["end"]),
+        F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], s["end"]).alias("end"), F.element_at(a, -1)["kind"].alias("kind")))),
+    ).otherwise(F.concat(a, F.array(s)))
+    outer = lambda a, p: F.concat(a, F.array(F.aggregate(p, F.slice(F.element_at(a, -1), -1, 1).cast(joined), lambda b, s: merge(b, s).cast(joined)))).cast(f"array<{joined}>")
+    # each part begins with the last span of the part before, which may still grow: it is dropped there
+    grown = F.aggregate(_parts(F.slice(ordered, 2, F.size(ordered))), F.array(F.slice(ordered, 1, 1)).cast(f"array<{joined}>"), outer)
+    parts = F.transform(grown, lambda p, k: F.when(k < F.size(grown) - 1, F.slice(p, 1, F.size(p) - 1)).otherwise(p))
+    docs = docs.withColumn("_parts", F.when(F.size("pii") > 0, F.filter(parts, lambda p: F.size(p) > 0)))
+    begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(F.get(F.col("_parts"), k - 1), -1)["end"])
+
+    def marked(p: Column, k: Column) -> Column:
+        own = F.substr(text, begin(k) + 1, F.element_at(p, -1)["end"] - begin(k))
+        return F.aggregate(
+            F.array(own),
+            F.lit(""),
+            lambda _, cut: F.array_join(
+                F.transform(p, lambda s, i: F.concat(F.substr(cut, F.when(i == 0, F.lit(0)).otherwise(F.get(p, i - 1)["end"] - begin(k)) + 1, s["start"] - F.when(i == 0, begin(k)).otherwise(F.get(p, i - 1)["end"])), F.lit("<"), F.upper(s["kind"]), F.lit(">"))), ""
+            ),
+        )
+
+    tail = F.substr(text, F.element_at(F.element_at(F.col("_parts"), -1), -1)["end"] + 1, F.length(text))
+    safe = F.concat(F.array_join(F.transform("_parts", marked), ""), tail)
+    return docs.withColumn(text_col, F.when(F.size("_parts") > 0, safe).otherwise(text)).drop("_parts")
 
 
 def pii_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .archive import new_archive_path, read_archive, write_archive
-from .common import table
+from .common import stash, table
 from .decontaminate import contamination
 from .jaccard import near_duplicates
 from .language import fit_dictionaries, held_out, predict_language
 from .packing import pack, token_pieces
-from .pii import find_pii, fit_booster, pii_digest
+from .pii import find_pii, fit_booster, pii_digest, propose
 from .quality import fit_line_model, labelled_documents, quality
 from .substrings import remove_repeats
 from .tokens import count_tokens
@@ -72,8 +72,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; the trees learn from the candidates of all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii_digest(find_pii(docs, fit_booster(docs)))
+    proposed = stash(propose(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "candidates")
+    return pii_digest(find_pii(proposed, fit_booster(proposed)))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
