@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -29,10 +30,14 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class LineModel:
-    """A two-label chain: ``weights[label, feature]`` and ``moves[from, to]``; label 1 is content."""
+    """A two-label chain: ``weights[label, feature]`` and ``moves[from, to]``; label 1 is content.
+
+    ``held_out``: shares of lines and documents outside the fit that it labels as they are, if it was fitted.
+    """
 
     weights: np.ndarray
     moves: np.ndarray
+    held_out: tuple[float, float] | None = None
 
 
 def _plain_model() -> LineModel:
@@ -66,31 +71,77 @@ def _split(text: str) -> tuple[list[bytes], list[list[bytes]]]:
     return [x[0] for x in lines], [x[1] for x in lines]
 
 
-def fit_line_model(labelled: DataFrame, text_col: str = "text", label_col: str = "good", max_rows: int = 1600, steps: int = 120, rate: float = 0.15) -> LineModel:
-    """Fit the chain by maximum likelihood on at most ``max_rows`` labelled documents; both labels weigh the same.
+def fit_line_model(labelled: DataFrame, text_col: str = "text", label_col: str = "good", max_rows: int = 1600, rounds: int = 2) -> LineModel:
+    """Fit the chain by maximum likelihood on at most ``max_rows`` labelled documents, with line labels of its own.
 
-    ``labelled`` has a text and a boolean label; every line of a document bears its document's label. The sample takes
-    the least hashes of the text and is all that reaches the driver. Without both labels the plain model is returned.
+    ``labelled`` has a text and a boolean label. The sample takes the least hashes of the text and is all that reaches the
+    driver; a quarter of it is held out of the fit and gives ``LineModel.held_out``.
+
+    Lines have no labels, so they are hidden: at first a line is content in a good document and boilerplate in a bad one
+    or if three documents or more of the sample have it. A chain is fitted, lines of which it is sure get the label that
+    it gives them, whatever their document, and it is fitted again (``rounds`` times). Chains are the documents, and good
+    documents into which lines of a bad one are spliced: so moves between content and boilerplate are learned where they
+    happen, inside a document. Without both labels the plain model is returned.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"))
     picked = rows.orderBy(F.xxhash64("t"), "y").limit(max_rows).collect()
-    chains = [(line_features(*parts), int(r.y)) for r in picked if (parts := _split(r.t))[0]]
-    chains = [(x[at : at + _CHAIN], y) for x, y in chains for at in range(0, len(x), _CHAIN)]
-    if len({y for _, y in chains}) < 2:
+    found = [(parts, int(r.y)) for r in picked if (parts := _split(r.t))[0]]
+    in_documents = Counter(line for (lines, _), _ in found for line in set(lines))
+    documents = [(lines, words, np.array([int(y and in_documents[line] < 3) for line in lines])) for (lines, words), y in found]
+    told = [y for _, y in found]
+    fit, test = [[d for k, d in enumerate(documents) if (k % 4 == 3) == held] for held in (False, True)]
+    fit_told, test_told = [[y for k, y in enumerate(told) if (k % 4 == 3) == held] for held in (False, True)]
+    if len(set(fit_told)) < 2:
         return _plain_model()
+    for _ in range(rounds):
+        chains = _chains(fit, fit_told)
+        model = LineModel(*_likeliest([(line_features(lines, words), y) for lines, words, y in chains]))
+        for lines, words, y in fit:
+            margin = line_features(lines, words) @ (model.weights[1] - model.weights[0])
+            y[np.abs(margin) > _SURE] = (margin > 0)[np.abs(margin) > _SURE]
+    model = LineModel(*_likeliest([(line_features(lines, words), y) for lines, words, y in _chains(fit, fit_told)]))
+    return replace(model, held_out=_agreement(model, _chains(test, test_told), test, test_told))
+
+
+#: Log odds from which on a fitted chain is sure of a line by itself.
+_SURE = 3.0
+Lines = tuple[list[bytes], list[list[bytes]], np.ndarray]
+
+
+def _chains(documents: list[Lines], told: list[int]) -> list[Lines]:
+    """All documents, and each good one with lines of a bad one in its middle."""
+    good, bad = ([d for d, y in zip(documents, told, strict=True) if y == label] for label in (1, 0))
+    out = [*good, *bad]
+    for k, (lines, words, y) in enumerate(good if bad else []):
+        more = bad[k % len(bad)]
+        at, n = (k * 7919) % (len(lines) + 1), 1 + k % 12
+        out.append((lines[:at] + more[0][:n] + lines[at:], words[:at] + more[1][:n] + words[at:], np.concatenate([y[:at], more[2][:n], y[at:]])))
+    return out
+
+
+def _agreement(model: LineModel, chains: list[Lines], documents: list[Lines], told: list[int]) -> tuple[float, float]:
+    """Shares of held-out lines that are labelled as where they come from, and of documents that are judged as told."""
+    hits = [np.mean(np.array(viterbi(line_features(lines, words), model)) == y) for lines, words, y in chains]
+    shares = [np.average(viterbi(line_features(lines, words), model), weights=[len(w) for w in words]) for lines, words, _ in documents]
+    return float(np.mean(hits)) if hits else 1.0, float(np.mean([(s >= 0.5) == bool(y) for s, y in zip(shares, told, strict=True)])) if told else 1.0
+
+
+def _likeliest(labelled: list[tuple[np.ndarray, np.ndarray]], steps: int = 100, rate: float = 0.15) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and moves of the likeliest chain, by adaptive gradient steps; both labels weigh the same."""
     # equal chains are one chain with a count
-    groups: dict[tuple[bytes, int, int], int] = {}
-    for x, y in chains:
-        key = (x.tobytes(), len(x), y)
-        groups[key] = groups.get(key, 0) + 1
-    size, d = max(n for _, n, _ in groups), len(FEATURES)
-    x, mask, y, count = np.zeros((len(groups), size, d)), np.zeros((len(groups), size)), np.zeros(len(groups), int), np.zeros(len(groups))
-    for i, ((raw, n, label), times) in enumerate(groups.items()):
-        x[i, :n], mask[i, :n], y[i], count[i] = np.frombuffer(raw, np.float32).reshape(n, d), 1, label, times
-    share = np.bincount(y, count * mask.sum(1), 2)
-    count = count / share[y] * 0.5  # both labels weigh the same
+    groups: Counter[tuple[bytes, bytes]] = Counter()
+    for x, y in labelled:
+        for at in range(0, len(x), _CHAIN):
+            groups[x[at : at + _CHAIN].tobytes(), y[at : at + _CHAIN].astype(np.int8).tobytes()] += 1
+    size, d = max(len(y) for _, y in groups), len(FEATURES)
+    x, mask, own, count = np.zeros((len(groups), size, d)), np.zeros((len(groups), size)), np.zeros((len(groups), size), int), np.zeros(len(groups))
+    for i, ((raw, y), times) in enumerate(groups.items()):
+        x[i, : len(y)], mask[i, : len(y)], own[i, : len(y)], count[i] = np.frombuffer(raw, np.float32).reshape(-1, d), 1, np.frombuffer(y, np.int8), times
+    truth = np.eye(2)[own] * mask[..., None]
+    share = np.maximum(1.0, np.einsum("n,ntl->l", count, truth))
+    # a chain weighs as its lines do on average
+    count = count * (truth @ (1 / share)).sum(1) / mask.sum(1) * 0.5
     w, m, gw, gm = np.zeros((2, d)), np.zeros((2, 2)), np.zeros((2, d)), np.zeros((2, 2))
-    own = np.eye(2)[y]
     for _ in range(steps):
         unary = np.einsum("ntd,ld->ntl", x, w)
         alpha, beta = np.zeros_like(unary), np.zeros_like(unary)
@@ -104,13 +155,12 @@ def fit_line_model(labelled: DataFrame, text_col: str = "text", label_col: str =
             beta[:, t] = np.where(mask[:, t + 1, None] > 0, step, 0)
         total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
         p = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
-        truth = own[:, None, :] * mask[..., None]
         new_w = np.einsum("n,ntl,ntd->ld", count, truth - p, x) - 1e-4 * w
         pair = np.exp(alpha[:, :-1, :, None] + m + (unary + beta)[:, 1:, None, :] - total[:, None, None, None]) * mask[:, 1:, None, None]
         new_m = np.einsum("n,ntab->ab", count, truth[:, :-1, :, None] * truth[:, 1:, None, :] - pair) - 1e-4 * m
-        gw, gm = gw + new_w**2, gm + new_m**2  # adaptive steps
+        gw, gm = gw + new_w**2, gm + new_m**2
         w, m = w + rate * new_w / np.sqrt(gw + 1e-12), m + rate * new_m / np.sqrt(gm + 1e-12)
-    return LineModel(w, m)
+    return w, m
 
 
 def viterbi(features: np.ndarray, model: LineModel) -> list[int]:
