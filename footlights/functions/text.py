@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -129,19 +130,32 @@ def page_fingerprint(text: Column, events: Column | None = None, feed_dates: Col
     return F.sha2(body, 256)
 
 
-#: Character references that pages use most (fixed values); the ampersand is last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&eacute;", "é"), ("&amp;", "&"))
+#: A character reference: its number, in tens or hexadecimal, or its name.
+_REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def decode_references(c: Column) -> Column:
+    """Character references of HTML as characters: all names of the standard's table, and numbers; others stay.
+
+    Linear in the text: it is split at the references, and these are looked up.
+    """
+    table = F.create_map(*[F.lit(x) for name, char in sorted(html5.items()) if name.endswith(";") for x in (name[:-1], char)])
+    names, gaps = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), F.split(c, _REFERENCE, -1)
+    number = lambda n: F.when(n.rlike("^#[0-9]"), F.substring(n, 2, 7).try_cast("int")).when(n.rlike("^#[xX]"), F.conv(F.substring(n, 3, 6), 16, 10).try_cast("int"))
+    good = lambda k: (k > 0) & (k <= 0x10FFFF) & ~k.between(0xD800, 0xDFFF)
+    char = lambda k: F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32")
+    one = lambda n: F.when(n.startswith("#"), F.when(good(number(n)), char(number(n))).otherwise(F.lit("\ufffd"))).otherwise(F.coalesce(F.try_element_at(table, n), F.concat(F.lit("&"), n, F.lit(";"))))
+    told = F.array_join(F.transform(gaps, lambda g, k: F.concat(g, F.when(k < F.size(names), one(F.get(names, k))).otherwise(""))), "")
+    return F.when(F.contains(c, F.lit("&")), told).otherwise(c)
 
 
 def html_text(html: Column) -> Column:
-    """Readable text of a page: no scripts, styles and drawings, tags as spaces, common references decoded."""
+    """Readable text of a page: no scripts, styles and drawings, tags as spaces, references decoded."""
     c = F.coalesce(html, F.lit(""))
     for tag in ("script", "style", "noscript", "svg"):
         c = F.regexp_replace(c, rf"(?is)<{tag}\b.*?</{tag}>", " ")
     c = F.regexp_replace(c, r"(?s)<[^>]*>", " ")
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(decode_references(c), r"(?U)\s+", " "))
 
 
 def estimate_tokens(text: Column) -> Column:
@@ -174,25 +188,26 @@ def time_seen(time: Column, text: Column) -> Column:
 
 
 def case_words(titles: Column) -> Column:
-    """Distinct words of an array of titles, in order of first use, lower case, at least 4 letters."""
-    words = F.flatten(F.transform(F.array_compact(titles), lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"(?U)\w+"), F.lit(0))))
-    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= 4))
+    """The words of an array of titles, in order, as they are written."""
+    return F.flatten(F.transform(F.array_compact(titles), lambda t: F.regexp_extract_all(t, F.lit(r"(?U)\w+"), F.lit(0))))
 
 
 def excerpt(text: Column, words: Column, before: int = 600, after: int = 900, limit: int = 5000) -> Column:
     """Parts of a text around given words of 4 letters or more: windows are merged, joined by an ellipsis and cut.
 
-    Without a hit, or with a text that fits, the beginning of the text is returned.
+    A window is from ``before`` a word's beginning to ``after`` its end. Without a hit, or with a text that fits, the
+    beginning of the text is returned.
     """
     low = F.lower(text)
-    spots = F.array_sort(F.flatten(F.transform(F.filter(words, lambda w: F.length(w) >= 4), lambda w: _places(low, F.lower(w)))))
+    long = F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) >= 4), F.lower))
+    spots = F.array_sort(F.flatten(F.transform(long, lambda w: F.transform(_places(low, w), lambda p: F.struct(F.greatest(F.lit(0), p - before).alias("a"), F.least(F.length(text), p + F.length(w) + after).alias("b"))))))
+    last = lambda acc: F.element_at(acc, -1)
     merged = F.aggregate(
         spots,
         F.slice(F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))), 1, 0),
         lambda acc, p: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["b"] >= p - before),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), (p + after).alias("b")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(F.greatest(F.lit(0), p - before).alias("a"), (p + after).alias("b"))))),
+            (F.size(acc) > 0) & (p["a"] <= last(acc)["b"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["a"].alias("a"), F.greatest(last(acc)["b"], p["b"]).alias("b"))))
+        ).otherwise(F.concat(acc, F.array(p))),
     )
     parts = F.transform(merged, lambda w: F.substr(text, w["a"] + 1, w["b"] - w["a"]))
     out = F.when((F.length(text) <= limit) | (F.size(spots) == 0), text).otherwise(F.array_join(parts, " … "))

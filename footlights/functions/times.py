@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
+from zoneinfo import available_timezones
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ IBERIA = {"Spain": "Europe/Madrid", "Portugal": "Europe/Lisbon"}
 #: Days until a source is due again by tier, and the waits around announcements (fixed values).
 RECHECK_DAYS = {0: 7, 1: 14, 2: 30, 3: 30}
 FESTIVAL_WAIT_DAYS, ANNOUNCE_MAX_WAIT_DAYS = 30, 60
+CORE_TIERS, CORE_WAIT_DAYS = (0, 1), 30
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:
@@ -76,18 +78,28 @@ def minute_of(ts: Column) -> Column:
     return F.date_trunc("minute", ts)
 
 
+def known_zone(zone: Column) -> Column:
+    """The zone if it is one that is known, else null."""
+    return F.when(zone.isin(*sorted(available_timezones())), zone)
+
+
 def zone_offset(zone: Column, date: Column) -> Column:
-    """Seconds between local and universal time at 20:00 of a date."""
+    """Seconds between local and universal time at 20:00 of a date; null for an unknown zone."""
     evening = F.make_timestamp_ltz(F.year(date), F.month(date), F.day(date), F.lit(20), F.lit(0), F.lit(0).cast("decimal(16,6)"))
-    return F.unix_seconds(evening) - F.unix_seconds(F.to_utc_timestamp(evening, zone))
+    known = known_zone(zone)
+    return F.when(known.isNotNull(), F.unix_seconds(evening) - F.unix_seconds(F.to_utc_timestamp(evening, F.coalesce(known, F.lit("UTC")))))
 
 
-def choose_timezone(own: Column, country: Column, date: Column, source_zone: Column, source_country: Column) -> Column:
-    """A show's zone: as read, unless it does not fit the country; abroad the country's; else the source's."""
+def choose_timezone(own: Column, country: Column, date: Column, source_zone: Column, source_country: Column, today: dt.date | None = None) -> Column:
+    """A show's zone: as read, unless it is unknown or does not fit the country; abroad the country's; else the source's.
+
+    Zones are compared on the show's date, without one on ``today``.
+    """
+    own, date = F.nullif(own, F.lit("")), F.coalesce(date, F.lit(today).cast("date"))
     country = F.trim(F.coalesce(country, F.lit("")))
     by_country = lookup(country, ZONE_BY_COUNTRY)
     iberian = F.when(own.isin(*IBERIA.values()), lookup(country, IBERIA)).otherwise(own)
-    misfit = by_country.isNotNull() & ~country.isin(*MULTI_ZONE) & (zone_offset(own, date) != zone_offset(by_country, date))
+    misfit = by_country.isNotNull() & ~country.isin(*MULTI_ZONE) & ~zone_offset(own, date).eqNullSafe(zone_offset(by_country, date))
     read = F.when(country.isin(*IBERIA), iberian).when(misfit, by_country).otherwise(own)
     abroad = (country != "") & ~country.eqNullSafe(source_country) & by_country.isNotNull()
     return F.when(own.isNotNull(), read).when(abroad, by_country).otherwise(source_zone)
@@ -106,8 +118,11 @@ def announcement_date(date: Column, month: Column, today: dt.date, most: int = 4
     return F.when((day > F.lit(today)) & (day <= F.lit(today + dt.timedelta(days=most))), day)
 
 
-def announcement_days(days: Column, found: Column, when: Column, today: dt.date, festival: Column) -> Column:
-    """Days until the next check when an announcement is expected: the day after it, within bounds; 0 stays 0."""
-    until = F.date_diff(when, F.lit(today)) + 1
-    longest = F.when(festival, F.lit(FESTIVAL_WAIT_DAYS)).otherwise(F.lit(ANNOUNCE_MAX_WAIT_DAYS))
+def announcement_days(days: Column, found: Column, when: Column, today: dt.date, tier: Column) -> Column:
+    """Days until the next check when an announcement is expected: the day after it, at least 1; 0 stays 0.
+
+    With shows found the usual rhythm stays if it is shorter; with none the wait is limited, more so in the core tiers.
+    """
+    until = F.greatest(F.lit(1), F.date_diff(when, F.lit(today)) + 1)
+    longest = F.when(F.coalesce(tier.isin(*CORE_TIERS), F.lit(False)), F.lit(CORE_WAIT_DAYS)).otherwise(F.lit(ANNOUNCE_MAX_WAIT_DAYS))
     return F.when((days == 0) | when.isNull(), days).when(found > 0, F.least(days, until)).otherwise(F.least(until, longest))

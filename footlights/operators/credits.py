@@ -28,7 +28,7 @@ def rebuild_credits(lines: DataFrame, people: DataFrame, companies: DataFrame, d
     """Resolve the parts of credit lines: ``(parts, lines)``.
 
     parts: line_id, pos, part, status, member_id, company_id, candidates. Resolution in this order: an editor's decision
-    (line_id, part, member_id); a company written "A & B", which takes the next part too; a person by name or alias; a
+    (line_id, part, member_id), where a null member leaves the part out; a company written "A & B", which takes the next part too; a person by name or alias; a
     company; a surname (one word or a particle and a word, slug of 3 or more) that one person bears; "First and First
     Surname" borrows the surname; a full name that splits into itself is a new person ``new:<slug>``; the rest waits as
     ``unresolved`` with candidates. A line whose one part is the line itself is a person. lines: line_id, kind, member_ids,
@@ -47,11 +47,11 @@ def rebuild_credits(lines: DataFrame, people: DataFrame, companies: DataFrame, d
     is_surname = ~F.col("part").rlike(r"\s") | F.col("part").rlike(PARTICLE)
     rows = rows.join(endings, (F.col("slug") == F.col("ending")) & is_surname & (F.length("slug") >= 3), "left").withColumn("surname", is_surname)
     if decisions is not None:
-        d = decisions.select(F.col("line_id").alias("_l"), F.col("part").alias("_p"), F.col("member_id").cast("string").alias("decided"))
+        d = decisions.select(F.col("line_id").alias("_l"), F.col("part").alias("_p"), F.col("member_id").cast("string").alias("decided"), F.lit(True).alias("settled"))
         rows = rows.join(d, (F.col("line_id") == F.col("_l")) & (F.col("part") == F.col("_p")), "left").drop("_l", "_p")
     else:
-        rows = rows.withColumn("decided", F.lit(None).cast("string"))
-    paired = F.col("by_pair").isNotNull() & F.col("decided").isNull() & F.coalesce(F.col("between").rlike(JOINED), F.lit(False))
+        rows = rows.withColumn("decided", F.lit(None).cast("string")).withColumn("settled", F.lit(None).cast("boolean"))
+    paired = F.col("by_pair").isNotNull() & F.col("settled").isNull() & F.coalesce(F.col("between").rlike(JOINED), F.lit(False))
     rows = rows.withColumn("paired", paired)
     # a pair takes its next part, which then cannot begin a pair itself: alternate inside runs of pairs
     w = Window.partitionBy("line_id").orderBy("pos")
@@ -64,7 +64,7 @@ def rebuild_credits(lines: DataFrame, people: DataFrame, companies: DataFrame, d
     new = ~F.col("surname") & (F.size(clean) == 1) & (slugify(F.get(clean, F.lit(0))) == F.col("slug"))
     one = F.size("bearers") == 1
     status = (
-        F.when(F.col("taken"), "in pair").when(whole, "self").when(F.col("decided").isNotNull(), "decided").when(F.col("starts"), "company").when(F.col("slug") == "", "ignored")
+        F.when(F.col("taken"), "in pair").when(whole, "self").when(F.col("settled"), "decided").when(F.col("starts"), "company").when(F.col("slug") == "", "ignored")
         .when(F.col("by_person").isNotNull(), "person").when(F.col("by_company").isNotNull(), "company").when(one, "person").when(F.col("by_borrowed").isNotNull(), "person")
         .when(new, "new person").when(F.col("borrowed").isNotNull(), "new person").otherwise("unresolved")
     )
@@ -83,7 +83,7 @@ def resolve_credit_parts(decisions: DataFrame, people: DataFrame, lines: DataFra
     new = decisions.where(F.col("member_id").isNotNull() & F.col("part").rlike(r"\S\s+\S")).groupBy(F.col("member_id").alias("_m")).agg(F.array_sort(F.collect_set("part")).alias("_new"))
     named = people.join(new, F.col("id") == F.col("_m"), "left").withColumn("aliases", F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.coalesce("_new", F.array().cast("array<string>")))).drop("_m", "_new")
     touched = lines.join(decisions.select(F.col("line_id").alias("id")).distinct(), "id", "left_semi")
-    parts, built = rebuild_credits(touched, named, companies, decisions.where("member_id is not null"))
+    parts, built = rebuild_credits(touched, named, companies, decisions)
     return named, parts, built
 
 

@@ -153,22 +153,29 @@ def richer(a: Column, b: Column) -> Column:
     return F.when(order(b) > order(a), b["id"]).otherwise(a["id"])
 
 
-def keep_id(answer: Column, rows: Column) -> Column:
+def keep_id(answer: Column, rows: Column, held: Column | None = None, rich: Column | None = None) -> Column:
     """The row a reviewer's answer names, among ``rows`` (``array<struct<id string, listings array<long>>>``); else null.
 
-    Understood: a letter ("a", "row b"), "candidate 2", an id or its beginning of 6 characters or more, a listing's id,
-    an id inside a sentence. Several fitting rows give null.
+    ``held``: the rows are candidates of a held listing; else they are the two of a pair. Understood, in this order: an id
+    or its beginning of 6 characters or more (of a pair also "a", "row b", "row_b"); of candidates their number ("c1",
+    "candidate 2", "row 1", "#2", "2"); a number of 3 digits or more of one row's listings, anywhere; the first 8
+    characters of an id, anywhere. Without a usable answer a pair keeps ``rich`` (the richer row's id), a held listing its
+    only candidate.
     """
+    held = F.lit(False) if held is None else held
     said = F.lower(F.trim(F.coalesce(answer, F.lit(""))))
-    letter = F.regexp_extract(said, r"^(?:row\s+)?([a-z])$", 1)
-    place = F.when(letter != "", F.ascii(letter) - 96).when(said.rlike(r"^candidate\s+\d{1,4}$"), F.regexp_extract(said, r"(\d+)$", 1).try_cast("int"))
-    by_place = F.when(place.between(1, F.size(rows)), F.get(rows, place - 1)["id"])
     only = lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))["id"])
-    starts = F.filter(rows, lambda r: (F.length(said) >= 6) & F.startswith(F.lower(r["id"]), said))
-    number = F.regexp_extract(said, r"^(?:listing\s+)?(\d{1,18})$", 1).try_cast("long")
-    by_listing = F.filter(rows, lambda r: F.coalesce(F.array_contains(r["listings"], number), F.lit(False)))
-    inside = F.filter(rows, lambda r: F.contains(said, F.lower(r["id"])))
-    return F.coalesce(by_place, only(starts), only(by_listing), only(inside))
+    fits = lambda r: (said != "") & ((F.lower(r["id"]) == said) | ((F.length(said) >= 6) & F.startswith(F.lower(r["id"]), said)))
+    named = F.filter(rows, fits)
+    label = F.regexp_extract(said, r"^(?:row[ _])?([ab])$", 1)
+    in_pair = F.coalesce(F.when(label == "a", F.get(rows, F.lit(0))["id"]).when(label == "b", F.get(rows, F.lit(1))["id"]), F.get(named, F.lit(0))["id"])
+    place = F.regexp_extract(said, r"^(?:c|candidate|row|#)?\s*(\d{1,2})$", 1).try_cast("int")
+    in_list = F.coalesce(only(named), F.when(place.between(1, F.size(rows)), F.get(rows, place - 1)["id"]))
+    numbers = F.regexp_extract_all(said, F.lit(r"\d{3,}"), F.lit(0))
+    by_listing = F.filter(rows, lambda r: F.coalesce(F.arrays_overlap(F.transform(r["listings"], lambda x: x.cast("string")), numbers), F.lit(False)))
+    inside = F.filter(rows, lambda r: (said != "") & F.contains(said, F.substring(F.lower(r["id"]), 1, 8)))
+    named_in_pair = in_pair if rich is None else F.coalesce(in_pair, only(by_listing), only(inside), rich)
+    return F.when(held, F.coalesce(in_list, only(by_listing), only(inside), only(rows))).otherwise(F.coalesce(named_in_pair, only(by_listing), only(inside)))
 
 
 def case_urls(links: Column, most: int = 4) -> Column:

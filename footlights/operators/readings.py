@@ -148,7 +148,7 @@ def to_staging(items: DataFrame, sources: DataFrame, run_date: str) -> DataFrame
     s = sources.select(F.col("id").alias("_id"), host(F.col("website")).alias("source"), is_venue_source(F.col("kind")).alias("_venue"), F.col("city").alias("_city"), F.col("country").alias("_country"), F.col("timezone").alias("_zone"))
     rows = items.join(s, F.col("source_id") == F.col("_id"))
     home = F.col("_venue") & (F.col("venue").isNull() | F.col("country").isNull())
-    zone = choose_timezone(F.col("timezone"), F.col("country"), F.to_date("date"), F.col("_zone"), F.col("_country"))
+    zone = choose_timezone(F.col("timezone"), F.col("country"), F.to_date("date"), F.col("_zone"), F.col("_country"), dt.date.fromisoformat(run_date[:10]))
     return rows.select(
         "source_id", "source", "title", "original_title", "work", "work_is_story", "choreographer", "company", "venue",
         F.coalesce("city", F.when(home, F.col("_city"))).alias("city"), F.coalesce("country", F.when(F.col("_venue") | F.col("city").isNull(), F.col("_country"))).alias("country"), zone.alias("timezone"),

@@ -228,24 +228,37 @@ def save_notes(notes: Column, summary: Column, marker: str = "last run:") -> Col
 
 
 def save_source(sources: DataFrame, results: DataFrame, as_of: dt.date, most_pages: int = 6) -> DataFrame:
-    """Sources after a run: next check, status, notes and learned start pages.
+    """Sources after a run: status, next check, notes, announcement, schedule page and learned start pages.
 
-    sources: id, priority, kind, notes, extra_schedule_urls; results: source_id, found, status, opens_soon, announced (date),
-    summary, start_pages. Sources without a result stay.
+    sources: id, priority, kind, notes, status, next_check_at, announcement_at, announcement_note, schedule_url,
+    extra_schedule_urls; results: source_id, found, status, opens_soon, again (look again at once: unanswered or open
+    requests, or a retry), announced (date), announced_what, announced_quote, summary, schedule_url, start_pages. An
+    announcement that was found is kept; an earlier one whose day has passed goes if the page could be read. A schedule page
+    is only set where there is none. Sources without a result stay as they are.
     """
-    r = results.select(F.col("source_id").alias("_s"), "found", F.col("status").alias("_status"), "opens_soon", "announced", "summary", "start_pages")
-    rows = sources.join(r, F.col("id") == F.col("_s"), "left")
-    days = recheck_days(F.col("priority"), F.col("kind"), F.col("found"), F.col("opens_soon"))
-    days = announcement_days(days, F.col("found"), F.col("announced"), as_of, F.col("kind") == "Festival")
-    pages = F.slice(F.array_distinct(F.concat(F.coalesce("extra_schedule_urls", F.array().cast("array<string>")), F.coalesce("start_pages", F.array().cast("array<string>")))), 1, most_pages)
-    hit = F.col("_s").isNotNull()
-    new = {"notes": F.when(hit, save_notes(F.col("notes"), F.col("summary"))).otherwise(F.col("notes")), "extra_schedule_urls": F.when(hit, pages).otherwise(F.col("extra_schedule_urls"))}
-    kept = [new[c].alias(c) if c in new else F.col(c) for c in sources.columns]
-    return rows.select(*kept, F.when(hit, F.date_add(F.lit(as_of), days.cast("int"))).alias("next_check"), F.col("_status").alias("run_status"))
+    names = ("found", "status", "opens_soon", "again", "announced", "announced_what", "announced_quote", "summary", "schedule_url", "start_pages")
+    rows = sources.join(results.select(F.col("source_id").alias("_s"), *[F.col(c).alias(f"_{c}") for c in names]), F.col("id") == F.col("_s"), "left")
+    days = F.when(F.coalesce("_again", F.lit(False)), F.lit(0)).otherwise(recheck_days(F.col("priority"), F.col("kind"), F.col("_found"), F.col("_opens_soon")))
+    days = announcement_days(days, F.col("_found"), F.col("_announced"), as_of, F.col("priority"))
+    told = F.substring(F.concat(F.col("_announced_what"), F.lit(": "), F.col("_announced").cast("string"), F.lit(' ("'), F.col("_announced_quote"), F.lit('")')), 1, 300)
+    passed = (F.col("announcement_at") < F.lit(as_of)) & F.col("_status").isin("ok", "partial", "waiting", "no_dance")
+    none = F.array().cast("array<string>")
+    pages = F.coalesce("extra_schedule_urls", none)
+    learned = F.array_except(F.coalesce("_start_pages", none), pages)
+    new = {
+        "status": F.col("_status"),
+        "next_check_at": F.date_add(F.lit(as_of), days.cast("int")),
+        "notes": save_notes(F.col("notes"), F.col("_summary")),
+        "announcement_at": F.when(F.col("_announced").isNotNull(), F.col("_announced")).when(F.coalesce(passed, F.lit(False)), F.lit(None)).otherwise(F.col("announcement_at")),
+        "announcement_note": F.when(F.col("_announced").isNotNull(), told).otherwise(F.col("announcement_note")),
+        "schedule_url": F.coalesce(F.nullif("schedule_url", F.lit("")), "_schedule_url"),
+        "extra_schedule_urls": F.when(F.size(learned) > 0, F.slice(F.concat(pages, learned), 1, most_pages)).otherwise(F.col("extra_schedule_urls")),
+    }
+    return rows.select(*[F.when(F.col("_s").isNotNull(), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in sources.columns])
 
 
 def announcements(rows: DataFrame) -> DataFrame:
-    """Distinct announcements of each source, the earliest marked: ``(source_id, date, what, is_next)``."""
-    distinct = rows.where("date is not null").dropDuplicates(["source_id", "date", "what"]).select("source_id", "date", "what")
+    """Announcements of each source, one per date and subject in any case, the earliest marked: ``(source_id, date, what, is_next)``."""
+    distinct = rows.where("date is not null").groupBy("source_id", "date", F.lower("what").alias("_what")).agg(F.min("what").alias("what")).select("source_id", "date", "what")
     first = Window.partitionBy("source_id").orderBy("date", "what")
     return distinct.withColumn("is_next", F.row_number().over(first) == 1)

@@ -115,15 +115,17 @@ def test_start_instant_and_zones(spark):
     df = spark.sql("select date'2026-03-29' d, '19:30' t, 'Europe/Paris' z, 2 p")
     got = df.select(F.date_format(times.start_instant(F.col("d"), F.col("t"), F.col("z"), F.col("p"), F.lit(True)), "yyyy-MM-dd HH:mm:ss")).first()[0]
     assert got == "2026-03-29 17:30:01"
-    zone = lambda *a: value(spark, lambda o, c, d, z, sc: times.choose_timezone(o, c, F.to_date(d), z, sc), *a)
+    zone = lambda *a: value(spark, lambda o, c, d, z, sc: times.choose_timezone(o, c, F.to_date(d), z, sc, dt.date(2026, 10, 1)), *a)
     assert zone("Europe/Lisbon", "Spain", "2026-10-01", "Europe/Lisbon", "Portugal") == "Europe/Madrid"
     assert zone(None, "Japan", "2026-10-01", "Europe/Paris", "France") == "Asia/Tokyo"
     assert zone(None, "", "2026-10-01", "Europe/Paris", "France") == "Europe/Paris"
+    assert zone("Mars/Base", "Germany", "2026-10-01", "Europe/Paris", "France") == "Europe/Berlin"
+    assert zone("Asia/Tokyo", "Germany", None, "Europe/Paris", "France") == "Europe/Berlin"
 
 
-@pytest.mark.parametrize("days, found, when, want", [(30, 1, "2026-10-22", 7), (30, 0, "2026-11-01", 17), (30, 0, "2027-03-03", 60), (0, 0, "2026-11-01", 0)])
+@pytest.mark.parametrize("days, found, when, want", [(30, 1, "2026-10-22", 7), (30, 0, "2026-11-01", 17), (30, 0, "2027-03-03", 60), (0, 0, "2026-11-01", 0), (7, 0, "2027-03-03", 30), (30, 0, "2026-09-01", 1)])
 def test_announcement_days(spark, days, found, when, want):
-    assert value(spark, lambda d, f, w: times.announcement_days(d, f, F.to_date(w), dt.date(2026, 10, 16), F.lit(False)), days, found, when) == want
+    assert value(spark, lambda d, f, w: times.announcement_days(d, f, F.to_date(w), dt.date(2026, 10, 16), F.when(d == 7, 0).otherwise(2)), days, found, when) == want
 
 
 def test_countries(spark):
@@ -134,4 +136,10 @@ def test_countries(spark):
 def test_excerpt(spark):
     body = "x" * 3000 + " Giselle " + "y" * 9000
     got = value(spark, lambda t: text.excerpt(t, F.array(F.lit("giselle"))), body)
+    assert got == body[2401 : 3001 + 7 + 900] and len(got) == 1507
     assert "Giselle" in got and len(got) < 1600
+
+
+def test_references_and_case_words(spark):
+    assert value(spark, text.html_text, "<p>Caf&eacute; &#233;&#xe9; &lt;b&gt; &amp;amp; &nosuch; &hellip;&nbsp;x</p><script>no</script>") == "Café éé <b> &amp; &nosuch; … x"
+    assert spark.sql("select array('The Swan', null, 'swan of X') as t").select(text.case_words(F.col("t"))).first()[0] == ["The", "Swan", "swan", "of", "X"]

@@ -115,7 +115,13 @@ def test_verdicts_and_keep_ids(spark):
     assert [r.call for r in duplicates.to_call(v).collect()] == ["same", "unsure", "unsure", "ignore_listings", "unsure", "unsure"]
     rows = F.array(F.struct(F.lit("abcdef12-1").alias("id"), F.array(F.lit(7).cast("long")).alias("listings")), F.struct(F.lit("bbbbbb34-2").alias("id"), F.array(F.lit(8).cast("long")).alias("listings")))
     said = spark.createDataFrame([("a",), ("row b",), ("candidate 2",), ("bbbbbb",), ("8",), ("it is abcdef12-1 surely",), ("what",), (None,)], "x string")
-    assert [r[0] for r in said.select(duplicates.keep_id(F.col("x"), rows)).collect()] == ["abcdef12-1", "bbbbbb34-2", "bbbbbb34-2", "bbbbbb34-2", "bbbbbb34-2", "abcdef12-1", None, None]
+    one, two = "abcdef12-1", "bbbbbb34-2"
+    assert [r[0] for r in said.select(duplicates.keep_id(F.col("x"), rows)).collect()] == [one, two, None, two, None, one, None, None]
+    assert [r[0] for r in said.select(duplicates.keep_id(F.col("x"), rows, rich=F.lit(two))).collect()] == [one, two, two, two, two, one, two, two]
+    more = spark.createDataFrame([("c1",), ("#2",), ("candidate 2",), ("1",), ("listing 708",), ("x",), ("row_a",)], "x string")
+    listed = F.transform(rows, lambda r: F.struct(r["id"].alias("id"), F.transform(r["listings"], lambda n: n + 700).alias("listings")))
+    assert [r[0] for r in more.select(duplicates.keep_id(F.col("x"), listed, F.lit(True))).collect()] == [one, two, two, one, two, None, None]
+    assert {r[0] for r in more.select(duplicates.keep_id(F.col("x"), F.slice(listed, 1, 1), F.lit(True))).collect()} == {one}
 
 
 def test_ledger_blocks(spark):
@@ -160,9 +166,13 @@ def test_tables_and_groups_edges(spark):
 
 
 def test_save_source_and_snapshots(spark):
-    src = spark.createDataFrame([(1, 0, "Opera", "n || last run: old", ["a"]), (2, 1, "Festival", None, None)], "id int, priority int, kind string, notes string, extra_schedule_urls array<string>")
-    res = spark.createDataFrame([(1, 5, "ok", True, None, "5 shows", ["b", "a"])], "source_id int, found int, status string, opens_soon boolean, announced date, summary string, start_pages array<string>")
+    old = dt.date(2026, 9, 1)
+    src = spark.createDataFrame([(1, 0, "Opera", "n || last run: old", "todo", None, old, "said", None, ["a"]), (2, 1, "Festival", None, "ok", None, old, "said", "u", None)], "id int, priority int, kind string, notes string, status string, next_check_at date, announcement_at date, announcement_note string, schedule_url string, extra_schedule_urls array<string>")
+    res = spark.createDataFrame([(1, 5, "ok", True, False, None, None, None, "5 shows", "s", ["b", "a"])], "source_id int, found int, status string, opens_soon boolean, again boolean, announced date, announced_what string, announced_quote string, summary string, schedule_url string, start_pages array<string>")
     got = schedule.save_source(src, res, DAY).orderBy("id").collect()
-    assert (got[0].notes, got[0].extra_schedule_urls, got[0].next_check) == ("n || last run: 5 shows", ["a", "b"], dt.date(2026, 10, 1)) and got[1].next_check is None
+    assert (got[0].notes, got[0].extra_schedule_urls, got[0].next_check_at) == ("n || last run: 5 shows", ["a", "b"], dt.date(2026, 10, 1)) and got[1].next_check_at is None
+    assert (got[0].status, got[0].announcement_at, got[0].schedule_url) == ("ok", None, "s") and (got[1].announcement_at, got[1].schedule_url) == (old, "u")
+    again = schedule.save_source(src, res.withColumn("again", F.lit(True)), DAY).orderBy("id").first()
+    assert again.next_check_at == DAY
     snap = spark.createDataFrame([(1, ("Swan Lake", "2026-10-01", "t")), (2, ("Old", "2020-01-01", "t")), (3, ("Here", "2026-10-01", "t"))], "id int, snapshot struct<title string, local_date string, theater_id string>")
     assert out(link.suppressions_from_snapshots(snap, spark.createDataFrame([(3,)], "id int"), DAY), "title_slug", "theater_id") == [("swan-lake", "t")]
