@@ -243,6 +243,12 @@ select o.id, o.ek, case when e.ek is not null and program_title is not null then
   coalesce(e.pieces, 1) as piece_count, coalesce(e.n_rows, 1) as n_rows, coalesce(e.who, o.who) as first_person from o left join e on e.ek = o.ek where e.ek is null or e.shown = o.id"""
 
 
+def upcoming_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page of all upcoming listings as of two years earlier."""
+    rows = _view(spark, sf_dir).withColumn("piece_count", F.lit(1)).withColumn("performance_ids", F.array("id")).withColumn("choreographer_ids", F.array("choreographer_id"))
+    return serve.listing_query(rows, {"program_mode": "exclude", "limit": 50}, AS_OF.replace(year=AS_OF.year - 2)).select("id", "title", "theater_name", F.col("local_date").cast("string").alias("local_date"), "local_time", "city", "country", "cancelled")
+
+
 def q09_listing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: a filtered, ordered page of upcoming listings."""
     rows = _view(spark, sf_dir).withColumn("piece_count", F.lit(1)).withColumn("performance_ids", F.array("id")).withColumn("choreographer_ids", F.array("choreographer_id"))

@@ -166,7 +166,7 @@ def q26_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.length(t).alias("chars"), F.md5(t).alias("text_md5"))
 
 
-_HTML = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?is)<noscript\b.*?</noscript>', ' ', 'g'), '(?is)<svg\b.*?</svg>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&eacute;', 'é'), '&amp;', '&'), '[ \t\n\r\f\x0B]+', ' ', 'g'))".replace('\\"', '"')
+_HTML = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?is)<noscript\b.*?</noscript>', ' ', 'g'), '(?is)<svg\b.*?</svg>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '[ \t\n\r\f\x0B]+', ' ', 'g'))".replace('\\"', '"')
 Q26 = f"with p as (select page_id, {_HTML} as t from pages) select page_id, length(t) as chars, md5(t) as text_md5 from p"
 
 
@@ -206,15 +206,15 @@ select user_id, event_type, case when user_id % 20 = 0 then 'unsure: the rest is
 
 def q35_recheck_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    c = table(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 7 != 0, (k % 5).cast("int")).alias("tier"), F.when(k % 3 == 0, "Festival").otherwise("Opera").alias("kind"), (k % 4).alias("found"), (k % 10 == 0).alias("soon"), F.when(k % 6 == 0, F.date_add(F.lit(TODAY), (k % 90).cast("int"))).alias("announced"))
+    c = table(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 7 != 0, (k % 5).cast("int")).alias("tier"), F.when(k % 3 == 0, "Festival").otherwise("Opera").alias("kind"), (k % 4).alias("found"), (k % 10 == 0).alias("soon"), F.when(k % 6 == 0, F.date_add(F.lit(TODAY), (k % 90 - 9).cast("int"))).alias("announced"))
     days = times.recheck_days(F.col("tier"), F.col("kind"), F.col("found"), F.col("soon"))
-    return c.select("id", days.alias("days"), times.announcement_days(days, F.col("found"), F.col("announced"), TODAY, F.col("kind") == "Festival").alias("with_announcement"))
+    return c.select("id", days.alias("days"), times.announcement_days(days, F.col("found"), F.col("announced"), TODAY, F.col("tier")).alias("with_announcement"))
 
 
-Q35 = """with c as (select c_custkey as id, case when c_custkey % 7 <> 0 then c_custkey % 5 end as tier, c_custkey % 3 = 0 as fest, c_custkey % 4 as found, c_custkey % 10 = 0 as soon, case when c_custkey % 6 = 0 then c_custkey % 90 end as ahead from customer),
+Q35 = """with c as (select c_custkey as id, case when c_custkey % 7 <> 0 then c_custkey % 5 end as tier, c_custkey % 3 = 0 as fest, c_custkey % 4 as found, c_custkey % 10 = 0 as soon, case when c_custkey % 6 = 0 then c_custkey % 90 - 9 end as ahead from customer),
 d as (select *, case coalesce(tier, 2) when 0 then 7 when 1 then 14 when 2 then 30 when 3 then 30 else 14 end as d0 from c), e as (select *, case when fest and found = 0 then greatest(d0, 30) else d0 end as d1 from d),
 f as (select *, case when soon and tier in (0, 1) then least(d1, 7) else d1 end as days from e)
-select id, days, case when days = 0 or ahead is null then days when found > 0 then least(days, ahead + 1) else least(ahead + 1, case when fest then 30 else 60 end) end as with_announcement from f"""
+select id, days, case when days = 0 or ahead is null then days when found > 0 then least(days, greatest(1, ahead + 1)) else least(greatest(1, ahead + 1), case when tier in (0, 1) then 30 else 60 end) end as with_announcement from f"""
 
 
 def q36_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries of the engine, by name."""
 
-from . import queries_core, queries_more
+from . import queries_core, queries_more, queries_rest
 
-QUERIES = {**queries_core.QUERIES, **queries_more.QUERIES}
-ORACLE = {**queries_core.ORACLE, **queries_more.ORACLE}
+QUERIES = {**queries_core.QUERIES, **queries_more.QUERIES, **queries_rest.QUERIES}
+ORACLE = {**queries_core.ORACLE, **queries_more.ORACLE, **queries_rest.ORACLE}
