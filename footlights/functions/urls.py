@@ -143,33 +143,33 @@ MONTH_FORMS = (
 )
 
 
+_YEAR, _MONTH = "\x01", "\x02"  # places of the year and the month in a template
+
+
 def _month_of(url: Column) -> Column:
-    """``struct<form int, year int, month int>`` of the first fitting form; form -1: month and year in two parameters."""
-    m2 = F.regexp_extract(url, rf"(?i)[?&](?:{MONTH_KEYS})=(\d{{1,2}})(?=&|#|$)", 1)
-    y2 = F.regexp_extract(url, rf"(?i)[?&](?:{YEAR_KEYS})=(20\d\d)(?=&|#|$)", 1)
-    two = F.when((m2 != "") & (y2 != "") & m2.try_cast("int").between(1, 12), F.struct(F.lit(-1).alias("form"), y2.try_cast("int").alias("year"), m2.try_cast("int").alias("month")))
-    found = [two]
-    for k, (pattern, y, m, _) in enumerate(MONTH_FORMS):
-        month = F.regexp_extract(url, pattern, m).try_cast("int")
-        found.append(F.when(month.between(1, 12), F.struct(F.lit(k).alias("form"), F.regexp_extract(url, pattern, y).try_cast("int").alias("year"), month.alias("month"))))
+    """``struct<year int, month int, template string, wide boolean>`` of the first fitting form, else null.
+
+    The template is the address with places for year and month, so that other months need no regular expression;
+    ``wide``: the month has two digits.
+    """
+    month_key, year_key = rf"(?i)([?&](?:{MONTH_KEYS})=)(\d{{1,2}})(?=&|#|$)", rf"(?i)([?&](?:{YEAR_KEYS})=)(20\d\d)(?=&|#|$)"
+    m2, y2 = F.regexp_extract(url, month_key, 2), F.regexp_extract(url, year_key, 2)
+    both = F.regexp_replace(F.regexp_replace(url, month_key, f"$1{_MONTH}"), year_key, f"$1{_YEAR}")
+    told = lambda y, m, template, wide: F.struct(y.try_cast("int").alias("year"), m.try_cast("int").alias("month"), template.alias("template"), wide.alias("wide"))
+    found = [F.when((m2 != "") & (y2 != "") & m2.try_cast("int").between(1, 12), told(y2, m2, both, F.length(m2) == 2))]
+    for pattern, y, m, new in MONTH_FORMS:
+        month, whole = F.regexp_extract(url, pattern, m), F.regexp_extract(url, pattern, 0)
+        pieces = [{"{1}": F.regexp_extract(url, pattern, 1), "{y}": F.lit(_YEAR), "{m}": F.lit(_MONTH)}.get(t, F.lit(t)) for t in _tokens(new)]
+        at = F.instr(url, whole)
+        template = F.concat(F.substr(url, F.lit(1), at - 1), *pieces, F.substr(url, at + F.length(whole), F.length(url)))
+        found.append(F.when(month.try_cast("int").between(1, 12), told(F.regexp_extract(url, pattern, y), month, template, F.length(month) == 2)))
     return F.coalesce(*found)
 
 
-def _month_address(url: Column, form: Column, year: Column, month: Column) -> Column:
+def _month_address(own: Column, year: Column, month: Column) -> Column:
     """The same calendar's address for another month."""
-    y, mm = year.cast("string"), F.lpad(month.cast("string"), 2, "0")
-    width = F.length(F.regexp_extract(url, rf"(?i)[?&](?:{MONTH_KEYS})=(\d{{1,2}})(?=&|#|$)", 1))
-    own = F.when(width == 2, mm).otherwise(month.cast("string"))
-    two = F.regexp_replace(url, F.lit(rf"(?i)([?&](?:{MONTH_KEYS})=)\d{{1,2}}(?=&|#|$)"), F.concat(F.lit("$1"), own))
-    two = F.regexp_replace(two, F.lit(rf"(?i)([?&](?:{YEAR_KEYS})=)20\d\d(?=&|#|$)"), F.concat(F.lit("$1"), y))
-    out = F.when(form == -1, two)
-    for k, (pattern, _, m, new) in enumerate(MONTH_FORMS):
-        shown = mm if "d{1,2}" not in pattern else F.when(F.length(F.regexp_extract(url, pattern, m)) == 2, mm).otherwise(month.cast("string"))
-        pieces = [{"{1}": F.regexp_extract(url, pattern, 1), "{y}": y, "{m}": shown}.get(t, F.lit(t)) for t in _tokens(new)]
-        whole = F.regexp_extract(url, pattern, 0)
-        at = F.instr(url, whole)
-        out = out.when(form == k, F.concat(F.substr(url, F.lit(1), at - 1), *pieces, F.substr(url, at + F.length(whole), F.length(url))))
-    return out
+    shown = F.when(own["wide"], F.lpad(month.cast("string"), 2, "0")).otherwise(month.cast("string"))
+    return F.replace(F.replace(own["template"], F.lit(_YEAR), year.cast("string")), F.lit(_MONTH), shown)
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -193,7 +193,7 @@ def month_series(url: Column, today: dt.date, months_ahead: int = 12) -> Column:
     def series(own: Column) -> Column:
         first = own["year"] * 12 + own["month"]  # months since year 0, the next month's number
         numbers = F.when(first <= last, F.sequence(first, F.least(F.lit(last), first + 23)))
-        return F.transform(numbers, lambda k: _month_address(url, own["form"], F.floor(k / 12).cast("int"), (k % 12 + 1).cast("int")))
+        return F.transform(numbers, lambda k: _month_address(own, F.floor(k / 12).cast("int"), (k % 12 + 1).cast("int")))
 
     return F.coalesce(_once(_month_of(url), series), F.array().cast("array<string>"))
 
@@ -203,7 +203,7 @@ def month_now(url: Column, today: dt.date) -> Column:
 
     def moved(own: Column) -> Column:
         past = own["year"] * 12 + own["month"] < today.year * 12 + today.month
-        return F.when(past, _month_address(url, own["form"], F.lit(today.year), F.lit(today.month)))
+        return F.when(past, _month_address(own, F.lit(today.year), F.lit(today.month)))
 
     return F.coalesce(_once(_month_of(url), moved), url)
 
