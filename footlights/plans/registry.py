@@ -1,6 +1,6 @@
 """All registered queries of the engine, by name."""
 
-from . import queries_core, queries_more, queries_rest
+from . import queries_core, queries_more, queries_rest, queries_stream
 
-QUERIES = {**queries_core.QUERIES, **queries_more.QUERIES, **queries_rest.QUERIES}
-ORACLE = {**queries_core.ORACLE, **queries_more.ORACLE, **queries_rest.ORACLE}
+QUERIES = {**queries_core.QUERIES, **queries_more.QUERIES, **queries_rest.QUERIES, **queries_stream.QUERIES}
+ORACLE = {**queries_core.ORACLE, **queries_more.ORACLE, **queries_rest.ORACLE, **queries_stream.ORACLE}
