@@ -8,10 +8,10 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_or_shuffled, components, schema_with, stash, text_or_empty
+from .common import bounded_or_shuffled, cluster, stash, text_or_empty
 
 #: 28 bands of 4 values: a pair at a similarity of 0.8 is missed with probability (1 - 0.8**4)**28 = 4e-7.
 BANDS, ROWS = 28, 4
@@ -19,8 +19,8 @@ HASHES = BANDS * ROWS
 #: Pairs are compared by so many values at a time.
 STEP = 16
 _KEPT_WORDS = 300_000
-#: Node ids of up to so many documents (8 bytes each) are broadcast to pick their texts; more are joined by a shuffle.
-BROADCAST_IDS = 500_000
+#: Digests of up to so many candidate texts (16 bytes each) are broadcast to pick them; more are joined by a shuffle.
+BROADCAST_TEXTS = 300_000
 
 
 @lru_cache(maxsize=1)
@@ -83,32 +83,39 @@ def least_agreements(threshold: float, tolerance: float) -> tuple[int, ...]:
     return tuple(out)
 
 
+def _prepared(text: str, size: int, known: dict[bytes, int]) -> tuple[bytes, np.ndarray]:
+    """A digest of the text's shingle set, equal for copies, and the set."""
+    from hashlib import blake2b
+
+    prints = shingles(text, size, known)
+    return blake2b(prints.tobytes(), digest_size=16).digest(), prints
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(doc_id, fingerprint, n_shingles, signature)`` for every row; no signature for texts without a word.
+    """``(doc_id, version, fingerprint, n_shingles, signature)`` for every row; no signature for texts without a word.
 
-    ``fingerprint`` is a digest of the whole shingle set: equal for copies.
+    ``version`` is an MD5 digest of the text, ``fingerprint`` a digest of its shingle set.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint binary, n_shingles int, signature binary"
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), _version(text_col).alias("version"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, version string, fingerprint binary, n_shingles int, signature binary"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from hashlib import blake2b
-
         known: dict[bytes, int] = {}
         for pdf in batches:
-            prints = [shingles(t, size, known) for t in pdf["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": pdf["doc_id"],
-                    "fingerprint": [blake2b(p.tobytes(), digest_size=16).digest() for p in prints],
-                    "n_shingles": [len(p) for p in prints],
-                    "signature": [minhashes(p).tobytes() if len(p) else None for p in prints],
-                }
-            )
+            signed = []
+            for text in pdf["text"]:  # a set is dropped as soon as it is signed
+                fingerprint, prints = _prepared(text, size, known)
+                signed.append((fingerprint, len(prints), minhashes(prints).tobytes() if len(prints) else None))
+            fingerprint, count, signature = zip(*signed, strict=True) if signed else ((), (), ())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "version": pdf["version"], "fingerprint": fingerprint, "n_shingles": count, "signature": signature})
 
     return rows.mapInPandas(run, schema)
 
 
+def _version(text_col: str) -> Column:
+    return F.md5(text_or_empty(text_col))
+
+
 def _matching_pairs(sigs: np.ndarray, rows: np.ndarray, cols: np.ndarray, needed: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row < col) of two index ranges that survive the incremental comparison."""
     keep_i, keep_j = [], []
@@ -128,65 +135,40 @@ def _matching_pairs(sigs: np.ndarray, rows: np.ndarray, cols: np.ndarray, needed
     return np.concatenate(keep_i or [np.zeros(0, int)]), np.concatenate(keep_j or [np.zeros(0, int)])
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = 5,
-    threshold: float = 0.8,
-    tolerance: float = 1e-6,
-    block: int = 512,
-) -> DataFrame:
-    """Classes of near duplicates: ``(doc_id, class_id, n_links)``, one row per document.
-
-    Two documents are linked if the Jaccard similarity of their sets of ``size``-word shingles is at least
-    ``threshold``; ``class_id`` is the least id among all that are linked directly or through others, and ``n_links``
-    the number of documents linked to this one, copies included.
-
-    1. Documents with equal shingle sets form one node, kept once, with a count.
-    2. Nodes that share a band of MinHash values are candidates. Buckets are tied to their least node, which gives
-       candidate groups without a list of pairs.
-    3. Each group is compared in cells of two blocks of at most ``block`` nodes: MinHash values in steps, a pair being
-       dropped when the posterior probability of reaching ``threshold`` falls below ``tolerance``; the rest is verified
-       on the whole shingle sets. A cell returns a count of links and one edge for each node, never the pairs.
-    4. Counts are summed over cells, edges give the classes.
-
-    Null and empty texts and texts without words have no shingle: a class of their own each, no link. Rows with a null
-    id are left out; rows that share an id and a text are one document, and rows that share an id with different texts
-    are linked as the texts are, the id's row showing the least class and the most links. Extra columns are ignored.
-    """
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, tolerance: float, block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, version, fingerprint, n_shingles)``, and ``(fingerprint, class, links, copies, doc_id)`` of the nodes."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), _version(text_col).alias("version"))
     sigs = stash(signatures(rows, "doc_id", "text", size), "signatures")
-    members = sigs.where("n_shingles > 0").select("doc_id", "fingerprint").distinct()
-    nodes = stash(members.groupBy("fingerprint").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
-    banded = sigs.where("n_shingles > 0").join(nodes.select(F.col("node").alias("doc_id"), "fingerprint"), ["doc_id", "fingerprint"], "left_semi").select("doc_id", "fingerprint", "signature")
+    with_words = sigs.where("n_shingles > 0")
+    nodes = stash(with_words.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.min("version").alias("version"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "nodes")
     key = lambda b: F.xxhash64(F.lit(b), F.substring("signature", b * 4 * ROWS + 1, 4 * ROWS))
-    bands = banded.select(F.col("doc_id").alias("node"), F.explode(F.array(*[key(b) for b in range(BANDS)])).alias("band"))
+    # a short name of a node: two nodes with one name would only be compared more often
+    bands = nodes.select(F.xxhash64("fingerprint").alias("node"), F.explode(F.array(*[key(b) for b in range(BANDS)])).alias("band"))
     buckets = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("band", "least")
-    # a node's buckets are tied through the least of their least nodes: an edge a node and a few between those
-    ties = bands.join(buckets, "band").groupBy("node").agg(F.min("least").alias("low"), F.collect_set("least").alias("leasts"))
-    edges = ties.select("node", "low").unionByName(ties.select(F.explode("leasts").alias("node"), "low")).distinct()
-    groups = components(edges, "node", "low", "group")
-    groups = stash(groups, "groups")
-    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
-    placed = groups.join(sizes, "group").select("node", "group", F.ceil(F.col("n") / block).cast("int").alias("k"))
-    placed = stash(placed.withColumn("b", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")), "placed")
-    n_placed = placed.count()
-    texts = rows.join(bounded_or_shuffled(placed.select(F.col("node").alias("doc_id")), n_placed, BROADCAST_IDS), "doc_id", "left_semi")
-    signed = signatures_with_sets(texts, size)
-    # rows that share an id: only the text that the node stands for
-    payload = signed.join(bounded_or_shuffled(nodes.join(placed, "node").withColumnRenamed("node", "doc_id"), n_placed, BROADCAST_IDS), ["doc_id", "fingerprint"]).dropDuplicates(["doc_id", "fingerprint"])
-    cells = payload.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
-        "group", F.least("b", "other").alias("row"), F.greatest("b", "other").alias("col"), "b", F.col("doc_id").alias("node"), "copies", "signature", "prints"
-    )
+    ties = stash(bands.join(buckets, "band"), "ties")
+    # a node's home is the least of its buckets' least nodes; a home with many nodes has several blocks
+    homes = ties.groupBy("node").agg(F.min("least").alias("home"))
+    sizes = homes.groupBy("home").agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
+    placed = stash(homes.join(sizes, "home").select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("k"))).alias("block")), "placed")
+    # two blocks are compared if they share a bucket
+    shared = stash(ties.join(placed, "node").select("band", "block").distinct(), "shared")
+    other = shared.select("band", F.col("block").alias("col"))
+    cells = stash(shared.select("band", F.col("block").alias("row")).join(other, "band").where("row <= col").select("row", "col").distinct(), "cells")
+    parts = cells.select(F.col("row").alias("block"), "row", "col").unionByName(cells.where("row <> col").select(F.col("col").alias("block"), "row", "col"))
+    wanted = stash(nodes.select("fingerprint", "version", "copies", F.xxhash64("fingerprint").alias("node")).join(placed, "node").drop("node"), "wanted")
+    n_wanted = wanted.count()
+    texts = rows.join(bounded_or_shuffled(wanted.select("version"), n_wanted, BROADCAST_TEXTS), "version", "left_semi").dropDuplicates(["version"])
+    payload = stash(signatures_with_sets(texts, size), "sets").join(wanted.select("fingerprint", "copies", "block"), "fingerprint")
+    dealt = payload.join(parts, "block")
     needed = least_agreements(threshold, tolerance)
-    node_type = cells.schema["node"].dataType.simpleString()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", kind="stable")
+        pdf = pdf.sort_values("fingerprint", kind="stable")
         sig = np.stack([np.frombuffer(s, np.uint32) for s in pdf["signature"]])
         sets = [np.frombuffer(p, np.uint64) for p in pdf["prints"]]
-        node, copies, b = pdf["node"].to_numpy(), pdf["copies"].to_numpy(), pdf["b"].to_numpy()
+        node, copies, b = pdf["fingerprint"].to_numpy(), pdf["copies"].to_numpy(), pdf["block"].to_numpy()
         row, col = pdf["row"].iloc[0], pdf["col"].iloc[0]
         every = np.arange(len(pdf))
         if row == col:
@@ -211,38 +193,79 @@ def near_duplicates(
                 while edge[y] != y:
                     y = edge[y]
                 edge[max(x, y)] = min(x, y)
-        return pd.DataFrame({"node": node, "links": links, "edge": node[edge]})
+        return pd.DataFrame({"fingerprint": node, "links": links, "edge": node[edge]})
+
+    found = stash(dealt.groupBy("row", "col").applyInPandas(compare, "fingerprint binary, links long, edge binary"), "links")
+    text_of = lambda c: F.hex(c)
+    classes = cluster(found.where("fingerprint <> edge").select(text_of("fingerprint").alias("a_id"), text_of("edge").alias("b_id")))
+    linked = found.groupBy("fingerprint").agg(F.sum("links").alias("links"))
+    named = nodes.select("fingerprint", "doc_id", "copies", text_of("fingerprint").alias("id")).join(linked, "fingerprint", "left").join(classes, "id", "left")
+    told = named.select("fingerprint", F.coalesce("cluster_id", "id").alias("class"), F.coalesce("links", F.lit(0)).cast("long").alias("links"), "copies", "doc_id")
+    return sigs.drop("signature"), stash(told, "classes")
 
-    found = stash(cells.groupBy("group", "row", "col").applyInPandas(compare, f"node {node_type}, links long, edge {node_type}"), "links")
-    classes = components(found.where("node <> edge"), "node", "edge", "class_id").withColumnRenamed("node", "n")
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    told = nodes.join(linked, "node", "left").join(classes, F.col("node") == F.col("n"), "left").select(
-        "fingerprint", F.coalesce("class_id", "node").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    with_words = members.join(told, "fingerprint").select("doc_id", "class_id", "n_links")
-    wordless = sigs.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return with_words.unionByName(wordless).groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    threshold: float = 0.8,
+    tolerance: float = 1e-6,
+    block: int = 512,
+) -> DataFrame:
+    """Classes of near duplicates: ``(doc_id, class_id, n_links)``, one row for every row of ``docs``.
+
+    Two documents are linked if the Jaccard similarity of their sets of ``size``-word shingles is at least
+    ``threshold``; ``class_id`` is the least id among all that are linked directly or through others, and ``n_links``
+    the number of documents linked to this one, copies included.
+
+    1. Documents with equal shingle sets form one node, kept once, with a count.
+    2. Nodes that share a band of MinHash values share a bucket. A node is filed in a block of at most about ``block``
+       nodes under the least node of its buckets, and two blocks are compared if some bucket has nodes of both: texts
+       that are only tied through a chain of others are not.
+    3. Blocks are compared in cells: MinHash values in steps, a pair being dropped when the posterior probability of
+       reaching ``threshold`` falls below ``tolerance``; the rest is verified on the whole shingle sets. A cell returns
+       a count of links and one edge for each node, never the pairs.
+    4. Counts are summed over cells, edges give the classes.
+
+    Null and empty texts and texts without words have no shingle: a class of their own each, no link. Every row is a
+    document: rows that share an id are compared by their texts, rows with equal texts are links of each other. Null ids
+    are compared too; ``class_id`` is null only if no document of the class has an id. Extra columns are ignored.
+    """
+    rows, nodes = _classes(docs, id_col, text_col, size, threshold, tolerance, block)
+    least = nodes.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    told = stash(nodes.join(least, "class").select("fingerprint", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "told")
+    with_words = rows.where("n_shingles > 0").join(told, "fingerprint").select("doc_id", "class_id", "n_links")
+    return with_words.unionByName(rows.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, tolerance: float = 1e-6, block: int = 512) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class one row, that with the least id, then text digest.
+
+    Rows are told apart by id and text, so different texts that share an id or have none are judged by their texts. A
+    null id comes last. Rows that agree in id and text are one (any of them, whatever their other columns). Texts without
+    a word have no duplicates: all their rows stay.
+    """
+    rows, nodes = _classes(docs, id_col, text_col, size, threshold, tolerance, block)
+    chosen = (
+        rows.where("n_shingles > 0").join(nodes.select("fingerprint", "class"), "fingerprint")
+        .groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("first"))
+    )
+    keys = stash(chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.version").alias("_key")), "chosen")
+    keyed = docs.withColumn("_version", _version(text_col))
+    wordless = ~text_or_empty(text_col).rlike(r"[^\x20\x09-\x0D]")
+    kept = keyed.where(~wordless).join(keys, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_key")), "left_semi").dropDuplicates([id_col, "_version"])
+    return kept.unionByName(keyed.where(wordless)).select(*docs.columns)
 
 
 def signatures_with_sets(rows: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, fingerprint, signature, prints)`` of candidate rows; ``prints`` is the sorted shingle set."""
-    schema = schema_with(rows.select("doc_id"), fingerprint="binary", signature="binary", prints="binary")
+    """``(fingerprint, signature, prints)`` of candidate rows; ``prints`` is the sorted shingle set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from hashlib import blake2b
-
         known: dict[bytes, int] = {}
         for pdf in batches:
             for at in range(0, len(pdf), 500):  # sets are larger than texts
-                part = pdf.iloc[at : at + 500]
-                prints = [shingles(t, size, known) for t in part["text"]]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "fingerprint": [blake2b(p.tobytes(), digest_size=16).digest() for p in prints],
-                        "signature": [minhashes(p).tobytes() if len(p) else None for p in prints],
-                        "prints": [p.tobytes() for p in prints],
-                    }
-                )
+                found = [_prepared(t, size, known) for t in pdf["text"].iloc[at : at + 500]]
+                yield pd.DataFrame({"fingerprint": [f for f, _ in found], "signature": [minhashes(p).tobytes() for _, p in found], "prints": [p.tobytes() for _, p in found]})
 
-    return rows.mapInPandas(run, schema)
+    return rows.select("text").mapInPandas(run, "fingerprint binary, signature binary, prints binary")
