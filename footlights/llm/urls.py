@@ -41,12 +41,20 @@ def parse_pattern(rule: str) -> tuple[str, str, str, list[str]]:
     return rule, "allow" if rule.startswith("@@") else "block", expression, list(dict.fromkeys(tokens))
 
 
+def _literal_rows(spark: SparkSession, rows: list[Column]) -> DataFrame:
+    """A small fixed table of structs as column literals: no Python worker reads it."""
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def pattern_rules(spark: SparkSession, rules: tuple[str, ...] = PATTERN_RULES) -> DataFrame:
-    return spark.createDataFrame([parse_pattern(r) for r in rules], "pattern string, action string, expression string, tokens array<string>")
+    """The rules as a table ``(pattern, action, expression, tokens)``."""
+    row = lambda p, a, e, t: F.struct(F.lit(p).alias("pattern"), F.lit(a).alias("action"), F.lit(e).alias("expression"), F.array(*map(F.lit, t)).cast("array<string>").alias("tokens"))
+    return _literal_rows(spark, [row(*parse_pattern(r)) for r in rules])
 
 
 def prefix_rules(spark: SparkSession, rules: tuple[tuple[str, str, str], ...] = PREFIX_RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "action string, rule_host string, rule_path string")
+    """The rules as a table ``(action, rule_host, rule_path)``."""
+    return _literal_rows(spark, [F.struct(F.lit(a).alias("action"), F.lit(h).alias("rule_host"), F.lit(p).alias("rule_path")) for a, h, p in rules])
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
