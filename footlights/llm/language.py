@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_with
+from .common import schema_with, stash
 
 #: A fitted model: language -> raw dictionary content. Bounded by ``docs_per_language`` and ``dictionary_bytes``.
 Dictionaries = dict[str, bytes]
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter, in the fit and in the verdict.
+_LETTER = r"\p{L}"
 
 
 def fit_dictionaries(
@@ -25,20 +26,24 @@ def fit_dictionaries(
     lang_col: str = "lang",
     docs_per_language: int = 96,
     dictionary_bytes: int = 96 * 1024,
+    most_languages: int = 200,
 ) -> Dictionaries:
     """Raw dictionary content per language from a bounded sample of labelled rows.
 
     The sample is one row for each (language, hash bucket), ``docs_per_language`` buckets, the row with the least hash;
     it is chosen by an aggregate over ids only, and just the texts of the chosen rows reach the driver
-    (``docs_per_language`` texts for each language). Each gives its letters-bearing text, shortest texts last, until
+    (``docs_per_language`` texts for each of at most ``most_languages`` languages, those with the most documents). Each gives its letters-bearing text, shortest texts last, until
     ``dictionary_bytes`` are full: zstandard finds what lies at the end most cheaply.
 
     Rows with a null text, null language or no letter teach nothing. No usable row: an empty model.
     """
-    usable = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    usable = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(_LETTER))
     rows = usable.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.xxhash64(F.col(id_col).cast("string"), F.lit("dict")).alias("h"))
-    chosen = rows.groupBy("l", F.pmod("h", F.lit(docs_per_language)).alias("bucket")).agg(F.min("h").alias("h")).select("l", "h")
-    # at most languages x docs_per_language rows
+    chosen = rows.groupBy("l", F.pmod("h", F.lit(docs_per_language)).alias("bucket")).agg(F.min("h").alias("h"), F.count("*").alias("n"))
+    chosen = stash(chosen, "sample")  # languages x docs_per_language short rows
+    known = chosen.groupBy("l").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "l").limit(most_languages).select("l")
+    chosen = chosen.join(F.broadcast(known), "l").select("l", "h")
+    # at most most_languages x docs_per_language rows
     texts = rows.join(F.broadcast(chosen), ["l", "h"]).dropDuplicates(["l", "h"]).select("l", F.substring("t", 1, dictionary_bytes).alias("t"), "h").collect()
     model: Dictionaries = {}
     for lang in sorted({r.l for r in texts}):
@@ -82,8 +87,8 @@ def predict_language(
             out.append(zstandard.ZstdCompressor(dict_data=content, level=level, write_checksum=False, write_content_size=False, write_dict_id=False))
         return out
 
-    def verdict(text: str | None, compressors: list[zstandard.ZstdCompressor]) -> tuple[str, float, bool]:
-        if text is None or not compressors or not _LETTER.search(text):
+    def verdict(text: str | None, compressors: list[zstandard.ZstdCompressor], letter: regex.Pattern) -> tuple[str, float, bool]:
+        if text is None or not compressors or not letter.search(text):
             return "und", 0.0, True
         raw = text.lower().encode()
         blocks = [raw[i : i + block_bytes] for i in range(0, len(raw), block_bytes)]
@@ -92,9 +97,9 @@ def predict_language(
         return sizes[0][1], score, score < min_margin
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compressors = coders()
+        compressors, letter = coders(), regex.compile(_LETTER)
         for pdf in batches:
-            found = [verdict(t, compressors) for t in pdf[text_col]]
+            found = [verdict(t, compressors, letter) for t in pdf[text_col]]
             pdf = pdf.assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found], rejected=[x[2] for x in found])
             yield pdf
 
