@@ -12,12 +12,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import stash, text_or_empty
 
 _NOT_WORD = re.compile(r"[^\w]+|_+")
-#: Base of the running hash (an odd 64-bit number) and the size of the bitmap that goes to all tasks.
+#: Base of the running hash (an odd 64-bit number), and the least and most address bits of the bitmap that goes to all
+#: tasks (1 to 16 MB): sixteen places for each window of the benchmark, as far as that goes.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_MAP_BITS = 23
+_MAP_BITS = (23, 27)
 #: Words kept by a worker before its table starts anew.
 _KEPT_WORDS = 300_000
 
@@ -44,10 +45,10 @@ def running_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def windows(rows: DataFrame, length: int, bitmap: Broadcast | None = None) -> DataFrame:
+def windows(rows: DataFrame, length: int, bitmap: Broadcast | None = None, bits: int = 0) -> DataFrame:
     """``(id, at, seed, words)``: places of word windows of ``rows(id, text)``, by running hash and by their words.
 
-    ``bitmap`` (packed bits) marks the wanted hashes by their highest bits: other windows never become rows.
+    ``bitmap`` (packed) marks the wanted hashes by their highest ``bits`` bits: other windows never become rows.
     """
     schema = f"id {rows.schema['id'].dataType.simpleString()}, at int, seed long, words string"
 
@@ -65,7 +66,7 @@ def windows(rows: DataFrame, length: int, bitmap: Broadcast | None = None) -> Da
                 hashes = np.fromiter(map(known.__getitem__, chunks), np.uint64, len(chunks))
                 real = np.flatnonzero(hashes)
                 seeds = running_hashes(hashes[real], length)
-                places = np.arange(len(seeds)) if wanted is None else np.flatnonzero(wanted[(seeds >> np.uint64(64 - _MAP_BITS)).astype(np.int64)])
+                places = np.arange(len(seeds)) if wanted is None else np.flatnonzero(wanted[(seeds >> np.uint64(64 - bits)).astype(np.int64)])
                 out += [(key, int(p), int(seeds[p].view(np.int64)), " ".join(normal_word(chunks[i]) for i in real[p : p + length])) for p in places]
             yield pd.DataFrame(out, columns=["id", "at", "seed", "words"])
 
@@ -119,19 +120,20 @@ def contamination(
     running hash (a join; the words are compared too), and each pair that shares a window is tiled greedily:
     ``coverage`` is the share of the item's words under tiles, in whatever order the document has them.
 
-    The bitmap that thins out document windows before the join has 2**23 places at any size of the benchmark; the join
+    The bitmap that thins out document windows before the join grows with the benchmark up to 2**27 places; the join
     alone decides. Items of fewer than ``min_match`` words have no window and are never found; null and empty texts and
     null ids neither. Documents that share an id count as one; so do items that share an id. Extra columns are ignored.
     """
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("id"), text_or_empty(text_col).alias("text"))
-    item_windows = windows(items, min_match)
-    # at most 2**23 numbers
-    spots = item_windows.select(F.shiftrightunsigned("seed", 64 - _MAP_BITS).alias("spot")).distinct().toPandas()["spot"]
-    wanted = np.zeros(1 << _MAP_BITS, bool)
+    item_windows = stash(windows(items, min_match), "item-windows")
+    bits = min(_MAP_BITS[1], max(_MAP_BITS[0], (16 * item_windows.count()).bit_length()))
+    # at most as many numbers as the bitmap has places
+    spots = item_windows.select(F.shiftrightunsigned("seed", 64 - bits).alias("spot")).distinct().toPandas()["spot"]
+    wanted = np.zeros(1 << bits, bool)
     wanted[spots.to_numpy(np.int64)] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted).tobytes())
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    doc_windows = windows(rows, min_match, shared)
+    doc_windows = windows(rows, min_match, shared, bits)
     hits = doc_windows.withColumnsRenamed({"id": "doc_id", "at": "i"}).join(item_windows.withColumnsRenamed({"id": "item_id", "at": "j"}), ["seed", "words"]).select("doc_id", "item_id", "i", "j")
     words = items.groupBy(F.col("id").alias("item_id")).agg(F.max(_n_words("text")).alias("n_words"))
     pairs = hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("i", "j")).alias("hits")).join(words, "item_id")

@@ -139,6 +139,43 @@ def test_decontamination_finds_reordered_passages(spark):
     assert decontaminate.contamination(docs(spark, texts), bench.limit(0)).count() == 0
 
 
+def brute_tiles(doc, item, least):
+    """Greedy string tiling by trying every pair of places in every round; the share of the item under tiles."""
+    used_d, used_i = set(), set()
+    while True:
+        best = None
+        for j in range(len(item)):
+            for i in range(len(doc)):
+                n = 0
+                while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n] and i + n not in used_d and j + n not in used_i:
+                    n += 1
+                if n >= least and (best is None or n > best[0]):
+                    best = (n, i, j)
+        if best is None:
+            return len(used_i) / len(item)
+        n, i, j = best
+        used_d.update(range(i, i + n))
+        used_i.update(range(j, j + n))
+
+
+def test_decontamination_against_brute_force(spark):
+    rnd = random.Random(4)
+    items = {k: prose(40 + k, rnd.randint(12, 30)).split() for k in range(4)} | {9: ("one two three four five six " * 3).split()}
+    texts = []
+    for k in range(24):
+        w = list(items[rnd.choice(list(items))])
+        for _ in range(rnd.randint(0, 4)):
+            w.insert(rnd.randrange(len(w)), "odd")
+        at = rnd.randrange(len(w))
+        texts.append(f"{prose(60 + k, 15)} {' '.join(w[at:] + ['gap'] * (k % 2) + w[:at])} {prose(90 + k, 15)}")
+    texts += [texts[0], "one two three four five six " * 300]
+    ids = [*range(len(texts) - 2), 0, 77]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.coverage, 6) for r in decontaminate.contamination(docs(spark, texts, ids), bench).collect()}
+    want = {(d, k): round(c, 6) for d, t in zip(ids, texts, strict=True) for k, w in items.items() if (c := brute_tiles(t.split()[:200], w, 5)) >= 0.8}
+    assert got == want and len(want) > 8
+
+
 def test_greedy_tiles_do_not_overlap():
     hits = [(i, i) for i in range(10)] + [(i, i + 3) for i in range(4)]
     tiles = decontaminate.greedy_tiles(hits, 5)
