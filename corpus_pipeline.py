@@ -6,31 +6,35 @@ columns of ``documents``; each is written as Parquet in the shared folder and re
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footlights.llm.common import stash, table
 from footlights.llm.decontaminate import contamination
-from footlights.llm.jaccard import near_duplicates
+from footlights.llm.jaccard import one_of_each_class
 from footlights.llm.packing import pack, token_pieces
-from footlights.llm.pii import find_pii, fit_booster, redact
-from footlights.llm.quality import fit_line_model, labelled_documents, quality
+from footlights.llm.pii import find_pii, fit_booster, propose, redact
+from footlights.llm.quality import RESULTS, fit_line_model, labelled_documents, quality
+
+
+def _keeping_columns(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` with the columns of ``docs``: those that bear a name that the work uses itself are set aside."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in names}
+    done = work(docs.withColumnsRenamed(own))
+    return done.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality operator keeps."""
     model = fit_line_model(labelled_documents(docs, table(spark, sf_dir, "labels")))
-    return quality(docs, model).where("kept").select(*docs.columns)
+    return _keeping_columns(docs, RESULTS, lambda rows: quality(rows, model).where("kept"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the least id; rows that repeat an id are one.
-
-    A null id cannot be compared and stays.
-    """
-    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id")
-    chosen = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """One document of each class of near duplicates: the one with the least id, then text digest."""
+    return one_of_each_class(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +45,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced in their texts; ``n_chars`` follows the new text."""
-    safe = redact(find_pii(docs, fit_booster(docs)))
-    if "n_chars" in docs.columns:
-        safe = safe.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return safe.select(*docs.columns)
+
+    def safe(rows: DataFrame) -> DataFrame:
+        proposed = stash(propose(rows), "candidates")
+        out = redact(find_pii(proposed, fit_booster(proposed)))
+        if "n_chars" not in rows.columns:
+            return out
+        return out.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(rows.schema["n_chars"].dataType))
+
+    return _keeping_columns(docs, ("pii", "_base", "_candidates"), safe)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
