@@ -21,6 +21,9 @@ _CHAIN = 60
 _PLAIN_END = (b".", b"!", b"?", b":", b'"', b")")
 _NOTICE = re.compile(rb"rights reserved|copyright|licen[sc]ed? under|cookie|javascript|click here|terms of (use|service)", re.I)
 
+#: Columns that the operator adds.
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept")
+
 FEATURES = (
     "bias", "symbols over 2 %", "symbols over 8 %", "more capitals than small letters", "exclamation words over 30 %",
     "words repeated over 50 %", "word repeats its neighbour over 30 %", "seen above", "notice", "up to 4 words",
@@ -204,7 +207,7 @@ def quality(docs: DataFrame, model: LineModel, text_col: str = "text", min_words
     on. Null and empty texts have no words, fail and are not kept, with a share of 0. Other columns stay; input
     columns that bear a result's name are replaced.
     """
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept")
+    names = RESULTS
     types = ("long",) * 5 + ("boolean", "double", "boolean")
     kept = docs.select(*[c for c in docs.columns if c not in names])
     schema = schema_with(kept, **dict(zip(names, types, strict=True)))
