@@ -330,10 +330,10 @@ Q30 = "select o_orderkey as id, case when o_orderkey % 100 = 0 then 'X' end as s
 
 def _cases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     note = F.when(F.col("id") % 10 == 0, F.lit("unsure 1999-12-30: later")).when(F.col("id") % 10 == 1, F.lit("unsure 1999-01-01: old"))
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 17 = 0")
+    o = table(spark, sf_dir, "orders")
     held = o.select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("day"), F.lit("possible match").alias("reason"), F.lit(None).cast("string").alias("note"))
     held = held.withColumn("note", note)
-    pairs = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("reason")).withColumn("note", note)
+    pairs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("reason")).withColumn("note", note)
     conflicts = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.lit("time").alias("reason")).withColumn("note", note)
     return held, pairs, conflicts
 
@@ -342,8 +342,8 @@ def q31_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.review_queue(*_cases(spark, sf_dir), TODAY, limit=150)
 
 
-Q31 = """with k as (select 'held' as kind, o_orderkey as id, o_orderdate::date as day, 'possible match' as reason from orders where o_orderkey % 17 = 0
-union all select 'pair', p_partkey, null, p_type from part where p_partkey % 3 = 0 union all select 'conflict', s_suppkey, null, 'time' from supplier)
+Q31 = """with k as (select 'held' as kind, o_orderkey as id, o_orderdate::date as day, 'possible match' as reason from orders
+union all select 'pair', p_partkey, null, p_type from part union all select 'conflict', s_suppkey, null, 'time' from supplier)
 select kind, id::varchar as id, reason from k where id % 10 <> 0 qualify row_number() over (partition by kind order by day, id) <= 150"""
 
 

@@ -120,25 +120,25 @@ select doc_id as seq, coalesce(ch, bc) as choreographer, coalesce(de, bd) as des
 
 
 def q22_settle_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+    o = table(spark, sf_dir, "orders")
     runs = o.select(F.col("o_orderkey").alias("run_id"), F.lit("s").alias("source_id"), F.col("o_orderkey").cast("string").alias("title"), F.lit(None).cast("string").alias("work"), F.lit(None).cast("string").alias("venue"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start"), F.date_format(F.col("o_orderdate") + F.expr("interval 400 days"), "yyyy-MM-dd").alias("end"), F.when(F.col("o_orderkey") % 8 == 0, F.lit(4)).alias("expected"))
     items = table(spark, sf_dir, "lineitem").select(F.lit("s").alias("source_id"), F.col("l_orderkey").cast("string").alias("title"), F.lit(None).cast("string").alias("work"), F.lit(None).cast("string").alias("venue"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_returnflag").alias("time"), F.when(F.col("l_linenumber") == 1, "booking").otherwise("listed").alias("date_source"))
     return schedule.settle_runs(runs, items).select("run_id", "expected", "found", "status")
 
 
 Q22 = """with i as (select o_orderkey as id, count(distinct {'d': l_shipdate::date, 't': l_returnflag}) filter (where l_shipdate >= o_orderdate and l_shipdate::date <= (o_orderdate + interval 400 days)::date) as found, bool_or(l_linenumber = 1) as hunted
-  from orders join lineitem on l_orderkey = o_orderkey where o_orderkey % 4 = 0 group by 1),
-r as (select o_orderkey as run_id, case when o_orderkey % 8 = 0 then 4 end as expected, coalesce(found, 0) as found, coalesce(hunted, false) as hunted from orders left join i on id = o_orderkey where o_orderkey % 4 = 0)
+  from orders join lineitem on l_orderkey = o_orderkey group by 1),
+r as (select o_orderkey as run_id, case when o_orderkey % 8 = 0 then 4 end as expected, coalesce(found, 0) as found, coalesce(hunted, false) as hunted from orders left join i on id = o_orderkey)
 select run_id, expected, found, case when expected > 0 and found >= expected then 'complete' when found <= 1 then 'range_only' when expected is null and hunted then 'complete' else 'partial' end as status from r"""
 
 
 def q23_expanded_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), F.col("event_type").alias("production"), F.to_date("ts").alias("date"), F.when(F.col("value") > 60, F.lit("19:30")).alias("time")).where(F.dayofmonth("date") <= 12)
+    items = table(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), F.concat_ws("-", "event_type", F.floor(F.dayofmonth("ts") / 6)).alias("production"), F.to_date("ts").alias("date"), F.when(F.col("value") > 60, F.lit("19:30")).alias("time"))
     out = readings.expanded_ranges(items)
     return out.select("source_id", "production", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"))
 
 
-Q23 = """select user_id as source_id, event_type as production, strftime(min(ts), '%Y-%m-%d') as first, strftime(max(ts), '%Y-%m-%d') as last from events where day(ts) <= 12 group by all
+Q23 = """select user_id as source_id, event_type || '-' || (day(ts) // 6) as production, strftime(min(ts), '%Y-%m-%d') as first, strftime(max(ts), '%Y-%m-%d') as last from events group by all
 having count(*) filter (where value > 60) = 0 and count(distinct ts::date) >= 3 and date_diff('day', min(ts::date), max(ts::date)) + 1 = count(distinct ts::date)"""
 
 
@@ -194,13 +194,12 @@ Q28 = rf"""with p as (select page_id, {_HTML} as t from pages), v as (select cas
 
 def q34_drop_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    week = F.when(F.dayofmonth("ts").between(15, 21), 1).when(F.dayofmonth("ts").between(8, 14), 0)
-    g = e.withColumn("week", week).where("week is not null").groupBy("user_id", "event_type").agg(F.count(F.when(F.col("week") == 0, 1)).cast("int").alias("n_before"), F.count(F.when(F.col("week") == 1, 1)).cast("int").alias("n_upcoming"))
+    g = e.withColumn("week", (F.dayofmonth("ts") > 15).cast("int")).groupBy("user_id", "event_type").agg(F.count(F.when(F.col("week") == 0, 1)).cast("int").alias("n_before"), F.count(F.when(F.col("week") == 1, 1)).cast("int").alias("n_upcoming"))
     rows = g.select("user_id", "event_type", "n_before", "n_upcoming", F.lit(False).alias("no_answer"), F.lit(False).alias("truncated"), F.lit(True).alias("complete"), F.lit("").alias("page_status"), F.col("n_upcoming").alias("n_items"), F.when(F.col("user_id") % 20 == 0, F.lit("the rest is not included")).alias("unsure"), F.lit(None).cast("string").alias("range_text"))
     return schedule.second_look(rows).select("user_id", "event_type", "why")
 
 
-Q34 = """with g as (select user_id, event_type, count(*) filter (where day(ts) between 8 and 14) as b, count(*) filter (where day(ts) between 15 and 21) as n from events where day(ts) between 8 and 21 group by all)
+Q34 = """with g as (select user_id, event_type, count(*) filter (where day(ts) <= 15) as b, count(*) filter (where day(ts) > 15) as n from events group by all)
 select user_id, event_type, case when user_id % 20 = 0 then 'unsure: the rest is not included' when b >= 3 and n < b * 0.5 then 'found ' || n || ' shows, ' || b || ' at the last reading' end as why from g"""
 
 
@@ -248,10 +247,10 @@ def q38_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q39_stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = text.key_of(F.col("user_id"), F.col("event_type"), F.to_date("ts"))
     e = table(spark, sf_dir, "events").select(key.alias("dedupe_key"), "event_id")
-    return tables.stage_rows(e.where("event_id % 2 = 1"), e.where("event_id % 10 = 0")).select("dedupe_key")
+    return tables.stage_rows(e.where("event_id % 10 <> 0"), e.where("event_id % 10 = 0")).select("dedupe_key")
 
 
-Q39 = "with e as (select md5(concat_ws('|', user_id, event_type, strftime(ts, '%Y-%m-%d'))) as dedupe_key, event_id from events) select distinct dedupe_key from e where event_id % 2 = 1 and dedupe_key not in (select dedupe_key from e where event_id % 10 = 0)"
+Q39 = "with e as (select md5(concat_ws('|', user_id, event_type, strftime(ts, '%Y-%m-%d'))) as dedupe_key, event_id from events) select distinct dedupe_key from e where event_id % 10 <> 0 and dedupe_key not in (select dedupe_key from e where event_id % 10 = 0)"
 
 
 def q40_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,10 +367,10 @@ select job, strftime(s, '%Y-%m-%d %H:%M:%S') as since, strftime(t, '%Y-%m-%d %H:
 def q51_cache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("url"), F.col("event_type").alias("role"), (F.col("event_id") % 3).cast("string").alias("text_hash"), F.col("ts").alias("updated_at"), "event_id")
     page = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("url"), F.lit("click").alias("role"), (F.col("c_custkey") % 3).cast("string").alias("text_hash"))
-    return readings.cache_state(page, e.where("event_id % 2 = 0"), dt.datetime(2024, 2, 5))
+    return readings.cache_state(page, e, dt.datetime(2024, 2, 5))
 
 
-Q51 = """with l as (select user_id::varchar as u, arg_max({'h': (event_id % 3)::varchar, 't': ts}, {'a': ts, 'b': (event_id % 3)::varchar}) as x from events where event_id % 2 = 0 and event_type = 'click' group by 1)
+Q51 = """with l as (select user_id::varchar as u, arg_max({'h': (event_id % 3)::varchar, 't': ts}, {'a': ts, 'b': (event_id % 3)::varchar}) as x from events where event_type = 'click' group by 1)
 select c_custkey::varchar as url, 'click' as role, (c_custkey % 3)::varchar as text_hash, case when u is null then 'new' when x.h <> (c_custkey % 3)::varchar then 'changed' when epoch(timestamp '2024-02-05') - epoch(date_trunc('second', x.t)) > 28 * 86400 then 'expired' else 'reuse' end as state
 from customer left join l on u = c_custkey::varchar"""
 
