@@ -15,7 +15,11 @@ from . import domain as d
 from .domain import AS_OF, SQL, TODAY, table
 
 _DAY = TODAY.isoformat()
-_K = F.col("p_partkey")
+
+
+def _k() -> Column:
+    """The key of the part table."""
+    return F.col("p_partkey")
 
 
 def _pick(key: Column, values: tuple) -> Column:
@@ -98,13 +102,13 @@ def _reading_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     shows = F.transform(
         F.sequence(F.lit(0), (F.col("p_size") % 3).cast("int")),
-        lambda i: F.struct(F.date_format(F.date_add(F.lit(TODAY), (_K % 28).cast("int") + i), "yyyy-MM-dd").alias("date"), F.when(_K % 2 == 0, F.lit("19:30")).alias("time"), F.concat(F.lit("Hall "), (_K % 5).cast("string")).alias("venue")),
+        lambda i: F.struct(F.date_format(F.date_add(F.lit(TODAY), (_k() % 28).cast("int") + i), "yyyy-MM-dd").alias("date"), F.when(_k() % 2 == 0, F.lit("19:30")).alias("time"), F.concat(F.lit("Hall "), (_k() % 5).cast("string")).alias("venue")),
     )
-    run = F.array(F.struct(F.when(_K % 3 != 0, F.lit(" House ")).otherwise(F.lit(" ")).alias("venue"), F.lit(_DAY).alias("start"), F.when(_K % 4 != 0, F.lit("2000-03-01")).otherwise(F.lit("soon")).alias("end"), (_K % 9).cast("int").alias("expected_performances"), F.lit("").alias("dates_page_url")))
+    run = F.array(F.struct(F.when(_k() % 3 != 0, F.lit(" House ")).otherwise(F.lit(" ")).alias("venue"), F.lit(_DAY).alias("start"), F.when(_k() % 4 != 0, F.lit("2000-03-01")).otherwise(F.lit("soon")).alias("end"), (_k() % 9).cast("int").alias("expected_performances"), F.lit("").alias("dates_page_url")))
     production = F.array(F.struct(F.col("p_name").alias("title"), F.col("p_brand").alias("company"), shows.alias("performances"), run.alias("runs")))
     plain, root = F.to_json(F.struct(F.lit("ok").alias("page_status"), production.alias("productions"))), F.to_json(F.struct(F.col("p_name").alias("title"), F.col("p_brand").alias("company"), shows.alias("performances")))
     as_text = F.to_json(F.struct(F.to_json(production).alias("productions")))
-    return p.select("p_partkey", F.when(_K % 5 == 0, root).when(_K % 11 == 0, as_text).otherwise(plain).alias("json"))
+    return p.select("p_partkey", F.when(_k() % 5 == 0, root).when(_k() % 11 == 0, as_text).otherwise(plain).alias("json"))
 
 
 def q65_flatten_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,9 +223,9 @@ _PLAIN = ("Opera Garnier", "Strasse", "Lodz", "coeur", "AEro", "Sarka", "naive")
 
 def q72_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accents, generic titles and programme names in brackets."""
-    title = F.when(_K % 4 == 0, "On Tour 2000").when(_K % 4 == 1, F.col("p_brand")).when(_K % 4 == 2, F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")))
+    title = F.when(_k() % 4 == 0, "On Tour 2000").when(_k() % 4 == 1, F.col("p_brand")).when(_k() % 4 == 2, F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")))
     return table(spark, sf_dir, "part").select(
-        "p_partkey", text.unaccent(_pick(_K, _ACCENTS)).alias("plain"), text.is_generic_title(title, F.col("p_brand")).alias("generic"), text.piece_title(title, F.col("p_brand")).alias("piece"), text.clean_text(F.when(_K % 2 == 0, F.unhex(F.lit("4142FF43"))).otherwise(F.encode("p_name", "UTF-8"))).alias("clean")
+        "p_partkey", text.unaccent(_pick(_k(), _ACCENTS)).alias("plain"), text.is_generic_title(title, F.col("p_brand")).alias("generic"), text.piece_title(title, F.col("p_brand")).alias("piece"), text.clean_text(F.when(_k() % 2 == 0, F.unhex(F.lit("4142FF43"))).otherwise(F.encode("p_name", "UTF-8"))).alias("clean")
     )
 
 
@@ -313,9 +317,9 @@ def q79_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies by name or alias, works by title, story and choreographer."""
     p = table(spark, sf_dir, "part")
     firms = d.companies(spark, sf_dir).withColumn("aliases", F.array(F.concat(F.lit("Troupe "), F.col("id").cast("string"))))
-    name = F.when(_K % 3 == 0, F.concat(F.lit(" troupe "), (_K % 40).cast("string"))).when(_K % 3 == 1, F.upper(F.format_string("Supplier#%09d", _K % 40))).otherwise(F.lit("Nobody"))
-    rows = p.select(_K.alias("id"), name.alias("company"), F.col("p_name").alias("work"), (_K % 5 == 0).alias("work_is_story"), F.when(_K % 4 != 0, F.col("p_brand")).alias("choreographer_id"))
-    works = p.select(_K.alias("id"), F.col("p_name").alias("title"), F.when(_K % 6 != 0, F.col("p_brand")).alias("choreographer_id"), F.timestamp_seconds(_K).alias("created_at"))
+    name = F.when(_k() % 3 == 0, F.concat(F.lit(" troupe "), (_k() % 40).cast("string"))).when(_k() % 3 == 1, F.upper(F.format_string("Supplier#%09d", _k() % 40))).otherwise(F.lit("Nobody"))
+    rows = p.select(_k().alias("id"), name.alias("company"), F.col("p_name").alias("work"), (_k() % 5 == 0).alias("work_is_story"), F.when(_k() % 4 != 0, F.col("p_brand")).alias("choreographer_id"))
+    works = p.select(_k().alias("id"), F.col("p_name").alias("title"), F.when(_k() % 6 != 0, F.col("p_brand")).alias("choreographer_id"), F.timestamp_seconds(_k()).alias("created_at"))
     out = link.resolve_work(link.resolve_dimension(rows, firms, "company", "company_id"), works)
     return out.select("id", "company_id", "work_id")
 
@@ -572,9 +576,9 @@ select k as id, case when k % 10 = 0 then 'old' else st end as status, strftime(
 def q98_titles_and_hunts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English titles kept from the last reading, pages to hunt dates on, sources with rows of this run."""
     p = table(spark, sf_dir, "part")
-    url = F.concat(F.lit("https://h/"), (_K % 9).cast("string"))
-    last = p.where(_K % 2 == 0).select(url.alias("url"), F.lit("list").alias("role"), F.concat(F.lit("The "), "p_name").alias("title"), F.concat("p_name", F.lit(" "), _K.cast("string")).alias("original_title"))
-    new = p.select(url.alias("url"), F.lit("list").alias("role"), _K.alias("id"), F.concat("p_name", F.lit(" "), _K.cast("string")).alias("title"), F.when(_K % 3 == 0, F.concat("p_name", F.lit(" "), _K.cast("string"))).alias("original_title"))
+    url = F.concat(F.lit("https://h/"), (_k() % 9).cast("string"))
+    last = p.where(_k() % 2 == 0).select(url.alias("url"), F.lit("list").alias("role"), F.concat(F.lit("The "), "p_name").alias("title"), F.concat("p_name", F.lit(" "), _k().cast("string")).alias("original_title"))
+    new = p.select(url.alias("url"), F.lit("list").alias("role"), _k().alias("id"), F.concat("p_name", F.lit(" "), _k().cast("string")).alias("title"), F.when(_k() % 3 == 0, F.concat("p_name", F.lit(" "), _k().cast("string"))).alias("original_title"))
     titles = readings.keep_english_titles(new, last).select(F.lit("title").alias("kind"), F.col("id").cast("string").alias("id"), F.col("title").alias("value"), F.col("changed").cast("string").alias("more"))
     l = d.listings(spark, sf_dir)  # noqa: E741
     runs = l.select("source_id", (F.col("source_id") % 4).alias("tier"), F.col("position").alias("seq"), F.when(F.col("position") % 2 == 0, "complete").otherwise("partial").alias("status"), F.concat(F.lit("https://dates/"), F.col("position").cast("string")).alias("dates_page_url"), F.when(F.col("generic"), F.lit("https://stage/x")).alias("venue_event_url"))
