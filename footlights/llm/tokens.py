@@ -80,7 +80,7 @@ class ChunkTable:
     and not each spelling of a chunk. Both tables start anew beyond their bound, which limits a worker's memory.
     """
 
-    def __init__(self, path: str, most_chunks: int = 600_000, most_words: int = 1_200_000) -> None:
+    def __init__(self, path: str, most_chunks: int = 200_000, most_words: int = 400_000) -> None:
         self.path, self.most_chunks, self.most_words = path, most_chunks, most_words
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
