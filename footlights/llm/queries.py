@@ -12,6 +12,7 @@ from .common import stash, table
 from .decontaminate import contamination
 from .jaccard import near_duplicates
 from .language import fit_dictionaries, held_out, predict_language
+from .merkle import fold, merkle_manifest, proof_digest
 from .packing import pack, token_pieces
 from .pii import find_pii, fit_booster, pii_digest, propose
 from .quality import fit_line_model, labelled_documents, quality
@@ -86,8 +87,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its row, tampered with if 5 divides crc32(doc_id), is verified."""
+    docs = table(spark, sf_dir, "documents")
+    capitals, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = merkle_manifest(docs, claimed={"text": F.when(tampered, F.translate("text", capitals, small)).otherwise(F.col("text"))})
+    found = found.withColumn("proof_sha256", proof_digest(F.col("before"), F.col("after"))).withColumn("folded_root", fold(F.col("claimed_leaf"), F.col("before"), F.col("after")))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op7_suffix_dedup, op8_personal_data, op9_jaccard_join, op10_token_counts)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op7_suffix_dedup, op8_personal_data, op9_jaccard_join, op10_token_counts, op11_merkle_manifest)}
 
 
 _WARC_SQL = """
@@ -98,6 +109,46 @@ select page_id, n as payload_bytes, sha1(html) as payload_digest,
   case when n >= 1000 and page_id <> keeper then keeper end as refers_to, true as verified
 from k"""
 
+_MERKLE_SQL = """
+with recursive crc_table as (
+  select list_transform(range(256), lambda n: list_reduce([n] || range(8), lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as t),
+d as (select *, coalesce(xor(list_reduce([4294967295::bigint] || list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 5 = 0, false) as tampered from documents, crc_table),
+e as (select doc_id, source, tampered, text, 
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head from d),
+leaves as (select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+    sha256(head || coalesce(strlen(text) || ':' || case when tampered then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end, '-')) as claimed from e),
+placed as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos from leaves),
+nodes as (
+  select 0 as level, source, pos, leaf as digest, count(*) over (partition by source) as n from placed
+  union all
+  select level + 1, source, pos // 16, sha256(string_agg(digest, '' order by pos)), ceil(any_value(n) / 16)::bigint from nodes where n > 1 group by level, source, pos // 16),
+subroots as (select source, digest as subroot, row_number() over (order by source nulls first) - 1 as place from nodes where n = 1),
+tops as (
+  select 0 as level, place as pos, subroot as digest, count(*) over () as n from subroots
+  union all
+  select level + 1, pos // 16, sha256(string_agg(digest, '' order by pos)), ceil(any_value(n) / 16)::bigint from tops where n > 1 group by level, pos // 16),
+steps as (
+  select 0 as upper, level, a.source, a.pos as pos, coalesce(string_agg(b.digest, '' order by b.pos) filter (b.pos < a.pos), '') as before, coalesce(string_agg(b.digest, '' order by b.pos) filter (b.pos > a.pos), '') as after
+  from nodes a join nodes b using (level) where a.n > 1 and a.source is not distinct from b.source and a.pos // 16 = b.pos // 16 group by level, a.source, a.pos
+  union all
+  select 1, level, null, a.pos, coalesce(string_agg(b.digest, '' order by b.pos) filter (b.pos < a.pos), ''), coalesce(string_agg(b.digest, '' order by b.pos) filter (b.pos > a.pos), '')
+  from tops a join tops b using (level) where a.n > 1 and a.pos // 16 = b.pos // 16 group by level, a.pos),
+ways as (
+  select p.source, p.pos, list({'before': s.before, 'after': s.after} order by s.upper, s.level) as way
+  from placed p join subroots r on p.source is not distinct from r.source
+  join steps s on s.upper = 0 and s.source is not distinct from p.source and s.pos = p.pos // (16 ** s.level)::bigint or s.upper = 1 and s.pos = r.place // (16 ** s.level)::bigint
+  group by p.source, p.pos),
+folded as (
+  select p.source, p.pos, 1 as k, p.claimed as digest, w.way from placed p left join ways w on p.source is not distinct from w.source and p.pos = w.pos
+  union all
+  select source, pos, k + 1, sha256(way[k].before || digest || way[k].after), way from folded where k <= len(way))
+select p.doc_id, p.leaf, r.subroot, t.digest as root, sha256(array_to_string(list_transform(coalesce(f.way, []), lambda s: s.before || s.after), '')) as proof_sha256,
+  f.digest as folded_root, f.digest = t.digest as verified
+from placed p join subroots r on p.source is not distinct from r.source join tops t on t.n = 1
+join folded f on p.source is not distinct from f.source and p.pos = f.pos and f.k = coalesce(len(f.way), 0) + 1"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_archive": _WARC_SQL, "op6_url_filters": judge_urls_sql()}
+    return {"op5_warc_archive": _WARC_SQL, "op6_url_filters": judge_urls_sql(), "op11_merkle_manifest": _MERKLE_SQL}
