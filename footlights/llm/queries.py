@@ -13,9 +13,11 @@ from .decontaminate import contamination
 from .jaccard import near_duplicates
 from .language import fit_dictionaries, held_out, predict_language
 from .merkle import fold, merkle_manifest, proof_digest
+from .negatives import hard_negatives
 from .packing import pack, token_pieces
 from .pii import find_pii, fit_booster, pii_digest, propose
 from .quality import fit_line_model, labelled_documents, quality
+from .rules import fit_rules, labelled_statistics, quality_scores
 from .substrings import remove_repeats
 from .tokens import count_tokens
 from .urls import judge_urls, judge_urls_sql, pattern_rules, prefix_rules
@@ -97,8 +99,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; the rules learn from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_rules(*labelled_statistics(docs, table(spark, sf_dir, "labels")))
+    found = quality_scores(docs.withColumn("held_out", held_out()), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose id 50 divides, against all rows; labels of ids that 7 divides are moved by one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op7_suffix_dedup, op8_personal_data, op9_jaccard_join, op10_token_counts, op11_merkle_manifest)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_warc_archive, op6_url_filters, op7_suffix_dedup, op8_personal_data, op9_jaccard_join, op10_token_counts, op11_merkle_manifest, op12_quality_classifier, op13_hard_negatives)}
 
 
 _WARC_SQL = """
@@ -150,5 +167,15 @@ from placed p join subroots r on p.source is not distinct from r.source join top
 join folded f on p.source is not distinct from f.source and p.pos = f.pos and f.k = coalesce(len(f.way), 0) + 1"""
 
 
+_NEGATIVES_SQL = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+scored as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+positives as (select anchor_id, other_id as positive_id, score as positive_score from scored where same qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+ranked as (select p.*, other_id as negative_id, score as negative_score, row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as rank
+  from positives p join scored s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from ranked where rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_archive": _WARC_SQL, "op6_url_filters": judge_urls_sql(), "op11_merkle_manifest": _MERKLE_SQL}
+    return {"op5_warc_archive": _WARC_SQL, "op6_url_filters": judge_urls_sql(), "op11_merkle_manifest": _MERKLE_SQL, "op13_hard_negatives": _NEGATIVES_SQL}
