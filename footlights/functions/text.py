@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, as a lambda's variable, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 #: Accented letters (fixed values); each becomes its base letter.
 ACCENTED = "àáâãäåāăąçćčďđèéêëēėęěğìíîïīįıłļľñńňņòóôõöøōőŕřśšşșťţțùúûüūůűýÿźžżÀÁÂÃÄÅĀĂĄÇĆČĎĐÈÉÊËĒĖĘĚĞÌÍÎÏĪĮİŁĻĽÑŃŇŅÒÓÔÕÖØŌŐŔŘŚŠŞȘŤŢȚÙÚÛÜŪŮŰÝŸŹŽŻ"
 _BARE = {"đ": "d", "ł": "l", "ø": "o", "ı": "i", "Đ": "D", "Ł": "L", "Ø": "O"}
@@ -137,16 +146,26 @@ _REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 def decode_references(c: Column) -> Column:
     """Character references of HTML as characters: all names of the standard's table, and numbers; others stay.
 
-    Linear in the text: it is split at the references, and these are looked up.
+    Linear in the text: it is split at the references once, and these are looked up by first letter, then by name.
     """
-    table = F.create_map(*[F.lit(x) for name, char in sorted(html5.items()) if name.endswith(";") for x in (name[:-1], char)])
-    names, gaps = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), F.split(c, _REFERENCE, -1)
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, char in html5.items():
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], {})[name[:-1]] = char
+    # one literal: a map that is written out pair by pair takes the planner seconds
+    table = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
     number = lambda n: F.when(n.rlike("^#[0-9]"), F.substring(n, 2, 7).try_cast("int")).when(n.rlike("^#[xX]"), F.conv(F.substring(n, 3, 6), 16, 10).try_cast("int"))
     good = lambda k: (k > 0) & (k <= 0x10FFFF) & ~k.between(0xD800, 0xDFFF)
-    char = lambda k: F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32")
-    one = lambda n: F.when(n.startswith("#"), F.when(good(number(n)), char(number(n))).otherwise(F.lit("\ufffd"))).otherwise(F.coalesce(F.try_element_at(table, n), F.concat(F.lit("&"), n, F.lit(";"))))
-    told = F.array_join(F.transform(gaps, lambda g, k: F.concat(g, F.when(k < F.size(names), one(F.get(names, k))).otherwise(""))), "")
-    return F.when(F.contains(c, F.lit("&")), told).otherwise(c)
+    told = lambda k: F.when(good(k), F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    named = lambda n: F.coalesce(F.try_element_at(F.try_element_at(table, F.substring(n, 1, 1)), n), F.concat(F.lit("&"), n, F.lit(";")))
+    one = lambda n: F.when(n.startswith("#"), once(number(n), told)).otherwise(named(n))
+
+    def joined(p: Column) -> Column:
+        gaps = F.transform(p["gaps"], lambda g, k: F.concat(g, F.when(k < F.size(p["names"]), one(F.get(p["names"], k))).otherwise("")))
+        return F.array_join(gaps, "")
+
+    parts = lambda t: F.struct(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(1)).alias("names"), F.split(t, _REFERENCE, -1).alias("gaps"))
+    return once(c, lambda t: F.when(F.contains(t, F.lit("&")), once(parts(t), joined)).otherwise(t))
 
 
 def html_text(html: Column) -> Column:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 #: Tokens in the host of third-party ticket sellers (fixed values).
 TICKET_SELLERS = (
     "ticketmaster.", "eventim.", "seetickets.", "fnacspectacles.", "ticketone.", "entradas.com", "ticketcorner.",
@@ -156,14 +158,24 @@ def _month_of(url: Column) -> Column:
     m2, y2 = F.regexp_extract(url, month_key, 2), F.regexp_extract(url, year_key, 2)
     both = F.regexp_replace(F.regexp_replace(url, month_key, f"$1{_MONTH}"), year_key, f"$1{_YEAR}")
     told = lambda y, m, template, wide: F.struct(y.try_cast("int").alias("year"), m.try_cast("int").alias("month"), template.alias("template"), wide.alias("wide"))
-    found = [F.when((m2 != "") & (y2 != "") & m2.try_cast("int").between(1, 12), told(y2, m2, both, F.length(m2) == 2))]
-    for pattern, y, m, new in MONTH_FORMS:
-        month, whole = F.regexp_extract(url, pattern, m), F.regexp_extract(url, pattern, 0)
-        pieces = [{"{1}": F.regexp_extract(url, pattern, 1), "{y}": F.lit(_YEAR), "{m}": F.lit(_MONTH)}.get(t, F.lit(t)) for t in _tokens(new)]
-        at = F.instr(url, whole)
-        template = F.concat(F.substr(url, F.lit(1), at - 1), *pieces, F.substr(url, at + F.length(whole), F.length(url)))
-        found.append(F.when(month.try_cast("int").between(1, 12), told(F.regexp_extract(url, pattern, y), month, template, F.length(month) == 2)))
-    return F.coalesce(*found)
+    by_key = F.when((m2 != "") & (y2 != "") & m2.try_cast("int").between(1, 12), told(y2, m2, both, F.length(m2) == 2))
+
+    def form(pattern: str, y: int, m: int, new: str) -> Column:
+        # one expression gives what is before, the groups and what is after
+        groups = re.compile(pattern).groups
+        parts = F.split(F.regexp_replace(url, rf"(?s)^(.*?){pattern}(.*)$", "\x03".join(f"${k}" for k in range(1, groups + 3))), "\x03")
+
+        def read(p: Column) -> Column:
+            inside = [{"{1}": F.get(p, F.lit(1)), "{y}": F.lit(_YEAR), "{m}": F.lit(_MONTH)}.get(t, F.lit(t)) for t in _tokens(new)]
+            month = F.get(p, F.lit(m))
+            fits = (F.size(p) > 1) & month.try_cast("int").between(1, 12)
+            return F.when(fits, told(F.get(p, F.lit(y)), month, F.concat(F.get(p, F.lit(0)), *inside, F.get(p, F.lit(groups + 1))), F.length(month) == 2))
+
+        return once(parts, read)
+
+    in_query, in_path = ([form(*f) for f in MONTH_FORMS if f[0].startswith("([?&]") == q] for q in (True, False))
+    asked = F.contains(url, F.lit("?")) | F.contains(url, F.lit("&"))
+    return F.when(F.contains(url, F.lit("20")), F.coalesce(F.when(asked, F.coalesce(by_key, *in_query)), *in_path))
 
 
 def _month_address(own: Column, year: Column, month: Column) -> Column:
@@ -172,14 +184,7 @@ def _month_address(own: Column, year: Column, month: Column) -> Column:
     return F.replace(F.replace(own["template"], F.lit(_YEAR), year.cast("string")), F.lit(_MONTH), shown)
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, as a lambda's variable."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _tokens(text: str) -> list[str]:
-    import re
-
     return [t for t in re.split(r"(\{1\}|\{y\}|\{m\})", text) if t]
 
 
@@ -195,7 +200,7 @@ def month_series(url: Column, today: dt.date, months_ahead: int = 12) -> Column:
         numbers = F.when(first <= last, F.sequence(first, F.least(F.lit(last), first + 23)))
         return F.transform(numbers, lambda k: _month_address(own, F.floor(k / 12).cast("int"), (k % 12 + 1).cast("int")))
 
-    return F.coalesce(_once(_month_of(url), series), F.array().cast("array<string>"))
+    return F.coalesce(once(once(url, _month_of), series), F.array().cast("array<string>"))
 
 
 def month_now(url: Column, today: dt.date) -> Column:
@@ -205,7 +210,7 @@ def month_now(url: Column, today: dt.date) -> Column:
         past = own["year"] * 12 + own["month"] < today.year * 12 + today.month
         return F.when(past, _month_address(own, F.lit(today.year), F.lit(today.month)))
 
-    return F.coalesce(_once(_month_of(url), moved), url)
+    return F.coalesce(once(once(url, _month_of), moved), url)
 
 
 def widen_feed_url(url: Column, today: dt.date, days: int = 365) -> Column:
@@ -259,11 +264,14 @@ def event_like(url: Column, lastmod: Column, today: dt.date) -> Column:
     return p.rlike(f"(?iu)({EVENT_PATH})") & ~p.rlike(f"({OTHER_PATH})") & ~F.exists(whole, old) & ~F.exists(short, short_old) & ~stale
 
 
+#: Social networks (fixed values): a name before a dot, or a whole host.
+NETWORKS = ("facebook.", "instagram.", "twitter.", "x.com", "youtube.", "youtu.be", "tiktok.", "linkedin.", "pinterest.", "vimeo.", "spotify.", "whatsapp.")
+
+
 def classify_links(links: Column, page: Column, most_same: int = 300, most_other: int = 80) -> Column:
     """Links of a page by site: ``struct<same array<string>, other array<string>>``; other sites without sellers and networks."""
-    networks = "facebook.|instagram.|twitter.|x.com|youtube.|youtu.be|tiktok.|linkedin.|pinterest.|vimeo.|spotify.|whatsapp."
     home = site_family(page)
     same = F.slice(F.array_distinct(F.filter(links, lambda u: site_family(u) == home)), 1, most_same)
-    social = lambda u: host(u).rlike("|".join(rf"(^|\.){n.strip('.')}\." if n.endswith(".") else rf"(^|\.){n}$" for n in networks.split("|")))
+    social = lambda u: host(u).rlike("|".join(rf"(^|\.){n.strip('.')}\." if n.endswith(".") else rf"(^|\.){n}$" for n in NETWORKS))
     other = F.slice(F.array_distinct(F.filter(links, lambda u: (site_family(u) != home) & (host(u) != "") & ~is_ticket_seller(u) & ~social(u))), 1, most_other)
     return F.struct(same.alias("same"), other.alias("other"))

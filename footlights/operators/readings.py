@@ -8,7 +8,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import cut_at_word, filled, key_of
+from ..functions.text import cut_at_word, filled, key_of, once
 from ..functions.times import choose_timezone, minutes
 from ..functions.urls import host, ticket_link
 from .survive import is_venue_source
@@ -36,22 +36,28 @@ def as_list(text: Column, element: str) -> Column:
 
 
 def parse_reading(text: Column) -> Column:
-    """A reading from its JSON text; fields that do not fit are null. Productions written as text are read as well."""
-    plain = F.from_json(text, READING, {"mode": "PERMISSIVE"})
-    raw = F.get_json_object(text, "$.productions")
-    return F.when(plain.isNotNull(), plain.withField("productions", F.coalesce(plain["productions"], as_list(raw, PRODUCTION))))
+    """A reading from its JSON text; fields that do not fit are null. Productions written as text are read as well.
+
+    The text is parsed once, and its productions a second time only where they did not fit.
+    """
+    productions = lambda plain: F.coalesce(plain["productions"], once(F.get_json_object(text, "$.productions"), lambda raw: as_list(raw, PRODUCTION)))
+    return once(F.from_json(text, READING, {"mode": "PERMISSIVE"}), lambda plain: F.when(plain.isNotNull(), plain.withField("productions", productions(plain))))
 
 
 def lift_root(reading: Column) -> Column:
     """A reading whose one production was written at its root, moved into ``productions``."""
     empty = F.lit(None)
-    one = F.struct(
-        reading["title"].alias("title"), *[empty.cast(t).alias(n) for n, t in (("original_title", "string"), ("work", "string"), ("work_is_story", "boolean"), ("choreographer", "string"))],
-        reading["company"].alias("company"), *[empty.cast(t).alias(n) for n, t in (("tags", "array<string>"), ("program", "string"), ("program_position", "int"), ("image_url", "string"), ("description", "string"), ("detail_url", "string"))],
-        reading["performances"].alias("performances"), empty.cast(f"array<{RUN}>").alias("runs"),
-    ).cast(PRODUCTION)
-    misplaced = (F.size(F.coalesce(reading["productions"], F.array().cast(f"array<{PRODUCTION}>"))) == 0) & (F.size(F.coalesce(reading["performances"], F.array().cast(f"array<{PERFORMANCE}>"))) > 0)
-    return F.when(misplaced, reading.withField("productions", F.array(one))).otherwise(reading)
+
+    def lifted(r: Column) -> Column:
+        one = F.struct(
+            r["title"].alias("title"), *[empty.cast(t).alias(n) for n, t in (("original_title", "string"), ("work", "string"), ("work_is_story", "boolean"), ("choreographer", "string"))],
+            r["company"].alias("company"), *[empty.cast(t).alias(n) for n, t in (("tags", "array<string>"), ("program", "string"), ("program_position", "int"), ("image_url", "string"), ("description", "string"), ("detail_url", "string"))],
+            r["performances"].alias("performances"), empty.cast(f"array<{RUN}>").alias("runs"),
+        ).cast(PRODUCTION)
+        none, some = F.coalesce(F.size(r["productions"]) <= 0, F.lit(True)), F.coalesce(F.size(r["performances"]) > 0, F.lit(False))
+        return F.when(none & some, r.withField("productions", F.array(one))).otherwise(r)
+
+    return once(reading, lifted)
 
 
 def flatten_reading(readings: DataFrame, reading: str = "result") -> DataFrame:

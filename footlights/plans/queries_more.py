@@ -292,8 +292,8 @@ def q43_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar addresses made of order months, eight years later: the number and the first of the months that follow."""
     o = table(spark, sf_dir, "orders").withColumn("day", F.add_months("o_orderdate", 96))
     base = F.concat(F.lit("https://example.com/calendar"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("?month="), F.date_format("day", "yyyy-MM"))).otherwise(F.concat(F.lit("/"), F.date_format("day", "yyyy/MM"), F.lit("/"))))
-    series = urls.month_series(base, _MONTH_DAY, 6)
-    return o.select("o_orderkey", F.size(series).alias("n"), F.get(series, F.lit(0)).alias("first"), urls.month_now(base, _MONTH_DAY).alias("now"))
+    o = o.select("o_orderkey", base.alias("url")).withColumn("series", urls.month_series(F.col("url"), _MONTH_DAY, 6))
+    return o.select("o_orderkey", F.size("series").alias("n"), F.get("series", F.lit(0)).alias("first"), urls.month_now(F.col("url"), _MONTH_DAY).alias("now"))
 
 
 Q43 = f"""with o as (select o_orderkey, date_trunc('month', o_orderdate) + interval 96 month as d, o_orderkey % 2 = 0 as q from orders), k as (select *, year(d) * 12 + month(d) as k from o),
