@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.graph import cluster, cut_lineage, gone_at_end, own_path
 
-__all__ = ["ASCII_SPACE", "bounded_or_shuffled", "cluster", "own_path", "schema_with", "stash", "stash_bucketed", "table", "text_or_empty"]
+__all__ = ["ASCII_SPACE", "bounded_or_shuffled", "cluster", "own_path", "schema_with", "slices", "stash", "stash_bucketed", "table", "text_or_empty"]
 
 #: Write a frame as a table in the shared folder and read it again.
 stash = cut_lineage
@@ -51,5 +53,12 @@ def schema_with(df: DataFrame, **fields: str) -> StructType:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], most: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A worker's batches in parts of at most ``most`` rows, whatever the session's batch size: it bounds what is unpacked at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, most):
+            yield batch.slice(at, most)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

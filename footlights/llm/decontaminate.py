@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import stash, text_or_empty
+from .common import slices, stash, text_or_empty
 
 _NOT_WORD = re.compile(r"[^\w]+|_+")
 #: Base of the running hash (an odd 64-bit number), and the least and most address bits of the bitmap that goes to all
@@ -46,18 +48,20 @@ def running_hashes(words: np.ndarray, length: int) -> np.ndarray:
 
 
 def windows(rows: DataFrame, length: int, bitmap: Broadcast | None = None, bits: int = 0) -> DataFrame:
-    """``(id, at, seed, words)``: places of word windows of ``rows(id, text)``, by running hash and by their words.
+    """``(id, version, at, seed, words)``: places of word windows of ``rows(id, version, text)``, by running hash and by their words.
 
-    ``bitmap`` (packed) marks the wanted hashes by their highest ``bits`` bits: other windows never become rows.
+    ``bitmap`` marks the wanted hashes by their highest ``bits`` bits: other windows never become rows.
     """
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, at int, seed long, words string"
+    shape = to_arrow_schema(rows.select("id", "version").schema)
+    for name, kind in (("at", pa.int32()), ("seed", pa.int64()), ("words", pa.string())):
+        shape = shape.append(pa.field(name, kind))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).astype(bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         known: dict[bytes, int] = {}
-        for pdf in batches:
+        for part in slices(batches):
             out: list[tuple] = []
-            for key, text in zip(pdf["id"], pdf["text"], strict=True):
+            for key, version, text in zip(*(part[c].to_pylist() for c in ("id", "version", "text")), strict=True):
                 chunks = text.encode().split()
                 if len(known) > _KEPT_WORDS:
                     known.clear()
@@ -66,44 +70,56 @@ def windows(rows: DataFrame, length: int, bitmap: Broadcast | None = None, bits:
                 hashes = np.fromiter(map(known.__getitem__, chunks), np.uint64, len(chunks))
                 real = np.flatnonzero(hashes)
                 seeds = running_hashes(hashes[real], length)
-                places = np.arange(len(seeds)) if wanted is None else np.flatnonzero(wanted[(seeds >> np.uint64(64 - bits)).astype(np.int64)])
-                out += [(key, int(p), int(seeds[p].view(np.int64)), " ".join(normal_word(chunks[i]) for i in real[p : p + length])) for p in places]
-            yield pd.DataFrame(out, columns=["id", "at", "seed", "words"])
+                places = np.arange(len(seeds))
+                if wanted is not None:
+                    spots = (seeds >> np.uint64(64 - bits)).astype(np.int64)
+                    places = np.flatnonzero(wanted[spots >> 3] >> (spots & 7).astype(np.uint8) & 1)
+                out += [(key, version, int(p), int(seeds[p].view(np.int64)), " ".join(normal_word(chunks[i]) for i in real[p : p + length])) for p in places]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), shape, strict=True)], schema=shape)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, version string, at int, seed long, words string")
 
 
-def greedy_tiles(hits: Iterable[tuple[int, int]], length: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of two token strings, given all places ``(i, j)`` where windows of ``length`` are equal.
+def greedy_tiles(runs: Iterable[tuple[int, int, int]], length: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling of two token strings from their maximal matches ``(i, j, n)`` of ``n`` >= ``length`` tokens.
 
     The longest match of unmarked tokens is marked first, then the next, until none of at least ``length`` tokens is
     left; equal lengths go by place in the second, then the first string. Tiles ``(i, j, n)`` overlap in neither string.
     """
-    left, tiles = set(hits), []
-    while left:
-        runs = []
-        for i, j in left:
-            if (i - 1, j - 1) not in left:
-                n = 1
-                while (i + n, j + n) in left:
-                    n += 1
-                runs.append((-(n + length - 1), j, i))
-        runs.sort()
-        longest = runs[0][0]
-        marked_i: set[int] = set()
-        marked_j: set[int] = set()
-        for n, j, i in runs:
-            if n != longest:
-                break
-            own_i, own_j = range(i, i - n), range(j, j - n)
-            if marked_i.isdisjoint(own_i) and marked_j.isdisjoint(own_j):
-                tiles.append((i, j, -n))
-                marked_i.update(own_i)
-                marked_j.update(own_j)
-        left = {(i, j) for i, j in left if marked_i.isdisjoint(range(i, i + length)) and marked_j.isdisjoint(range(j, j + length))}
+    waiting = [(-n, j, i) for i, j, n in runs]
+    heapify(waiting)
+    marked_i: set[int] = set()
+    marked_j: set[int] = set()
+    tiles = []
+    while waiting:
+        n, j, i = heappop(waiting)
+        free = [k for k in range(-n) if i + k not in marked_i and j + k not in marked_j]
+        if len(free) == -n:
+            tiles.append((i, j, -n))
+            marked_i.update(range(i, i - n))
+            marked_j.update(range(j, j - n))
+            continue
+        # what is left of it waits its turn
+        first = 0
+        for k in range(1, len(free) + 1):
+            if k == len(free) or free[k] != free[k - 1] + 1:
+                if k - first >= length:
+                    heappush(waiting, (first - k, j + free[first], i + free[first]))
+                first = k
     return tiles
 
 
+def _bitmap(seeds: DataFrame, bits: int) -> bytes:
+    """A bit for each value of the highest ``bits`` bits of the seeds, made on the executors; 2**bits / 8 bytes reach the driver."""
+    place = F.shiftrightunsigned("seed", 64 - bits) + 1  # buckets of bits are numbered from 1
+    parts = seeds.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("part"))
+    out = bytearray(1 << (bits - 3))
+    for r in parts.toLocalIterator():
+        out[(r["bucket"] - 1) * len(r["part"]) : r["bucket"] * len(r["part"])] = r["part"]
+    return bytes(out)
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -115,40 +131,43 @@ def contamination(
 ) -> DataFrame:
     """Pairs of documents and benchmark items of which the document holds at least ``threshold`` of the words.
 
-    Returns ``(doc_id, item_id, n_tiles, n_words, coverage)``. Words are white-space separated, in lower case, without
-    punctuation. Windows of ``min_match`` words of all whole documents are looked up among those of the items by
-    running hash (a join; the words are compared too), and each pair that shares a window is tiled greedily:
+    Returns ``(doc_id, version, item_id, n_tiles, n_words, coverage)``; ``version`` is the MD5 digest of the document's
+    text. Words are white-space separated, in lower case, without punctuation. Windows of ``min_match`` words of all whole
+    documents are looked up among those of the items by running hash (a join; the words are compared too), windows that
+    follow each other in both texts are joined to maximal matches, and each pair that has one is tiled greedily:
     ``coverage`` is the share of the item's words under tiles, in whatever order the document has them.
 
-    The bitmap that thins out document windows before the join grows with the benchmark up to 2**27 places; the join
-    alone decides. Items of fewer than ``min_match`` words have no window and are never found; null and empty texts and
-    null ids neither. Documents that share an id count as one; so do items that share an id. Extra columns are ignored.
+    Documents are told apart by id and text: rows that share an id or have none are judged by their texts, rows that
+    agree in both are one. The bitmap that thins out document windows before the join grows with the benchmark up to
+    2**27 places (16 MB); the join alone decides. Items of fewer than ``min_match`` words have no window and are never
+    found, nor are items without an id; items that share an id count as one. Null and empty texts hold nothing. Extra
+    columns are ignored, whatever their names.
     """
-    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("id"), text_or_empty(text_col).alias("text"))
-    item_windows = stash(windows(items, min_match), "item-windows")
+    read = lambda df, key: df.select(F.col(key).alias("id"), F.md5(text_or_empty(text_col)).alias("version"), text_or_empty(text_col).alias("text"))
+    items = read(benchmark.where(F.col(item_col).isNotNull()), item_col)
+    item_windows = stash(windows(items, min_match).select("id", "at", "seed", "words"), "item-windows")
     bits = min(_MAP_BITS[1], max(_MAP_BITS[0], (16 * item_windows.count()).bit_length()))
-    # at most as many numbers as the bitmap has places
-    spots = item_windows.select(F.shiftrightunsigned("seed", 64 - bits).alias("spot")).distinct().toPandas()["spot"]
-    wanted = np.zeros(1 << bits, bool)
-    wanted[spots.to_numpy(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted).tobytes())
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    doc_windows = windows(rows, min_match, shared, bits)
-    hits = doc_windows.withColumnsRenamed({"id": "doc_id", "at": "i"}).join(item_windows.withColumnsRenamed({"id": "item_id", "at": "j"}), ["seed", "words"]).select("doc_id", "item_id", "i", "j")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(item_windows, bits))
+    doc_windows = windows(read(docs, id_col), min_match, shared, bits)
+    pair = ["doc_id", "version", "item_id"]
+    hits = doc_windows.withColumnsRenamed({"id": "doc_id", "at": "i"}).join(item_windows.withColumnsRenamed({"id": "item_id", "at": "j"}), ["seed", "words"])
+    # all of a pair's hits meet once; what follows keeps them there
+    hits = hits.select(*pair, "i", "j").repartition(*pair).distinct()
+    nth = F.row_number().over(Window.partitionBy(*pair, F.col("i") - F.col("j")).orderBy("i"))
+    runs = hits.withColumn("run", F.col("i") - nth).groupBy(*pair, (F.col("i") - F.col("j")).alias("shift"), "run").agg(F.min("i").alias("i"), F.min("j").alias("j"), (F.count("*") + min_match - 1).cast("int").alias("n"))
     words = items.groupBy(F.col("id").alias("item_id")).agg(F.max(_n_words("text")).alias("n_words"))
-    pairs = hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("i", "j")).alias("hits")).join(words, "item_id")
-    schema = f"doc_id {hits.schema['doc_id'].dataType.simpleString()}, item_id {hits.schema['item_id'].dataType.simpleString()}, n_tiles int, n_words int, coverage double"
-
-    def tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out: dict[str, list] = defaultdict(list)
-            for row in pdf.itertuples(index=False):
-                tiles = greedy_tiles(((h["i"], h["j"]) for h in row.hits), min_match)
-                for name, value in zip(("doc_id", "item_id", "n_tiles", "n_words", "coverage"), (row.doc_id, row.item_id, len(tiles), row.n_words, sum(t[2] for t in tiles) / row.n_words), strict=True):
-                    out[name].append(value)
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_tiles", "n_words", "coverage"])
-
-    return pairs.mapInPandas(tile, schema).where(F.col("coverage") >= threshold)
+    pairs = runs.groupBy(*pair).agg(F.collect_list(F.struct("i", "j", "n")).alias("runs")).join(words, "item_id")
+    shape = to_arrow_schema(pairs.select(*pair, "n_words").schema).append(pa.field("n_tiles", pa.int32())).append(pa.field("coverage", pa.float64()))
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            tiles = [greedy_tiles(((r["i"], r["j"], r["n"]) for r in runs), min_match) for runs in part["runs"].to_pylist()]
+            coverage = [sum(t[2] for t in found) / n for found, n in zip(tiles, part["n_words"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in (*pair, "n_words")), pa.array([len(t) for t in tiles], pa.int32()), pa.array(coverage, pa.float64())], schema=shape)
+
+    types = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
+    schema = ", ".join(f"{c} {types[c]}" for c in (*pair, "n_words")) + ", n_tiles int, coverage double"
+    return pairs.mapInArrow(tile, schema).where(F.col("coverage") >= threshold).select(*pair, "n_tiles", "n_words", "coverage")
 
 
 def _n_words(text_col: str):

@@ -8,10 +8,12 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bounded_or_shuffled, cluster, stash, text_or_empty
+from .common import bounded_or_shuffled, cluster, slices, stash, text_or_empty
 
 #: 28 bands of 4 values: a pair at a similarity of 0.8 is missed with probability (1 - 0.8**4)**28 = 4e-7.
 BANDS, ROWS = 28, 4
@@ -99,17 +101,19 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), _version(text_col).alias("version"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, version string, fingerprint binary, n_shingles int, signature binary"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shape = to_arrow_schema(rows.select("doc_id", "version").schema)
+    shape = shape.append(pa.field("fingerprint", pa.binary())).append(pa.field("n_shingles", pa.int32())).append(pa.field("signature", pa.binary()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for pdf in batches:
+        for part in slices(batches):
             signed = []
-            for text in pdf["text"]:  # a set is dropped as soon as it is signed
+            for text in part["text"].to_pylist():  # a set is dropped as soon as it is signed
                 fingerprint, prints = _prepared(text, size, known)
                 signed.append((fingerprint, len(prints), minhashes(prints).tobytes() if len(prints) else None))
-            fingerprint, count, signature = zip(*signed, strict=True) if signed else ((), (), ())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "version": pdf["version"], "fingerprint": fingerprint, "n_shingles": count, "signature": signature})
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["version"], *(pa.array(x, f.type) for x, f in zip(zip(*signed, strict=True), list(shape)[2:], strict=True))], schema=shape)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _version(text_col: str) -> Column:
@@ -254,18 +258,18 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keys = stash(chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.version").alias("_key")), "chosen")
     keyed = docs.withColumn("_version", _version(text_col))
     wordless = ~text_or_empty(text_col).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.where(~wordless).join(keys, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_key")), "left_semi").dropDuplicates([id_col, "_version"])
+    kept = keyed.where(~wordless).join(keys, keyed[id_col].eqNullSafe(keys["_id"]) & (keyed["_version"] == keys["_key"]), "left_semi").dropDuplicates([id_col, "_version"])
     return kept.unionByName(keyed.where(wordless)).select(*docs.columns)
 
 
 def signatures_with_sets(rows: DataFrame, size: int) -> DataFrame:
     """``(fingerprint, signature, prints)`` of candidate rows; ``prints`` is the sorted shingle set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):  # sets are larger than texts
-                found = [_prepared(t, size, known) for t in pdf["text"].iloc[at : at + 500]]
-                yield pd.DataFrame({"fingerprint": [f for f, _ in found], "signature": [minhashes(p).tobytes() for _, p in found], "prints": [p.tobytes() for _, p in found]})
+        for part in slices(batches, 500):  # sets are larger than texts
+            found = [_prepared(t, size, known) for t in part["text"].to_pylist()]
+            columns = [f for f, _ in found], [minhashes(p).tobytes() for _, p in found], [p.tobytes() for _, p in found]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["fingerprint", "signature", "prints"])
 
-    return rows.select("text").mapInPandas(run, "fingerprint binary, signature binary, prints binary")
+    return rows.select("text").mapInArrow(run, "fingerprint binary, signature binary, prints binary")

@@ -8,12 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import schema_with, stash, text_or_empty
+from .common import schema_with, slices, stash, text_or_empty
 from .tokens import chunk_table
 
+
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -31,22 +34,24 @@ def token_pieces(
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    id_type = to_arrow_schema(rows.schema).field("doc_id").type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = chunk_table(tokenizer_path)
-        for pdf in batches:
+        for part in slices(batches, 500):
             out: list[tuple] = []
-            for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo : lo + 500]
-                texts = [t.encode().split() for t in part["text"]]
-                known.learn(set().union(*texts))
-                for doc, chunks in zip(part["doc_id"], texts, strict=True):
-                    ids = b"".join(map(known.chunks.__getitem__, chunks)) + end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        cut = ids[at : at + 4 * capacity]
-                        out.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    return rows.mapInPandas(run, schema)
+            texts = [t.encode().split() for t in part["text"].to_pylist()]
+            known.learn(set().union(*texts))
+            for doc, chunks in zip(part["doc_id"].to_pylist(), texts, strict=True):
+                ids = b"".join(map(known.chunks.__getitem__, chunks)) + end
+                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    cut = ids[at : at + 4 * capacity]
+                    out.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
+            doc, *numbers = zip(*out, strict=True)
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(doc, id_type), *(pa.array(x, t) for x, t in zip(numbers, types, strict=True))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,11 +8,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ASCII_SPACE, schema_with, text_or_empty
+from .common import ASCII_SPACE, schema_with, slices, text_or_empty
 
 _SYMBOLS = b"#*$%&|<>"
 _CAPITALS, _SMALL = bytes(range(65, 91)), bytes(range(97, 123))
@@ -224,11 +225,14 @@ def quality(docs: DataFrame, model: LineModel, text_col: str = "text", min_words
         share = content / len(words) if words else 0.0
         return len(words), chars, len(raw) - len(raw.translate(None, _SYMBOLS)), len(lines) - len(set(lines)), repeated, failed, share, not failed and share >= min_content
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(**dict(zip(names, zip(*map(judge, pdf[text_col]), strict=True), strict=True))) if len(pdf) else pdf.assign(**dict.fromkeys(names))
+    shape = to_arrow_schema(schema)
 
-    return kept.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = zip(*map(judge, part[text_col].to_pylist()), strict=True)
+            yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(x, shape.field(n).type) for n, x in zip(names, found, strict=True))], schema=shape)
+
+    return kept.mapInArrow(run, schema)
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, max_rows: int = 800) -> DataFrame:

@@ -51,7 +51,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold at least 0.8 of a benchmark item's words in tiles of five words or more."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("version")
 
 
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

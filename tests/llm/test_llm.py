@@ -177,12 +177,37 @@ def test_decontamination_against_brute_force(spark):
 
 
 def test_greedy_tiles_do_not_overlap():
-    hits = [(i, i) for i in range(10)] + [(i, i + 3) for i in range(4)]
-    tiles = decontaminate.greedy_tiles(hits, 5)
-    assert tiles[0] == (0, 0, 14)
+    # the second match loses its first tokens to the longest one, and what is left of it counts
+    tiles = decontaminate.greedy_tiles([(0, 0, 14), (9, 14, 13), (3, 6, 7)], 5)
+    assert tiles == [(0, 0, 14), (14, 19, 8)]
     assert decontaminate.greedy_tiles([], 5) == []
 
 
+def test_decontamination_tells_rows_apart_by_id_and_text(spark):
+    item = prose(5, 30)
+    bench = spark.createDataFrame([(1, item, "x")], "item_id long, text string, version string")
+    rows = [(1, f"{prose(6, 20)} {item}"), (1, prose(7, 60)), (None, f"{item} {prose(8, 20)}"), (None, prose(9, 50)), (2, f"{item} {prose(8, 20)}"), (2, f"{item} {prose(8, 20)}")]
+    clash = spark.createDataFrame([(*r, *"abcde") for r in rows], "doc_id long, text string, id string, seed string, i string, words string, item_id string")
+    got = decontaminate.contamination(clash, bench).collect()
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert sorted((str(r.doc_id), r.version) for r in got) == sorted([("1", md5(rows[0][1])), ("None", md5(rows[2][1])), ("2", md5(rows[4][1]))])
+    import corpus_pipeline
+
+    shape = "doc_id long, text string, _id string, _of string"
+    whole = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").where("text is not null").orderBy(F.length("text").desc()).first().text
+    rows = [(1, f"{prose(6, 20)} {whole}"), (1, prose(7, 60)), (None, f"{whole} {prose(8, 20)}"), (None, prose(9, 50)), (None, None), (3, "")]
+    left = corpus_pipeline.decontaminate(spark, spark.createDataFrame([(*r, "a", "b") for r in rows], shape), "/root/testdata/sf0.001").collect()
+    assert sorted(str(r.text) for r in left) == sorted([rows[1][1], rows[3][1], "None", ""])
+
+
+def test_bitmap_holds_every_seed(spark):
+    seeds = [0, 1, -1, 2**62, -(2**62), 123456789012345678, *(random.Random(k).randrange(-(2**63), 2**63) for k in range(200))]
+    got = np.frombuffer(decontaminate._bitmap(spark.createDataFrame([(s,) for s in seeds], "seed long"), 23), np.uint8)
+    want = np.zeros(1 << 23, bool)
+    want[[(s % 2**64) >> 41 for s in seeds]] = True
+    assert (np.unpackbits(got, bitorder="little").astype(bool) == want).all()
+
+
 def test_archive_round_trip(spark):
     long = "é" * 600
     rows = [(1, "http://a/", long), (2, "http://b/", long), (3, None, "x"), (4, "http://d/", "x"), (5, "u", None), (6, "u", ""), (6, "u", ""), (None, "n", "lonely")]
