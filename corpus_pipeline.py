@@ -19,15 +19,6 @@ from footlights.llm.pii import find_pii, fit_booster, propose, redact
 from footlights.llm.quality import RESULTS, fit_line_model, labelled_documents, quality
 
 
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def _small_batches(spark: SparkSession) -> None:
-    """Let Python workers take 1,000 texts at a time, unless the session has a number of its own: it bounds their memory."""
-    if spark.conf.get(_BATCH_ROWS) == "10000":
-        spark.conf.set(_BATCH_ROWS, "1000")
-
-
 def _keeping_columns(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``work(docs)`` with the columns of ``docs``: those that bear a name that the work uses itself are set aside."""
     own = {c: f"_own_{c}" for c in docs.columns if c in names}
@@ -37,22 +28,20 @@ def _keeping_columns(docs: DataFrame, names: tuple[str, ...], work: Callable[[Da
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality operator keeps."""
-    _small_batches(spark)
     model = fit_line_model(labelled_documents(docs, table(spark, sf_dir, "labels")))
     return _keeping_columns(docs, RESULTS, lambda rows: quality(rows, model).where("kept"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the least id, then text digest."""
-    _small_batches(spark)
     return one_of_each_class(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    _small_batches(spark)
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item; rows are judged by their texts, whatever ids they share or lack."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id"), F.col("version").alias("_of")).distinct()
+    same = docs["doc_id"].eqNullSafe(found["_id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == found["_of"])
+    return docs.join(found, same, "left_anti").select(*docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +59,6 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
-    _small_batches(spark)
     import public_tokenizers
 
     return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
