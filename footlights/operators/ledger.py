@@ -2,56 +2,96 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .fold import fold_sorted
+
+
+def _shape(rows: DataFrame, *columns: str, **more: str) -> StructType:
+    out = StructType([rows.schema[c] for c in columns])
+    for name, kind in more.items():
+        out.add(name, kind)
+    return out
 
 
 def spend_reserve(requests: DataFrame, month_cap: int, run_cap: int) -> DataFrame:
     """Decide reservations in order: ``(month, seq, run_id, amount, ok, why, month_sum, run_sum)``.
 
-    requests: month, seq (total order within the month), run_id, amount (whole cents). A request is admitted if neither
-    the month's nor the run's sum would pass its cap; a refused one changes no sum, so this is a fold and no running sum.
-    The fold is over one month's requests, the ledger's own grain; where only totals count, use ``spend_by_run``.
+    requests: month, seq (total order within the month), run_id, amount (whole cents; null: 0). A request is admitted if
+    neither the month's nor the run's sum would pass its cap; a refused one changes no sum, so this is a fold and no
+    running sum. A task carries a month's sum and those of its runs, never the requests.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "run_id", "amount")))
-    run_type = requests.schema["run_id"].dataType.simpleString()
-    seq_type = requests.schema["seq"].dataType.simpleString()
-    out_type = f"array<struct<seq:{seq_type},run_id:{run_type},amount:bigint,ok:boolean,why:string,month_sum:bigint,run_sum:bigint>>"
-    runs_type = f"map<{run_type},bigint>"
-
-    def step(acc: Column, x: Column) -> Column:
-        run = F.coalesce(F.try_element_at(acc["runs"], x["run_id"]), F.lit(0).cast("long"))
-        over_month, over_run = acc["m"] + x["amount"] > month_cap, run + x["amount"] > run_cap
-        ok = ~over_month & ~over_run
-        add = F.when(ok, x["amount"]).otherwise(0).cast("long")
-        why = F.when(over_month, "month").when(over_run, "run")
-        line = F.struct(x["seq"], x["run_id"], x["amount"].cast("long").alias("amount"), ok.alias("ok"), why.alias("why"), (acc["m"] + add).alias("month_sum"), (run + add).alias("run_sum"))
-        others = F.map_filter(acc["runs"], lambda k, _: k != x["run_id"])
-        return F.struct((acc["m"] + add).alias("m"), F.map_concat(others, F.create_map(x["run_id"], run + add)).alias("runs"), F.concat(acc["out"], F.array(line)).cast(out_type).alias("out"))
-
-    zero = F.struct(F.lit(0).cast("long").alias("m"), F.create_map().cast(runs_type).alias("runs"), F.array().cast(out_type).alias("out"))
-    folded = F.aggregate(ordered, zero, step, lambda acc: acc["out"])
-    return requests.groupBy("month").agg(folded.alias("o")).select("month", F.explode("o").alias("o")).select("month", "o.*")
+
+    def step(state: dict, seq: int, run: str, amount: int | None) -> tuple:
+        amount, spent = amount or 0, state["runs"].get(run, 0)
+        why = "month" if state["month"] + amount > month_cap else "run" if spent + amount > run_cap else None
+        if why is None:
+            state["month"] += amount
+            state["runs"][run] = spent = spent + amount
+        return seq, run, amount, why is None, why, state["month"], spent
+
+    shape = _shape(requests, "month", "seq", "run_id", amount="long", ok="boolean", why="string", month_sum="long", run_sum="long")
+    return fold_sorted(requests, "month", ["seq"], ["run_id", "amount"], lambda: {"month": 0, "runs": {}}, step, shape)
+
+
+def _pay(state: dict, amount: int, cap: int, block: int) -> tuple[bool, int]:
+    """Pay from what is free; beyond it reserve a block or what is missing. A refused reservation stops the job."""
+    need = max(block, amount - state["free"]) if amount > state["free"] else 0
+    if state["stopped"] or state["total"] + need > cap:
+        state["stopped"] = True
+        return False, 0
+    state["free"] += need - amount
+    state["total"] += need
+    return True, need
 
 
 def budget_blocks(spends: DataFrame, cap: int, block: int) -> DataFrame:
     """Payments from blocks: ``(job, seq, amount, paid, reserved)``; after a refused block a job stays stopped.
 
     spends: job, seq, amount (whole cents). A payment beyond what is available reserves max(block, what is missing),
-    if the job's reservations stay within ``cap``."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "amount")))
-    out_type = f"array<struct<seq:{spends.schema['seq'].dataType.simpleString()},amount:bigint,paid:boolean,reserved:bigint>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        need = F.when(x["amount"] > acc["free"], F.greatest(F.lit(block).cast("long"), x["amount"] - acc["free"])).otherwise(F.lit(0).cast("long"))
-        ok = ~acc["stopped"] & (acc["total"] + need <= cap)
-        got = F.when(ok, need).otherwise(0).cast("long")
-        free = acc["free"] + got - F.when(ok, x["amount"]).otherwise(0)
-        line = F.struct(x["seq"], x["amount"].cast("long").alias("amount"), ok.alias("paid"), got.alias("reserved"))
-        return F.struct(free.cast("long").alias("free"), (acc["total"] + got).alias("total"), (acc["stopped"] | ~ok).alias("stopped"), F.concat(acc["out"], F.array(line)).cast(out_type).alias("out"))
-
-    zero = F.struct(F.lit(0).cast("long").alias("free"), F.lit(0).cast("long").alias("total"), F.lit(False).alias("stopped"), F.array().cast(out_type).alias("out"))
-    return spends.groupBy("job").agg(F.aggregate(ordered, zero, step, lambda acc: acc["out"]).alias("o")).select("job", F.explode("o").alias("o")).select("job", "o.*")
+    if the job's reservations stay within ``cap``. A task carries three numbers a job."""
+
+    def step(state: dict, seq: int, amount: int | None) -> tuple:
+        amount = amount or 0
+        return seq, amount, *_pay(state, amount, cap, block)
+
+    shape = _shape(spends, "job", "seq", amount="long", paid="boolean", reserved="long")
+    return fold_sorted(spends, "job", ["seq"], ["amount"], lambda: {"free": 0, "total": 0, "stopped": False}, step, shape)
+
+
+def budget_ledger(events: DataFrame, cap: int, block: int, flush_seconds: int = 120) -> DataFrame:
+    """A job's whole ledger: ``(job, seq, paid, reserved, adjusted)`` for every event, and one row more at its end.
+
+    events: job, seq, at, estimate, actual (whole cents). An event without ``actual`` is a payment of its estimate, as in
+    ``budget_blocks``; one with it is an answer, whose actual cost replaces the estimate that was paid for it. What the
+    answers so far differ by is written as a correction (``adjusted``) when an answer comes more than ``flush_seconds``
+    after the last flush (or the job's first event), and counts against ``cap`` from then on. The last row (null
+    ``seq``) holds the last correction and, as a negative reservation, what was reserved and not used.
+    """
+
+    def start() -> dict:
+        return {"free": 0, "total": 0, "stopped": False, "owed": 0, "flushed": 0, "at": None}
+
+    def flush(state: dict) -> int:
+        delta = state["owed"] - state["flushed"]
+        state["flushed"] += delta
+        state["total"] += delta
+        return delta
+
+    def step(state: dict, seq: int, at, estimate: int | None, actual: int | None) -> tuple:
+        state["at"] = state["at"] or at
+        if actual is None:
+            return seq, *_pay(state, estimate or 0, cap, block), 0
+        state["owed"] += actual - (estimate or 0)
+        adjusted = 0
+        if at and (at - state["at"]).total_seconds() > flush_seconds:
+            state["at"], adjusted = at, flush(state)
+        return seq, None, 0, adjusted
+
+    shape = _shape(events, "job", "seq", paid="boolean", reserved="long", adjusted="long")
+    return fold_sorted(events, "job", ["seq"], ["at", "estimate", "actual"], start, step, shape, lambda state: (None, None, -state["free"], flush(state)))
 
 
 def spend_by_run(ledger: DataFrame) -> DataFrame:

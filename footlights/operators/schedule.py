@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..functions.text import fold_digits
 from ..functions.times import announcement_days, recheck_days
+from .fold import fold_sorted
 
 
 def due_queue(sources: DataFrame, as_of: dt.datetime, statuses: tuple[str, ...] = ("ok", "todo", "partial"), priority: int | None = None, name: str | None = None, limit: int | None = None) -> DataFrame:
@@ -100,18 +102,16 @@ def second_failed(second_items: Column, second_answered: Column, second_status:
 
 def capped_looks(rows: DataFrame, share: float = 0.2, least: int = 3) -> DataFrame:
     """Add ``granted``: of the wanted second looks of each job, in order, one is granted while those before are fewer
-    than max(least, share * answered). rows: job, seq, wanted. A fold over the job's ordered answers."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "wanted")))
-    state = lambda k, out: F.struct(k.alias("k"), out.alias("out"))
-    empty = F.array().cast("array<struct<seq:bigint,granted:boolean>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        answered = F.size(acc["out"]) + 1
-        ok = x["wanted"] & (acc["k"] < F.greatest(F.lit(float(least)), answered * share))
-        return state(acc["k"] + ok.cast("int"), F.concat(acc["out"], F.array(F.struct(x["seq"].cast("long").alias("seq"), ok.alias("granted")))))
-
-    folded = F.aggregate(ordered, state(F.lit(0), empty), step, lambda acc: acc["out"])
-    return rows.groupBy("job").agg(folded.alias("o")).select("job", F.explode("o").alias("o")).select("job", "o.seq", "o.granted")
+    than max(least, share * answered). rows: job, seq, wanted. A fold that carries two counts a job."""
+
+    def step(state: list[int], seq: int, wanted: bool | None) -> tuple:
+        state[0] += 1
+        ok = bool(wanted) and state[1] < max(float(least), state[0] * share)
+        state[1] += ok
+        return seq, ok
+
+    shape = StructType([rows.schema["job"], StructField("seq", LongType()), StructField("granted", BooleanType())])
+    return fold_sorted(rows.withColumn("seq", F.col("seq").cast("long")), "job", ["seq"], ["wanted"], lambda: [0, 0], step, shape)
 
 
 def settle_runs(runs: DataFrame, items: DataFrame) -> DataFrame:

@@ -54,12 +54,12 @@ b as (select *, row_number() over (partition by tier order by h, id) as n from a
 
 
 def q17_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    r = e.select(F.date_format("ts", "yyyy-MM-dd").alias("month"), F.col("event_id").alias("seq"), (F.col("user_id") % 5).alias("run_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
+    """A ledger of all events, a day's being one sum."""
+    r = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("month"), F.col("event_id").alias("seq"), (F.col("user_id") % 5).alias("run_id"), F.round(F.col("value") * 100).cast("long").alias("amount"))
     return ledger.spend_reserve(r, 60_000, 15_000).select("month", "seq", "run_id", "amount", "ok", "why", "month_sum", "run_sum")
 
 
-Q17 = """with recursive r as (select strftime(ts, '%Y-%m-%d') as month, event_id as seq, user_id % 5 as run_id, round(value * 100)::bigint as amount from events where event_type = 'purchase'),
+Q17 = """with recursive r as (select strftime(ts, '%Y-%m-%d') as month, event_id as seq, user_id % 5 as run_id, round(value * 100)::bigint as amount from events),
 n as (select *, row_number() over (partition by month order by seq) as k from r),
 f as (select month, 0::bigint as k, null::bigint as seq, null::bigint as run_id, null::bigint as amount, null::boolean as ok, null::varchar as why, 0::bigint as m, 0::bigint as r0, 0::bigint as r1, 0::bigint as r2, 0::bigint as r3, 0::bigint as r4, 0::bigint as run_sum from (select distinct month from n)
 union all select n.month, n.k, n.seq, n.run_id, n.amount, x.ok, case when x.over_m then 'month' when x.over_r then 'run' end, f.m + x.a, f.r0 + case when n.run_id = 0 then x.a else 0 end, f.r1 + case when n.run_id = 1 then x.a else 0 end, f.r2 + case when n.run_id = 2 then x.a else 0 end,
@@ -70,6 +70,28 @@ union all select n.month, n.k, n.seq, n.run_id, n.amount, x.ok, case when x.over
 select month, seq, run_id, amount, ok, why, m as month_sum, run_sum from f where k > 0"""
 
 
+def q111_budget_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments and answers of each user's events: blocks, corrections every three days, and what is given back."""
+    estimate = F.round(F.col("value") * 100).cast("long")
+    answered = F.col("event_type").isin("click", "view")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), estimate.alias("estimate"), F.when(answered, estimate + F.col("event_id") % 700 - 300).alias("actual"))
+    return ledger.budget_ledger(e, cap=120_000, block=20_000, flush_seconds=3 * 86_400).withColumn("seq", F.coalesce("seq", F.lit(-1)))
+
+
+Q111 = """with recursive e as (select user_id as job, event_id as seq, ts, round(value * 100)::bigint as est, case when event_type in ('click', 'view') then round(value * 100)::bigint + event_id % 700 - 300 end as act from events),
+n as (select *, row_number() over (partition by job order by seq) as k from e),
+f as (select job, 0::bigint as k, null::bigint as seq, null::boolean as paid, 0::bigint as reserved, 0::bigint as adjusted, 0::bigint as free, 0::bigint as total, false as stopped, 0::bigint as owed, 0::bigint as flushed, null::timestamp as at from (select distinct job from n)
+  union all
+  select job, k, seq, case when act is null then ok end, case when act is null and ok then need else 0 end, case when flush then new_owed - flushed else 0 end,
+    free + case when act is null and ok then need - est else 0 end, total + case when act is null and ok then need else 0 end + case when flush then new_owed - flushed else 0 end, stopped or act is null and not ok,
+    new_owed, case when flush then new_owed else flushed end, case when flush then ts else start_at end
+  from (select *, not stopped and total + need <= 120000 as ok, act is not null and epoch_us(ts) - epoch_us(start_at) > 3 * 86400 * 1000000::bigint as flush
+    from (select n.job, n.k, n.seq, n.ts, n.est, n.act, f.free, f.total, f.stopped, f.flushed, coalesce(f.at, n.ts) as start_at, f.owed + case when n.act is null then 0 else n.act - n.est end as new_owed, case when n.est > f.free then greatest(20000, n.est - f.free) else 0 end as need
+      from f join n on n.job = f.job and n.k = f.k + 1)))
+select job, seq, paid, reserved, adjusted from f where k > 0
+union all select job, -1, null, -free, owed - flushed from (select *, row_number() over (partition by job order by k desc) as last from f) where last = 1"""
+
+
 def q18_spend_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("ts").alias("at"), F.when(F.col("event_type") == "click", "collect").when(F.col("event_type") == "view", "review").otherwise("other").alias("part"), F.col("value").cast("decimal(12,6)").alias("usd"))
     out = ledger.spend_by_run(e)
@@ -448,4 +470,4 @@ select 'odd hour' as "check", id from r where not tbc and h between 1 and 8 unio
 union all select 'two cities', r.id from r join a on a.company_id = r.company_id and a.day = r.day where not r.tbc"""
 
 QUERIES = {n: f for n, f in sorted(globals().items()) if n[0] == "q" and n[1:3].isdigit()}
-ORACLE = {n: globals()["Q" + n[1:3]] for n in QUERIES if "Q" + n[1:3] in globals()}
+ORACLE = {n: globals()[q] for n in QUERIES if (q := n.partition("_")[0].upper()) in globals()}
