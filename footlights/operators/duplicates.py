@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import holds, overlap, trigrams
+from .survive import source_rank
 
 
 def sessions(rows: DataFrame, least: int = 3) -> DataFrame:
@@ -86,6 +87,29 @@ def review_queue(held: DataFrame, pairs: DataFrame, conflicts: DataFrame, as_of:
     return one.unionByName(two).unionByName(three)
 
 
+def queue_with_evidence(queue: DataFrame, mentions: DataFrame, performances: DataFrame, listings: DataFrame, sources: DataFrame, source_venues: DataFrame) -> DataFrame:
+    """Add ``evidence`` to a review queue: what is known of the performances that each case names, in their order.
+
+    mentions: kind, id (as in the queue), place, performance_id; performances: id, title, company_id; listings: id,
+    performance_id, source_id, theater_id, company_id, ignored, title, time_tbc. ``evidence`` is an array of
+    ``struct<place, id, title, listed_by>``, ``listed_by`` of ``struct<listing_id, source, rank, title, time_tbc>`` by
+    listing id, ranked here, null for a performance without listings; performances that are gone are left out, and a pair
+    stays in the queue only with both. Only performances that the queue names are looked up.
+    """
+    named = queue.select("kind", "id").join(mentions, ["kind", "id"])
+    wanted = named.select(F.col("performance_id").alias("id")).distinct()
+    shown = performances.select("id", "title", F.col("company_id").alias("_company")).join(wanted, "id", "left_semi")
+    rows = listings.where(~F.col("ignored")).withColumnRenamed("id", "listing_id").join(shown.select(F.col("id").alias("_p"), "_company"), F.col("performance_id") == F.col("_p"))
+    rows = source_rank(rows.withColumn("company_id", F.coalesce("company_id", "_company")).drop("_company"), sources, source_venues)
+    facts = F.struct("listing_id", F.col("source_id").alias("source"), "rank", "title", "time_tbc")
+    listed = rows.groupBy(F.col("_p").alias("id")).agg(F.array_sort(F.collect_list(facts)).alias("listed_by"))
+    known = shown.select(F.col("id").alias("performance_id"), "title").join(listed.withColumnRenamed("id", "performance_id"), "performance_id", "left")
+    told = F.struct("place", F.col("performance_id").alias("id"), "title", "listed_by")
+    by_case = named.join(known, "performance_id").groupBy("kind", "id").agg(F.array_sort(F.collect_list(told)).alias("evidence"))
+    out = queue.join(by_case, ["kind", "id"], "left")
+    return out.where((F.col("kind") != "pair") | (F.coalesce(F.size("evidence"), F.lit(0)) == 2))
+
+
 def to_call(verdicts: DataFrame, least_confidence: float = 0.85) -> DataFrame:
     """Check verdicts ``(kind, verdict, keep, ignore array, confidence, valid_ids array, valid_listings array)``.
 

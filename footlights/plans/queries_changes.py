@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import changes
+from ..operators import changes, duplicates
 from ..operators.graph import cut_lineage
 from . import domain as d
-from .domain import SQL, table
+from .domain import SQL, TODAY, table
+from .queries_core import _PARTS, _RANK, _VENUES, _cases, _part_rows, _venues
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -95,5 +96,41 @@ union all select 'staging', a.id, 'update', null, null, a.performance_id from s0
 
 Q110 = f"""with {SQL} select min(id) as id, work_id::varchar as performance_id, source_id::varchar as source_id, false as ignored from listings group by work_id, source_id"""
 
-QUERIES = {f.__name__: f for f in (q108_verdict_tables, q109_verdict_snapshots, q110_verdicts_undone)}
-ORACLE = {"q108_verdict_tables": Q108, "q109_verdict_snapshots": Q109, "q110_verdicts_undone": Q110}
+def q112_queue_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review queue, a case a row, with the performances it names and who lists them in which rank."""
+    held, pairs, conflicts = _cases(spark, sf_dir)
+    queue = duplicates.review_queue(held, pairs, conflicts, TODAY, limit=150)
+    of = lambda df, kind, place, who: df.select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"), F.lit(place).alias("place"), who.alias("performance_id"))
+    k = F.col("id")
+    mentions = of(held, "held", 0, k + 1).unionByName(of(held, "held", 1, k + 2)).unionByName(of(pairs, "pair", 0, k * 7)).unionByName(of(pairs, "pair", 1, k * 7 + 1)).unionByName(of(conflicts, "conflict", 0, k * 3))
+    p = d.performances(spark, sf_dir).where("id % 11 <> 0").select("id", "title", "company_id")
+    lists = d.listings(spark, sf_dir)
+    out = duplicates.queue_with_evidence(queue, mentions, p, lists.withColumn("ignored", F.col("position") == 5), d.sources(spark, sf_dir), _venues(lists))
+    by = lambda x: F.concat_ws("/", x["listing_id"], x["source"].cast("string"), x["rank"].cast("string"), x["title"], x["time_tbc"].cast("string"))
+    line = lambda e: F.concat_ws(" ", e["place"].cast("string"), e["id"].cast("string"), e["title"], F.array_join(F.coalesce(F.transform(e["listed_by"], by), F.array()), ","))
+    return out.select("kind", "id", "reason", F.greatest(F.coalesce(F.size("evidence"), F.lit(0)), F.lit(0)).alias("n"), F.array_join(F.transform("evidence", line), "; ").alias("evidence"))
+
+
+Q112 = f"""with {SQL}, {_VENUES}, k as (select 'held' as kind, o_orderkey as id, o_orderdate::date as day, 'possible match' as reason from orders
+union all select 'pair', p_partkey, null, p_type from part union all select 'conflict', s_suppkey, null, 'time' from supplier),
+q as (select kind, id, reason from k where id % 10 <> 0 qualify row_number() over (partition by kind order by day, id) <= 150),
+m as (select *, 0 as place, case kind when 'held' then id + 1 when 'pair' then id * 7 else id * 3 end as pid from q union all select *, 1, case kind when 'held' then id + 2 else id * 7 + 1 end from q where kind <> 'conflict'),
+p as (select id, title, company_id from performances where id % 11 <> 0),
+x as (select l.* exclude (company_id), coalesce(l.company_id, p.company_id) as company_id from listings l join p on p.id = l.performance_id where position <> 5),
+r as (select l.performance_id, string_agg(concat_ws('/', l.id, l.source_id, {_RANK}, l.title, l.time_tbc), ',' order by l.id) as listed from x l left join sources s on s.id = l.source_id left join venues v on v.source_id = l.source_id and v.theater_id = l.theater_id group by l.performance_id),
+e as (select kind, m.id, count(*) as n, string_agg(concat_ws(' ', place, p.id, p.title, coalesce(r.listed, '')), '; ' order by place) as evidence from m join p on p.id = m.pid left join r on r.performance_id = p.id group by kind, m.id)
+select q.kind, q.id::varchar as id, reason, coalesce(n, 0) as n, evidence from q left join e using (kind, id) where q.kind <> 'pair' or n = 2"""
+
+
+def q113_undecided_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate pairs that nobody has decided on: those of some sums of ids were decided, one or the other way round."""
+    rows = _part_rows(spark, sf_dir)
+    a, b = F.col("a_id"), F.col("b_id")
+    decided = duplicates.find_duplicate_candidates(rows).where((a + b) % 3 == 0).select(F.when(a % 2 == 0, a).otherwise(b).alias("drop_id"), F.when(a % 2 == 0, b).otherwise(a).alias("keep_id"))
+    return duplicates.find_duplicate_candidates(rows, decided=decided)
+
+
+Q113 = f"with {_PARTS} select a_id, b_id, reason from found where (a_id + b_id) % 3 <> 0"
+
+QUERIES = {f.__name__: f for f in (q108_verdict_tables, q109_verdict_snapshots, q110_verdicts_undone, q112_queue_evidence, q113_undecided_pairs)}
+ORACLE = {"q108_verdict_tables": Q108, "q109_verdict_snapshots": Q109, "q110_verdicts_undone": Q110, "q112_queue_evidence": Q112, "q113_undecided_pairs": Q113}
