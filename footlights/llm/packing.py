@@ -40,7 +40,7 @@ def token_pieces(
         known = chunk_table(tokenizer_path)
         for part in slices(batches, 500):
             out: list[tuple] = []
-            texts = [t.encode().split() for t in part["text"].to_pylist()]
+            texts = [t.split() for t in part["text"].cast(pa.binary()).to_pylist()]
             known.learn(set().union(*texts))
             for doc, chunks in zip(part["doc_id"].to_pylist(), texts, strict=True):
                 ids = b"".join(map(known.chunks.__getitem__, chunks)) + end

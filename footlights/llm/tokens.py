@@ -70,17 +70,21 @@ def encode_words(path: str, words: list[bytes], together: int = 1000) -> list[by
 
 
 #: Chunks of Latin letters and closing points or commas: the tokenizer splits exactly there, whatever the case.
-_PLAIN_CHUNK = re.compile("([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([.,]*)")
+_PLAIN = "([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([.,]*)"
+_PLAIN_CHUNK = re.compile(_PLAIN)
+#: The same for many chunks, a line each; other lines give empty groups.
+_PLAIN_LINES = re.compile(f"^(?:{_PLAIN}|.*)$", re.M)
 
 
 class ChunkTable:
     """Ids of chunks as little-endian unsigned 32-bit numbers, for one worker process.
 
     Letter words are looked up in lower case and without closing punctuation, so that the library sees each word once
-    and not each spelling of a chunk. Both tables start anew beyond their bound, which limits a worker's memory.
+    and not each spelling of a chunk. Both tables are cut beyond their bound, which limits a worker's memory: chunks to
+    those that are wanted at the time, words to none.
     """
 
-    def __init__(self, path: str, most_chunks: int = 200_000, most_words: int = 400_000) -> None:
+    def __init__(self, path: str, most_chunks: int = 300_000, most_words: int = 400_000) -> None:
         self.path, self.most_chunks, self.most_words = path, most_chunks, most_words
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
@@ -88,22 +92,23 @@ class ChunkTable:
     def learn(self, wanted: set[bytes]) -> None:
         """Make sure that all ``wanted`` chunks are in ``chunks``."""
         if len(self.chunks) > self.most_chunks:
-            self.chunks.clear()
+            self.chunks = {c: self.chunks[c] for c in wanted.intersection(self.chunks)}
         if len(self.words) > self.most_words:
             self.words.clear()
-        parts: list[tuple[bytes, tuple[bytes, ...]]] = []
-        odd: list[bytes] = []
-        for chunk in wanted.difference(self.chunks):
-            plain = _PLAIN_CHUNK.fullmatch(chunk.decode())
-            if plain:
-                parts.append((chunk, (plain[1].lower().encode(), *([plain[2].encode()] if plain[2] else []))))
-            else:
-                odd.append(chunk)
-        new = list({w for _, ws in parts for w in ws}.difference(self.words))
-        words = self.words
+        missing = list(wanted.difference(self.chunks))
+        if not missing:
+            return
+        # one pass over all of them: no chunk holds a line's end
+        parts = _PLAIN_LINES.findall(b"\n".join(missing).decode())
+        lower = "\n".join([word for word, _ in parts]).lower().encode().split(b"\n")
+        ends = {end: end.encode() for end in {end for _, end in parts}}
+        new = list({*lower, *ends.values()}.difference(self.words, [b""]))
+        words, chunks = self.words, self.chunks
         words.update(zip(new, encode_words(self.path, new), strict=True))
-        self.chunks.update((chunk, array("I", ids).tobytes()) for chunk, ids in zip(odd, encode_chunks(self.path, odd), strict=True))
-        self.chunks.update((chunk, words[ws[0]] if len(ws) == 1 else words[ws[0]] + words[ws[1]]) for chunk, ws in parts)
+        words[b""] = b""
+        odd = [chunk for chunk, word in zip(missing, lower, strict=True) if not word]
+        chunks.update((chunk, array("I", ids).tobytes()) for chunk, ids in zip(odd, encode_chunks(self.path, odd), strict=True))
+        chunks.update((chunk, words[word] + words[ends[end]] if end else words[word]) for chunk, word, (_, end) in zip(missing, lower, parts, strict=True) if word)
 
 
 @lru_cache(maxsize=2)
