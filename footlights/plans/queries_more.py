@@ -71,11 +71,11 @@ select month, seq, run_id, amount, ok, why, m as month_sum, run_sum from f where
 
 
 def q111_budget_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments and answers of each user's events: blocks, corrections every three days, and what is given back."""
+    """Payments and answers of each user's events: blocks, corrections every three days, and what is given back (-1: not said)."""
     estimate = F.round(F.col("value") * 100).cast("long")
     answered = F.col("event_type").isin("click", "view")
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), estimate.alias("estimate"), F.when(answered, estimate + F.col("event_id") % 700 - 300).alias("actual"))
-    return ledger.budget_ledger(e, cap=120_000, block=20_000, flush_seconds=3 * 86_400).withColumn("seq", F.coalesce("seq", F.lit(-1)))
+    return ledger.budget_ledger(e, cap=120_000, block=20_000, flush_seconds=3 * 86_400).withColumns({"seq": F.coalesce("seq", F.lit(-1)), "paid": F.coalesce(F.col("paid").cast("int"), F.lit(-1))})
 
 
 Q111 = """with recursive e as (select user_id as job, event_id as seq, ts, round(value * 100)::bigint as est, case when event_type in ('click', 'view') then round(value * 100)::bigint + event_id % 700 - 300 end as act from events),
@@ -88,8 +88,8 @@ f as (select job, 0::bigint as k, null::bigint as seq, null::boolean as paid, 0:
   from (select *, not stopped and total + need <= 120000 as ok, act is not null and epoch_us(ts) - epoch_us(start_at) > 3 * 86400 * 1000000::bigint as flush
     from (select n.job, n.k, n.seq, n.ts, n.est, n.act, f.free, f.total, f.stopped, f.flushed, coalesce(f.at, n.ts) as start_at, f.owed + case when n.act is null then 0 else n.act - n.est end as new_owed, case when n.est > f.free then greatest(20000, n.est - f.free) else 0 end as need
       from f join n on n.job = f.job and n.k = f.k + 1)))
-select job, seq, paid, reserved, adjusted from f where k > 0
-union all select job, -1, null, -free, owed - flushed from (select *, row_number() over (partition by job order by k desc) as last from f) where last = 1"""
+select job, seq, coalesce(paid::int, -1) as paid, reserved, adjusted from f where k > 0
+union all select job, -1, -1, -free, owed - flushed from (select *, row_number() over (partition by job order by k desc) as last from f) where last = 1"""
 
 
 def q18_spend_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
