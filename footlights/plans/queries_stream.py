@@ -16,9 +16,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drained(rows: DataFrame, name: str) -> DataFrame:
-    """Run a stream over all that is there, and read what it wrote."""
-    spark = rows.sparkSession
+def _drained(rows: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Run a stream over all that is there, and read what it wrote with ``spark`` (the stream's own session if none)."""
+    spark = spark or rows.sparkSession
     out, state = own_path(spark, name), own_path(spark, f"{name}-state")
     query = rows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("checkpointLocation", state).start(out)
     while query.isActive:
@@ -38,6 +38,42 @@ def q100_stream_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q100 = "select distinct user_id || '|' || event_type as dedupe_key from events"
 
 
+def q101_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests decided in order of time, up to the watermark: caps for the month and for each run."""
+    e = _events(streams.stateful_session(spark), sf_dir)
+    asked = e.select(F.date_format("ts", "yyyy-MM").alias("month"), F.col("ts").alias("at"), (F.col("user_id") % 7).cast("string").alias("run_id"), (F.round(F.col("value") * 100)).cast("long").alias("amount"))
+    rows = _drained(streams.stream_ledger(asked, _MONTH_CAP, _RUN_CAP), "ledger", spark)
+    return rows.select("month", F.unix_micros("at").alias("at"), "run_id", "amount", "ok", "month_sum")
+
+
+_MONTH_CAP, _RUN_CAP = 400_000, 90_000
+# whole slots that end before the last time less the hour that rows may be late
+_over = lambda slot: f"(epoch_ms(t) // {slot}000 + 1) * {slot}000 < (select epoch_ms(max(ts)) - 3600000 from events)"
+
+Q101 = f"""with recursive a as (select strftime(ts, '%Y-%m') as month, ts as t, (user_id % 7)::varchar as run_id, round(value * 100)::bigint as amount from events),
+o as (select *, row_number() over (partition by month order by t, run_id, amount) as n from a where {_over(3600)}),
+play as (select month, 0::bigint as n, null::timestamp as t, null::varchar as run_id, 0::bigint as amount, false as ok, 0::bigint as month_sum, list_value(0,0,0,0,0,0,0)::bigint[] as runs from (select distinct month from o)
+union all select month, n, t, run_id, amount, ok, month_sum + case when ok then amount else 0 end,
+  list_transform(runs, lambda x, i: case when ok and i = run_id::int + 1 then x + amount else x end)
+from (select o.month, o.n, o.t, o.run_id, o.amount, p.month_sum + o.amount <= {_MONTH_CAP} and p.runs[o.run_id::int + 1] + o.amount <= {_RUN_CAP} as ok, p.month_sum, p.runs from play p join o on o.month = p.month and o.n = p.n + 1))
+select month, epoch_us(t) as at, run_id, amount, ok, month_sum from play where n > 0"""
+
+
+def q102_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as an opened page: what its kind was when the page was last read, and how long ago."""
+    e = _events(streams.stateful_session(spark), sf_dir)
+    pages = e.select(F.concat(F.lit("u"), (F.col("user_id") % 200).cast("string")).alias("url"), F.lit("list").alias("role"), F.col("event_type").alias("text_hash"), F.col("ts").alias("at"))
+    rows = _drained(streams.stream_changes(pages, days=1), "readings", spark)
+    return rows.select("url", F.unix_micros("at").alias("at"), "state")
+
+
+Q102 = f"""with recursive a as (select user_id % 200 as u, ts as t, event_type as h from events), o as (select *, row_number() over (partition by u order by t, h) as n from a where {_over(86400)}),
+play as (select u, n, t, h as last_hash, t as last_at, 'new' as state from o where n = 1
+union all select o.u, o.n, o.t, o.h, case when o.h = p.last_hash and epoch_us(o.t) - epoch_us(p.last_at) <= 86400000000 then p.last_at else o.t end,
+  case when o.h <> p.last_hash then 'changed' when epoch_us(o.t) - epoch_us(p.last_at) > 86400000000 then 'expired' else 'unchanged' end from play p join o on o.u = p.u and o.n = p.n + 1)
+select 'u' || u as url, epoch_us(t) as at, state from play"""
+
+
 def q103_stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with the answers that came in time."""
     e = _events(spark, sf_dir)
@@ -49,6 +85,18 @@ def q103_stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q103 = "select a.user_id as batch_id, a.event_id as custom_id, b.event_type as result from events a join events b on a.event_id % 2 = 0 and b.event_id = a.event_id + 1 and a.user_id = b.user_id and b.ts >= a.ts and b.ts <= a.ts + interval 10 days"
 
 
+def q104_stream_answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moments at which nothing of a source is open: an even event asks, an odd one answers."""
+    e = _events(streams.stateful_session(spark), sf_dir)
+    changes = e.select((F.col("user_id") % 100).cast("string").alias("source_id"), F.col("ts").alias("at"), F.when(F.col("event_id") % 2 == 0, 1).otherwise(-1).alias("delta"))
+    return _drained(streams.stream_save_when_answered(changes), "answered", spark).select("source_id", F.unix_micros("at").alias("at"))
+
+
+Q104 = f"""with a as (select user_id % 100 as s, ts as t, case when event_id % 2 = 0 then 1 else -1 end as delta from events),
+b as (select *, sum(delta) over (partition by s order by t, delta desc rows unbounded preceding) as n from a where {_over(86400)})
+select s::varchar as source_id, epoch_us(t) as at from b where n = 0"""
+
+
 def q105_stream_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spells of progress that are over: a gap of two hours ends one."""
     e = _events(spark, sf_dir).select((F.col("user_id") % 50).alias("job"), F.col("ts").alias("at"))

@@ -11,12 +11,25 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from ..operators.groups import group_evenings
 
 
+#: State with timers and maps needs this store (fixed value of the engine's setting).
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def stateful_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's whose streams keep their state in RocksDB; the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set(*STATE_STORE)
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(name, spark.conf.get(name))
+    return own
+
+
 def read_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1) -> DataFrame:
     """A rate-limited stream of Parquet files."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
@@ -40,59 +53,137 @@ def stream_refresh_groups(changes: DataFrame, load_rows: Callable[[DataFrame], D
     return changes.writeStream.foreachBatch(batch)
 
 
-def stream_ledger(requests: DataFrame, month_cap: int, run_cap: int) -> DataFrame:
-    """Reservations as they come: admitted while the month's and the run's sums stay within their caps.
+class InOrder(StatefulProcessor):
+    """Rows of a key by event time: they wait in slots of ``slot`` seconds until the watermark has passed a slot's end.
 
-    requests: month, at, run_id, amount (whole cents). State: the month's sum and a sum for each run, kept for 40 days after
-    the last request of the month. Within a micro-batch requests go by time and run.
+    A slot is one entry of a map state and one timer; timers fire in order of time, so a task holds one slot of one key and
+    never a key's rows. ``play`` gets a slot's rows as tuples in order. ``keep`` seconds of event time after a key's last slot
+    its state is removed. Rows later than the watermark are dropped by the engine.
     """
-    schema = "month string, at timestamp, run_id string, amount long, ok boolean, month_sum long"
-
-    def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        total, names, sums = state.get if state.exists else (0, [], [])
-        runs = dict(zip(names, sums, strict=True))
-        rows = pd.concat(list(frames)).sort_values(["at", "run_id", "amount"], kind="stable")
-        out = []
-        for r in rows.itertuples(index=False):
-            ok = total + r.amount <= month_cap and runs.get(r.run_id, 0) + r.amount <= run_cap
+
+    columns: str
+    memory: dict[str, str]
+
+    def __init__(self, slot: int, keep: int):
+        self.slot, self.keep = slot * 1000, keep * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.slots = handle.getMapState("slots", "ends long", f"rows array<struct<{self.columns}>>")
+        self.last = handle.getValueState("last", "ends long")
+        self.held = {name: handle.getValueState(name, schema) for name, schema in self.memory.items()}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in self.columns.split(", ")]
+        for page in rows:
+            micros = page["at"].astype("datetime64[us]").astype("int64")
+            ends = (micros // 1000 // self.slot + 1) * self.slot
+            for end, part in page.assign(at=micros)[names].groupby(ends):
+                end = int(end)
+                there = [tuple(r) for r in self.slots.getValue((end,))[0]] if self.slots.containsKey((end,)) else []
+                self.slots.updateValue((end,), (there + [tuple(r) for r in part.astype(object).itertuples(index=False)],))
+                if not there:
+                    self.handle.registerTimer(end)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        last = self.last.get()[0] if self.last.exists() else None
+        if self.slots.containsKey((end,)):
+            rows = sorted((tuple(r) for r in self.slots.getValue((end,))[0]), key=lambda r: [(v is not None, v) for v in r])
+            self.slots.removeKey((end,))
+            if last is not None:
+                self.handle.deleteTimer(last + self.keep)
+            self.last.update((end,))
+            self.handle.registerTimer(end + self.keep)
+            yield self.play(key, rows)
+        elif last is not None and last + self.keep <= end:
+            for state in (self.last, *self.held.values()):
+                state.clear()
+            self.forget()
+
+    def play(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def forget(self) -> None:
+        """Remove what is kept beside ``memory``."""
+
+    def close(self) -> None:
+        pass
+
+
+def _played(rows: DataFrame, keys: list[str], processor: InOrder, schema: str, late: str) -> DataFrame:
+    """Run a processor over the rows that have an event time ``at``; the session's state store must be RocksDB."""
+    return rows.where("at is not null").withWatermark("at", late).groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "EventTime")
+
+
+class _Ledger(InOrder):
+    columns, memory = "at long, run_id string, amount long", {"total": "sum long"}
+
+    def __init__(self, month_cap: int, run_cap: int, slot: int, keep: int):
+        super().__init__(slot, keep)
+        self.month_cap, self.run_cap = month_cap, run_cap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.runs = handle.getMapState("runs", "run_id string", "sum long")
+
+    def play(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        total = self.held["total"].get()[0] if self.held["total"].exists() else 0
+        sums, out = {}, []
+        for at, run, amount in rows:
+            if run not in sums:
+                sums[run] = self.runs.getValue((run,))[0] if self.runs.containsKey((run,)) else 0
+            ok = total + amount <= self.month_cap and sums[run] + amount <= self.run_cap
             if ok:
-                total += r.amount
-                runs[r.run_id] = runs.get(r.run_id, 0) + r.amount
-            out.append((key[0], r.at, r.run_id, r.amount, ok, total))
-        state.update((total, list(runs), list(runs.values())))
-        state.setTimeoutDuration(40 * 86_400_000)
-        yield pd.DataFrame(out, columns=["month", "at", "run_id", "amount", "ok", "month_sum"])
+                total += amount
+                sums[run] += amount
+            out.append((key[0], pd.Timestamp(at, unit="us"), run, amount, ok, total))
+        self.held["total"].update((total,))
+        for run, n in sums.items():
+            self.runs.updateValue((run,), (n,))
+        return pd.DataFrame(out, columns=["month", "at", "run_id", "amount", "ok", "month_sum"])
 
-    return requests.groupBy("month").applyInPandasWithState(decide, schema, "total long, names array<string>, sums array<long>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    def forget(self) -> None:
+        self.runs.clear()
 
 
-def stream_changes(pages: DataFrame, days: int = 28) -> DataFrame:
-    """Each page opened against its last reading: ``(url, role, at, state)``, state new, changed, unchanged or expired.
+def stream_ledger(requests: DataFrame, month_cap: int, run_cap: int, late: str = "1 hour", slot: int = 3600) -> DataFrame:
+    """Reservations in order of time: admitted while the month's and the run's sums stay within their caps.
 
-    pages: url, role, text_hash, at. State: the last hash and its time for each page; gone after twice ``days`` unseen.
+    requests: month, at, run_id, amount (whole cents; null: no request). A request is decided when the watermark has passed its slot, ties by
+    run and amount; state is the month's sum and an entry for each run, removed 40 days after the month's last request.
     """
-    schema = "url string, role string, at timestamp, state string"
+    asked = requests.where("amount is not null").select("month", "at", "run_id", "amount")
+    return _played(asked, ["month"], _Ledger(month_cap, run_cap, slot, 40 * 86_400), "month string, at timestamp, run_id string, amount long, ok boolean, month_sum long", late)
+
 
-    def compare(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get if state.exists else None
+class _Changes(InOrder):
+    columns, memory = "at long, text_hash string", {"reading": "hash string, at long"}
+
+    def __init__(self, days: int, slot: int):
+        super().__init__(slot, 2 * days * 86_400)
+        self.days = days
+
+    def play(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        last = self.held["reading"].get() if self.held["reading"].exists() else None
         out = []
-        for r in pd.concat(list(frames)).sort_values(["at", "text_hash"], kind="stable").itertuples(index=False):
-            at = int(pd.Timestamp(r.at).timestamp())
-            told = "new" if last is None else "changed" if last[0] != r.text_hash else "expired" if at - last[1] > days * 86_400 else "unchanged"
+        for at, text_hash in rows:
+            told = "new" if last is None else "changed" if last[0] != text_hash else "expired" if at - last[1] > self.days * 86_400_000_000 else "unchanged"
             if told != "unchanged":
-                last = (r.text_hash, at)
-            out.append((*key, r.at, told))
-        state.update(last)
-        state.setTimeoutDuration(2 * days * 86_400_000)
-        yield pd.DataFrame(out, columns=["url", "role", "at", "state"])
+                last = (text_hash, at)
+            out.append((*key, pd.Timestamp(at, unit="us"), told))
+        self.held["reading"].update(tuple(last))
+        return pd.DataFrame(out, columns=["url", "role", "at", "state"])
+
 
-    return pages.groupBy("url", "role").applyInPandasWithState(compare, schema, "hash string, at long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+def stream_changes(pages: DataFrame, days: int = 28, late: str = "1 hour", slot: int = 86_400) -> DataFrame:
+    """Each page opened against its last reading, in order of time: ``(url, role, at, state)``.
+
+    pages: url, role, text_hash, at; states are new, changed, unchanged or expired. Kept for each page: the last reading's
+    hash and time, gone after twice ``days`` unseen.
+    """
+    return _played(pages.select("url", "role", "text_hash", "at"), ["url", "role"], _Changes(days, slot), "url string, role string, at timestamp, state string", late)
 
 
 def stream_pending(requests: DataFrame, answers: DataFrame, days: int = 30) -> DataFrame:
@@ -110,23 +201,26 @@ def stream_stalls(progress: DataFrame, minutes: int = 30, late: str = "10 minute
     return spells.select("job", F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "n")
 
 
-def stream_save_when_answered(changes: DataFrame) -> DataFrame:
-    """Sources whose pending count comes to 0: ``(source_id, at)``. changes: source_id, at, delta (+1 asked, -1 answered).
+class _Answered(InOrder):
+    columns, memory = "at long, asked int", {"open": "n long"}
+
+    def play(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        n = self.held["open"].get()[0] if self.held["open"].exists() else 0
+        done = []
+        for at, asked in rows:
+            n -= asked
+            if n == 0:
+                done.append(pd.Timestamp(at, unit="us"))
+        self.held["open"].update((n,))
+        return pd.DataFrame({"source_id": pd.Series([key[0]] * len(done), dtype="object"), "at": pd.Series(done, dtype="datetime64[us]")})
 
-    State: the count; a source without change for 30 days is forgotten."""
 
-    def count(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames))
-        left = (state.get[0] if state.exists else 0) + int(rows["delta"].sum())
-        state.update((left,))
-        state.setTimeoutDuration(30 * 86_400_000)
-        if left == 0:
-            yield pd.DataFrame({"source_id": [key[0]], "at": [rows["at"].max()]})
+def stream_save_when_answered(changes: DataFrame, late: str = "1 hour", slot: int = 86_400) -> DataFrame:
+    """Sources whose pending count comes to 0, each time it does: ``(source_id, at)``, in order of time, asked before answered.
 
-    return changes.groupBy("source_id").applyInPandasWithState(count, "source_id string, at timestamp", "n long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    changes: source_id string, at, delta (+1 asked, -1 answered). A source without change for 30 days is forgotten."""
+    signed = changes.select("source_id", "at", (-F.col("delta")).cast("int").alias("asked"))
+    return _played(signed, ["source_id"], _Answered(slot, 30 * 86_400), "source_id string, at timestamp", late)
 
 
 def stalls(progress: DataFrame, minutes: int = 30) -> DataFrame:

@@ -50,27 +50,77 @@ def test_staging_is_idempotent(spark):
     assert sorted(r.dedupe_key for r in drain(streams.stream_stage(s))) == ["a", "b", "c"]
 
 
-def test_ledger_refuses_and_keeps_its_sum(spark):
-    s = files(spark, [[("2026-01", at(1), "r", 60), ("2026-01", at(2), "r", 60)], [("2026-01", at(3), "q", 40), ("2026-02", at(3), "r", 10)]], "month string, at timestamp, run_id string, amount long")
-    got = sorted((r.month, r.at, r.ok, r.month_sum) for r in drain(streams.stream_ledger(s, 100, 100)))
-    assert [x[2:] for x in got] == [(True, 60), (False, 60), (True, 100), (True, 10)]
+@pytest.fixture()
+def stateful(spark):
+    """A session with the state store that processors need, one partition."""
+    own = streams.stateful_session(spark)
+    own.conf.set("spark.sql.shuffle.partitions", "1")
+    return own
 
 
-def test_changes(spark):
-    s = files(spark, [[("u", "l", "h1", at(1))], [("u", "l", "h1", at(2)), ("v", "l", "h", at(2))], [("u", "l", "h2", at(3))]], "url string, role string, text_hash string, at timestamp")
+REQUESTS = "month string, at timestamp, run_id string, amount long"
+
+
+def test_ledger_refuses_and_keeps_its_sum(stateful):
+    """The second file comes late, yet its request goes by its time; the last row only moves the watermark."""
+    s = files(stateful, [[("2026-01", at(2), "r", 60), ("2026-01", at(3), "q", 40)], [("2026-01", at(1), "r", 60), ("2026-02", at(3), "r", 10)], [("2026-09", at(9), "r", 1)]], REQUESTS)
+    got = sorted((r.month, r.at, r.ok, r.month_sum) for r in drain(streams.stream_ledger(s, 100, 100, late="3 days")))
+    assert got == [("2026-01", at(1), True, 60), ("2026-01", at(2), False, 60), ("2026-01", at(3), True, 100), ("2026-02", at(3), True, 10)]
+
+
+def test_ledger_forgets_a_month(stateful):
+    """40 days after a month's last request its sums are gone: a request of that month starts anew."""
+    later = dt.datetime(2026, 3, 20)
+    s = files(stateful, [[("m", at(1), "r", 100)], [("x", later, "r", 1)], [("m", later, "r", 100)], [("x", later + dt.timedelta(days=2), "r", 1)]], REQUESTS)
+    assert [(r.at, r.ok) for r in sorted(drain(streams.stream_ledger(s, 100, 100))) if r.month == "m"] == [(at(1), True), (later, True)]
+
+
+def test_ledger_goes_on_from_its_checkpoint(stateful, tmp_path):
+    """Stopped after a file and started again, a stream gives what one run over all files gives."""
+    import os
+    import shutil
+    import time
+
+    batches = [[("m", at(d, h), f"r{(d * h) % 3}", 10 * (d + h) % 70) for h in (1, 5, 9)] for d in range(1, 7)] + [[("z", at(20), "r", 1)]]
+    whole = sorted(drain(streams.stream_ledger(files(stateful, batches, REQUESTS), 150, 80)))
+    source, given, out, state = (tmp_path / n for n in ("source", "given", "out", "state"))
+    for folder in (source, given):
+        folder.mkdir()
+    for k, rows in enumerate(batches):
+        pq.write_table(stateful.createDataFrame(rows, REQUESTS).toArrow(), given / f"{k}.parquet", coerce_timestamps="us")
+    for first, last in ((0, 4), (4, 7)):
+        for k in range(first, last):
+            shutil.copy(given / f"{k}.parquet", source / f"{k}.parquet")
+            os.utime(source / f"{k}.parquet", (time.time() - 100 + k, time.time() - 100 + k))
+        rows = streams.stream_ledger(streams.read_stream(stateful, str(source), REQUESTS), 150, 80)
+        q = rows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(state)).start(str(out))
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert sorted(stateful.read.schema(rows.schema).parquet(str(out)).collect()) == whole
+    assert {r.ok for r in whole} == {True, False}
+
+
+def test_changes(stateful):
+    s = files(stateful, [[("u", "l", "h1", at(1))], [("u", "l", "h1", at(2)), ("v", "l", "h", at(2))], [("u", "l", "h2", at(3))], [("w", "l", "h", at(9))]], "url string, role string, text_hash string, at timestamp")
     got = sorted((r.url, r.at, r.state) for r in drain(streams.stream_changes(s)))
     assert [x[2] for x in got] == ["new", "unchanged", "changed", "new"]
 
 
+def test_changes_after_days(stateful):
+    """An equal page is read again when its reading is older than ``days``; a null hash is a hash of its own."""
+    s = files(stateful, [[("u", "l", "h", at(1)), ("u", "l", "h", at(3)), ("u", "l", "h", at(4)), ("n", "l", None, at(1)), ("n", "l", "h", at(1)), ("n", "l", None, None)], [("w", "l", "h", at(9))]], "url string, role string, text_hash string, at timestamp")
+    assert [r.state for r in sorted(drain(streams.stream_changes(s, days=1))) if r.url == "u"] == ["new", "expired", "unchanged"]
+
+
 def test_stalls_close_spells(spark):
     s = files(spark, [[("j", at(1, 0, 0)), ("j", at(1, 0, 10))], [("j", at(1, 2, 0))], [("j", at(2))]], "job string, at timestamp")
     got = sorted((r.started, r.n) for r in drain(streams.stream_stalls(s)))
     assert [n for _, n in got][:2] == [2, 1]
 
 
-def test_answered_sources(spark):
-    s = files(spark, [[("s", at(1), 1), ("s", at(1), 1)], [("s", at(2), -1)], [("s", at(3), -1)]], "source_id string, at timestamp, delta int")
-    assert [(r.source_id, r.at) for r in drain(streams.stream_save_when_answered(s))] == [("s", at(3))]
+def test_answered_sources(stateful):
+    s = files(stateful, [[("s", at(1), 1), ("s", at(1), 1)], [("s", at(2), -1)], [("s", at(3), -1), ("t", at(3), -1), ("t", at(3), 1)], [("x", at(9), 1)]], "source_id string, at timestamp, delta int")
+    assert sorted((r.source_id, r.at) for r in drain(streams.stream_save_when_answered(s))) == [("s", at(3)), ("t", at(3))]
 
 
 def test_late_answers(spark):
