@@ -62,10 +62,11 @@ def upcoming_pairs(pairs: DataFrame, upcoming: DataFrame) -> DataFrame:
     return left.unionByName(pairs.join(ids, F.col("b_id") == F.col("_id"), "left_semi")).distinct()
 
 
-def unsure_recently(note: Column, as_of: dt.date, days: int = 14) -> Column:
+def unsure_recently(note: Column, as_of: dt.date | Column, days: int = 14) -> Column:
     """Whether a reviewer's note says unsure with a date within the last ``days``."""
     when = F.try_to_date(F.regexp_extract(F.coalesce(note, F.lit("")), r"^unsure (\d{4}-\d{2}-\d{2})", 1))
-    return F.coalesce(when > F.lit(as_of - dt.timedelta(days=days)), F.lit(False))
+    today = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return F.coalesce(when > F.date_sub(today, days), F.lit(False))
 
 
 def evidence(performances: DataFrame, listings: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import cut_lineage
+
 #: Word and date patterns of pages (fixed values).
 DANCE = (
     r"\b(ballet|ballett|balett|balet|baletu|balé|dance|dancers?|danse|danseurs?|tanz|tanztheater|dans|dansen|danza|dança|taniec|tance|tanec|"
@@ -22,6 +24,8 @@ MONTHS = (
 DATES = rf"(\b\d{{1,2}}[./-]\d{{1,2}}(?:[./-]\d{{2,4}})?\b|\b\d{{1,2}}\.?\s+{MONTHS}|{MONTHS}\w*\.?\s+\d{{1,2}}\b|\b20\d\d-\d\d-\d\d\b)"
 FEED_DATE = r"(20\d\d-[01]\d-[0-3]\d|[0-3]?\d[./][01]?\d[./]20\d\d)"
 EVENT_TYPES = ("Event", "TheaterEvent", "DanceEvent", "MusicEvent", "Festival", "ScreeningEvent", "EventSeries")
+#: Keys below which events lie (fixed values).
+EVENT_KEYS = ("@graph", "subEvent", "event", "itemListElement", "item")
 #: Marks of pages that keep robots out (fixed values).
 BLOCK_TITLE = (
     r"(just a moment|attention required|access denied|403 forbidden|forbidden|you have been blocked|request rejected|pardon our interruption|"
@@ -78,24 +82,41 @@ def skip_reason(error: Column, blocked: Column, text: Column, n_events: Column,
     return F.when(error != "", error).when(blocked != "", F.concat(F.lit("blocked ("), blocked, F.lit(")"))).when(thin, F.concat(F.lit("empty page ("), F.length(text).cast("string"), F.lit(" characters)"))).otherwise("")
 
 
-def extract_events(pages: DataFrame, html: str = "html", depth: int = 4) -> DataFrame:
-    """Event objects in a page's ld+json blocks: ``(page columns without html, event json)``.
+def extract_events(pages: DataFrame, html: str = "html", levels: int = 6) -> DataFrame:
+    """Event objects in a page's ld+json blocks: ``(page columns without html, block, path, event json)``.
 
-    Objects are searched through lists, @graph, subEvent, event, itemListElement and item, ``depth`` levels deep.
+    Objects are searched through lists, @graph, subEvent, event, itemListElement and item, however deep they lie; ``block``
+    and ``path`` tell where. The search goes down level by level over all pages at once. Every ``levels`` levels what is
+    found and what is left are written to the shared folder, and it ends when nothing is left. Blocks that are no JSON and
+    null pages give nothing.
     """
     keep = [c for c in pages.columns if c != html]
-    blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
-    level = pages.select(*keep, F.explode(blocks).alias("_b")).select(*keep, F.try_parse_json("_b").alias("_v"))
-    found = None
-    for _ in range(depth):
-        items = lambda df: df.select(*keep, F.explode(F.when(F.schema_of_variant("_v").startswith("ARRAY"), F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.array("_v"))).alias("_v"))
-        flat = items(items(level)).where("_v is not null")
-        types = F.coalesce(F.try_variant_get("_v", "$['@type']", "array<string>"), F.array(F.try_variant_get("_v", "$['@type']", "string")))
-        here = flat.where(F.arrays_overlap(F.array_compact(types), F.array(*[F.lit(t) for t in EVENT_TYPES]))).select(*keep, F.to_json("_v").alias("event"))
-        found = here if found is None else found.unionByName(here)
-        inner = F.array_compact(F.array(*[F.try_variant_get("_v", f"$['{k}']", "variant") for k in ("@graph", "subEvent", "event", "itemListElement", "item")]))
-        level = flat.select(*keep, F.explode(inner).alias("_v"))
-    return found
+    found_blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
+    place = [*keep, "block", "path"]
+    rest = pages.select(*keep, F.posexplode(found_blocks).alias("block", "_b")).select(*keep, "block", F.lit("$").alias("path"), F.try_parse_json("_b").alias("_v"), F.lit(False).alias("_seen")).where("_v is not null")
+    done = None
+    while True:
+        for _ in range(levels):
+            rest = rest.select(*place, F.explode(_with_children(F.col("_v"), F.col("path"), F.col("_seen"))).alias("_n")).select(*keep, "block", "_n.path", "_n._v", "_n._seen")
+        rest = cut_lineage(rest, "blocks")
+        here = rest.where("_seen").select(*place, F.to_json("_v").alias("event"))
+        done = here if done is None else done.unionByName(here)
+        rest = rest.where("not _seen")
+        if rest.isEmpty():
+            return done
+
+
+def _with_children(v: Column, path: Column, seen: Column) -> Column:
+    """A value's next level as ``array<struct<path, _v, _seen>>``; an event stays, marked as seen, beside its children."""
+    node = lambda p, x, done: F.struct(p.alias("path"), x.alias("_v"), F.lit(done).alias("_seen"))
+    items = F.try_variant_get(v, "$", "array<variant>")
+    types = F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array(F.try_variant_get(v, "$['@type']", "string")))
+    event = F.arrays_overlap(F.array_compact(types), F.array(*[F.lit(t) for t in EVENT_TYPES]))
+    inner = F.array(*[node(F.concat(path, F.lit(f".{k}")), F.try_variant_get(v, f"$['{k}']", "variant"), False) for k in EVENT_KEYS])
+    listed = F.transform(items, lambda x, i: node(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), x, False))
+    own = F.when(event, F.array(node(path, v, True))).otherwise(F.array().cast("array<struct<path string, _v variant, _seen boolean>>"))
+    below = F.filter(F.coalesce(listed, inner), lambda n: n["_v"].isNotNull())
+    return F.when(seen, F.array(node(path, v, True))).otherwise(F.concat(own, below))
 
 
 def read_ics(files: DataFrame, text: str = "value") -> DataFrame:
