@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import saved_groups
 from ..operators.graph import gone_at_end, own_path
 from ..streaming import streams
+from .domain import SQL
+from .queries_core import _evening_rows
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,5 +111,35 @@ Q105 = """with e as (select user_id % 50 as job, ts from events), f as (select *
 g as (select *, sum(fresh::int) over (partition by job order by ts rows unbounded preceding) as spell from f), s as (select job, min(ts) as a, max(ts) + interval 120 minutes as b, count(*) as n from g group by job, spell)
 select job, floor(epoch(a))::bigint as started, floor(epoch(b))::bigint as ended, n from s where b <= (select max(ts) from events) - interval 10 minutes"""
 
+def q117_kept_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups kept through two batches of changes: some listings move to their source's evening, then some are taken out.
+
+    The first batch is brought in by a call, the second by a stream of its changes."""
+    rows = _evening_rows(spark, sf_dir).drop("is_header")
+    part, source = F.split("id", "-")[2].cast("long"), F.split("id", "-")[3].cast("long")
+    moves, gone = part % 17 == 0, source % 13 == 0
+    moved = rows.withColumn("ek", F.when(moves, F.concat(F.lit("s"), source.cast("string"))).otherwise(F.col("ek")))
+    path, changes, state = own_path(spark, "evening-groups"), own_path(spark, "evening-changes"), own_path(spark, "evening-state")
+    for p in (path, changes, state):
+        gone_at_end(spark, p)
+    saved_groups.save_groups(rows, path)
+    pairs = rows.where(moves).select(F.explode(F.array(F.col("ek"), F.concat(F.lit("s"), source.cast("string")))).alias("ek"))
+    saved_groups.refresh_saved(path, moved, pairs)
+    moved.where(gone).select(F.col("ek").alias("old_key"), F.lit(None).cast("string").alias("new_key")).write.parquet(changes)
+    stream = streams.read_stream(spark, changes, "old_key string, new_key string", files_per_trigger=64)
+    query = streams.stream_saved_groups(stream, path, lambda: moved.where(~gone)).option("checkpointLocation", state).trigger(availableNow=True).start()
+    while query.isActive:
+        query.awaitTermination(2)
+    if query.exception():
+        raise query.exception()
+    several = F.col("n_rows") > 1
+    return saved_groups.saved_groups(spark, path).select("ek", "n_rows", F.when(several, F.array_join(F.array_sort("performance_ids"), ",")).alias("ids"))
+
+
+Q117 = f"""with {SQL}, v as (select id, performance_id::varchar as k0, case when work_id % 17 = 0 then 's' || source_id else performance_id::varchar end as k1, source_id % 13 = 0 as gone from listings),
+g as (select k0 as ek from v group by 1 having count(*) > 1 union select k1 from v group by 1 having count(*) > 1),
+n as (select k1 as ek, count(*) as n, string_agg(id, ',' order by id) as ids from v where not gone group by 1)
+select ek, case when n > 1 then n else 1 end as n_rows, case when n > 1 then ids end as ids from g left join n using (ek)"""
+
 QUERIES = {n: f for n, f in sorted(globals().items()) if n[0] == "q" and n[1:4].isdigit()}
 ORACLE = {n: globals()["Q" + n[1:4]] for n in QUERIES}

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from ..operators.groups import group_evenings
+from ..operators.saved_groups import refresh_saved
 
 
 #: State with timers and maps needs this store (fixed value of the engine's setting).
@@ -53,6 +54,20 @@ def stream_refresh_groups(changes: DataFrame, load_rows: Callable[[DataFrame], D
     return changes.writeStream.foreachBatch(batch)
 
 
+def stream_saved_groups(changes: DataFrame, path: str, load_rows: Callable[[], DataFrame], buckets: int = 64):
+    """A ``foreachBatch`` writer that keeps the groups saved at ``path`` up to date.
+
+    changes: old_key, new_key. ``load_rows`` gives the rows as they are when a micro-batch runs; a micro-batch that is
+    replayed after a failure gives the same table.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        keys = df.select(F.explode(F.array_compact(F.array("old_key", "new_key"))).alias("ek"))
+        refresh_saved(path, load_rows(), keys, buckets)
+
+    return changes.writeStream.foreachBatch(batch)
+
+
 class InOrder(StatefulProcessor):
     """Rows of a key by event time: they wait in slots of ``slot`` seconds until the watermark has passed a slot's end.
 
