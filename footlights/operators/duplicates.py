@@ -172,6 +172,12 @@ def housekeeping(held: DataFrame, pairs: DataFrame, conflicts: DataFrame, perfor
     return one.unionByName(two).unionByName(three)
 
 
+def housekeeping_counts(closed: DataFrame) -> DataFrame:
+    """How many rows each rule of ``housekeeping`` closed: one row ``(held_expired, pairs_closed, conflicts_past)``, zeros too."""
+    names = {"held": "held_expired", "pair": "pairs_closed", "conflict": "conflicts_past"}
+    return closed.agg(*[F.count_if(F.col("kind") == kind).alias(name) for kind, name in names.items()])
+
+
 def richer(a: Column, b: Column) -> Column:
     """The richer of two struct columns ``(sites, timed, filled, best_rank, id)``; a tie keeps the first."""
     order = lambda s: F.struct(s["sites"], s["timed"], s["filled"], (-s["best_rank"]).alias("r"))

@@ -250,9 +250,10 @@ def compare_readings(pairs: DataFrame) -> DataFrame:
 def choose_reference(rows: DataFrame, fresh_left: int, models: tuple[str, ...]) -> DataFrame:
     """Which reading serves as the reference: cache (same hash, a reference model), second look, fresh while the allowance lasts, none.
 
-    rows: seq, text_hash, cached_hash, cached_model, has_second. Adds ``reference``; the allowance goes by ``seq`` over the
-    rows that need a fresh one, a bounded test run."""
+    rows: seq (each once, not null), text_hash, cached_hash, cached_model, has_second. Adds ``reference``. The allowance goes
+    to the first by ``seq`` among the rows that need it: each task gives its first few, and only those are joined back."""
     cached = F.coalesce((F.col("cached_hash") == F.col("text_hash")) & F.col("cached_model").isin(*models), F.lit(False))
     kind = F.when(cached, "cache").when(F.col("has_second"), "second look")
-    rank = F.row_number().over(Window.partitionBy(kind.isNull()).orderBy("seq"))
-    return rows.withColumn("reference", F.coalesce(kind, F.when(rank <= fresh_left, "fresh").otherwise("none")))
+    lucky = rows.where(kind.isNull()).select(F.col("seq").alias("_seq")).orderBy("_seq").limit(fresh_left)
+    out = rows.join(lucky, F.col("seq") == F.col("_seq"), "left")
+    return out.select(*rows.columns, F.coalesce(kind, F.when(F.col("_seq").isNotNull(), "fresh").otherwise("none")).alias("reference"))
