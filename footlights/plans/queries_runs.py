@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import duplicates, readings, requests
+from ..operators import credits, duplicates, readings, requests
 from . import domain as d
 from .domain import SQL, table
 
@@ -73,5 +73,37 @@ select (select count(*) from p where id % 5 = 0 and day < '1996-06-01') as held_
 (select count(*) from p a left join p b on b.id = a.id + 4 where a.id % 4 = 0 and (b.id is null or greatest(a.day, b.day) < '1996-06-01')) as pairs_closed,
 (select count(*) from p where id % 6 = 0 and day < '1996-06-01') as conflicts_past"""
 
-QUERIES = {f.__name__: f for f in (q118_reference_readings, q119_trimmed_requests, q120_clean_up_counts)}
-ORACLE = {"q118_reference_readings": Q118, "q119_trimmed_requests": Q119, "q120_clean_up_counts": Q120}
+def q121_credit_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of credit lines after an editor's picks: lines without one as they are, the others built anew."""
+    p = table(spark, sf_dir, "part")
+    k, w = F.col("p_partkey"), F.split(F.initcap("p_name"), " ")
+    people = p.groupBy("p_name").agg(F.min("p_partkey").alias("id")).where("id % 5 <> 0").select("id", F.col("p_name").alias("name"), F.lit(None).cast("array<string>").alias("aliases"), F.timestamp_seconds("id").alias("created_at"))
+    firms = d.companies(spark, sf_dir).withColumn("aliases", F.lit(None).cast("array<string>"))
+    firm = F.concat(F.lit(" & Supplier#"), F.lpad((k % 50).cast("string"), 9, "0"))
+    name = F.when(k % 4 == 0, F.initcap("p_name")).when(k % 4 == 1, F.concat(F.initcap("p_name"), firm)).when(k % 4 == 2, F.concat(w[1], firm)).otherwise(F.concat(w[0], F.lit(" & Extra "), w[1]))
+    lines = p.select(k.alias("id"), name.alias("name"))
+    pick = people.agg(F.min("id")).first()[0]
+    strange = p.join(people.select(F.col("name").alias("p_name")), "p_name", "left_anti").where(k % 20 == 1).select(k.alias("line_id"), F.initcap("p_name").alias("part"), F.lit(pick).alias("member_id"))
+    left_out = p.where(k % 20 == 2).select(k.alias("line_id"), w[1].alias("part"), F.lit(None).cast("long").alias("member_id"))
+    extra = p.where(k % 20 == 3).select(k.alias("line_id"), F.concat(F.lit("Extra "), w[1]).alias("part"), F.lit(pick).alias("member_id"))
+    decisions = strange.unionByName(left_out).unionByName(extra)
+    _, anew, _ = credits.resolve_credit_parts(decisions, people, lines, firms)
+    rest, _ = credits.rebuild_credits(lines.join(decisions.select(F.col("line_id").alias("id")), "id", "left_anti"), people, firms)
+    return anew.unionByName(rest).select("line_id", "pos", "part", "status", "member_id", "company_id", F.array_join("candidates", ",").alias("candidates"))
+
+
+Q121 = """with people as (select p_name, min(p_partkey) as id from part group by 1 having min(p_partkey) % 5 <> 0),
+x as (select p_partkey as k, p_name, split_part(p_name, ' ', 1) as a, split_part(p_name, ' ', 2) as b, p_partkey % 20 as m, h.id as who, (select min(id) from people)::varchar as pick from part left join people h using (p_name)),
+cap as (select *, upper(a[1]) || a[2:] as ca, upper(b[1]) || b[2:] as cb, (m = 1 and who is null) or m in (2, 3) as touched, p_name in (select p_name from x where m = 1 and who is null) as taken from x),
+bearers as (select split_part(p_name, ' ', 2) as b, string_agg(id::varchar, ',' order by id::varchar) as ids, count(*) as n from people group by 1),
+full_names as (
+  select k, 0 as pos, ca || ' ' || cb as part, 'self' as status, k::varchar as member_id, null as company_id, null as candidates from cap where k % 4 = 0
+  union all select k, 0, ca || ' ' || cb, case when m = 1 and who is null then 'decided' when who is not null then 'person' else 'new person' end, case when m = 1 and who is null then pick when who is not null then who::varchar else 'new:' || a || '-' || b end, null, null from cap where k % 4 = 1
+  union all select k, 0, cb, case when m = 2 then 'decided' when n = 1 then 'person' else 'unresolved' end, case when m <> 2 and n = 1 then ids end, null, case when m <> 2 and n is distinct from 1 then coalesce(ids, '') end from cap left join bearers using (b) where k % 4 = 2
+  union all select k, 0, ca, case when who is not null or (touched and taken) then 'person' else 'new person' end, case when who is not null then who::varchar when touched and taken then pick else 'new:' || a || '-' || b end, null, null from cap where k % 4 = 3
+  union all select k, 1, 'Extra ' || cb, case when touched then 'decided' else 'new person' end, case when touched then pick else 'new:extra-' || b end, null, null from cap where k % 4 = 3
+  union all select k, 1, 'Supplier#' || lpad((k % 50)::varchar, 9, '0'), case when s_suppkey is not null then 'company' else 'unresolved' end, null, s_suppkey::varchar, case when s_suppkey is null then '' end from cap left join supplier on s_suppkey = k % 50 where k % 4 in (1, 2))
+select k as line_id, pos, part, status, member_id, company_id, candidates from full_names"""
+
+QUERIES = {f.__name__: f for f in (q118_reference_readings, q119_trimmed_requests, q120_clean_up_counts, q121_credit_decisions)}
+ORACLE = {"q118_reference_readings": Q118, "q119_trimmed_requests": Q119, "q120_clean_up_counts": Q120, "q121_credit_decisions": Q121}
