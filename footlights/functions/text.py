@@ -179,8 +179,7 @@ def html_text(html: Column) -> Column:
 
 def estimate_tokens(text: Column) -> Column:
     """Generous token estimate: 3 characters a token up to U+024F, 1.6 beyond; empty or null: 0."""
-    other = F.length(F.regexp_replace(text, "[\\x{0000}-\\x{024F}]", ""))
-    n = F.floor((F.length(text) - other) / F.lit(3.0) + other / F.lit(1.6)) + 1
+    n = once(F.length(F.regexp_replace(text, "[\\x{0000}-\\x{024F}]+", "")), lambda other: F.floor((F.length(text) - other) / F.lit(3.0) + other / F.lit(1.6)) + 1)
     return F.when(F.length(F.coalesce(text, F.lit(""))) == 0, F.lit(0)).otherwise(n).cast("long")
 
 

@@ -19,28 +19,34 @@ LIMITS = (
 MOST_TOKENS = 85_000
 
 
-def request_text(limit: Column) -> Column:
+#: The parts of a page that a request is made of.
+PARTS = ("head", "events", "feeds", "text", "venues", "same", "other", "sitemap", "fixed_tokens")
+
+
+def request_text(page: Column, limit: Column) -> Column:
     """A page's request under one set of limits; parts that are null or empty are left out."""
 
     def part(label: str, body: Column) -> Column:
         return F.when(F.length(body) > 0, F.concat(F.lit(f"{label}:\n"), body, F.lit("\n\n"))).otherwise("")
 
-    lines = lambda c: F.array_join(F.slice(c, F.lit(1), limit[c]), "\n")
-    cut = lambda c: F.substr(F.col(c), F.lit(1), limit[c])
-    parts = [part("Venues", lines("venues")), part("Event data", cut("events")), part("Background data", F.when(limit["feeds"], F.col("feeds"))), part("Sitemap", lines("sitemap"))]
+    lines = lambda c: F.array_join(F.slice(page[c], F.lit(1), limit[c]), "\n")
+    cut = lambda c: F.substr(page[c], F.lit(1), limit[c])
+    parts = [part("Venues", lines("venues")), part("Event data", cut("events")), part("Background data", F.when(limit["feeds"], page["feeds"])), part("Sitemap", lines("sitemap"))]
     parts += [part("Links", lines("same")), part("Links elsewhere", lines("other")), part("Text", cut("text"))]
-    return F.concat(F.coalesce("head", F.lit("")), F.lit("\n\n"), *parts)
+    return F.concat(F.coalesce(page["head"], F.lit("")), F.lit("\n\n"), *parts)
 
 
 def trim_requests(pages: DataFrame, most: int = MOST_TOKENS) -> DataFrame:
     """Add ``request, tokens, step`` (from 1): the first set of limits under which the estimate fits, else the last.
 
     pages: head, events, feeds, text (strings), venues, same, other, sitemap (arrays of strings), fixed_tokens (null: 0).
-    A fold over the sets within a row; a text is only built anew where the one before was too long.
+    A fold over the sets within a row, whose parts are computed once; a text is only built anew where the one before was too
+    long.
     """
     sets = F.array(*[F.struct(F.lit(k + 1).alias("step"), *[F.lit(v).alias(n) for n, v in limit.items()]) for k, limit in enumerate(LIMITS)])
-    fixed = F.coalesce(F.col("fixed_tokens").cast("long"), F.lit(0).cast("long"))
+    fixed = lambda page: F.coalesce(page["fixed_tokens"].cast("long"), F.lit(0).cast("long"))
     state = lambda request, tokens, step: F.struct(request.alias("request"), tokens.cast("long").alias("tokens"), step.cast("int").alias("step"))
     none = state(F.lit(None).cast("string"), F.lit(None), F.lit(0))
-    tried = F.aggregate(sets, none, lambda acc, limit: F.when(acc["tokens"] <= most, acc).otherwise(once(request_text(limit), lambda t: state(t, fixed + estimate_tokens(t), limit["step"]))))
+    fits = lambda page, acc, limit: F.when(acc["tokens"] <= most, acc).otherwise(once(request_text(page, limit), lambda t: state(t, fixed(page) + estimate_tokens(t), limit["step"])))
+    tried = once(F.struct(*PARTS), lambda page: F.aggregate(sets, none, lambda acc, limit: fits(page, acc, limit)))
     return pages.withColumn("_t", tried).select(*pages.columns, "_t.request", "_t.tokens", "_t.step")
