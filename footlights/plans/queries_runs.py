@@ -25,16 +25,16 @@ select seq, coalesce(kind, case when row_number() over (partition by kind is nul
 
 
 def q119_trimmed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document as a page with links, venues and event data, trimmed to 20,000 tokens."""
+    """Each document as a page with links, venues and event data, trimmed to 4,000 tokens."""
     k = F.col("doc_id")
     some = lambda label, n: F.when(n > 0, F.transform(F.sequence(F.lit(1), n.cast("int")), lambda i: F.concat(F.lit(label), i.cast("string")))).otherwise(F.array().cast("array<string>"))
     text = F.coalesce("text", F.lit(""))
     pages = table(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(F.lit("Page "), k.cast("string")).alias("head"), F.repeat(text, (k % 5 * 8).cast("int")).alias("events"), F.when(k % 3 != 0, F.repeat(text, (k % 4 * 5).cast("int"))).alias("feeds"),
-        F.concat(F.repeat(text, (k % 30).cast("int")), F.repeat(F.lit("танец "), (k % 11 * 2000).cast("int"))).alias("text"), some("Opera house ", k % 400).alias("venues"), some("https://example.com/shows/", k % 350).alias("same"),
-        some("https://example.org/tour/", k % 100).alias("other"), some("https://example.com/season/show-", k % 250).alias("sitemap"), (k % 3 * 2000).alias("fixed_tokens"),
+        "doc_id", F.concat(F.lit("Page "), k.cast("string")).alias("head"), F.when(k % 5 != 0, text).alias("events"), F.when(k % 3 != 0, F.concat(F.lit("https://example.com/data "), text)).alias("feeds"),
+        F.concat(text, F.repeat(F.lit("танец "), (k % 11 * 20).cast("int"))).alias("text"), some("Opera house ", k % 400).alias("venues"), some("https://example.com/shows/", k % 350).alias("same"),
+        some("https://example.org/tour/", k % 100).alias("other"), some("https://example.com/season/show-", k % 250).alias("sitemap"), (k % 3 * 500).alias("fixed_tokens"),
     )
-    out = requests.trim_requests(pages, most=20_000)
+    out = requests.trim_requests(pages, most=4_000)
     return out.select("doc_id", F.md5("request").alias("request_md5"), "tokens", "step")
 
 
@@ -45,19 +45,19 @@ _part = lambda label, body: f"case when length({body}) > 0 then '{label}:' || ch
 def _request_sql(k: int) -> str:
     x = requests.LIMITS[k]
     parts = [
-        _part("Venues", _lines("Opera house ", "doc_id % 400", x["venues"])), _part("Event data", f"substr(events, 1, {x['events']})"), _part("Background data", "coalesce(feeds, '')") if x["feeds"] else "''",
+        _part("Venues", _lines("Opera house ", "doc_id % 400", x["venues"])), _part("Event data", f"substr(coalesce(events, ''), 1, {x['events']})"), _part("Background data", "coalesce(feeds, '')") if x["feeds"] else "''",
         _part("Sitemap", _lines("https://example.com/season/show-", "doc_id % 250", x["sitemap"])), _part("Links", _lines("https://example.com/shows/", "doc_id % 350", x["same"])),
         _part("Links elsewhere", _lines("https://example.org/tour/", "doc_id % 100", x["other"])), _part("Text", f"substr(t, 1, {x['text']})"),
     ]
     return f"select *, {k + 1} as step, 'Page ' || doc_id || chr(10) || chr(10) || {' || '.join(parts)} as request from p"
 
 
-Q119 = f"""with p as (select doc_id, repeat(coalesce(text, ''), doc_id % 5 * 8) as events, case when doc_id % 3 <> 0 then repeat(coalesce(text, ''), doc_id % 4 * 5) end as feeds,
-repeat(coalesce(text, ''), doc_id % 30) || repeat('танец ', doc_id % 11 * 2000) as t from documents),
+Q119 = f"""with p as (select doc_id, case when doc_id % 5 <> 0 then coalesce(text, '') end as events, case when doc_id % 3 <> 0 then 'https://example.com/data ' || coalesce(text, '') end as feeds,
+coalesce(text, '') || repeat('танец ', doc_id % 11 * 20) as t from documents),
 r as ({' union all '.join(_request_sql(k) for k in range(len(requests.LIMITS)))}),
 o as (select *, length(regexp_replace(request, '[\\x{{0000}}-\\x{{024F}}]', '', 'g')) as other from r),
-n as (select *, doc_id % 3 * 2000 + floor((length(request) - other) / 3.0::double + other / 1.6::double)::bigint + 1 as tokens from o)
-select doc_id, md5(request) as request_md5, tokens, step from n qualify row_number() over (partition by doc_id order by tokens > 20000, case when tokens <= 20000 then step else -step end) = 1"""
+n as (select *, doc_id % 3 * 500 + floor((length(request) - other) / 3.0::double + other / 1.6::double)::bigint + 1 as tokens from o)
+select doc_id, md5(request) as request_md5, tokens, step from n qualify row_number() over (partition by doc_id order by tokens > 4000, case when tokens <= 4000 then step else -step end) = 1"""
 
 
 def q120_clean_up_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
