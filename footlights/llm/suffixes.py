@@ -19,9 +19,9 @@ HELD_TUPLES = 1 << 20
 #: Tuples of a page.
 _PAGE = 2048
 #: Sources that induce together; their table of minima stays in the cache.
-_CHUNK = 1 << 15
+_CHUNK = 1 << 16
 #: Ranges of symbols; a byte is a range of its own.
-_RANGES = 256
+_RANGES = 96
 
 #: Frontiers of a range that have become so small are followed one suffix at a time.
 _FEW = 24
@@ -61,26 +61,28 @@ class TupleQueues:
             if not n:
                 continue
             tuples = np.concatenate(parts)
-            for k in range(n):
-                own = tuples[k * _PAGE : (k + 1) * _PAGE]
+            own = tuples[: n * _PAGE].reshape(n, _PAGE)
+            raw = np.concatenate([_places(own).astype(np.int32).view(np.uint8), _commons(own)], axis=1)
+            for row in raw:
                 if self.free:
                     slot = self.free.pop()
                 else:
                     slot, self.n_pages = self.n_pages, self.n_pages + 1
                 self.file.seek(slot * 5 * _PAGE)
-                self.file.write(_places(own).tobytes() + _commons(own).tobytes())
+                self.file.write(row.data)
                 pages.append(slot)
             parts[:] = [tuples[n * _PAGE :].copy()]
             self.held -= n * _PAGE
 
     def take(self, queue: int, keep: bool = False) -> np.ndarray:
         """All tuples of a queue in the order they came; unless ``keep``, the queue is empty after that."""
-        out = []
-        for slot in self.pages[queue]:
-            self.file.seek(slot * 5 * _PAGE)
-            raw = self.file.read(5 * _PAGE)
-            out.append(_tuples(np.frombuffer(raw, np.int32, _PAGE), np.frombuffer(raw, np.uint8, _PAGE, 4 * _PAGE)))
-        out += self.parts[queue]
+        out = list(self.parts[queue])
+        if slots := self.pages[queue]:
+            raw = np.empty((len(slots), 5 * _PAGE), np.uint8)
+            for row, slot in zip(raw, slots, strict=True):
+                self.file.seek(slot * 5 * _PAGE)
+                self.file.readinto(row.data)
+            out.insert(0, _tuples(np.ascontiguousarray(raw[:, : 4 * _PAGE]).view(np.int32).ravel(), raw[:, 4 * _PAGE :].ravel()))
         if not keep:
             self.held -= sum(map(len, self.parts[queue]))
             self.free += self.pages[queue]
@@ -94,23 +96,53 @@ def _tuples(place: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _places(tuples: np.ndarray) -> np.ndarray:
-    return (tuples >> 8).astype(np.int32)
+    return tuples >> 8
 
 
 def _commons(tuples: np.ndarray) -> np.ndarray:
-    return (tuples & 255).astype(np.uint8)
+    return tuples.astype(np.uint8)
+
+
+class _Kept(TupleQueues):
+    """Queues of the chosen tuples of a pass, whose common prefixes take in those of the tuples left out between them."""
+
+    def __init__(self, ranges: int) -> None:
+        super().__init__(ranges)
+        self.carried = 255
+
+    def choose(self, queue: int, place: np.ndarray, common: np.ndarray, chosen: np.ndarray) -> None:
+        hit = np.flatnonzero(chosen)
+        if not len(hit):
+            self.carried = min(self.carried, int(common.min()))
+            return
+        end = int(hit[-1]) + 1
+        first = np.zeros(len(hit), np.int64)
+        np.add(hit[:-1], 1, out=first[1:])
+        least = np.minimum.reduceat(common[:end], first)
+        least[0] = min(int(least[0]), self.carried)
+        self.carried = int(common[end:].min(initial=255))
+        self.push(queue, _tuples(place[hit], least))
+
+
+def _new(values: np.ndarray) -> np.ndarray:
+    """Whether a value differs from the one before; the first does."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
 
 
 def _stable(keys: np.ndarray) -> np.ndarray:
     """Order of non-negative 32-bit keys, equal ones by place."""
     if keys.dtype.itemsize == 1:
         return np.argsort(keys, kind="stable")
-    width = max(1, int(len(keys)).bit_length())
-    return np.sort((keys.astype(np.int64) << width) | np.arange(len(keys))) & ((1 << width) - 1)
+    width = max(0, len(keys) - 1).bit_length()
+    # half as wide numbers are sorted in half the time
+    kind = np.uint32 if width + int(keys.max(initial=0)).bit_length() <= 32 else np.int64
+    return (np.sort((keys.astype(kind) << kind(width)) | np.arange(len(keys), dtype=kind)) & kind((1 << width) - 1)).astype(np.int64)
 
 
 _LOG = np.zeros(_CHUNK + 1, np.int64)
-for _k in range(1, 16):
+for _k in range(1, 17):
     _LOG[1 << _k :] = _k
 
 
@@ -196,7 +228,10 @@ class _Pass:
         self.range_of = (level.n_ranges - 1 - level.ranges[::-1]).astype(np.int32) if down else level.ranges
         self.starts = np.searchsorted(self.range_of, np.arange(level.n_ranges + 1))
         self.queues = TupleQueues(level.n_ranges)
-        self.since = np.full(k, 255, np.uint8)  # least common prefix among the sources since a symbol's last tuple
+        # least common prefix among the sources since a symbol's last tuple: inside the call of ``send`` that made that
+        # tuple (``sent``), and over the calls from a given one on
+        self.since, self.sent, self.calls = np.full(k, 255, np.uint8), np.full(k, -1, np.int32), 0
+        self.recent = np.full(64, 255, np.uint8)
         self.last_symbol = -1  # of the sources
         # the symbol that a suffix induces, or -1 (255 for bytes)
         text, small = level.text[:-1], level.small[:-1]
@@ -208,47 +243,49 @@ class _Pass:
         found = self.level.text[places].astype(np.int32)
         return self.level.size - 1 - found if self.down else found
 
-    def induced(self, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of the sources that induce a suffix of the wanted type, its places and symbols (mirrored if down)."""
-        symbols = self.before[sources]
-        wanted = np.flatnonzero(symbols != self.none)
-        return wanted, sources[wanted] - 1, symbols[wanted]
-
-    def symbol_common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common prefixes of suffixes that begin with the symbols ``a < b``."""
-        return np.zeros(len(a), np.uint8) if self.between is None else _segment_minima(self.between, a + 1, b)
-
-    def send(self, places: np.ndarray, common: np.ndarray, until: int) -> None:
-        """Let sources, in order, induce tuples of the symbols from ``until`` on."""
+    def symbol_common(self, symbols: np.ndarray) -> np.ndarray:
+        """Common prefixes of suffixes that begin with ascending different symbols: of each with the one before."""
+        if self.between is None or len(symbols) < 2:
+            return np.zeros(max(0, len(symbols) - 1), np.uint8)
+        return np.minimum.reduceat(self.between[: symbols[-1] + 1], symbols[:-1] + 1)
+
+    def send(self, places: np.ndarray, common: np.ndarray, before: np.ndarray, number: int) -> None:
+        """Let sources, in order, induce tuples (of the symbols ``before``) of the ranges after ``number``."""
+        until = int(self.starts[number + 1])
+        later = before >= until
+        if self.none > 0:
+            later &= before != self.none
         for at in range(0, len(places), _CHUNK):
             own = common[at : at + _CHUNK]
-            numbers, before, symbols = self.induced(places[at : at + _CHUNK])
-            later = symbols >= until
-            if not later.all():
-                numbers, before, symbols = numbers[later], before[later], symbols[later]
-            tail = np.minimum.accumulate(own[::-1])[::-1]
+            numbers = np.flatnonzero(later[at : at + _CHUNK])
+            tail = np.full(len(own) + 1, 255, np.uint8)
+            np.minimum.accumulate(own[::-1], out=tail[-2::-1])
+            if self.calls == len(self.recent):
+                self.recent = np.concatenate([self.recent, np.full(self.calls, 255, np.uint8)])
             if len(numbers):
+                symbols = before[at : at + _CHUNK][numbers]
                 order = _stable(symbols)
-                numbers, before, symbols = numbers[order], before[order], symbols[order]
-                new = np.r_[True, symbols[1:] != symbols[:-1]]
-                first = np.r_[0, numbers[:-1] + 1]
+                numbers, symbols = numbers[order], symbols[order]
+                new = np.flatnonzero(_new(symbols))
+                first = np.zeros(len(numbers), np.int64)
+                np.add(numbers[:-1], 1, out=first[1:])
                 first[new] = 0
                 least = Minima(own).between(first, numbers)
                 heads = symbols[new]
-                least[new] = np.minimum(least[new], self.since[heads])
-                np.minimum(self.since, tail[0], out=self.since)
-                ends = numbers[np.r_[np.flatnonzero(new)[1:] - 1, len(numbers) - 1]] + 1
-                self.since[heads] = np.append(tail, np.uint8(255))[ends]
-                tuples = _tuples(before, least)
-                ranges = self.range_of[symbols]
-                cuts = np.flatnonzero(ranges[1:] != ranges[:-1]) + 1
-                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ranges)]):
-                    self.queues.push(int(ranges[lo]), tuples[lo:hi])
-            else:
-                np.minimum(self.since, tail[0], out=self.since)
-
-    def run(self, out: TupleQueues) -> None:
-        """Induce everything; ``out`` gets the induced tuples of each range in order."""
+                least[new] = np.minimum(least[new], np.minimum(self.since[heads], self.recent[self.sent[heads] + 1]))
+                ends = np.append(new[1:], len(numbers)) - 1
+                self.since[heads] = tail[numbers[ends] + 1]
+                self.sent[heads] = self.calls
+                tuples = _tuples(places[at : at + _CHUNK][numbers] - 1, least)
+                cuts = np.searchsorted(symbols, self.starts[number + 1 :].astype(symbols.dtype))
+                full = np.flatnonzero(cuts[1:] > cuts[:-1])
+                for queue, lo, hi in zip((full + number + 1).tolist(), cuts[full].tolist(), cuts[full + 1].tolist(), strict=True):
+                    self.queues.push(queue, tuples[lo:hi])
+            np.minimum(self.recent[: self.calls + 1], tail[0], out=self.recent[: self.calls + 1])
+            self.calls += 1
+
+    def run(self, out: TupleQueues | None, kept: _Kept | None) -> None:
+        """Induce everything; ``out`` gets the induced tuples of each range in order, ``kept`` those that induce no more."""
         level = self.level
         if not self.down:
             end = np.array([len(level.text) - 1])
@@ -258,36 +295,31 @@ class _Pass:
             if not len(held) and not len(seeds):
                 continue
             lo, hi = int(self.starts[number]), int(self.starts[number + 1])
-            place, symbol, common, induced = self.one_symbol(held, seeds, lo) if hi == lo + 1 else self.many_symbols(held, seeds, hi)
-            # the first of a symbol: by the symbols alone
-            first = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1]])
-            if self.between is None:
-                common[first] = 0
-            else:
-                previous = np.r_[self.last_symbol, symbol[first[1:] - 1]]
-                common[first] = 0 if previous[0] < 0 else common[first]
-                known = previous >= 0
-                common[first[known]] = self.symbol_common(previous[known], symbol[first[known]])
+            place, symbol, common, before, induced = self.one_symbol(held, seeds, lo) if hi == lo + 1 else self.many_symbols(held, seeds, hi)
+            # the first: by the symbols alone
+            common[:1] = 0 if self.last_symbol < 0 else self.symbol_common(np.array([self.last_symbol, symbol[0]]))
             self.last_symbol = int(symbol[-1])
-            self.send(place, common, hi)
-            if induced.all():
-                out.push(number, _tuples(place, common))
-            elif induced.any():
-                out.push(number, _tuples(place[induced], common[induced]))
+            self.send(place, common, before, number)
+            if kept is not None:
+                kept.choose(number, place, common, induced & (before == self.none) & (place > 0))
+            if out is not None and induced.any():
+                tuples = _tuples(place, common)
+                out.push(number, tuples if induced.all() else tuples[induced])
 
     def one_symbol(self, held: np.ndarray, seeds: np.ndarray, symbol: int) -> tuple[np.ndarray, ...]:
         """Order of a range of one symbol: what earlier symbols induced, what this symbol induces layer by layer, seeds."""
         weight, cap = int(self.weight[symbol]), self.level.cap
-        places, commons = [], []
+        places, commons, befores = [], [], []
         place, common, depth = _places(held), self.level.capped(_commons(held).astype(np.int16) + weight), weight
         while len(place):
+            before = self.before[place]
             places.append(place)
             commons.append(common)
-            numbers, before, symbols = self.induced(place)
-            own = symbols == symbol
-            numbers, place = numbers[own], before[own]
-            if not len(place):
+            befores.append(before)
+            numbers = np.flatnonzero(before == symbol)
+            if not len(numbers):
                 break
+            place = place[numbers] - 1
             least = np.full(len(place), min(cap, depth), np.int16)
             depth += weight
             if len(place) > 1:
@@ -296,19 +328,20 @@ class _Pass:
         n = sum(map(len, places))
         places.append(_places(seeds))
         commons.append(_commons(seeds))
+        befores.append(self.before[places[-1]])
         place, common = np.concatenate(places), np.concatenate(commons)
         if n and len(seeds):
             # both begin with runs of the symbol: at least one
             common[n : n + 1] = _extend(self.level.text, place[n - 1 : n], place[n : n + 1], np.zeros(1, np.uint8), cap) if self.exact else np.uint8(min(cap, weight))
         induced = np.ones(len(place), bool)
         induced[n:] = False
-        return place, np.full(len(place), symbol, np.int32), common, induced
+        return place, np.full(len(place), symbol, np.int32), common, np.concatenate(befores), induced
 
     def many_symbols(self, held: np.ndarray, seeds: np.ndarray, until: int) -> tuple[np.ndarray, ...]:
         """Order of a range of several symbols: tuples of equal symbols go by the order of their sources."""
-        place, symbol, parent, kind, own = self.closed(held, seeds, until)
+        place, symbol, parent, before, kind, own = self.closed(held, seeds, until)
         total = len(place)
-        key = symbol.astype(np.int64) * 4 + kind
+        key = (symbol - symbol.min()) * np.int32(4) + kind if self.level.size < 1 << 28 else symbol.astype(np.int64) * 4 + kind
         order = _stable(key)
         rank = np.empty(total, np.int64)
         rank[order] = np.arange(total)
@@ -316,101 +349,103 @@ class _Pass:
         if len(inner):
             # those of one symbol share the rank of their first, until the ranks of their sources tell them apart
             inner = inner[np.argsort(rank[inner])]
-            ties = key[inner]
             at = np.arange(len(inner))
-            heads = np.maximum.accumulate(np.where(np.r_[True, ties[1:] != ties[:-1]], at, 0))
+            heads = np.maximum.accumulate(np.where(_new(key[inner]), at, 0))
             rank[inner] = rank[inner[heads]]
             ancestor = parent
             while True:
                 ties = rank[inner] * total + rank[ancestor[inner]]
                 inner = inner[by := np.argsort(ties)]
                 ties, old = ties[by], rank[inner]
-                first = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
-                new = np.r_[True, ties[1:] != ties[:-1]]
+                new = _new(ties)
+                first = np.maximum.accumulate(np.where(_new(old), at, 0))
                 rank[inner] = old + np.maximum.accumulate(np.where(new, at, 0)) - first
                 if new.all():
                     break
                 ancestor = ancestor[ancestor]
             order[rank] = np.arange(total)
-        common = own[order]
-        kinds, symbols = kind[order], symbol[order]
-        same = np.r_[False, symbols[1:] == symbols[:-1]]
-        both = np.flatnonzero(same & (kinds == 1) & np.r_[False, kinds[:-1] == 1])
-        heads = np.flatnonzero(~same)
-        common[heads[1:]] = self.symbol_common(symbols[heads[1:] - 1], symbols[heads[1:]])
-        mixed = np.flatnonzero(same & np.r_[False, kinds[1:] != kinds[:-1]])
+        common, kinds, symbols = own[order], kind[order], symbol[order]
+        head = _new(symbols)
+        heads = np.flatnonzero(head)
+        common[heads[1:]] = self.symbol_common(symbols[heads])
+        mixed = np.flatnonzero(_new(kinds) & ~head)
         common[mixed] = self.level.capped(self.weight[symbols[mixed]])
-        if len(both):
+        if len(inner):
+            both = np.flatnonzero(~head[1:] & (kinds[1:] == 1) & (kinds[:-1] == 1)) + 1
             # two suffixes that the range itself induced: by the order of their sources, which are further up
             first, last = rank[parent[order[both - 1]]] + 1, rank[parent[order[both]]] + 1
+            length = self.weight[symbols[both]]
+            # those whose range holds none of their kind at once, the others one by one
+            free = np.searchsorted(both, first) == np.searchsorted(both, last)
+            common[both[free]] = self.level.capped(_segment_minima(common, first[free], last[free] - 1).astype(np.int16) + length[free])
             cap, told = self.level.cap, bytearray(common.tobytes())
-            for k, lo, hi, length in zip(both.tolist(), first.tolist(), last.tolist(), self.weight[symbols[both]].tolist(), strict=True):
-                told[k] = min(cap, length + (told[lo] if hi == lo + 1 else min(told[lo:hi])))
-            common = np.frombuffer(bytes(told), np.uint8).copy()
-        return place[order], symbols, common, kinds != 2
+            for k, lo, hi, own in zip(both[~free].tolist(), first[~free].tolist(), last[~free].tolist(), length[~free].tolist(), strict=True):
+                told[k] = min(cap, own + (told[lo] if hi == lo + 1 else min(told[lo:hi])))
+            common = np.frombuffer(told, np.uint8)
+        return place[order], symbols, common, before[order], kinds != 2
 
     def closed(self, held: np.ndarray, seeds: np.ndarray, until: int) -> tuple[np.ndarray, ...]:
-        """All suffixes of a range: places, symbols, sources in the range, kinds (0 induced from before it, 1 from
-        inside, 2 seeds) and common prefixes of neighbours of kinds 0 and 2."""
-        place = _places(held)
+        """All suffixes of a range: places, symbols, sources in the range, symbols that they induce, kinds (0 induced from
+        before it, 1 from inside, 2 seeds) and common prefixes of neighbours of one symbol of kinds 0 and 2."""
+        n_held = len(held)
+        place = _places(np.concatenate([held, seeds]))
         symbol = self.symbols(place)
-        order = _stable(symbol)
-        held, symbol = held[order], symbol[order]
-        place = np.concatenate([place[order], _places(seeds)])
-        symbol = np.concatenate([symbol, self.symbols(place[len(held) :])])
-        own = np.concatenate([self.level.capped(_commons(held).astype(np.int16) + self.weight[symbol[: len(held)]]), _commons(seeds)])
+        own = np.concatenate([self.level.capped(_commons(held).astype(np.int16) + self.weight[symbol[:n_held]]), _commons(seeds)])
         n = total = len(place)
         parent = frontier = np.arange(n)
-        places, symbols, parents = [place], [symbol], [parent]
+        before = self.before[place]
+        places, symbols, parents, befores = [place], [symbol], [parent], [before]
         while len(place):  # by depth
             if len(place) <= _FEW:
-                few = self.followed(place.tolist(), frontier.tolist(), total, until)
-                for out, values in zip((places, symbols, parents), few, strict=True):
+                few = self.followed(place.tolist(), before.tolist(), frontier.tolist(), total, until)
+                for out, values in zip((places, symbols, parents, befores), few, strict=True):
                     out.append(np.array(values, out[0].dtype))
                 total += len(few[0])
                 break
-            numbers, before, found = self.induced(place)
-            inside = found < until
-            place = before[inside]
+            inside = np.flatnonzero((before < until) & (before != self.none))
+            place = place[inside] - 1
+            symbols.append(before[inside].astype(np.int32))
+            parents.append(frontier[inside])
+            before = self.before[place]
             places.append(place)
-            symbols.append(found[inside])
-            parents.append(frontier[numbers[inside]])
+            befores.append(before)
             frontier = np.arange(total, total + len(place))
             total += len(place)
         kind = np.ones(total, np.int8)
-        kind[: len(held)], kind[len(held) : n] = 0, 2
-        return np.concatenate(places), np.concatenate(symbols), np.concatenate(parents), kind, np.concatenate([own, np.zeros(total - n, np.uint8)])
+        kind[:n_held], kind[n_held:n] = 0, 2
+        return *map(np.concatenate, (places, symbols, parents, befores)), kind, np.concatenate([own, np.zeros(total - n, np.uint8)])
 
-    def followed(self, places: list[int], numbers: list[int], total: int, until: int) -> tuple[list[int], list[int], list[int]]:
+    def followed(self, places: list[int], symbols: list[int], numbers: list[int], total: int, until: int) -> tuple[list[int], ...]:
         """What a few suffixes induce inside their range, each followed to its end."""
-        induced = self.before
-        out: tuple[list[int], list[int], list[int]] = ([], [], [])
-        for place, number in zip(places, numbers, strict=True):
-            while (symbol := int(induced[place])) != self.none and symbol < until:
+        induced, none = self.before, self.none
+        out: tuple[list[int], ...] = ([], [], [], [])
+        for place, symbol, number in zip(places, symbols, numbers, strict=True):
+            while none != symbol < until:
                 place -= 1
-                for values, value in zip(out, (place, symbol, number), strict=True):
+                after = int(induced[place])
+                for values, value in zip(out, (place, symbol, number, after), strict=True):
                     values.append(value)
-                number, total = total, total + 1
+                symbol, number, total = after, total, total + 1
         return out
 
 
-def _both_passes(level: _Level, places: np.ndarray, common: np.ndarray, exact: bool = True) -> tuple[TupleQueues, TupleQueues]:
-    """Large suffixes by range, upwards, and small suffixes by mirrored range, downwards, from the left-most small ones.
+def _both_passes(level: _Level, places: np.ndarray, common: np.ndarray, exact: bool, large: TupleQueues | None = None, small: TupleQueues | None = None, down_kept: _Kept | None = None) -> None:
+    """From the left-most small suffixes, large suffixes by range, upwards, then small ones by mirrored range, downwards.
 
-    Unless ``exact``, equal symbols of those are all that is known; the large suffixes are not kept then.
+    ``large`` and ``small`` get all of them, ``down_kept`` the left-most small ones alone. Unless ``exact``, equal symbols
+    of the given ones are all that is known. Only large suffixes that follow a small one go from one pass to the other.
     """
     cuts = np.searchsorted(level.ranges[level.text[places]], np.arange(level.n_ranges + 1))
     first = lambda k: _tuples(places[cuts[k] : cuts[k + 1]], common[cuts[k] : cuts[k + 1]])
-    large, small = TupleQueues(level.n_ranges), TupleQueues(level.n_ranges)
-    _Pass(level, first, False, exact).run(large)
+    turning = _Kept(level.n_ranges)
+    _Pass(level, first, False, exact).run(large, turning)
 
     def downwards(number: int) -> np.ndarray:
         # a tuple's common prefix is that of its successor then; the first of a symbol is set by the pass
-        own = large.take(level.n_ranges - 1 - number, keep=exact)[::-1]
-        return _tuples(_places(own), np.r_[np.uint8(0), _commons(own)][:-1])
+        own = turning.take(level.n_ranges - 1 - number)[::-1]
+        return _tuples(_places(own), np.append(np.uint8(0), _commons(own)[:-1])) if len(own) else own
 
-    _Pass(level, downwards, True, exact).run(small)
-    return large, small
+    _Pass(level, downwards, True, exact).run(small, down_kept)
 
 
 def _first_small(small: np.ndarray) -> np.ndarray:
@@ -424,35 +459,20 @@ def _sorted_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
         return first, np.zeros(len(first), np.uint8)
     symbols = level.text[first]
     rough = first[_stable(symbols)]
-    _, small = _both_passes(level, rough, level.capped(level.weight[level.text[rough]]), False)
+    pieces = _Kept(level.n_ranges)
+    _both_passes(level, rough, level.capped(level.weight[level.text[rough]]), False, down_kept=pieces)
+    found = np.concatenate([pieces.take(k) for k in range(level.n_ranges)])[::-1]  # they came downwards
+    by_piece, common = _places(found), np.zeros(len(found), np.uint8)
+    common[1:] = _commons(found)[:-1]  # towards the smaller neighbour
+    del found, pieces
     starts = np.zeros(len(level.text), bool)
     starts[first] = True
-    places, commons = [], []
-    carried = np.uint8(255)
-    for number in range(level.n_ranges):  # downwards
-        own = small.take(number)
-        if not len(own):
-            continue
-        place, common = _places(own), _commons(own)
-        hit = np.flatnonzero(starts[place])
-        if len(hit):
-            least = _segment_minima(common, np.r_[0, hit[:-1] + 1], hit)
-            least[0] = min(least[0], carried)
-            places.append(place[hit])
-            commons.append(least)
-            rest = common[hit[-1] + 1 :]
-            carried = rest.min() if len(rest) else np.uint8(255)
-        else:
-            carried = min(carried, common.min())
-    by_piece, down = np.concatenate(places)[::-1], np.concatenate(commons)[::-1]
-    common = np.r_[np.uint8(0), down[:-1]]  # towards the smaller neighbour
     # a piece runs from one left-most small suffix to the next, which it includes; the last one to the end
-    weights = level.weight[level.text].astype(np.int64)
-    sums = np.cumsum(weights) - weights
-    after = np.r_[first[1:], len(level.text) - 1]
-    span = sums[after] - sums[first]
-    number = (np.cumsum(starts, dtype=np.int32) - 1)[by_piece]
-    length = (span + weights[after])[number]
+    ends = np.cumsum(level.weight[level.text], dtype=np.int32)
+    after = np.append(first[1:], len(level.text) - 1)
+    span = ends[after - 1] - ends[first - 1]
+    number = np.cumsum(starts, dtype=np.int32)[by_piece] - 1
+    length = (span + level.weight[level.text[after]])[number]
     last = number == len(first) - 1
     equal = np.zeros(len(first), bool)
     a, b = slice(0, -1), slice(1, None)
@@ -466,7 +486,7 @@ def _sorted_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
     weight = np.zeros(n_names, np.int64)
     weight[name] = np.where(length >= level.cap, level.cap, span[number])  # long pieces of one name agree up to the cap
     inner = _Level(_scratch(reduced), n_names, level.cap, np.maximum(weight, 1), common[~equal])
-    del weights, sums
+    del ends, starts
     order, found = _ordered(inner)
     return first[order], found
 
@@ -474,7 +494,8 @@ def _sorted_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
 def _ordered(level: _Level) -> tuple[np.ndarray, np.ndarray]:
     """All suffixes of a level in order, with common prefixes (at least: exact but for runs that end a piece)."""
     places, common = _sorted_seeds(level)
-    large, small = _both_passes(level, places, common)
+    large, small = TupleQueues(level.n_ranges), TupleQueues(level.n_ranges)
+    _both_passes(level, places, common, True, large, small)
     up = np.concatenate([large.take(k) for k in range(level.n_ranges)])
     down = np.concatenate([small.take(k) for k in range(level.n_ranges)])[::-1]
     own_up, own_down = level.text[_places(up)], level.text[_places(down)]
@@ -528,8 +549,9 @@ def _exact_seeds(level: _Level) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ordered_bytes(level: _Level) -> tuple[np.ndarray, np.ndarray]:
-    large, small = _both_passes(level, *_exact_seeds(level))
-    order, common, last = [], [], None
+    large, small = TupleQueues(level.n_ranges), TupleQueues(level.n_ranges)
+    _both_passes(level, *_exact_seeds(level), True, large, small)
+    order, common = [], []
     for number in range(level.n_ranges):
         up, down = large.take(number), small.take(level.n_ranges - 1 - number)[::-1]
         place, own = np.r_[_places(up), _places(down)], np.r_[_commons(up), np.r_[np.uint8(0), _commons(down)][:-1]]
@@ -543,6 +565,19 @@ def _ordered_bytes(level: _Level) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(order), np.concatenate(common)
 
 
+class _Hits:
+    """What is left of a pass over bytes: the places that agree with a neighbour in ``length`` bytes, and each range's last place."""
+
+    def __init__(self, found: np.ndarray, length: int) -> None:
+        self.found, self.length = found, length
+        self.last: dict[int, int] = {}
+
+    def push(self, queue: int, tuples: np.ndarray) -> None:
+        hit = np.flatnonzero(_commons(tuples) >= self.length)
+        self.found[_places(tuples[hit])] = self.found[_places(tuples[hit - 1])] = True
+        self.last[queue] = int(_places(tuples[-1]))
+
+
 def repeated_starts(pieces: list[bytes], copies: np.ndarray, length: int) -> list[np.ndarray]:
     """For each piece, which of its places start a string of ``length`` bytes that starts at another place as well.
 
@@ -557,16 +592,12 @@ def repeated_starts(pieces: list[bytes], copies: np.ndarray, length: int) -> lis
     begins = ends - sizes
     found = np.zeros(len(text), bool)
     level = _Level(_scratch(text), int(text.max()) + 1, length, None, None)
-    large, small = _both_passes(level, *_exact_seeds(level))
-    for number in range(level.n_ranges):
-        up, down = large.take(number), small.take(level.n_ranges - 1 - number)
-        for own in (up, down):
-            place, hit = _places(own), np.flatnonzero(_commons(own) >= length)
-            found[place[hit]] = found[place[hit - 1]] = True
-        if len(up) and len(down):  # both begin with a run of one byte
-            a, b = _places(up[-1:]), _places(down[-1:])
-            if _extend(level.text, a, b, np.zeros(1, np.uint8), length)[0] >= length:
-                found[a] = found[b] = True
+    large, small = _Hits(found, length), _Hits(found, length)
+    _both_passes(level, *_exact_seeds(level), True, large, small)
+    for number, a in large.last.items():
+        if (b := small.last.get(level.n_ranges - 1 - number)) is not None:  # both begin with a run of one byte
+            if _extend(level.text, np.array([a]), np.array([b]), np.zeros(1, np.uint8), length)[0] >= length:
+                found[[a, b]] = True
     for k in np.flatnonzero(copies > 1).tolist():
         found[begins[k] : ends[k]] = True
     out = []

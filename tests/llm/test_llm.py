@@ -296,6 +296,33 @@ def test_queues_are_on_disk_with_the_production_bound(monkeypatch):
     assert spilled and all(bool(g[k]) == (count[p[k : k + 200]] > 1) for p, g in zip(pieces, got, strict=True) for k in range(max(0, len(p) - 199)))
 
 
+@pytest.mark.parametrize(("held", "ranges", "chunk"), [(1 << 20, 96, 1 << 16), (1, 3, 64), (9, 1, 7)])
+def test_sort_queues_few_tuples(monkeypatch, held, ranges, chunk):
+    queued = []
+    push = suffixes.TupleQueues.push
+    monkeypatch.setattr(suffixes.TupleQueues, "push", lambda self, queue, tuples: (queued.append(len(tuples)), push(self, queue, tuples)))
+    for name, value in (("HELD_TUPLES", held), ("_RANGES", ranges), ("_CHUNK", chunk), ("_PAGE", 2048 if held > 9 else 2)):
+        monkeypatch.setattr(suffixes, name, value)
+    pieces = [prose(k % 40, 60).encode()[k % 3 : 400] for k in range(90 if held > 9 else 45)] + [b"-" * 260, b"ab" * 130, b"abc"]
+    copies = np.array([2] + [1] * (len(pieces) - 1))
+    got = suffixes.repeated_starts(pieces, copies, 200)
+    count = Counter(p[k : k + 200] for p, n in zip(pieces, copies.tolist(), strict=True) for k in range(len(p) - 199) for _ in range(n))
+    assert all(g.tolist() == [k + 200 <= len(p) and count[p[k : k + 200]] > 1 for k in range(len(p))] for p, g in zip(pieces, got, strict=True))
+    # a pass hands on the suffixes that induce in the next one; what is known by then is not queued again
+    assert sum(queued) < 4.5 * sum(map(len, pieces))
+
+
+def test_tuples_left_out_count_in_common_prefixes():
+    rng = np.random.default_rng(4)
+    place, common, chosen = np.arange(200), rng.integers(0, 250, 200).astype(np.uint8), rng.random(200) < 0.2
+    kept = suffixes._Kept(1)
+    for lo in range(0, 200, 8):
+        kept.choose(0, place[lo : lo + 8], common[lo : lo + 8], chosen[lo : lo + 8])
+    found = kept.take(0)
+    at = [-1, *np.flatnonzero(chosen).tolist()]
+    assert (found >> 8).tolist() == at[1:] and (found & 255).tolist() == [min(common[a + 1 : b + 1].tolist()) for a, b in zip(at, at[1:])]
+
+
 SHARED = prose(11, 60)
 REPEATS = [prose(12, 80) + SHARED + prose(13, 30), SHARED[40:] + prose(14, 50), prose(15, 40), prose(15, 40), "ab" * 300, None, "", "é" * 150, prose(16, 20) + SHARED[:230] + "!" + SHARED[230:], SHARED[10:260] + "?", "-" * 500, "\0" * 300]
 
