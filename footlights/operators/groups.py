@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_of, piece_title, unaccent
@@ -20,62 +20,54 @@ def header_flags(rows: DataFrame) -> DataFrame:
     rows: id, ek, ptitle (piece title), program_title, work_id, program_position, choreographer_id, choreographer_kind,
     member_ids. A header bears the programme's title, has no work of its own or one that another row shares, and has no
     position, no choreographer, a credit line, or people whom a row with another title holds (nobody is held by anybody).
-    Both tests join on the evening.
+    Both tests are windows over the evening, so rows move once, and not at all where they are dealt by ``ek`` already.
     """
     titled = F.coalesce(F.lower("ptitle") == F.lower("program_title"), F.lit(False))
-    other = rows.select(F.col("ek").alias("_ek"), F.col("id").alias("_id"), F.col("work_id").alias("_work"), F.coalesce(F.lower("ptitle") != F.lower("program_title"), F.lit(False)).alias("_titled"), F.coalesce("member_ids", F.array().cast(rows.schema["member_ids"].dataType)).alias("_members"), F.col("choreographer_id").alias("_who"))
-    works = rows.where("work_id is not null").groupBy(F.col("ek").alias("_wek"), F.col("work_id").alias("_ww")).agg(F.count("*").alias("_n"))
-    own = F.coalesce("member_ids", F.array().cast(rows.schema["member_ids"].dataType))
-    holders = rows.where(titled).select("ek", "id", own.alias("_own")).join(
-        other, (F.col("ek") == F.col("_ek")) & (F.col("id") != F.col("_id")) & F.col("_titled") & F.col("_who").isNotNull() & (F.size(F.array_except("_own", "_members")) == 0), "left_semi"
-    ).select(F.col("id").alias("_held"))
-    out = rows.join(works, (F.col("ek") == F.col("_wek")) & (F.col("work_id") == F.col("_ww")), "left").join(holders, F.col("id") == F.col("_held"), "left")
-    free = F.col("work_id").isNull() | (F.coalesce("_n", F.lit(0)) > 1)
-    loose = F.col("program_position").isNull() | F.col("choreographer_id").isNull() | F.coalesce(F.col("choreographer_kind") == "credit_line", F.lit(False)) | F.col("_held").isNotNull()
+    other = F.coalesce(F.lower("ptitle") != F.lower("program_title"), F.lit(False)) & F.col("choreographer_id").isNotNull() & F.col("ek").isNotNull()
+    members = F.coalesce("member_ids", F.array().cast(rows.schema["member_ids"].dataType))
+    shared = F.count("*").over(Window.partitionBy("ek", "work_id"))
+    # a row that bears the title is no other row, so none is compared with itself
+    holders = F.collect_set(F.when(other, members)).over(Window.partitionBy("ek"))
+    out = rows.withColumn("_n", shared).withColumn("_holders", holders)
+    free = F.col("work_id").isNull() | (F.col("ek").isNotNull() & (F.col("_n") > 1))
+    held = F.exists("_holders", lambda m: F.size(F.array_except(members, m)) == 0)
+    loose = F.col("program_position").isNull() | F.col("choreographer_id").isNull() | F.coalesce(F.col("choreographer_kind") == "credit_line", F.lit(False)) | held
     return out.withColumn("is_header", titled & free & loose).select(*rows.columns, "is_header")
 
 
 def group_evenings(rows: DataFrame) -> DataFrame:
-    """One row for each evening with several rows, by one aggregation.
+    """One row for each evening with several rows, by one aggregation: a list of the evening's rows, read in order.
 
     rows: those of ``header_flags`` and starts_at, created_at, ticket_url, image_url, description, company_id, cancelled,
     tags, editorial, credit_line, member_names, work_title. Order: headers last, position (none last), start, created, id.
     """
     position = F.coalesce(F.col("program_position"), F.lit(2**31 - 1))
-    order = F.struct(F.col("is_header").alias("h"), position.alias("p"), "starts_at", "created_at", "id")
-    flat = F.struct(position.alias("p"), "starts_at", "created_at", "id")
-    first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order))
-    ids = lambda a: F.transform(F.array_sort(a), lambda x: x["id"])
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
-    members = F.array_sort(F.collect_list(F.struct(F.col("is_header").alias("h"), position.alias("p"), "starts_at", "created_at", "id", "member_ids")))
     more = F.lower(unaccent(F.concat_ws(" ", "ptitle", "credit_line", "member_names", "work_title")))
-    texts = F.array_sort(F.collect_list(F.struct(order.alias("o"), more.alias("t"))))
-    out = rows.groupBy("ek").agg(
-        F.count("*").alias("n_rows"),
-        ids(F.collect_list(order)).alias("performance_ids"),
-        ids(F.collect_list(F.when(~F.col("is_header"), flat))).alias("pieces"),
-        ids(F.collect_list(flat)).alias("all_pieces"),
-        F.array_distinct(F.flatten(F.transform(members, lambda x: F.coalesce(x["member_ids"], F.array().cast(rows.schema["member_ids"].dataType))))).alias("choreographer_ids"),
-        first("ticket_url").alias("ticket_url"),
-        first("image_url").alias("any_image"),
-        first("description").alias("any_description"),
-        first("company_id").alias("any_company"),
-        F.every("cancelled").alias("cancelled"),
-        union(F.col("tags")).alias("tags"),
-        union(F.col("editorial")).alias("editorial"),
-        F.array_join(F.array_sort(F.collect_set("credit_line")), ", ").alias("credit_lines"),
-        F.array_join(F.transform(texts, lambda x: x["t"]), " ").alias("more_text"),
-    )
-    pieces = F.when(F.size("pieces") > 0, F.col("pieces")).otherwise(F.col("all_pieces"))
-    return out.where("n_rows > 1").withColumn("piece_ids", pieces).drop("pieces", "all_pieces")
+    row = F.struct(F.col("is_header").alias("h"), position.alias("p"), "starts_at", "created_at", "id", "member_ids", "ticket_url", "image_url", "description", "company_id", "tags", "editorial", "credit_line", more.alias("more"))
+    out = rows.groupBy("ek").agg(F.count("*").alias("n_rows"), F.sort_array(F.collect_list(row)).alias("_rows"), F.every("cancelled").alias("cancelled")).where("n_rows > 1")
+    every = lambda c: F.transform("_rows", lambda x: x[c])
+    known = lambda c: F.filter(every(c), lambda x: x.isNotNull())
+    first = lambda c, name: F.get(known(c), F.lit(0)).alias(name)
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(known(c)))).cast("array<string>")
+    # headers come last, so the others are in the order of pieces, and so are headers where there is nothing else
+    pieces = F.transform(F.filter("_rows", lambda x: ~x["h"]), lambda x: x["id"])
+    return out.select(
+        "ek", "n_rows", every("id").alias("performance_ids"), F.array_distinct(F.flatten(known("member_ids"))).alias("choreographer_ids"),
+        first("ticket_url", "ticket_url"), first("image_url", "any_image"), first("description", "any_description"), first("company_id", "any_company"), "cancelled",
+        union("tags").alias("tags"), union("editorial").alias("editorial"), F.array_join(F.array_sort(F.array_distinct(known("credit_line"))), ", ").alias("credit_lines"),
+        F.array_join(every("more"), " ").alias("more_text"), F.when(F.size(pieces) > 0, pieces).otherwise(every("id")).alias("piece_ids"),
+    )
 
 
 def refresh_groups(groups: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Groups after the evenings ``keys(ek)`` changed: those are made anew, one that is no longer multiple has ``n_rows`` 1."""
+    """Groups after the evenings ``keys(ek)`` changed: those are made anew, one that is no longer multiple has ``n_rows`` 1.
+
+    One outer join by ``ek`` of the groups, the keys and what is made anew."""
     k = keys.select("ek").distinct()
     fresh = group_evenings(rows.join(k, "ek", "left_semi"))
-    single = groups.join(k, "ek", "left_semi").join(fresh.select("ek"), "ek", "left_anti").withColumn("n_rows", F.lit(1).cast("long"))
-    return groups.join(k, "ek", "left_anti").unionByName(fresh.select(*groups.columns)).unionByName(single.select(*groups.columns))
+    old = groups.join(k.withColumn("_named", F.lit(True)), "ek", "left").withColumn("n_rows", F.when(F.col("_named"), F.lit(1).cast("long")).otherwise(F.col("n_rows")))
+    both = old.alias("o").join(fresh.alias("f"), F.col("o.ek") == F.col("f.ek"), "full_outer")
+    return both.select(*[F.when(F.col("f.ek").isNotNull(), F.col(f"f.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in groups.columns])
 
 
 def pieces_of(groups: DataFrame, performances: DataFrame, ids: str = "piece_ids") -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import saved_groups
-from ..operators.graph import gone_at_end, own_path
+from ..operators.graph import cut_lineage, gone_at_end, own_path
 from ..streaming import streams
+from . import domain as d
 from .domain import SQL
-from .queries_core import _evening_rows
+from .queries_core import _evening_facts
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,19 +116,21 @@ def q117_kept_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups kept through two batches of changes: some listings move to their source's evening, then some are taken out.
 
     The first batch is brought in by a call, the second by a stream of its changes."""
-    rows = _evening_rows(spark, sf_dir).drop("is_header")
-    part, source = F.split("id", "-")[2].cast("long"), F.split("id", "-")[3].cast("long")
-    moves, gone = part % 17 == 0, source % 13 == 0
-    moved = rows.withColumn("ek", F.when(moves, F.concat(F.lit("s"), source.cast("string"))).otherwise(F.col("ek")))
+    lists = d.listings(spark, sf_dir).drop("original_title", "timezone", "starts_at", "theater_id", "program_id", "image_url", "ignored", "generic")
+    lists = cut_lineage(lists, "listings")
+    own, source = F.col("performance_id").cast("string"), F.concat(F.lit("s"), F.col("source_id").cast("string"))
+    moves, gone = F.col("work_id") % 17 == 0, F.col("source_id") % 13 == 0
+    now = F.when(moves, source).otherwise(own)
+    rows = lambda listings, ek: _evening_facts(saved_groups.deal(listings.withColumn("ek", ek)).withColumn("image_url", F.lit(None).cast("string")))
     path, changes, state = own_path(spark, "evening-groups"), own_path(spark, "evening-changes"), own_path(spark, "evening-state")
     for p in (path, changes, state):
         gone_at_end(spark, p)
-    saved_groups.save_groups(rows, path)
-    pairs = rows.where(moves).select(F.explode(F.array(F.col("ek"), F.concat(F.lit("s"), source.cast("string")))).alias("ek"))
-    saved_groups.refresh_saved(path, moved, pairs)
-    moved.where(gone).select(F.col("ek").alias("old_key"), F.lit(None).cast("string").alias("new_key")).write.parquet(changes)
+    saved_groups.save_groups(rows(lists, own), path, dealt=True)
+    pairs = lists.where(moves).select(F.explode(F.array(own, source)).alias("ek"))
+    saved_groups.refresh_saved(path, rows(lists, now), pairs, dealt=True)
+    lists.where(gone).select(now.alias("old_key"), F.lit(None).cast("string").alias("new_key")).distinct().write.parquet(changes)
     stream = streams.read_stream(spark, changes, "old_key string, new_key string", files_per_trigger=64)
-    query = streams.stream_saved_groups(stream, path, lambda: moved.where(~gone)).option("checkpointLocation", state).trigger(availableNow=True).start()
+    query = streams.stream_saved_groups(stream, path, lambda: rows(lists.where(~gone), now), dealt=True).option("checkpointLocation", state).trigger(availableNow=True).start()
     while query.isActive:
         query.awaitTermination(2)
     if query.exception():
