@@ -75,11 +75,13 @@ def resolve_work(rows: DataFrame, works: DataFrame, out: str = "work_id") -> Dat
     """Add ``out`` by ``work``, ``work_is_story`` and ``choreographer_id``: a story has no choreographer; else the same one
     first, then none; an unknown choreographer fits any. works: id, title, choreographer_id, created_at. Rows need an ``id``."""
     w = works.select(F.col("id").alias("_w"), slugify(F.col("title")).alias("_slug"), F.col("choreographer_id").alias("_c"), F.col("created_at").alias("_at")).where(F.col("_slug") != "")
-    story = F.coalesce("work_is_story", F.lit(False))
-    same = F.coalesce(F.col("_c") == F.col("choreographer_id"), F.lit(False))
-    on = (slugify(F.col("work")) == F.col("_slug")) & F.when(story, F.col("_c").isNull()).otherwise(F.col("choreographer_id").isNull() | same | F.col("_c").isNull())
-    best = rows.select("id", "work", "work_is_story", "choreographer_id").join(w, on).groupBy(F.col("id").alias("_id")).agg(F.min(F.struct((~same).cast("int").alias("o"), "_at", "_w")).alias("m"))
-    return rows.join(best.select("_id", F.col("m._w").alias(out)), F.col("id") == F.col("_id"), "left").drop("_id")
+    # the best work of each title and choreographer (or none) and of each title: a row looks up these, not all of its title
+    of_who = w.groupBy("_slug", "_c").agg(F.min(F.struct("_at", "_w")).alias("_best"))
+    of_title = of_who.groupBy(F.col("_slug").alias("_t")).agg(F.min("_best").alias("_any"), F.min(F.when(F.col("_c").isNull(), F.col("_best"))).alias("_free"))
+    found = rows.withColumn("_s", slugify(F.col("work")))
+    found = found.join(of_title, F.col("_s") == F.col("_t"), "left").join(of_who.where("_c is not null"), (F.col("_s") == F.col("_slug")) & (F.col("choreographer_id") == F.col("_c")), "left")
+    best = F.when(F.coalesce("work_is_story", F.lit(False)), F.col("_free")).when(F.col("choreographer_id").isNull(), F.col("_any")).otherwise(F.coalesce("_best", "_free"))
+    return found.select(*rows.columns, best["_w"].alias(out))
 
 
 def match_theater(rows: DataFrame, theaters: DataFrame, least: float = 0.6) -> DataFrame:
