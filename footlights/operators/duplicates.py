@@ -189,8 +189,8 @@ def keep_id(answer: Column, rows: Column, held: Column | None = None, rich: Colu
 
     ``held``: the rows are candidates of a held listing; else they are the two of a pair. Understood, in this order: an id
     or its beginning of 6 characters or more (of a pair also "a", "row b", "row_b"); of candidates their number ("c1",
-    "candidate 2", "row 1", "#2", "2"); a number of 3 digits or more of one row's listings, anywhere; the first 8
-    characters of an id, anywhere. Without a usable answer a pair keeps ``rich`` (the richer row's id), a held listing its
+    "candidate 2", "row 1", "#2", "2"); a number of 3 digits or more of one row's listings, anywhere but inside an id that is
+    written out; the first 8 characters of an id, anywhere. Without a usable answer a pair keeps ``rich`` (the richer row's id), a held listing its
     only candidate.
     """
     held = F.lit(False) if held is None else held
@@ -202,7 +202,9 @@ def keep_id(answer: Column, rows: Column, held: Column | None = None, rich: Colu
     in_pair = F.coalesce(F.when(label == "a", F.get(rows, F.lit(0))["id"]).when(label == "b", F.get(rows, F.lit(1))["id"]), F.get(named, F.lit(0))["id"])
     place = F.regexp_extract(said, r"^(?:c|candidate|row|#)?\s*(\d{1,2})$", 1).try_cast("int")
     in_list = F.coalesce(only(named), F.when(place.between(1, F.size(rows)), F.get(rows, place - 1)["id"]))
-    numbers = F.regexp_extract_all(said, F.lit(r"\d{3,}"), F.lit(0))
+    written = lambda r: F.concat(F.lit(r"\Q"), F.substring(F.lower(r["id"]), 1, 8), F.lit(r"\E[0-9a-z-]*"))
+    without_ids = F.aggregate(rows, said, lambda t, r: F.when(F.length(r["id"]) >= 8, F.regexp_replace(t, written(r), F.lit(" "))).otherwise(t))
+    numbers = F.regexp_extract_all(without_ids, F.lit(r"\d{3,}"), F.lit(0))
     by_listing = F.filter(rows, lambda r: F.coalesce(F.arrays_overlap(F.transform(r["listings"], lambda x: x.cast("string")), numbers), F.lit(False)))
     inside = F.filter(rows, lambda r: (said != "") & F.contains(said, F.substring(F.lower(r["id"]), 1, 8)))
     named_in_pair = in_pair if rich is None else F.coalesce(in_pair, only(by_listing), only(inside), rich)

@@ -1,8 +1,10 @@
 """Work that must not grow with the square of a group, and rows that must not move more often than they need to."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from footlights.operators import link, saved_groups, serve
+from footlights.operators import duplicates, link, saved_groups, serve
 from footlights.operators.groups import group_evenings, header_flags
 from tests.test_saved_groups import evening_rows
 
@@ -54,3 +56,24 @@ def test_works_of_one_title_are_looked_up_once(spark):
     got = {(r.work_is_story, r.choreographer_id, r.work_id) for r in out.collect()}
     assert got == {(True, None, 1999), (True, "1", 1999), (True, "2", 1999), (False, None, 1999), (False, "1", 1996), (False, "2", 1994)}
     assert most_rows(out) <= 100_000
+
+
+def test_digits_inside_an_id_are_no_listing(spark):
+    a, b = "11aa22bb-4000-4000-8000-000000000000", "706a7aee-7799-4f90-8d89-4d7c219048f0"
+    rows = F.array(*[F.struct(F.lit(i).alias("id"), F.array(F.lit(n).cast("long")).alias("listings")) for i, n in ((a, 706), (b, 716))])
+    said = spark.createDataFrame([(f"it is {b}",), ("it is 706a7aee",), ("listing 706",), ("L716, I think",), (f"{a} or {b}",)], "x string")
+    for held in (False, True):
+        assert [r[0] for r in said.select(duplicates.keep_id(F.col("x"), rows, F.lit(held))).collect()] == [b, b, a, b, None]
+
+
+def test_known_instant_in_a_repeated_hour(spark):
+    """02:30 of 27 October 1996 came twice in Paris; a row that knows its instant is not taken for the first."""
+    none = lambda t: F.lit(None).cast(t)
+    at = F.to_timestamp(F.lit("1996-10-27 01:30:00"))
+    row = spark.range(1).select(
+        "id", *[none("string").alias(c) for c in ("source_id", "theater_id", "company_id", "work_id", "work", "program", "city")], F.lit("Swan").alias("title"), none("int").alias("program_position"),
+        F.lit("Europe/Paris").alias("timezone"), F.lit(dt.date(1996, 10, 27)).alias("performance_date"), F.lit("02:30").alias("performance_time"), F.lit(False).alias("time_tbc"), at.alias("starts_at"),
+    )
+    theaters = spark.createDataFrame([], "id string, timezone string, city string")
+    minute = lambda df: link.prepare(df, theaters).select(F.date_format("minute", "HH:mm")).first()[0]
+    assert (minute(row), minute(row.withColumn("starts_at", none("timestamp"))), minute(row.drop("starts_at"))) == ("01:30", "00:30", "00:30")
