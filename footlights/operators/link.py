@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import filled, holds, overlap, slugify, title_close, trigrams, without_bracket
+from ..functions.text import filled, holds, overlap, similarity, slugify, title_close, trigrams, without_bracket
 from ..functions.times import DEFAULT_ZONE, local_date, minute_of, start_instant, time_known
 from .graph import cluster, cut_lineage
 
@@ -103,9 +103,10 @@ def match_theater(rows: DataFrame, theaters: DataFrame, least: float = 0.6) -> D
 
 
 def prepare(staging: DataFrame, theaters: DataFrame) -> DataFrame:
-    """Columns that the ladder compares: start, local day, minute, city, built title, slugs and trigrams.
+    """Columns that the ladder compares: start, local day, minute, city, built title and slugs.
 
-    staging has its dimension ids (theater_id, company_id, work_id); theaters: id, timezone, city.
+    staging has its dimension ids (theater_id, company_id, work_id); theaters: id, timezone, city. A staging row may know
+    its instant (``starts_at``): date and time alone mean the earlier of two in the hour that a clock repeats.
     """
     t = theaters.select(F.col("id").alias("_t"), F.col("timezone").alias("_zone"), F.col("city").alias("_city"))
     rows = staging.join(t, F.col("theater_id") == F.col("_t"), "left")
@@ -115,6 +116,8 @@ def prepare(staging: DataFrame, theaters: DataFrame) -> DataFrame:
     suffix = F.concat(F.lit(" ("), F.trim("program"), F.lit(")"))
     built = F.when(F.col("program").isNotNull() & ~F.endswith(base, suffix), F.concat(base, suffix)).otherwise(base)
     start = start_instant(F.col("performance_date"), F.when(~tbc, F.col("performance_time")), zone, F.col("program_position"), F.col("program").isNotNull())
+    if "starts_at" in staging.columns:
+        start = F.coalesce(F.when(~tbc, F.col("starts_at")), start)
     rows = rows.select(
         "id", "source_id", "theater_id", "company_id", "work_id", "skip_fuzzy" if "skip_fuzzy" in staging.columns else F.lit(False).alias("skip_fuzzy"),
         F.coalesce("_city", filled(F.col("city"))).alias("city"), zone.alias("zone"), tbc.alias("tbc"), built.alias("title"), start.alias("starts_at"),
@@ -124,8 +127,7 @@ def prepare(staging: DataFrame, theaters: DataFrame) -> DataFrame:
 
 
 def _with_keys(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("slug", slugify(F.col("title"))).withColumn("minute", minute_of(F.col("starts_at")))
-    return rows.withColumn("grams", trigrams(F.col("slug"))).withColumn("bare_grams", trigrams(slugify(without_bracket(F.col("title")))))
+    return rows.withColumn("slug", slugify(F.col("title"))).withColumn("minute", minute_of(F.col("starts_at")))
 
 
 def published_side(performances: DataFrame, theaters: DataFrame) -> DataFrame:
@@ -144,39 +146,31 @@ def link_staging(staging: DataFrame, published: DataFrame, earlier_only: bool =
     """The match ladder: ``(id, step, action, performance_id, candidates)`` for every staging row, the first rule that hits.
 
     Both sides come from ``prepare`` / ``published_side``. Every rule is an equi join (venue and minute, venue and day,
-    company and minute, city and day) with the rest as a residual, tagged with its step; one aggregation picks the step.
+    company and minute, city and day with company, work or title) with the rest as a residual, tagged with its step; one
+    aggregation picks the step. Titles are compared once a city and day, not once a pair of rows.
     Step 5 may hold a row: ``candidates`` then lists them, strong ones first, then by similarity. Ties within a step go
     to the higher similarity, then the least id. ``earlier_only``: the published side is staging too and only rows with
-    a lower id count. No hit: insert.
+    a lower id count. No hit: insert. Either side is written once, since each rule reads it.
     """
+    own = cut_lineage(staging, "staged")
+    staging, published = own, own if published is staging else cut_lineage(published, "published")
     s, p = staging.alias("s"), published.alias("p")
     S, P = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"p.{c}"))
     same = lambda c: F.coalesce(S(c) == P(c), F.lit(False))
-    sim = overlap(S("grams"), P("grams"))
+    sim = similarity(S("slug"), P("slug"))
     order = P("id") < S("id") if earlier_only else F.lit(True)
     titled = same("work_id") | (S("slug") == P("slug"))
     raw_in, pub_in = holds(P("slug"), S("raw_slug")), holds(S("slug"), P("slug"))
-    found = lambda df, step, score: df.select(S("id").alias("id"), F.lit(step).alias("step"), (-score).alias("minus"), P("id").alias("performance_id"), P("minute").alias("pm"))
+    found = lambda df, step, score: df.select(S("id").alias("id"), step.alias("step"), (-score).alias("minus"), P("id").alias("performance_id"), P("minute").alias("pm")).where("step is not null")
     stage_minute = s.join(p, (S("theater_id") == P("theater_id")) & (S("minute") == P("minute")) & order)
-    stage_day = s.join(p, (S("theater_id") == P("theater_id")) & (S("day") == P("day")) & order)
-    company_minute = s.join(p, (S("company_id") == P("company_id")) & (S("minute") == P("minute")) & order)
+    stage_day = s.join(p, (S("theater_id") == P("theater_id")) & (S("day") == P("day")) & order & titled & (S("tbc") != P("tbc")))
+    company_minute = s.join(p, (S("company_id") == P("company_id")) & (S("minute") == P("minute")) & (S("theater_id").isNull() != P("theater_id").isNull()) & order)
     hits = [
-        found(stage_minute.where(titled), 1, F.lit(0.0)),
-        found(stage_day.where(~S("tbc") & P("tbc") & titled), 2, F.lit(0.0)),
-        found(stage_minute.where((same("company_id") & (sim >= 0.3)) | (sim >= 0.6) | raw_in | pub_in), 3, sim),
-        found(company_minute.where((S("theater_id").isNull() != P("theater_id").isNull()) & ((sim >= 0.3) | raw_in | pub_in | same("work_id"))), 4, sim),
-        found(stage_day.where(S("tbc") & ~P("tbc") & titled), 6, F.lit(0.0)),
+        found(stage_minute, F.when(titled, 1).when((same("company_id") & (sim >= 0.3)) | (sim >= 0.6) | raw_in | pub_in, 3), F.when(titled, F.lit(0.0)).otherwise(sim)),
+        found(stage_day, F.when(P("tbc"), 2).otherwise(6), F.lit(0.0)),
+        found(company_minute, F.when((sim >= 0.3) | raw_in | pub_in | same("work_id"), 4), sim),
     ]
-    gap = F.abs(F.unix_seconds(S("starts_at")) - F.unix_seconds(P("starts_at")))
-    one_tbc = S("tbc") | P("tbc")
-    city_day = s.join(p, (F.lower(S("city")) == F.lower(P("city"))) & (S("day") == P("day")) & order).where(
-        ~S("skip_fuzzy") & (gap <= 86_400) & ~(S("theater_id").eqNullSafe(P("theater_id")) & ~S("tbc") & ~P("tbc"))
-        & (same("company_id") | same("work_id") | (sim >= 0.5) | raw_in) & (one_tbc | (gap <= 5400))
-    )
-    strong = (same("company_id") | same("work_id")) & (title_close(P("title"), S("title")) | same("work_id")) & (one_tbc | (gap <= 900))
-    bare = overlap(S("bare_grams"), P("bare_grams"))
-    fuzzy = city_day.select(S("id").alias("id"), P("id").alias("performance_id"), P("minute").alias("pm"), strong.alias("strong"), bare.alias("sim"))
-    fuzzy = fuzzy.groupBy("id").agg(
+    fuzzy = _city_day(staging, published, order).groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct((~F.col("strong")).alias("weak"), (-F.col("sim")).alias("minus"), "performance_id", "pm"))).alias("c"),
         F.count(F.when(F.col("strong"), 1)).alias("n_strong"),
     )
@@ -193,6 +187,37 @@ def link_staging(staging: DataFrame, published: DataFrame, earlier_only: bool =
     return out.select("id", F.coalesce("b.step", F.lit(7)).alias("step"), action.alias("action"), F.when(F.col("b.held").isNull(), F.col("b.performance_id")).alias("performance_id"), F.col("b.held").alias("candidates"))
 
 
+def _city_day(staging: DataFrame, published: DataFrame, order: Column) -> DataFrame:
+    """Pairs that the ladder's fifth step compares: ``(id, performance_id, pm, strong, sim)``, each once.
+
+    They share city and day, and company, work or alike titles. Pairs of one company come from a join by it, those of one
+    work from another, and the rest by title: a city's and day's distinct titles are compared with each other first.
+    """
+    S, P = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"p.{c}"))
+    same = lambda c: F.coalesce(S(c) == P(c), F.lit(False))
+    facts = ["id", "theater_id", "company_id", "work_id", "tbc", "starts_at", "day", "title", "raw_slug"]
+    rows = staging.where(~F.col("skip_fuzzy")).select(*facts, F.lower("city").alias("town"))
+    other = published.select(*facts[:-1], "minute", F.lower("city").alias("town"))
+    s, p = rows.alias("s"), other.alias("p")
+    gap = F.abs(F.unix_seconds(S("starts_at")) - F.unix_seconds(P("starts_at")))
+    one_tbc = S("tbc") | P("tbc")
+    block = (S("town") == P("town")) & (S("day") == P("day")) & order & (gap <= 86_400) & ~(S("theater_id").eqNullSafe(P("theater_id")) & ~S("tbc") & ~P("tbc")) & (one_tbc | (gap <= 5400))
+    told = lambda df, near, bare: df.select(S("id").alias("id"), P("id").alias("performance_id"), P("minute").alias("pm"), ((same("company_id") | same("work_id")) & (near | same("work_id")) & (one_tbc | (gap <= 900))).alias("strong"), bare.alias("sim"))
+    bare = lambda c: trigrams(slugify(without_bracket(c)))
+    near, likeness = title_close(P("title"), S("title")), overlap(bare(S("title")), bare(P("title")))
+    by_company = told(s.join(p, block & (S("company_id") == P("company_id"))), near, likeness)
+    by_work = told(s.join(p, block & (S("work_id") == P("work_id")) & ~same("company_id")), near, likeness)
+    # titles of a city and day, each once, with what is compared
+    keyed = lambda df, side, *more: df.select("town", "day", F.col("title").alias(f"{side}_title"), *more).where(F.col(f"{side}_title").isNotNull()).distinct().withColumn(f"{side}_slug", slugify(F.col(f"{side}_title"))).withColumn(f"{side}_grams", trigrams(F.col(f"{side}_slug"))).withColumn(f"{side}_bare", bare(F.col(f"{side}_title")))
+    titles = keyed(rows, "s", F.col("raw_slug").alias("s_raw")).join(keyed(other, "p"), ["town", "day"])
+    titles = titles.where((overlap(F.col("s_grams"), F.col("p_grams")) >= 0.5) | holds(F.col("p_slug"), F.col("s_raw"))).select("town", "day", "s_title", "s_raw", "p_title", overlap(F.col("s_bare"), F.col("p_bare")).alias("alike"))
+    t = titles.alias("t")
+    T = lambda c: F.col(f"t.{c}")
+    likely = s.join(t, (S("town") == T("town")) & (S("day") == T("day")) & (S("title") == T("s_title")) & (S("raw_slug") == T("s_raw")))
+    by_title = told(likely.join(p, block & (T("p_title") == P("title")) & ~same("company_id") & ~same("work_id")), F.lit(False), T("alike"))
+    return by_company.unionByName(by_work).unionByName(by_title)
+
+
 @dataclass(frozen=True)
 class Published:
     """Result of ``publish``: an action row for each staging row, and the staging rows to insert, list, hold and reject."""

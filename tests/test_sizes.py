@@ -77,3 +77,16 @@ def test_known_instant_in_a_repeated_hour(spark):
     theaters = spark.createDataFrame([], "id string, timezone string, city string")
     minute = lambda df: link.prepare(df, theaters).select(F.date_format("minute", "HH:mm")).first()[0]
     assert (minute(row), minute(row.withColumn("starts_at", none("timestamp"))), minute(row.drop("starts_at"))) == ("01:30", "00:30", "00:30")
+
+
+def test_titles_of_a_day_are_compared_once(spark):
+    """1,500 staged and 1,500 published rows of one day are 2.25 million pairs; only those of alike titles may be made."""
+    none, at = (lambda t: F.lit(None).cast(t)), F.to_timestamp(F.lit("1996-05-02 18:00:00"))
+    title = F.concat(F.lit("show "), F.repeat(F.char(97 + F.col("id") % 20), 9))
+    rows = spark.range(1500).select((F.col("id") * 2).alias("id"), title.alias("title"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("theater_id"), none("string").alias("company_id"), none("string").alias("work_id"), F.lit("UTC").alias("timezone"), F.lit("Town").alias("city"))
+    staged = rows.select("*", none("string").alias("source_id"), none("string").alias("work"), none("string").alias("program"), none("int").alias("program_position"), F.lit(dt.date(1996, 5, 2)).alias("performance_date"), F.lit("18:00").alias("performance_time"), F.lit(False).alias("time_tbc"))
+    theaters = spark.createDataFrame([], "id string, timezone string, city string")
+    shown = rows.withColumn("id", F.col("id") + 1).withColumn("theater_id", F.concat("theater_id", F.lit("x"))).withColumn("performance_date", at).withColumn("tags", F.array().cast("array<string>"))
+    out = link.link_staging(link.prepare(staged, theaters), link.published_side(shown, theaters))
+    assert {(r.step, r.action, len(r.candidates)) for r in out.collect()} == {(5, "hold", 75)}
+    assert most_rows(out) <= 200_000
