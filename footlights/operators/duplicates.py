@@ -20,39 +20,45 @@ def find_duplicate_candidates(rows: DataFrame, decided: DataFrame | None = None,
     """Pairs of rows of one day and city that look like one show: ``(a_id, b_id, reason)``.
 
     ``rows``: id, day, minute (null or any if tbc), tbc, city, theater, company, work, program, title (a slug without
-    bracket). The day and city are the blocks of the join; trigrams are made once a row. Pairs in ``decided``
-    (drop_id, keep_id), either way round, are left out.
+    bracket). The day and city are the blocks. Pairs of one company come from a join by it, those of one work from another,
+    and the rest by title: a block's distinct titles are compared with each other first, so no pair of rows is made for
+    titles that differ. Pairs in ``decided`` (drop_id, keep_id), either way round, are left out.
     """
-    base = rows.withColumn("grams", trigrams(F.col("title")))
-    a, b = base.alias("a"), base.alias("b")
-    eq = lambda c: F.coalesce(F.col(f"a.{c}") == F.col(f"b.{c}"), F.lit(False))
-    gap = F.abs(F.col("a.minute") - F.col("b.minute"))
-    one_tbc = F.col("a.tbc") | F.col("b.tbc")
-    alike = (
-        eq("company") | eq("work") | eq("title") | (overlap(F.col("a.grams"), F.col("b.grams")) > least_similarity)
-        | holds(F.col("b.title"), F.col("a.title")) | holds(F.col("a.title"), F.col("b.title"))
-    )
+    marked = rows.join(sessions(rows).withColumn("session", F.lit(True)), ["theater", "day", "title"], "left")
+    marked = marked.select("id", "day", "city", "minute", "tbc", "theater", "company", "work", "program", "title", F.coalesce("session", F.lit(False)).alias("session"))
+    a, b = marked.alias("a"), marked.drop("session").alias("b")
+    A, B = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    eq = lambda c: F.coalesce(A(c) == B(c), F.lit(False))
+    gap = F.abs(A("minute") - B("minute"))
+    one_tbc = A("tbc") | B("tbc")
     near = one_tbc | (gap <= 90) | (eq("theater") & gap.isin(60, 120))
-    pairs = a.join(b, (F.col("a.day") == F.col("b.day")) & (F.col("a.city") == F.col("b.city")) & (F.col("a.id") < F.col("b.id")))
-    pairs = pairs.where(~eq("program") & F.coalesce(near, F.lit(False)) & alike)
-    gap_text = F.when(one_tbc, F.lit(0)).otherwise(gap).cast("string")
-    reason = (
-        F.when(one_tbc, "same day, one without time")
-        .when(~eq("theater"), F.concat(F.lit("same day, different or missing venue, start "), gap_text, F.lit(" min apart")))
-        .when(gap.isin(60, 120), F.concat(F.lit("same venue, starts exactly "), gap_text, F.lit(" min apart (time zone copy?)")))
-        .otherwise(F.concat(F.lit("same venue, start "), gap_text, F.lit(" min apart")))
-    )
-    found = pairs.select(
-        F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), reason.alias("reason"), (eq("theater") & ~one_tbc).alias("same_slot"),
-        F.col("a.theater").alias("theater"), F.col("a.day").alias("day"), F.col("a.title").alias("title"),
+    # a session's rows are no duplicates of each other at one venue and with times
+    fits = (A("day") == B("day")) & (A("city") == B("city")) & (A("id") < B("id")) & ~eq("program") & F.coalesce(near, F.lit(False)) & ~(eq("theater") & ~one_tbc & A("session"))
+    told = lambda df: df.select(A("id").alias("a_id"), B("id").alias("b_id"), eq("theater").alias("same_venue"), F.when(~F.coalesce(one_tbc, F.lit(False)), gap).alias("gap"))
+    by_company = told(a.join(b, fits & (A("company") == B("company"))))
+    by_work = told(a.join(b, fits & (A("work") == B("work")) & ~eq("company")))
+    titles = rows.select("day", "city", "title").where(F.col("title").isNotNull()).distinct().withColumn("grams", trigrams(F.col("title")))
+    x, y = titles.alias("x"), titles.alias("y")
+    alike = (
+        (F.col("x.title") == F.col("y.title")) | (overlap(F.col("x.grams"), F.col("y.grams")) > least_similarity)
+        | holds(F.col("y.title"), F.col("x.title")) | holds(F.col("x.title"), F.col("y.title"))
     )
-    many = sessions(rows).withColumn("session", F.lit(True))
-    found = found.join(many, ["theater", "day", "title"], "left").where(~(F.col("same_slot") & F.coalesce("session", F.lit(False))))
-    found = found.select("a_id", "b_id", "reason")
+    t = x.join(y, (F.col("x.day") == F.col("y.day")) & (F.col("x.city") == F.col("y.city"))).where(alike).select("x.day", "x.city", F.col("x.title").alias("of"), F.col("y.title").alias("like")).alias("t")
+    T = lambda c: F.col(f"t.{c}")
+    likely = a.join(t, (A("day") == T("day")) & (A("city") == T("city")) & (A("title") == T("of")))
+    by_title = told(likely.join(b, fits & (T("like") == B("title")) & ~eq("company") & ~eq("work")))
+    found = by_company.unionByName(by_work).unionByName(by_title)
     if decided is not None:
         both = decided.select(F.least("drop_id", "keep_id").alias("a_id"), F.greatest("drop_id", "keep_id").alias("b_id")).distinct()
         found = found.join(both, ["a_id", "b_id"], "left_anti")
-    return found
+    gap_text = F.col("gap").cast("string")
+    reason = (
+        F.when(F.col("gap").isNull(), "same day, one without time")
+        .when(~F.col("same_venue"), F.concat(F.lit("same day, different or missing venue, start "), gap_text, F.lit(" min apart")))
+        .when(F.col("gap").isin(60, 120), F.concat(F.lit("same venue, starts exactly "), gap_text, F.lit(" min apart (time zone copy?)")))
+        .otherwise(F.concat(F.lit("same venue, start "), gap_text, F.lit(" min apart")))
+    )
+    return found.select("a_id", "b_id", reason.alias("reason"))
 
 
 def upcoming_pairs(pairs: DataFrame, upcoming: DataFrame) -> DataFrame:

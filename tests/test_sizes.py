@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from footlights.operators import duplicates, link, saved_groups, serve
+from footlights.operators import credits, duplicates, graph, link, saved_groups, serve
 from footlights.operators.groups import group_evenings, header_flags
 from tests.test_saved_groups import evening_rows
 
@@ -90,3 +90,31 @@ def test_titles_of_a_day_are_compared_once(spark):
     out = link.link_staging(link.prepare(staged, theaters), link.published_side(shown, theaters))
     assert {(r.step, r.action, len(r.candidates)) for r in out.collect()} == {(5, "hold", 75)}
     assert most_rows(out) <= 200_000
+
+
+def test_rows_of_a_day_are_no_pairs_unless_alike(spark):
+    """3,000 rows of one day and city are 4.5 million pairs; only those of alike titles, companies or works may be made."""
+    n, none = F.col("id"), F.lit(None).cast("string")
+    title = F.concat(F.lit("show-"), F.repeat(F.char(97 + n % 20), 9), F.lit("-x"), F.repeat(F.char(97 + F.floor(n / 20).cast("int") % 20), 9))
+    rows = spark.range(3000).select("id", F.lit(1).alias("day"), F.lit("x").alias("city"), F.lit(0).alias("minute"), F.lit(False).alias("tbc"), none.alias("theater"), F.when(n % 1000 == 0, "firm").alias("company"), none.alias("work"), none.alias("program"), title.alias("title"))
+    out = duplicates.find_duplicate_candidates(rows, least_similarity=0.9)
+    assert out.count() == 200 * (8 * 7 // 2) + 200 * (7 * 6 // 2) + sum(1 for a in range(3) for b in range(a) if (a - b) * 1000 % 400)
+    assert most_rows(out) <= 300_000
+
+
+def test_a_clique_is_thinned_before_rounds(spark):
+    a, b = spark.range(600).select(F.col("id").alias("a_id")), spark.range(600).select(F.col("id").alias("b_id"))
+    pairs = a.crossJoin(b).where("a_id < b_id and a_id % 3 = b_id % 3").unionByName(spark.createDataFrame([(7000, 7000)], "a_id long, b_id long")).coalesce(1)
+    few = pairs.toDF("x", "y").mapInPandas(graph.thinner(5000), "x long, y long")
+    assert few.count() == 598
+    assert {(r.id, r.cluster_id) for r in graph.cluster(pairs).collect()} == {(i, i % 3) for i in range(600)} | {(7000, 7000)}
+
+
+def test_protected_names_are_found_without_comparing_all(spark):
+    """2,000 performances and 500 core names are a million comparisons; names are looked up instead."""
+    n = F.col("id")
+    p = spark.range(2000).select("id", F.lit(None).cast("string").alias("choreographer_id"), F.array().cast("array<string>").alias("member_ids"), n.alias("company_id"), F.concat(F.lit("The FIRM"), F.lpad(n.cast("string"), 5, "0"), F.lit(" of X")).alias("company_name"))
+    s = spark.range(500).select(F.lit(0).alias("priority"), F.lit("Dance company").alias("kind"), F.lit(None).cast("long").alias("company_id"), F.concat(F.lit("Firm"), F.lpad((n * 2).cast("string"), 5, "0")).alias("name"))
+    out = credits.protected_ids(p, spark.createDataFrame([("a", True)], "id string, protected boolean"), s)
+    assert {r.id for r in out.collect()} == set(range(0, 1000, 2))
+    assert "Contains(" not in plan(out)
