@@ -97,14 +97,24 @@ def company_fallback(performances: DataFrame, lines: DataFrame) -> DataFrame:
 def protected_ids(performances: DataFrame, choreographers: DataFrame, sources: DataFrame) -> DataFrame:
     """Ids of performances that must not be removed: a protected person credited, or a core company source by id or by name.
 
-    The first two are equi joins. The name of a core company source inside a choreographer's or company's name joins with
-    the sources of tier 0 only, a control table of some dozens of rows.
+    All are equi joins, and performances are read once. The name of a core company source inside a company's name is found
+    among the distinct names' parts of its length; lengths of core names are few.
     """
-    guarded = choreographers.where("protected").select(F.col("id").alias("_g"))
-    own = performances.join(guarded, F.col("choreographer_id") == F.col("_g"), "left_semi").select("id")
-    member = performances.select("id", F.explode("member_ids").alias("_m")).join(guarded, F.col("_m") == F.col("_g"), "left_semi").select("id")
+    guarded = choreographers.where("protected").select(F.col("id").alias("_g")).where("_g is not null").distinct()
     core = sources.where((F.col("priority") == 0) & F.col("kind").rlike("(?i)company"))
-    by_id = performances.join(core.select(F.col("company_id").alias("_c")).where("_c is not null"), F.col("company_id") == F.col("_c"), "left_semi").select("id")
-    names = F.broadcast(core.select(F.lower("name").alias("_n")).where("_n <> ''"))
-    by_name = performances.join(names, F.contains(F.lower(F.coalesce("company_name", F.lit(""))), F.col("_n")), "left_semi").select("id")
-    return own.unionByName(member).unionByName(by_id).unionByName(by_name).distinct()
+    firms = core.select(F.col("company_id").alias("_c")).where("_c is not null").distinct().withColumn("_core", F.lit(True))
+    names = core.select(F.lower("name").alias("_n")).where("_n <> ''").distinct().withColumn("_len", F.length("_n"))
+    lengths = names.select("_len").distinct()
+    called = performances.select(F.lower("company_name").alias("_name")).where("_name is not null").distinct()
+    parts = called.join(F.broadcast(lengths), F.length("_name") >= F.col("_len"))
+    parts = parts.select("_name", "_len", F.explode(F.transform(F.sequence(F.lit(1), F.length("_name") - F.col("_len") + 1), lambda i: F.substr("_name", i, F.col("_len")))).alias("_n"))
+    named = parts.join(names, ["_len", "_n"]).select("_name").distinct().withColumn("_by_name", F.lit(True))
+    ids = performances.schema["member_ids"].dataType
+    who = F.array_compact(F.array_append(F.coalesce("member_ids", F.array().cast(ids)), F.col("choreographer_id").cast(ids.elementType)))
+    rows = performances.select("id", F.col("company_id").alias("_c"), F.lower("company_name").alias("_name"), who.alias("_who"))
+    rows = rows.join(firms, "_c", "left").join(named, "_name", "left")
+    by_company = F.col("_core").isNotNull() | F.col("_by_name").isNotNull()
+    # a row that its company protects needs no person
+    people = F.when(by_company, F.array(F.lit(None).cast(ids.elementType))).otherwise(F.array_distinct("_who"))
+    rows = rows.select("id", by_company.alias("_kept"), F.explode(people).alias("_g")).join(guarded.withColumn("_person", F.lit(True)), "_g", "left")
+    return rows.where(F.col("_kept") | F.col("_person").isNotNull()).select("id").distinct()
