@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from footlights.operators import credits, duplicates, graph, link, saved_groups, serve
+from footlights.operators import changes, credits, duplicates, graph, link, saved_groups, serve, survive
 from footlights.operators.groups import group_evenings, header_flags
 from tests.test_saved_groups import evening_rows
 
@@ -118,3 +118,26 @@ def test_protected_names_are_found_without_comparing_all(spark):
     out = credits.protected_ids(p, spark.createDataFrame([("a", True)], "id string, protected boolean"), s)
     assert {r.id for r in out.collect()} == set(range(0, 1000, 2))
     assert "Contains(" not in plan(out)
+
+
+def test_verdict_changes_join_no_images(spark):
+    """A change's images come from one row: the table before and the table after are not joined."""
+    frame = spark.createDataFrame
+    p, lists = frame([("a", None), ("b", "x")], "id string, editorial string"), frame([("1", "a", "s", False), ("2", "b", "s", False), ("3", "b", None, False)], "id string, performance_id string, source_id string, ignored boolean")
+    v = changes.verdict_changes(p, lists, frame([(9, "b")], "id long, performance_id string"), frame([(1, "b", "a")], "seq long, drop_id string, keep_id string"), frame([("b", "3")], "performance_id string, listing_id string"))
+    assert all("FullOuter" not in plan(t) for t in (v.performances, v.listings, v.staging))
+    told = [(r.table_name, r.key, r.op) for t in (v.performances, v.listings, v.staging) for r in t.collect()]
+    assert sorted(told) == [("listings", "2", "delete"), ("listings", "3", "update"), ("performances", "a", "update"), ("performances", "b", "delete"), ("staging", "9", "update")]
+
+
+def test_listings_are_ranked_by_one_move(spark):
+    frame, size = spark.createDataFrame, "spark.sql.autoBroadcastJoinThreshold"
+    lists = frame([("1", 1, "t", 1), ("2", 1, None, 1), ("3", 9, "t", 1)], "id string, source_id int, theater_id string, company_id int")
+    before = spark.conf.get(size)
+    spark.conf.set(size, "-1")
+    try:
+        out = survive.source_rank(lists, frame([(1, "Opera house", 0, 5)], "id int, kind string, priority int, company_id int"), frame([(1, "t"), (1, "u"), (1, "t")], "source_id int, theater_id string"))
+        assert {(r.id, r.rank) for r in out.collect()} == {("1", 1), ("2", 5), ("3", 6)}
+        assert plan(out.select("id", "rank")).split("Initial Plan")[0].count("Exchange hashpartitioning") <= 3
+    finally:
+        spark.conf.set(size, before)
